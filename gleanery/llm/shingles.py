@@ -75,7 +75,7 @@ def shingle_sets(data: list[bytes], words: int = WORDS) -> list[np.ndarray]:
             s = np.sort(runs[a : b - words + 1])
             out.append(s[np.concatenate(([True], s[1:] != s[:-1]))])
         elif b > a:
-            short = (hashes[a:b] * place[: b - a]).sum(dtype=np.uint64) + np.uint64(int(b - a) * 0x2545F4914F6CDD1D & ((1 << 64) - 1))
+            short = int((hashes[a:b] * place[: b - a]).sum(dtype=np.uint64)) + int(b - a) * 0x2545F4914F6CDD1D & (1 << 64) - 1
             out.append(mix(np.array([short], np.uint64)))
         else:
             out.append(np.zeros(0, np.uint64))
