@@ -1,0 +1,78 @@
+"""The registered queries, their SQL twins and the pipeline on the smallest tables."""
+
+import math
+from collections import Counter
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from gleanery.llm import common, exact_dedup, ngram_join, quality, queries, secrets
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_matches_its_sql(spark, sf_dir, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    twin = con.execute(queries.oracle_sql()[name])
+    names = [c[0] for c in twin.description]
+    got = queries.queries()[name](spark, sf_dir)
+    assert sorted(got.columns) == sorted(names)
+    assert Counter(tuple(r) for r in got.select(*names).collect()) == Counter(twin.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(queries.queries()))
+def test_queries_return_a_row_for_each_document(spark, sf_dir, name):
+    got = queries.queries()[name](spark, sf_dir).collect()
+    docs = common.table(spark, sf_dir, "documents").count()
+    if name.startswith("op8"):
+        assert len(got) == 10 * math.ceil(common.table(spark, sf_dir, "embeddings").count() / 100)
+    elif name.startswith("op9"):
+        assert len({r.doc_id for r in got}) == docs
+    else:
+        assert len(got) == docs
+
+
+def test_pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "exact_dedup", "ngram_jaccard_join", "secret_scans", "best_fit_packing"]
+    docs = common.table(spark, sf_dir, "documents")
+    model = quality.fit(docs, common.table(spark, sf_dir, "labels"))
+    good = {r.doc_id for r in quality.score(docs, model).where("predicted = 1").collect()}
+    text = {r.doc_id: r.text for r in docs.collect()}
+    last = {}
+    for d in sorted(good):
+        last["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text[d])] = d
+    alone = set(last.values())
+    from test_ngram_join import classes
+
+    left = {d for d, _, c in classes([(d, text[d]) for d in sorted(alone)]) if c == d}
+    want = {d: redacted(text[d]) for d in left}
+    root = f"{common.scratch_root(spark)}-pipeline"
+    packed = corpus_pipeline.run(spark, sf_dir).collect()
+    cleaned = spark.read.parquet(f"{root}/secret_scans")
+    assert cleaned.columns == docs.columns
+    assert {r.doc_id: r.text for r in cleaned.collect()} == want
+    assert cleaned.where(F.length("text") != F.col("n_chars")).count() == 0
+    assert {r.doc_id for r in packed} == left
+    assert 0 < len(left) < len(alone) <= len(good) < len(text)
+
+
+def redacted(text):
+    out, at = [], 0
+    for a, _, b in secrets.scan(text)[1]:
+        if a >= at:
+            out += [text[at:a], "[SECRET]"]
+        at = max(at, b)
+    return "".join([*out, text[at:]])
+
+
+def test_nothing_else_imports_this_subpackage():
+    from pathlib import Path
+
+    top = Path(queries.__file__).parent.parent
+    for p in top.rglob("*.py"):
+        if p.parent.name != "llm":
+            assert ".llm" not in p.read_text() and "import llm" not in p.read_text(), p
