@@ -35,24 +35,31 @@ def _matrix(batch) -> np.ndarray:
 
 def _inner(m: np.ndarray, q: np.ndarray, exact: bool) -> np.ndarray:
     """Integer products; float64 holds them exactly if no sum can pass 2^53, else Python integers do."""
-    return m @ q if exact else m.astype(object) @ q.astype(object)
+    if exact:
+        return m @ q
+    whole = [int(x) for x in q]
+    return np.array([sum(int(x) * y for x, y in zip(row, whole)) for row in m], object)
 
 
 def maxscore(q: np.ndarray, m: np.ndarray, low: np.ndarray, high: np.ndarray, best: float, k: int, exact: bool = True) -> np.ndarray:
-    """Rows of m that may score `best` or more, or be among the k best of m; low and high are m's extremes by term."""
+    """Rows of m that may score `best` or more, or be among the k best of m; low and high are m's extremes by term.
+
+    Where sums may pass 2^53, bounds in doubles could err, and all rows are returned.
+    """
+    if not exact:
+        return np.arange(len(m))
     lift, drop = np.maximum(q * low, q * high), np.minimum(q * low, q * high)
     terms = np.argsort(-(lift - drop), kind="stable")
     rest = np.concatenate([np.cumsum(lift[terms][::-1])[::-1], [0]])
     worst = np.concatenate([np.cumsum(drop[terms][::-1])[::-1], [0]])
     rows = np.arange(len(m))
-    score = np.zeros(len(m), m.dtype if exact else object)
+    score = np.zeros(len(m))
     for at in range(0, len(terms), _STEP):
         part = terms[at : at + _STEP]
-        score = score + _inner(m[rows[:, None], part] if len(rows) < len(m) else m[:, part], q[part], exact)
+        score = score + (m[rows[:, None], part] if len(rows) < len(m) else m[:, part]) @ q[part]
         after = min(at + _STEP, len(terms))
         if len(rows) > k:
-            sure = np.partition(score, len(score) - k)[len(score) - k] + worst[after] if exact else sorted(score)[-k] + worst[after]
-            best = max(best, sure)
+            best = max(best, np.partition(score, len(score) - k)[len(score) - k] + worst[after])
         stay = score + rest[after] >= best
         if not stay.all():
             rows, score = rows[stay], score[stay]
