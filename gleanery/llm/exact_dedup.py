@@ -19,7 +19,12 @@ from pyspark.sql import functions as F
 
 from . import common
 
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: RocksDB state; without disk space reserved ahead, which many small stores would multiply.
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(column: pa.Array) -> pa.Array:
@@ -50,9 +55,9 @@ def stream_state(log: DataFrame, path: str, batch_files: int = 10_000) -> DataFr
     spark = log.sparkSession
     home = f"{common.scratch_root(spark)}/dedup-{uuid.uuid4().hex[:12]}"
     common._made.setdefault(spark.sparkContext.applicationId, []).append(home)
-    before = {k: spark.conf.get(k, None) for k in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled")}
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    before = {k: spark.conf.get(k, None) for k in _STATE}
+    for k, v in _STATE.items():
+        spark.conf.set(k, v)
     try:
         rows = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", batch_files).parquet(path)
         state = rows.groupBy("digest").agg(F.max(F.struct("doc_id", "file", "row")).alias("keep"), F.count("*").alias("group_size"))
