@@ -8,6 +8,7 @@ into groups of a bounded number, each packed by one task; only the last sequence
 
 from __future__ import annotations
 
+import struct
 import zlib
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .token_counts import model_path
+from .token_counts import byte_chars, model_path
 
 MODEL = "word_bpe_49k.json"
 CAPACITY = 4096
@@ -38,6 +39,7 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.chars = {b: c for c, b in byte_chars().items()}
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
         # the vocabulary's own split of words, a fixed value
@@ -54,10 +56,11 @@ class WordEncoder:
         if not self.simple.fullmatch(text) or "<|" in text:
             return self.encoded(text)
         out = []
-        for part in self.split.findall(text.lower()):
+        text = text.lower()
+        for part in (text,) if text.isalpha() else self.split.findall(text):
             ids = self.parts.get(part)
             if ids is None:
-                ids = self.encoded(part)
+                ids = self.merged(part)
                 if len(part) <= 64:
                     if len(self.parts) >= REMEMBERED:
                         self.parts.clear()
@@ -65,18 +68,26 @@ class WordEncoder:
             out.append(ids)
         return b"".join(out)
 
+    def merged(self, part: str) -> bytes:
+        """Ids of one part, by the library's merges alone: it is lower-cased and split already."""
+        symbols = part if part.isascii() else "".join([self.chars[b] for b in part.encode("utf-8")])
+        ids = [t.id for t in self.library.model.tokenize(symbols)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def ids(self, text: str) -> bytes:
-        words, out = self.words, []
-        for w in text.encode("utf-8", "surrogatepass").split():
-            ids = words.get(w)
-            if ids is None:
-                ids = self.word(w)
-                if len(w) <= 64:
-                    if len(words) >= REMEMBERED:
-                        words.clear()
-                    words[w] = ids
-            out.append(ids)
-        return b"".join(out)
+        words = text.encode("utf-8", "surrogatepass").split()
+        if len(self.words) >= REMEMBERED:
+            self.words.clear()
+        found = list(map(self.words.get, words))
+        if None in found:
+            for i, w in enumerate(words):
+                if found[i] is None:
+                    found[i] = self.words.get(w)
+                    if found[i] is None:
+                        found[i] = self.word(w)
+                        if len(w) <= 64:
+                            self.words[w] = found[i]
+        return b"".join(found)
 
 
 def encoder(path: str) -> WordEncoder:

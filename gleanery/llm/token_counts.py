@@ -32,6 +32,13 @@ def model_path(path: str | None, name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_chars() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable ones for themselves, the others from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
 class PieceCounter:
     def __init__(self, path: str):
         import sentencepiece
