@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 import uuid
 
@@ -9,13 +11,67 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 #: Rows of ids (16 bytes each) that may be broadcast; beyond it the same join is done by shuffling.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 500_000
+
+#: What a Python worker gets at once; long texts make few rows heavy, so both are bounded.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 _roots: dict[str, str] = {}
 _made: dict[str, list[str]] = {}
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Sends the package to the executors and bounds the batches that workers get."""
+    for k, v in BATCH.items():
+        spark.conf.set(k, v)
+    return ship(spark)
+
+
+def trim() -> None:
+    """Gives memory that a worker has freed back to the system: beside a grown JVM it would count against the executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def forget() -> None:
+    """Empties what other operators' tasks have left to remember in this worker."""
+    for name, kept in (("packing", "_loaded"), ("token_counts", "_loaded"), ("bpe_codec", "_loaded"), ("toxicity", "_cache")):
+        module = sys.modules.get(f"{__package__}.{name}")
+        if module is not None:
+            getattr(module, kept).clear()
+
+
+def freeing(run):
+    """run (batches -> batches) that begins without what other operators remember, and trims when its task ends."""
+
+    def f(batches):
+        forget()
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return f
+
+
+def freeing_group(run):
+    """run (table -> table) that trims after each group."""
+
+    def f(table):
+        try:
+            return run(table)
+        finally:
+            trim()
+
+    return f
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

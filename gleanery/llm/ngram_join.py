@@ -32,10 +32,13 @@ PERCENT = 80
 LONG = 64
 #: Size bound of the broadcast set of frequent shingles (8 bytes each); beyond it the most frequent ones are taken.
 FREQUENT = 1 << 18
+#: Times that frequent shingles are sought; the broadcast set has FREQUENT entries each time at most.
+ROUNDS = 4
 #: dense: the prefix reaches frequent shingles, so that other sets may share some of it in a long list.
 _POSTING = np.dtype([("token", "<u8"), ("node", "<i8"), ("n", "<i4"), ("pos", "<i4"), ("dense", "i1")])
 _PAIR = np.dtype([("a", "<i8"), ("b", "<i8"), ("na", "<i4"), ("nb", "<i4")])
-_BATCH = 4 << 20
+#: Bytes of text, shingles or pairs that a task works on at a time; with some ten arrays of that many entries it bounds a worker.
+_BATCH = 1 << 20
 
 
 def prefix_length(n, percent: int = PERCENT):
@@ -81,7 +84,7 @@ def _windows(words: int, percent: int):
                 seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()), pa.array(window, pa.binary())], ["doc_id", "n", "node", "window"])
 
-    return run
+    return common.freeing(run)
 
 
 def _blobs(keys: np.ndarray, data: np.ndarray, buckets: int, column: str):
@@ -129,7 +132,7 @@ def _token_counts(buckets: int):
         if size:
             yield from out()
 
-    return run
+    return common.freeing(run)
 
 
 def _frequent_of_bucket(least: int):
@@ -146,7 +149,7 @@ def _frequent_of_bucket(least: int):
         heavy = total >= least
         return pa.table({"token": pa.array(token[first][heavy].view(np.int64)), "df": pa.array(total[heavy])})
 
-    return run
+    return common.freeing_group(run)
 
 
 def _is_frequent(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
@@ -178,7 +181,7 @@ def _postings(frequent, buckets: int, percent: int):
             if len(out):
                 yield _blobs(out["token"], out, buckets, "blob")
 
-    return run
+    return common.freeing(run)
 
 
 def _postings_of_texts(frequent, buckets: int, percent: int, words: int):
@@ -192,7 +195,7 @@ def _postings_of_texts(frequent, buckets: int, percent: int, words: int):
                 out, _ = _prefixes(np.array([node_of(s) for s in sets], np.int64), lens, lens, np.concatenate(sets), frequent.value, percent)
                 yield _blobs(out["token"], out, buckets, "blob")
 
-    return run
+    return common.freeing(run)
 
 
 def _whole_windows(words: int):
@@ -201,7 +204,7 @@ def _whole_windows(words: int):
             columns = [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["node", "n", "window"])
 
-    return run
+    return common.freeing(run)
 
 
 def _short_windows(frequent, percent: int):
@@ -213,7 +216,7 @@ def _short_windows(frequent, percent: int):
                 enough = np.concatenate([_prefixes(*x, frequent.value, percent)[1] for x in _flat([batch])])
                 yield pa.RecordBatch.from_arrays([pa.array(ids[rows[~enough]], pa.int64(), from_pandas=True)], ["doc_id"])
 
-    return run
+    return common.freeing(run)
 
 
 def _may_link(x, y, percent: int):
@@ -299,7 +302,7 @@ def _candidates(percent: int, long: int):
         none = np.zeros(len(rest), np.int64)
         return pa.table({"kind": both(np.zeros(len(pairs), np.int32), np.ones(len(rest), np.int32)), "a": both(pairs["a"], rest["token"].view(np.int64)), "b": both(pairs["b"], rest["node"]), "na": both(pairs["na"], rest["n"]), "nb": both(pairs["nb"], rest["pos"])} | {k: both(weight[:, i], none) for i, k in enumerate(("c", "ok", "dense"))})
 
-    return run
+    return common.freeing_group(run)
 
 
 def _open_pairs(percent: int):
@@ -325,7 +328,66 @@ def _open_pairs(percent: int):
         pairs = np.concatenate(out)
         return pa.table({k: pa.array(pairs[k].astype(np.int32 if k[0] == "n" else np.int64)) for k in ("a", "b", "na", "nb")})
 
-    return run
+    return common.freeing_group(run)
+
+
+def _frequent_parts(frequent):
+    """node, n, and the places in the frequent shingles' order of those that the set holds."""
+
+    def run(batches):
+        for batch in batches:
+            sets = [np.frombuffer(x, np.uint64) for x in batch.column("tokens").to_pylist()]
+            h = [np.searchsorted(frequent.value, s[_is_frequent(s, frequent.value)]).astype(np.int32).tobytes() for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array(h, pa.binary())], ["node", "size", "h"])
+
+    return common.freeing(run)
+
+
+def _links_of_blocks(percent: int):
+    """Of one block pair of a long list: links between classes, one for each set and class at most.
+
+    Sets of a long list hold all their rare shingles in their prefixes. Two of them that share a rare one are a candidate
+    already; the others share frequent ones only, so those alone tell the intersection.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        node, label, n, side = (table.column(k).to_numpy() for k in ("node", "label", "size", "side"))
+        held = [np.frombuffer(x, np.int32) for x in table.column("h").to_pylist()]
+        names, of = np.unique(np.concatenate([*held, np.zeros(0, np.int32)]), return_inverse=True)
+        ends = np.cumsum([0, *map(len, held)])
+        classes, class_of, sizes = np.unique(label, return_inverse=True, return_counts=True)
+        odd = class_of != sizes.argmax()
+        every = np.arange(len(node))
+        left, right = (every, every) if (side == 2).all() else (every[side == 0], every[side == 1])
+        found = []
+
+        def dense(rows):
+            m = np.zeros((len(rows), len(names)), np.float32)
+            for i, r in enumerate(rows):
+                m[i, of[ends[r] : ends[r + 1]]] = 1
+            return m
+
+        def compare(a, b):
+            step = max(16, min(512, (8 << 20) // max(1, len(names))))
+            for i in range(0, len(a), step):
+                x, ra = dense(a[i : i + step]), a[i : i + step]
+                for j in range(0, len(b), step):
+                    rb = b[j : j + step]
+                    inter = x @ dense(rb).T
+                    ok = (100 * inter >= percent * (n[ra][:, None] + n[rb][None, :] - inter)) & (class_of[ra][:, None] != class_of[rb][None, :])
+                    for p in np.flatnonzero(ok.any(axis=1)):
+                        q = np.flatnonzero(ok[p])
+                        _, first = np.unique(class_of[rb[q]], return_index=True)
+                        found.extend((node[ra[p]], node[rb[k]], int(inter[p, k])) for k in q[first])
+
+        # two sets of the largest class need no look
+        compare(left[odd[left]], right)
+        if left is not right:
+            compare(left[~odd[left]], right[odd[right]])
+        a, b, c = (np.array([f[k] for f in found], np.int64) for k in range(3))
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "shared": c})
+
+    return common.freeing_group(run)
 
 
 def _verified(percent: int):
@@ -344,7 +406,7 @@ def _verified(percent: int):
             ok = pa.array(100 * inter >= percent * (ns.sum(axis=0) - inter))
             yield pa.RecordBatch.from_arrays([a.filter(ok), b.filter(ok), pa.array(inter).filter(ok)], ["a", "b", "shared"])
 
-    return run
+    return common.freeing(run)
 
 
 def _set_blobs(words: int):
@@ -352,7 +414,7 @@ def _set_blobs(words: int):
         for _, sets in _sets(batches, words):
             yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "tokens"])
 
-    return run
+    return common.freeing(run)
 
 
 def _by_id(docs: DataFrame, ids: DataFrame, words_map, schema: str) -> DataFrame:
@@ -382,12 +444,23 @@ def near_duplicates(documents: DataFrame, words: int = WORDS, percent: int = PER
     def short_with(frequent) -> DataFrame:
         return common.keep(base.where("window is not null").mapInArrow(_short_windows(frequent, percent), "doc_id long"), "short")
 
-    # shingles that are frequent in the windows, then those that are so in the rest of the sets that hold little else
-    first = np.sort(frequent_in(base.select("node", "n", "window")))
-    short = short_with(spark.sparkContext.broadcast(first))
-    more = frequent_in(_by_id(docs, short, _whole_windows(words), "node long, n long, window binary"))
-    frequent = spark.sparkContext.broadcast(np.union1d(first, more))
-    whole = max(len(first), len(more)) < FREQUENT  # else some frequent shingles are ordered as rare ones
+    # shingles that are frequent in the windows, then, until no more sets come up, in the whole sets that hold little else
+    counts = [np.sort(frequent_in(base.select("node", "n", "window")))]
+    known, before, settled = counts[0], -1, False
+    for _ in range(ROUNDS):
+        frequent = spark.sparkContext.broadcast(known)
+        short = short_with(frequent)
+        now = short.count()
+        settled = now == before
+        if settled:
+            break
+        before = now
+        counts.append(frequent_in(_by_id(docs, short, _whole_windows(words), "node long, n long, window binary")))
+        known = np.union1d(known, counts[-1])
+    if not settled:
+        frequent = spark.sparkContext.broadcast(known)
+        short = short_with(frequent)
+    whole = settled and max(map(len, counts)) < FREQUENT  # else some frequent shingles are ordered as rare ones
     short = short_with(frequent)
     post = base.select("node", "n", "window").mapInArrow(_postings(frequent, buckets, percent), "bucket int, blob binary")
     post = post.union(_by_id(docs, short, _postings_of_texts(frequent, buckets, percent, words), "bucket int, blob binary"))
@@ -425,8 +498,14 @@ def near_duplicates(documents: DataFrame, words: int = WORDS, percent: int = PER
     # blocks of about 2048 sets; each pair of blocks of a list is one group, so no group grows with the list
     others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("part", o).alias("p"), F.greatest("part", o).alias("q"), F.when(o == F.col("part"), 2).when(F.col("part") < o, 0).otherwise(1).alias("side")))
     blocks = rest.select("token", "node", "label", "n", "pos", F.explode(others).alias("o")).select("token", "o.p", "o.q", "o.side", "node", "label", "n", "pos")
-    more = blocks.groupBy("token", "p", "q").applyInArrow(_open_pairs(percent), "a long, b long, na int, nb int").select("a", "b")
-    links2 = verify(between.union(more).distinct(), "links")
+    if whole:
+        parts = sets.join(rest.select("node").distinct(), "node", "left_semi").mapInArrow(_frequent_parts(frequent), "node long, size long, h binary")
+        grouped = blocks.select("token", "p", "q", "side", "node", "label").join(parts, "node").groupBy("token", "p", "q")
+        found2 = grouped.applyInArrow(_links_of_blocks(percent), "a long, b long, shared long").distinct()
+        links2 = verify(between.distinct(), "links").union(common.keep(found2, "links"))
+    else:
+        more = blocks.groupBy("token", "p", "q").applyInArrow(_open_pairs(percent), "a long, b long, na int, nb int").select("a", "b")
+        links2 = verify(between.union(more).distinct(), "links")
     ends = labelled(labelled(links2.select("a", "b"), "a", "la"), "b", "lb").select(F.col("la").alias("a"), F.col("lb").alias("b"))
     merged = connected_components(ends)
 

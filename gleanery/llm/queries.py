@@ -5,54 +5,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
 from . import bpe_codec, common, exact_dedup, ngram_join, packing, quality, secrets, sharding, token_counts, topk, toxicity
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members, _ = ngram_join.near_duplicates(common.table(ship(spark), sf_dir, "documents"))
+    members, _ = ngram_join.near_duplicates(common.table(common.prepare(spark), sf_dir, "documents"))
     return members.select("doc_id", "n_shingles", "component_id")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_duplicates(common.table(ship(spark), sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return exact_dedup.exact_duplicates(common.table(common.prepare(spark), sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.secret_spans(common.table(ship(spark), sf_dir, "documents"))
+    found = secrets.secret_spans(common.table(common.prepare(spark), sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans", "n_layers")
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = common.table(ship(spark), sf_dir, "documents")
+    documents = common.table(common.prepare(spark), sf_dir, "documents")
     model = quality.fit(documents, common.table(spark, sf_dir, "labels"))
     return quality.score(documents, model).withColumn("held_out", quality.held_out(F.col("doc_id"))).select("doc_id", "held_out", "score", "predicted")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = common.table(ship(spark), sf_dir, "documents")
+    documents = common.table(common.prepare(spark), sf_dir, "documents")
     model = toxicity.fit(documents, common.table(spark, sf_dir, "labels"))
     return toxicity.score(documents, model).withColumn("held_out", toxicity.held_out(F.col("doc_id"))).select("doc_id", "held_out", "score", "predicted")
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(common.table(ship(spark), sf_dir, "documents"))
+    return token_counts.token_counts(common.table(common.prepare(spark), sf_dir, "documents"))
 
 
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_codec.encode_and_decode(common.table(ship(spark), sf_dir, "documents"))
+    return bpe_codec.encode_and_decode(common.table(common.prepare(spark), sf_dir, "documents"))
 
 
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk.top_k(common.table(ship(spark), sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+    return topk.top_k(common.table(common.prepare(spark), sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(common.table(ship(spark), sf_dir, "documents"))
+    return packing.pack(common.table(common.prepare(spark), sf_dir, "documents"))
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.balanced_shards(common.table(ship(spark), sf_dir, "documents")).drop("begin")
+    return sharding.balanced_shards(common.table(common.prepare(spark), sf_dir, "documents")).drop("begin")
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
