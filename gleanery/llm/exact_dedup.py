@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: RocksDB state; without disk space reserved ahead, which many small stores would multiply.
+#: RocksDB state; without disk space reserved ahead, which many small stores would multiply, and with memory bounded by executor.
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
 }
 
 
