@@ -6,19 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.llm import common, exact_dedup, ngram_join, packing, quality, secrets
-from gleanery.session import ship
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labelled rows of documents that are not held out, does not reject."""
-    ship(spark)
+    common.prepare(spark)
     model = quality.fit(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
     return quality.keep_good(docs, model)
 
 
 def keep_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts the one with the largest doc_id."""
-    common.release(ship(spark))
+    common.release(common.prepare(spark))
     found = exact_dedup.exact_duplicates(docs)
     gone = found.where(~F.col("kept")).select("file", "row")
     rows = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
@@ -27,7 +26,7 @@ def keep_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates the document that names it, the one with the smallest doc_id."""
-    common.release(ship(spark))
+    common.release(common.prepare(spark))
     members, _ = ngram_join.near_duplicates(docs)
     gone = members.where("component_id != doc_id").select(F.col("doc_id").alias("_gone"))
     return docs.join(common.few(gone.distinct()), F.col("doc_id") == F.col("_gone"), "left_anti")
@@ -35,13 +34,13 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the spans that hold secrets, plain or encoded, replaced; n_chars follows."""
-    common.release(ship(spark))
+    common.release(common.prepare(spark))
     return secrets.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 4096 tokens."""
-    common.release(ship(spark))
+    common.release(common.prepare(spark))
     return packing.pack(docs)
 
 
