@@ -9,6 +9,7 @@ turns those into a score.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
@@ -22,11 +23,12 @@ FOLDS, FOLD = 3, 1
 THRESHOLD = 0.7
 ORDER = 5
 DISCOUNT = 0.75
-#: Most n-grams of the models (16 bytes each on the wire): the most frequent ones; and labelled rows that the curve is fitted on.
+#: Most n-grams (24 bytes each) of models that workers hold; larger ones stay in tables. And labelled rows that the curve is fitted on.
 MOST_GRAMS = 2_000_000
 CURVE_ROWS = 20_000
 REMEMBERED = 1_000_000
 _BITS = 12
+_EVIDENCE = 6
 _LETTERS = re.compile(r"[^\W\d_]+")
 _cache: dict[str, dict[bytes, tuple[float, int]]] = {}
 
@@ -106,8 +108,19 @@ def _words_of(raw: bytes) -> list[str]:
     return _LETTERS.findall(raw.decode("utf-8", "replace").lower())
 
 
+def _parts_of(raw: bytes) -> list[str]:
+    """The words of what stands between spaces; very long ones in pieces."""
+    return [y for i in range(0, max(len(raw), 1), 4096) for y in _words_of(raw[i : i + 4096])]
+
+
+def _evidence_of(ratio: np.ndarray, size: np.ndarray, top: np.ndarray) -> list[float]:
+    """Of a text, from the sums and the highest ratios of what stands between its spaces."""
+    three = np.sort(np.partition(top, len(top) - min(3, len(top)))[-3:])[::-1]
+    return [ratio.sum() / max(size.sum(), 1), *three, *np.zeros(3 - len(three)), (top > 6).sum() / len(top), np.log1p(len(top))]
+
+
 class ToxicityModel:
-    def __init__(self, grams: KneserNey, weights: np.ndarray, name: str):
+    def __init__(self, grams: KneserNey | GramTables, weights: np.ndarray, name: str):
         self.grams, self.weights, self.name = grams, weights, name
 
     def evidence(self, data: list[bytes], cache: dict | None = None) -> np.ndarray:
@@ -118,19 +131,18 @@ class ToxicityModel:
         if len(cache) + len(fresh) > REMEMBERED:
             cache.clear()
             fresh = list({w for words in split for w in words})
-        parts = [_words_of(w[:4096]) if len(w) <= 4096 else [y for i in range(0, len(w), 4096) for y in _words_of(w[i : i + 4096])] for w in fresh]
+        parts = [_parts_of(w) for w in fresh]
         flat = sorted({y for x in parts for y in x})
         if flat:
             ratio, size = self.grams.ratios(flat)
             known = dict(zip(flat, zip(ratio.tolist(), size.tolist())))
         for w, ys in zip(fresh, parts):
             cache[w] = (sum(known[y][0] for y in ys), sum(known[y][1] for y in ys), max((known[y][0] for y in ys), default=0.0))
-        out = np.zeros((len(data), 6))
+        out = np.zeros((len(data), _EVIDENCE))
         for i, words in enumerate(split):
             if words:
                 v = np.array([cache[w] for w in words])
-                top = np.sort(np.partition(v[:, 2], len(v) - min(3, len(v)))[-3:])[::-1]
-                out[i] = [v[:, 0].sum() / max(v[:, 1].sum(), 1), *np.concatenate([top, np.zeros(3 - len(top))]), (v[:, 2] > 6).sum() / len(v), np.log1p(len(v))]
+                out[i] = _evidence_of(*v.T)
         return out
 
     def score(self, data: list[bytes], cache: dict | None = None) -> np.ndarray:
@@ -166,6 +178,103 @@ def fit_curve(e: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
+class GramTables:
+    """The same models as KneserNey's, of any size: its levels as tables, of which joins give the ratios of whole tables of texts."""
+
+    def __init__(self, grams: DataFrame):
+        self.levels: list[tuple[DataFrame, DataFrame]] = []  # from the longest: grams with counts; contexts with sums and kinds
+        some = [(F.col(c) > 0).cast("long") for c in ("c0", "c1")]
+        for k in range(ORDER, 0, -1):
+            context = grams.groupBy(F.shiftright("gram", _BITS).alias("context"))
+            self.levels.append((grams, common.keep(context.agg(F.sum("c0").alias("n0"), F.sum("c1").alias("n1"), F.sum(some[0]).alias("t0"), F.sum(some[1]).alias("t1")), "contexts")))
+            if k > 1:
+                seen = some if k - 1 > 2 else [F.greatest(*some)] * 2
+                grams = common.keep(grams.groupBy(_last(k - 1).alias("gram")).agg(F.sum(seen[0]).alias("c0"), F.sum(seen[1]).alias("c1")), "grams")
+        self.letters = max(grams.count(), 1)
+
+    def chances(self, grams: DataFrame) -> DataFrame:
+        """gram, p0, p1 of each different gram."""
+        wanted = [common.keep(grams.select("gram").distinct(), "wanted")]
+        for k in range(ORDER - 1, 0, -1):
+            wanted.append(common.keep(wanted[-1].select(_last(k).alias("gram")).distinct(), "wanted"))
+        p = None
+        for k in range(1, ORDER + 1):
+            level, contexts = self.levels[ORDER - k]
+            rows = wanted[ORDER - k].join(level, "gram", "left").withColumn("context", F.shiftright("gram", _BITS)).join(contexts, "context", "left")
+            if p is None:
+                rows = rows.withColumns({"p0": F.lit(1 / (self.letters + 1)), "p1": F.lit(1 / (self.letters + 1))})
+            else:
+                rows = rows.withColumn("shorter", _last(k - 1)).join(p.withColumnRenamed("gram", "shorter"), "shorter")
+            own = [F.when(F.col(f"n{i}") > 0, (F.greatest(F.coalesce(f"c{i}", F.lit(0)) - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col(f"t{i}") * F.col(f"p{i}")) / F.col(f"n{i}")).otherwise(F.col(f"p{i}")) for i in (0, 1)]
+            p = common.keep(rows.select("gram", own[0].alias("p0"), own[1].alias("p1")), "chances")
+        return p
+
+    def evidence(self, docs: DataFrame, mark: str) -> DataFrame:
+        """mark and e (as ToxicityModel.evidence) of each row of docs."""
+        kind = docs.schema[mark].dataType.simpleString()
+        rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(mark).alias("mark"), "text")
+        rows = common.keep(rows.mapInArrow(_row_tokens, f"row long, mark {kind}, tokens array<struct<token: binary, size: long, times: long>>"), "rows")
+        tokens = common.keep(docs.select("text").mapInArrow(_different_tokens, "token binary, raw binary").dropDuplicates(["token"]), "tokens")
+        grams = common.keep(tokens.mapInArrow(_token_grams, "token binary, part int, gram long, times long"), "token-grams")
+        ratio = F.sum(F.col("times") * (F.log(F.col("p1") + 1e-12) - F.log(F.col("p0") + 1e-12)))
+        parts = grams.join(self.chances(grams), "gram").groupBy("token", "part").agg(ratio.alias("ratio"))
+        ratios = common.keep(parts.groupBy("token").agg(F.sum("ratio").alias("ratio"), F.max("ratio").alias("top")), "ratios")
+        each = rows.select("row", F.explode("tokens").alias("t")).select("row", "t.*").join(ratios, "token", "left").na.fill(0.0, ["ratio", "top"])
+        # what stands between spaces is sorted, so that equal texts get equal sums
+        each = each.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("ratio", "size", "top", "times"))).alias("found"))
+        return rows.select("row", "mark").join(each, "row", "left").select("mark", "found").mapInArrow(_evidence_rows, f"mark {kind}, e array<double>")
+
+
+def _last(k: int):
+    return F.col("gram").bitwiseAND(F.lit((1 << _BITS * k) - 1))
+
+
+def _token(raw: bytes) -> bytes:
+    """A short name of what stands between spaces: itself, or of longer ones 128 bits."""
+    return raw if len(raw) < 16 else hashlib.blake2b(raw, digest_size=16).digest()
+
+
+def _row_tokens(batches):
+    for batch in batches:
+        out = []
+        for data in common.text_bytes(batch.column("text")):
+            times: dict[bytes, int] = {}
+            for w in data.split():
+                times[w] = times.get(w, 0) + 1
+            out.append([{"token": _token(w), "size": sum(len(y) + 1 for y in _parts_of(w)), "times": n} for w, n in times.items()])
+        kind = pa.list_(pa.struct([("token", pa.binary()), ("size", pa.int64()), ("times", pa.int64())]))
+        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("mark"), pa.array(out, kind)], ["row", "mark", "tokens"])
+
+
+def _different_tokens(batches):
+    for batch in batches:
+        raw = list({w for data in common.text_bytes(batch.column("text")) for w in data.split()})
+        yield pa.RecordBatch.from_arrays([pa.array([_token(w) for w in raw], pa.binary()), pa.array(raw, pa.binary())], ["token", "raw"])
+
+
+def _token_grams(batches):
+    for batch in batches:
+        token, raw = batch.column("token").to_pylist(), batch.column("raw").to_pylist()
+        for i, j in common.by_bytes(raw, len, 1 << 20):
+            at, part, words = [], [], []
+            for n in range(i, j):
+                for k, y in enumerate(_parts_of(raw[n])):
+                    at.append(n), part.append(k), words.append(y)
+            gram, owner = _grams(words)
+            some, times = np.unique(np.column_stack([owner, gram]), axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([token[at[o]] for o in some[:, 0]], pa.binary()), pa.array([part[o] for o in some[:, 0]], pa.int32()), pa.array(some[:, 1]), pa.array(times.astype(np.int64))], ["token", "part", "gram", "times"])
+
+
+def _evidence_rows(batches):
+    for batch in batches:
+        e = []
+        for found in batch.column("found").to_pylist():
+            v = np.array([[t["ratio"], t["size"], t["top"]] for t in found or ()]).reshape(-1, 3)
+            v = np.repeat(v, np.array([t["times"] for t in found or ()], np.int64), axis=0)
+            e.append(_evidence_of(*v.T) if len(v) else [0.0] * _EVIDENCE)
+        yield pa.RecordBatch.from_arrays([batch.column("mark"), pa.array(e, pa.list_(pa.float64()))], ["mark", "e"])
+
+
 def _word_counts(batches):
     """Words with their counts in ordinary and toxic texts, summed up by task."""
     tally: tuple[dict, dict] = ({}, {})
@@ -204,7 +313,10 @@ def held_out(doc_id):
 
 
 def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", most_grams: int = MOST_GRAMS, curve_rows: int = CURVE_ROWS) -> ToxicityModel:
-    """Models from all labelled rows that are not held out: four fifths are counted, the curve is fitted on the rest, `curve_rows` at most."""
+    """Models from all labelled rows that are not held out: four fifths are counted, the curve is fitted on the rest, `curve_rows` at most.
+
+    All n-grams count: up to `most_grams` of them go to the workers, more are kept as scratch tables and joined.
+    """
     spark = documents.sparkSession
     known = labels.select(F.col("doc_id").cast("long").alias("known_id"), F.col(label).cast("double").alias("label")).where("known_id is not null and label is not null").where(~held_out(F.col("known_id")))
     known = known.groupBy("known_id").agg(F.max("label").alias("label")).withColumn("part", F.pmod(F.xxhash64("known_id"), F.lit(5)))
@@ -213,13 +325,21 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", most_gram
     words = docs.join(counted, F.col("doc_id") == F.col("known_id")).select("label", "text").mapInArrow(_word_counts, "word string, c0 long, c1 long")
     words = words.groupBy("word").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
     grams = words.mapInArrow(_gram_counts, "gram long, c0 long, c1 long").groupBy("gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
-    got = grams.orderBy(F.desc(F.col("c0") + F.col("c1")), "gram").limit(most_grams).toArrow()
-    model = KneserNey(np.asarray(got.column("gram"), np.int64), np.column_stack([np.asarray(got.column("c0")), np.asarray(got.column("c1"))]).reshape(-1, 2))
+    grams = common.keep(grams, "grams")
+    if grams.count() <= most_grams:
+        got = grams.toArrow()
+        model = KneserNey(np.asarray(got.column("gram"), np.int64), np.column_stack([np.asarray(got.column("c0")), np.asarray(got.column("c1"))]).reshape(-1, 2))
+    else:
+        model = GramTables(grams)
     name = f"{spark.sparkContext.applicationId}-{id(model)}"
     sample = known.where("part = 0").orderBy(F.xxhash64("known_id", F.lit(1)), "known_id").limit(curve_rows)
-    early = spark.sparkContext.broadcast(ToxicityModel(model, np.zeros(7), name))
-    rows = docs.join(F.broadcast(sample.select("known_id", "label")), F.col("doc_id") == F.col("known_id")).select("label", "text").mapInArrow(_evidence(early), "label double, e array<double>").toArrow()
-    e = np.array(rows.column("e").to_pylist(), np.float64).reshape(rows.num_rows, 6)
+    rows = docs.join(F.broadcast(sample.select("known_id", "label")), F.col("doc_id") == F.col("known_id")).select("label", "text")
+    if isinstance(model, GramTables):
+        rows = model.evidence(rows, "label").withColumnRenamed("mark", "label").toArrow()
+    else:
+        early = spark.sparkContext.broadcast(ToxicityModel(model, np.zeros(7), name))
+        rows = rows.mapInArrow(_evidence(early), "label double, e array<double>").toArrow()
+    e = np.array(rows.column("e").to_pylist(), np.float64).reshape(rows.num_rows, _EVIDENCE)
     y = np.asarray(rows.column("label"), np.float64)
     order = np.lexsort((y, *e.T[::-1])) if len(y) else slice(None)
     return ToxicityModel(model, fit_curve(e[order], y[order]), name)
@@ -257,10 +377,21 @@ def _scorer(model, threshold: float):
     return run
 
 
+def _table_scorer(weights: np.ndarray, threshold: float):
+    def run(batches):
+        for batch in batches:
+            s = curve(np.array(batch.column("e").to_pylist(), np.float64).reshape(-1, _EVIDENCE), weights)
+            yield pa.RecordBatch.from_arrays([batch.column("mark"), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
+
+    return run
+
+
 def score(documents: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
     """Per row: doc_id, score (0 to 1), predicted (1 from `threshold` on). Only the text tells the score; null counts as empty.
 
     Rows are independent: repeated rows give equal results; an empty table gives an empty table.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if isinstance(model.grams, GramTables):
+        return model.grams.evidence(docs, "doc_id").mapInArrow(_table_scorer(model.weights, threshold), "doc_id long, score double, predicted int")
     return docs.mapInArrow(_scorer(documents.sparkSession.sparkContext.broadcast(model), threshold), "doc_id long, score double, predicted int")

@@ -92,3 +92,13 @@ def test_no_labels_and_no_rows(spark, on_disk):
     assert [r.score for r in toxicity.score(docs, toxicity.fit(docs, none)).collect()] == [0.5, 0.5]
     empty = on_disk([], "empty")
     assert quality.score(empty, quality.fit(empty, none)).count() == 0 and toxicity.score(empty, toxicity.fit(empty, none)).count() == 0
+
+
+def test_toxicity_with_more_grams_than_workers_hold(spark, on_disk):
+    docs, labels, _ = labelled(on_disk, "toxic", toxic, 300)
+    held, joined = toxicity.fit(docs, labels), toxicity.fit(docs, labels, most_grams=100)
+    assert isinstance(joined.grams, toxicity.GramTables) and joined.grams.levels[0][0].count() == len(held.grams.levels[0][0]) > 100
+    assert np.allclose(held.weights, joined.weights)
+    more = docs.select("doc_id", "text").union(spark.createDataFrame([(7, "ünseen xyzzy" * 1000 + " vrixl ... grumzak"), (8, "\u0e01" * 5000)], "doc_id long, text string"))
+    a, b = (sorted(((-1 if r.doc_id is None else r.doc_id), r.score, r.predicted) for r in toxicity.score(more, m).collect()) for m in (held, joined))
+    assert len(a) == len(b) == 306 and [(x[0], x[2]) for x in a] == [(x[0], x[2]) for x in b] and np.allclose([x[1] for x in a], [x[1] for x in b])
