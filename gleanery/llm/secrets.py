@@ -1,21 +1,20 @@
 """Secret scans with a recursive decoding worklist.
 
 A text is scanned as it is; then every part of it that could be an encoding (URL escapes, Unicode and HTML escapes, base64, and compressed
-bytes under base64) is decoded into a layer, each character of which knows the characters of the text it came from. Layers are
+bytes under any of these) is decoded into a layer, each character of which knows the characters of the text it came from. Layers are
 scanned and searched for encodings in turn until nothing new comes up; a layer seen before is not taken again, so cycles end.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
-import gzip
 import hashlib
 import lzma
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,12 +27,15 @@ _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 # the same matches as of AKIA[A-Z0-9]+ and [0-9a-f]+ that are long enough: both are maximal runs
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_URL = re.compile(r"[^\s%]*(?:%[0-9A-Fa-f]{2}[^\s%]*)+")
+_URL = re.compile(r"%([0-9A-Fa-f]{2})")
 _ESCAPES = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
-_ESCAPED = re.compile(r"""[^\s\\&]*(?:(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};)[^\s\\&]*)+""")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-#: Bytes that one layer may decompress to; a larger one is left closed and counted.
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}")
+_PACKED = re.compile(r"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|x[\x01\x5e\x9c\xda]")
+# all patterns and encodings need 16 such characters in a row, or are compressed
+_WORTH = re.compile(r"[\t\n\r\x20-\x7e]{16}|" + _PACKED.pattern)
+#: Bytes that one layer is decompressed to at a time; a larger one is scanned in parts that overlap, and counted.
 LAYER_BYTES = 64 << 20
+OVERLAP = 1 << 20
 
 
 def base_spans(text: str, data: bytes | None = None) -> list[tuple[int, int, int]]:
@@ -48,133 +50,133 @@ def base_spans(text: str, data: bytes | None = None) -> list[tuple[int, int, int
     return sorted(out)
 
 
-def _decompressed(raw: bytes, limit: int) -> tuple[bytes | None, bool]:
-    """The content of compressed bytes, or None; and whether it was larger than the limit."""
+def _engine(raw: bytes):
+    """What reads the compressed bytes that raw begins with, or None."""
     if raw[:2] == b"\x1f\x8b":
-        engine = zlib.decompressobj(31)
-    elif len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0:
-        engine = zlib.decompressobj()
-    elif raw[:3] == b"BZh":
-        engine = bz2.BZ2Decompressor()
-    elif raw[:6] == b"\xfd7zXZ\x00":
-        engine = lzma.LZMADecompressor()
-    elif raw[:4] == b"\x28\xb5\x2f\xfd":
+        return zlib.decompressobj(31)
+    if len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0:
+        return zlib.decompressobj()
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if raw[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    if raw[:4] == b"\x28\xb5\x2f\xfd":
         import zstandard
 
-        try:
-            reader = zstandard.ZstdDecompressor(max_window_size=LAYER_BYTES).stream_reader(raw)
-            out = reader.read(limit + 1)
-            return (out, False) if len(out) <= limit else (None, True)
-        except zstandard.ZstdError:
-            return None, False
-    else:
-        return None, False
-    try:
-        out = engine.decompress(raw, limit + 1)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None, False
-    return (out, False) if len(out) <= limit else (None, True)
-
-
-def _text_of(raw: bytes) -> str | None:
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text.isprintable() or not re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text) else None
-
-
-def _char_map(raw: bytes, spans: list[tuple[int, int]]) -> tuple[str | None, list[tuple[int, int]]]:
-    """Decoded bytes with a span each, as text with a span for each character."""
-    text = _text_of(raw)
-    if text is None:
-        return None, []
-    out, at = [], 0
-    for ch in text:
-        n = len(ch.encode("utf-8"))
-        out.append((spans[at][0], spans[at + n - 1][1]))
-        at += n
-    return text, out
-
-
-def _url(layer: str, a: int, b: int):
-    raw, spans, i = bytearray(), [], a
-    while i < b:
-        if layer[i] == "%" and i + 3 <= b and re.fullmatch(r"[0-9A-Fa-f]{2}", layer[i + 1 : i + 3]):
-            raw.append(int(layer[i + 1 : i + 3], 16))
-            spans.append((i, i + 3))
-            i += 3
+        return zstandard.ZstdDecompressor(max_window_size=LAYER_BYTES).decompressobj()
+    return None
+
+
+def _pieces(raw: bytes, at: int):
+    """What compressed bytes hold from a place on, of all members or frames one after the other, as far as they can be read; with the end of what was used."""
+    while (engine := _engine(raw[at : at + 8])) is not None:
+        for i in range(at, len(raw), 1 << 14):
+            chunk = raw[i : i + (1 << 14)]
+            try:
+                out = engine.decompress(chunk)
+            except Exception:  # not compressed after all, or broken from here on; each library has errors of its own
+                return
+            if out:
+                yield out, min(len(raw), i + len(chunk))
+            if getattr(engine, "eof", False):
+                break
         else:
-            part = layer[i].encode("utf-8", "surrogatepass")
-            raw += part
-            spans += [(i, i + 1)] * len(part)
-            i += 1
-    return _char_map(bytes(raw), spans)
-
-
-def _unescaped(layer: str, a: int, b: int):
-    chars, spans, i = [], [], a
-    for m in _ESCAPES.finditer(layer, a, b):
-        chars += layer[i : m.start()]
-        spans += [(j, j + 1) for j in range(i, m.start())]
-        n, group = next((int(g, 10 if k == 6 else 16), k) for k, g in enumerate(m.groups(), 1) if g is not None)
-        chars.append(chr(n) if n <= 0x10FFFF and not 0xD800 <= n < 0xE000 else "\ufffd")
-        spans.append((m.start(), m.end()))
-        i = m.end()
-    chars += layer[i:b]
-    spans += [(j, j + 1) for j in range(i, b)]
-    return "".join(chars), spans
-
-
-def _unbased(layer: str, a: int, b: int, limit: int):
-    """Text under base64, plain or compressed; a compressed layer's characters all stand for the whole run."""
-    run = layer[a:b].rstrip("=").replace("-", "+").replace("_", "/")
-    if len(run) % 4 == 1:
-        return None, [], False
-    try:
-        raw = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None, [], False
-    inner, large = _decompressed(raw, limit)
-    if inner is not None:
-        text = _text_of(inner)
-        return text, [(a, b)] * len(text or ""), False
-    text, spans = _char_map(raw, [(a + i * 8 // 6, min(b, a + -(-(i + 1) * 8 // 6))) for i in range(len(raw))]) if _text_of(raw) is not None else (None, [])
-    return text, spans, large
-
-
-def _layers(text: str, limit: int):
-    """Decodings of parts of text: (new text, a span of text for each of its characters, whether one was left closed)."""
-    if "%" in text:
-        for m in _URL.finditer(text):
-            yield *_url(text, m.start(), m.end()), False
-    if "\\" in text or "&#" in text:
-        for m in _ESCAPED.finditer(text):
-            yield *_unescaped(text, m.start(), m.end()), False
+            return
+        at = i + len(chunk) - len(engine.unused_data)
+        yield b"", at
+        while raw[at : at + 1] == b"\x00":  # padding
+            at += 1
+
+
+def _decompressed(raw: bytes, at: int, limit: int):
+    """(part of the content, end of what was used so far, whether it has just passed the limit) of compressed bytes; parts overlap."""
+    held, size, used, over = [], 0, 0, False
+    for out, used in _pieces(raw, at):
+        held.append(out)
+        size += len(out)
+        if size > limit:
+            part = b"".join(held)
+            yield part, used, not over
+            over, held = True, [part[-min(OVERLAP, limit // 2) :]]
+            size = len(held[0])
+    if used:
+        yield b"".join(held), used, False
+
+
+def _replaced(layer: str, escapes: re.Pattern, char):
+    """layer with each escape as the one character that it stands for; starts and ends of all characters."""
+    keep, ends = np.ones(len(layer), bool), np.arange(1, len(layer) + 1)
+    for m in escapes.finditer(layer):
+        keep[m.start() + 1 : m.end()] = False
+        ends[m.start()] = m.end()
+    return escapes.sub(char, layer), np.flatnonzero(keep), ends[keep]
+
+
+def _escaped(m: re.Match) -> str:
+    n = next(int(g, 10 if k == 6 else 16) for k, g in enumerate(m.groups(), 1) if g is not None)
+    return chr(n) if n <= 0x10FFFF and not 0xD800 <= n < 0xE000 else "\ufffd"
+
+
+def _unbased(layer: str, a: int, b: int):
+    """Bytes under base64, a character each, if they may hold anything."""
+    run, at = layer[a:b].replace("-", "+").replace("_", "/"), np.arange(a, b)
+    for k in range(1):
+        n = len(run) - k
+        n -= n % 4 == 1
+        raw = base64.b64decode(run[k : k + n] + "=" * (-n % 4))
+        inner = raw.decode("latin-1")
+        if _WORTH.search(inner) or (_engine(raw) is not None):
+            i = np.arange(len(raw))
+            yield inner, at[k + i * 8 // 6], at[np.minimum(k + n, k - (-(i + 1) * 8 // 6)) - 1] + 1
+
+
+def _layers(text: str, decoded: bool, limit: int):
+    """Decodings of text: (new text, starts and ends in text of its characters, or of all, whether it is larger than the limit).
+
+    Bytes stand as the characters of the same numbers: all patterns and encodings are ASCII, so one byte that is no text
+    hides nothing beside it.
+    """
+    if decoded:
+        raw, done = None, 0
+        for at in sorted({0, *(m.start() for m in _PACKED.finditer(text))}):
+            if at < done or _engine(text[at : at + 8].encode("latin-1", "replace")) is None:
+                continue
+            raw = text.encode("latin-1", "replace") if raw is None else raw
+            for inner, done, large in _decompressed(raw, at, limit):
+                yield inner.decode("latin-1"), at, done, large
+    if "%" in text and _URL.search(text):
+        yield *_replaced(text, _URL, lambda m: chr(int(m[1], 16))), False
+    if ("\\" in text or "&#" in text) and _ESCAPES.search(text):
+        yield *_replaced(text, _ESCAPES, _escaped), False
     for m in _BASE64.finditer(text):
-        yield _unbased(text, m.start(), m.end(), limit)
+        for inner, starts, ends in _unbased(text, m.start(), m.end()):
+            yield inner, starts, ends, False
 
 
 def scan(text: str, data: bytes | None = None, limit: int = LAYER_BYTES):
-    """(base spans, all spans, layers opened, layers left closed as too large); spans are (start, kind index, end) in the text."""
+    """(base spans, all spans, layers opened, layers larger than the limit, read in parts); spans are (start, kind index, end) in the text."""
     base = base_spans(text, data)
-    spans, seen, work, opened, closed = set(base), set(), [(text, None)], 0, 0
+    spans, seen, work, opened, closed = set(base), set(), [(text, None, None)], 0, 0
     while work:
-        layer, where = work.pop()
-        for inner, places, large in _layers(layer, limit):
+        layer, first, last = work.pop()
+        for inner, starts, ends, large in _layers(layer, first is not None, limit):
             closed += large
-            if not inner:
+            if not inner or inner == layer:
                 continue
-            key = hashlib.blake2b(inner.encode("utf-8", "surrogatepass") + repr(places[:1] if where is None else [where[places[0][0]]]).encode(), digest_size=16).digest()
-            if inner == layer or key in seen:
+            one = isinstance(starts, int)  # all characters stand for the same ones
+            if first is not None:
+                if isinstance(first, int):
+                    starts, ends, one = first, last, True
+                else:
+                    starts, ends = (int(first[starts]), int(last[ends - 1])) if one else (first[starts], last[ends - 1])
+            key = hashlib.blake2b(inner.encode("utf-8", "surrogatepass") + repr(starts if one else int(starts[0])).encode(), digest_size=16).digest()
+            if key in seen:
                 continue
             seen.add(key)
             opened += 1
-            if where is not None:
-                places = [(where[a][0], where[b - 1][1]) for a, b in places]
-            for start, kind, end in base_spans(inner):
-                spans.add((places[start][0], kind, places[end - 1][1]))
-            work.append((inner, places))
+            for a, kind, b in base_spans(inner):
+                spans.add((starts, kind, ends) if one else (int(starts[a]), kind, int(ends[b - 1])))
+            work.append((inner, starts, ends))
     return base, sorted(spans), opened, closed
 
 
@@ -202,7 +204,7 @@ def secret_spans(documents: DataFrame, limit: int = LAYER_BYTES) -> DataFrame:
     Spans are kind:start:end in code points of the whole text, end exclusive, by start, then kind. A span found in a layer is
     mapped to the text's characters that it was decoded from. documents needs doc_id (long) and text; null counts as empty and has
     no spans. Rows are independent, so repeated rows give equal results; an empty table gives an empty table. A layer that
-    decompresses to more than `limit` bytes is left closed and counted in n_closed.
+    decompresses to more than `limit` bytes is scanned in overlapping parts and counted in n_closed.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(_scanner(limit), "doc_id long, n_assign long, n_access long, n_hex long, base_spans string, spans string, n_layers long, n_closed long")

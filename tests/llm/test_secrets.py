@@ -1,5 +1,7 @@
 import base64
+import bz2
 import gzip
+import lzma
 import re
 import urllib.parse
 import zlib
@@ -73,3 +75,16 @@ def test_redaction(spark, on_disk):
     df = on_disk([(1, f"a {KEY} b token=0123456789abcdef c"), (2, None), (3, "clean")])
     got = {r.doc_id: r.text for r in secrets.redact(df).collect()}
     assert got == {1: "a [SECRET] b [SECRET] c", 2: None, 3: "clean"} and secrets.redact(df).columns == df.columns
+
+
+def kinds(text, **more):
+    return {k for _, k, _ in secrets.scan(text, **more)[1]}
+
+
+def test_compressed_layers_in_any_order_and_all_members():
+    key = KEY.encode()
+    for raw in (gzip.compress(zlib.compress(key)), bz2.compress(gzip.compress(key)), lzma.compress(bz2.compress(zlib.compress(key))), *(f.compress(b"first") + f.compress(key) for f in (gzip, bz2, lzma))):
+        assert 1 in kinds("see " + base64.b64encode(raw).decode())
+        assert 1 in kinds("see data=" + urllib.parse.quote(raw) + " end")
+    large = base64.b64encode(zlib.compress(b"0 " * (1 << 17) + key + b" 0" * (1 << 17))).decode()
+    assert 1 in kinds(large, limit=1 << 16) and secrets.scan(large, limit=1 << 16)[3] == 1
