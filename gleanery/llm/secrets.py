@@ -29,7 +29,9 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _URL = re.compile(r"%([0-9A-Fa-f]{2})")
 _ESCAPES = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}")
+# lines that base64 was wrapped into are one run; its last line may be short
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]{16,})*(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]{1,15}(?![A-Za-z0-9+/_-]))?")
+_LINE_END = re.compile(r"[\r\n\x20\t]+")
 _PACKED = re.compile(r"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|x[\x01\x5e\x9c\xda]")
 # all patterns and encodings need 16 such characters in a row, or are compressed
 _WORTH = re.compile(r"[\t\n\r\x20-\x7e]{16}|" + _PACKED.pattern)
@@ -118,9 +120,12 @@ def _escaped(m: re.Match) -> str:
 
 
 def _unbased(layer: str, a: int, b: int):
-    """Bytes under base64, a character each, if they may hold anything."""
+    """Bytes under base64, a character each, from each of the four places that the run may begin at, if they may hold anything."""
     run, at = layer[a:b].replace("-", "+").replace("_", "/"), np.arange(a, b)
-    for k in range(1):
+    if "\n" in run:
+        at = at[[c not in "\r\n\x20\t" for c in run]]
+        run = _LINE_END.sub("", run)
+    for k in range(4):
         n = len(run) - k
         n -= n % 4 == 1
         raw = base64.b64decode(run[k : k + n] + "=" * (-n % 4))

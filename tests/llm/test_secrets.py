@@ -88,3 +88,13 @@ def test_compressed_layers_in_any_order_and_all_members():
         assert 1 in kinds("see data=" + urllib.parse.quote(raw) + " end")
     large = base64.b64encode(zlib.compress(b"0 " * (1 << 17) + key + b" 0" * (1 << 17))).decode()
     assert 1 in kinds(large, limit=1 << 16) and secrets.scan(large, limit=1 << 16)[3] == 1
+
+
+def test_layers_keep_their_context():
+    assert found("token = abc%64efghijklmnop") == ["token = abc%64efghijklmnop"]
+    assert found("a password: abc\\u0064efghijklmnop") == ["password: abc\\u0064efghijklmnop"]
+    wrapped = base64.encodebytes(b"some words that come before it, password = hunter2hunter2hunter2 " * 3).decode()
+    assert len([1 for _, k, _ in secrets.scan(wrapped)[1] if k == 0]) == 3
+    assert 1 in kinds(base64.encodebytes(gzip.compress(KEY.encode() + bytes(range(256)))).decode())
+    for before in ("path/", "name_", "a/b/c/", "xyz-"):
+        assert 1 in kinds(before + base64.b64encode(b"padding " + KEY.encode()).decode())
