@@ -1,6 +1,6 @@
 """Secret scans with a recursive decoding worklist.
 
-A text is scanned as it is; then every part of it that could be an encoding (URL escapes, Unicode and HTML escapes, base64, and compressed
+A text is scanned as it is; then every part of it that could be an encoding (URL escapes, Unicode and HTML escapes, base64, UTF-16, and compressed
 bytes under any of these) is decoded into a layer, each character of which knows the characters of the text it came from. Layers are
 scanned and searched for encodings in turn until nothing new comes up; a layer seen before is not taken again, so cycles end.
 """
@@ -32,9 +32,10 @@ _ESCAPES = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-
 # lines that base64 was wrapped into are one run; its last line may be short
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]{16,})*(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]{1,15}(?![A-Za-z0-9+/_-]))?")
 _LINE_END = re.compile(r"[\r\n\x20\t]+")
+_UTF16 = re.compile(r"(?:[\t\n\r\x20-\x7e]\x00){16,}|(?:\x00[\t\n\r\x20-\x7e]){16,}")
 _PACKED = re.compile(r"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|x[\x01\x5e\x9c\xda]")
 # all patterns and encodings need 16 such characters in a row, or are compressed
-_WORTH = re.compile(r"[\t\n\r\x20-\x7e]{16}|" + _PACKED.pattern)
+_WORTH = re.compile(r"[\t\n\r\x20-\x7e]{16}|" + _UTF16.pattern + "|" + _PACKED.pattern)
 #: Bytes that one layer is decompressed to at a time; a larger one is scanned in parts that overlap, and counted.
 LAYER_BYTES = 64 << 20
 OVERLAP = 1 << 20
@@ -149,6 +150,10 @@ def _layers(text: str, decoded: bool, limit: int):
             raw = text.encode("latin-1", "replace") if raw is None else raw
             for inner, done, large in _decompressed(raw, at, limit):
                 yield inner.decode("latin-1"), at, done, large
+    if "\x00" in text:
+        for m in _UTF16.finditer(text):
+            at = np.arange(m.start(), m.end(), 2)
+            yield m[0].replace("\x00", ""), at, at + 2, False
     if "%" in text and _URL.search(text):
         yield *_replaced(text, _URL, lambda m: chr(int(m[1], 16))), False
     if ("\\" in text or "&#" in text) and _ESCAPES.search(text):

@@ -98,3 +98,10 @@ def test_layers_keep_their_context():
     assert 1 in kinds(base64.encodebytes(gzip.compress(KEY.encode() + bytes(range(256)))).decode())
     for before in ("path/", "name_", "a/b/c/", "xyz-"):
         assert 1 in kinds(before + base64.b64encode(b"padding " + KEY.encode()).decode())
+
+
+def test_bytes_that_are_no_text_hide_nothing():
+    assert found("caf%E9&password%3Dhunter2hunter2") == ["password%3Dhunter2hunter2"]
+    assert found("x=%00%01&secret%3Dabcdefghijklmnop") == ["secret%3Dabcdefghijklmnop"]
+    for raw in (b"\xff\x00\x01 " + KEY.encode() + b"\xfe\x02", KEY.encode("utf-16"), KEY.encode("utf-16-be"), zlib.compress(b"\x07\xff" + KEY.encode())):
+        assert 1 in kinds(base64.b64encode(raw).decode())
