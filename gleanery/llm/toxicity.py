@@ -35,10 +35,24 @@ _cache: dict[str, dict[bytes, tuple[float, int]]] = {}
 
 def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """All ORDER-grams of words with starts padded and an end, as integers of 12 bits a letter; and the word of each."""
-    joined = "".join("\x01" * (ORDER - 1) + w + "\x02" for w in words)
+    return _grams_within([_padded(w) for w in words])
+
+
+def _padded(word: str) -> str:
+    return "\x01" * (ORDER - 1) + word + "\x02"
+
+
+def _slices(word: str, size: int = 200) -> list[str]:
+    """The padded word in slices that share ORDER - 1 letters, so that each of its ORDER-grams is within one of them."""
+    padded = _padded(word)
+    return [padded[i : i + size + ORDER - 1] for i in range(0, len(padded) - ORDER + 1, size)]
+
+
+def _grams_within(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    joined = "".join(words)
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     codes = np.where(codes < 1 << _BITS, codes, codes % ((1 << _BITS) - 1024) + 1024)
-    size = np.array([len(w) + ORDER for w in words], np.int64)
+    size = np.array([len(w) for w in words], np.int64)
     owner = np.repeat(np.arange(len(words)), size)
     n = len(codes) - ORDER + 1
     gram = np.zeros(max(n, 0), np.int64)
@@ -276,7 +290,7 @@ def _evidence_rows(batches):
 
 
 def _word_counts(batches):
-    """Words with their counts in ordinary and toxic texts, summed up by task."""
+    """Words, padded and long ones in slices, with their counts in ordinary and toxic texts, summed up by task."""
     tally: tuple[dict, dict] = ({}, {})
 
     def out():
@@ -284,7 +298,8 @@ def _word_counts(batches):
         for k in (0, 1):
             for raw, n in tally[k].items():
                 for w in _words_of(raw):
-                    merged.setdefault(w[:200], [0, 0])[k] += n
+                    for x in _slices(w):
+                        merged.setdefault(x, [0, 0])[k] += n
             tally[k].clear()
         return pa.RecordBatch.from_arrays([pa.array(list(merged), pa.string()), pa.array([c[0] for c in merged.values()], pa.int64()), pa.array([c[1] for c in merged.values()], pa.int64())], ["word", "c0", "c1"])
 
@@ -302,7 +317,7 @@ def _gram_counts(batches):
     for batch in batches:
         words = batch.column("word").to_pylist()
         c = np.column_stack([np.asarray(batch.column("c0")), np.asarray(batch.column("c1"))])
-        gram, owner = _grams(words)
+        gram, owner = _grams_within(words)
         some, back = np.unique(gram, return_inverse=True)
         sums = [np.bincount(back, c[owner, k], len(some)).astype(np.int64) for k in (0, 1)]
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[0]), pa.array(sums[1])], ["gram", "c0", "c1"])
@@ -313,7 +328,7 @@ def held_out(doc_id):
 
 
 def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", most_grams: int = MOST_GRAMS, curve_rows: int = CURVE_ROWS) -> ToxicityModel:
-    """Models from all labelled rows that are not held out: four fifths are counted, the curve is fitted on the rest, `curve_rows` at most.
+    """Models from all labelled rows that are not held out: the curve is fitted on a fifth, `curve_rows` at most, and all others are counted.
 
     All n-grams count: up to `most_grams` of them go to the workers, more are kept as scratch tables and joined.
     """
@@ -321,7 +336,8 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", most_gram
     known = labels.select(F.col("doc_id").cast("long").alias("known_id"), F.col(label).cast("double").alias("label")).where("known_id is not null and label is not null").where(~held_out(F.col("known_id")))
     known = known.groupBy("known_id").agg(F.max("label").alias("label")).withColumn("part", F.pmod(F.xxhash64("known_id"), F.lit(5)))
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    counted = common.few(known.where("part != 0").select("known_id", "label"))
+    sample = known.where("part = 0").orderBy(F.xxhash64("known_id", F.lit(1)), "known_id").limit(curve_rows).select("known_id", "label")
+    counted = common.few(known.join(F.broadcast(sample.select("known_id")), "known_id", "left_anti").select("known_id", "label"))
     words = docs.join(counted, F.col("doc_id") == F.col("known_id")).select("label", "text").mapInArrow(_word_counts, "word string, c0 long, c1 long")
     words = words.groupBy("word").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
     grams = words.mapInArrow(_gram_counts, "gram long, c0 long, c1 long").groupBy("gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
@@ -332,8 +348,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", most_gram
     else:
         model = GramTables(grams)
     name = f"{spark.sparkContext.applicationId}-{id(model)}"
-    sample = known.where("part = 0").orderBy(F.xxhash64("known_id", F.lit(1)), "known_id").limit(curve_rows)
-    rows = docs.join(F.broadcast(sample.select("known_id", "label")), F.col("doc_id") == F.col("known_id")).select("label", "text")
+    rows = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("known_id")).select("label", "text")
     if isinstance(model, GramTables):
         rows = model.evidence(rows, "label").withColumnRenamed("mark", "label").toArrow()
     else:

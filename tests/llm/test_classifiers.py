@@ -102,3 +102,28 @@ def test_toxicity_with_more_grams_than_workers_hold(spark, on_disk):
     more = docs.select("doc_id", "text").union(spark.createDataFrame([(7, "ünseen xyzzy" * 1000 + " vrixl ... grumzak"), (8, "\u0e01" * 5000)], "doc_id long, text string"))
     a, b = (sorted(((-1 if r.doc_id is None else r.doc_id), r.score, r.predicted) for r in toxicity.score(more, m).collect()) for m in (held, joined))
     assert len(a) == len(b) == 306 and [(x[0], x[2]) for x in a] == [(x[0], x[2]) for x in b] and np.allclose([x[1] for x in a], [x[1] for x in b])
+
+
+def test_long_runs_of_letters_are_counted_whole():
+    import pyarrow as pa
+
+    word = "".join(chr(97 + i * i % 23) for i in range(1234))
+    batch = pa.RecordBatch.from_pydict({"label": [1.0, 0.0], "text": [word + " short", "x" * 196]})
+    got = {}
+    for b in toxicity._gram_counts(toxicity._word_counts([batch])):
+        for g, c0, c1 in zip(*(b.column(k).to_pylist() for k in ("gram", "c0", "c1"))):
+            got[g] = tuple(np.add(got.get(g, (0, 0)), (c0, c1)))
+    want = {}
+    for words, c in (([word, "short"], (0, 1)), (["x" * 196], (1, 0))):
+        for g in toxicity._grams(words)[0].tolist():
+            want[g] = tuple(np.add(want.get(g, (0, 0)), c))
+    assert got == want
+
+
+def test_all_labels_but_the_curves_are_counted(spark, on_disk):
+    names = {i: "".join(chr(0x430 + int(d)) for d in f"{i:06d}") for i in range(200)}
+    docs, labels = on_disk(list(names.items())), on_disk([(i, i % 2) for i in names], "labels", "doc_id long, toxic int")
+    held = {g for g in toxicity.fit(docs, labels, curve_rows=3).grams.levels[0][0].tolist()}
+    learned = [i for i, w in names.items() if crc_mod(i, 3) != 1 and set(toxicity._grams([w])[0].tolist()) <= held]
+    rest = [i for i in names if crc_mod(i, 3) != 1]
+    assert len(rest) - 3 <= len(learned) <= len(rest)
