@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from conftest_llm import prose
+from prose import prose
 
 from gleanery.llm import quality, toxicity
 
@@ -73,17 +73,60 @@ def test_toxicity(spark, on_disk):
     assert ratio[0] / size[0] > 0.3 > ratio[1] / size[1]
 
 
+def plain_kneser_ney(counted):
+    """The log ratio of a word by the textbook, one letter after the other; counted: (word, ordinary count, toxic count)."""
+    grams = {k: {} for k in range(1, 6)}
+    for w, *c in counted:
+        x = "\x01" * 4 + w + "\x02"
+        for i in range(len(x) - 4):
+            have = grams[5].setdefault(x[i : i + 5], [0, 0])
+            have[0], have[1] = have[0] + c[0], have[1] + c[1]
+    for k in (4, 3, 2, 1):
+        for g, c in grams[k + 1].items():
+            have = grams[k].setdefault(g[1:], [0, 0])
+            for j in (0, 1):
+                have[j] += c[j] > 0 if k > 2 else max(c) > 0
+
+    def chance(g, j):
+        if not g:
+            return 1 / (len(grams[1]) + 1)
+        after = [c[j] for h, c in grams[len(g)].items() if h[:-1] == g[:-1]]
+        n, kinds, below = sum(after), sum(x > 0 for x in after), chance(g[1:], j)
+        c = grams[len(g)].get(g, (0, 0))[j]
+        return (max(c - 0.75, 0) + 0.75 * kinds * below) / n if n else below
+
+    def ratio(w):
+        x = "\x01" * 4 + w + "\x02"
+        return sum(np.log(chance(x[i : i + 5], 1) + 1e-12) - np.log(chance(x[i : i + 5], 0) + 1e-12) for i in range(len(x) - 4))
+
+    return ratio
+
+
+def model_of(counted):
+    codes, owner = toxicity._grams([w for w, *_ in counted])
+    _, first, back = np.unique(toxicity._keys(codes), return_index=True, return_inverse=True)
+    return toxicity.KneserNey(codes[first], np.column_stack([np.bincount(back, np.array([c[k] for _, *c in counted])[owner]) for k in (0, 1)]))
+
+
+def test_ratios_are_those_of_plain_kneser_ney():
+    rng = random.Random(2)
+    letters = "aab\u0430\u4e00\u1100\U00020000"  # letters that a folded alphabet would take for each other
+    counted = [("".join(rng.choice(letters) for _ in range(rng.randint(1, 7))), rng.randint(0, 3), rng.randint(0, 3)) for _ in range(60)]
+    counted = [x for x in counted if max(x[1:])] + [("only", 0, 2), ("other", 2, 0)]
+    words = [w for w, *_ in counted] + ["", "zzz", "aba", "o\u4e00ly", "x" * 64]
+    ratio, size = model_of(counted).ratios(words)
+    want = plain_kneser_ney(counted)
+    assert np.allclose(ratio, [want(w) for w in words]) and list(size) == [len(w) + 1 for w in words]
+
+
 def test_chances_add_up():
-    words = ["hallo", "hello", "hall", "help"]
-    gram, owner = toxicity._grams(words)
-    some, back = np.unique(gram, return_inverse=True)
-    counts = np.column_stack([np.bincount(back, np.array([1, 2, 1, 0])[owner]), np.bincount(back, np.array([1, 0, 2, 3])[owner])])
-    model = toxicity.KneserNey(some, counts)
-    seen = np.unique(some & 0xFFF)
-    for context in ("hal", "hel", "xyz"):
-        head = sum(ord(c) << 12 * (3 - i) for i, c in enumerate(context)) | 1 << 48
-        p = model.chances(head + seen)
-        assert (p > 0).all() and (p.sum(axis=0) <= 1 + 1e-9).all() and (p.sum(axis=0) > 0.5).all()
+    counted = [("hallo", 1, 1), ("hello", 2, 0), ("hall", 1, 2), ("help", 0, 3)]
+    model = model_of(counted)
+    letters = sorted({c for w, *_ in counted for c in w} | {"\x02"})
+    for context in ("\x01hal", "\x01hel", "\x01xyz"):
+        p = model.chances(np.array([[ord(c) for c in context + x] for x in letters], np.uint32))
+        rest = model.chances(np.array([[ord(c) for c in context + "\u4e00"]], np.uint32))
+        assert (p > 0).all() and np.allclose(p.sum(axis=0) + rest[0], 1)
 
 
 def test_no_labels_and_no_rows(spark, on_disk):
@@ -97,7 +140,7 @@ def test_no_labels_and_no_rows(spark, on_disk):
 def test_toxicity_with_more_grams_than_workers_hold(spark, on_disk):
     docs, labels, _ = labelled(on_disk, "toxic", toxic, 300)
     held, joined = toxicity.fit(docs, labels), toxicity.fit(docs, labels, most_grams=100)
-    assert isinstance(joined.grams, toxicity.GramTables) and joined.grams.levels[0][0].count() == len(held.grams.levels[0][0]) > 100
+    assert isinstance(joined.grams, toxicity.GramTables) and joined.grams.levels[0][0].count() == len(held.grams.levels[-1][0]) > 100
     assert np.allclose(held.weights, joined.weights)
     more = docs.select("doc_id", "text").union(spark.createDataFrame([(7, "ünseen xyzzy" * 1000 + " vrixl ... grumzak"), (8, "\u0e01" * 5000)], "doc_id long, text string"))
     a, b = (sorted(((-1 if r.doc_id is None else r.doc_id), r.score, r.predicted) for r in toxicity.score(more, m).collect()) for m in (held, joined))
@@ -114,8 +157,8 @@ def test_long_runs_of_letters_are_counted_whole():
         for g, c0, c1 in zip(*(b.column(k).to_pylist() for k in ("gram", "c0", "c1"))):
             got[g] = tuple(np.add(got.get(g, (0, 0)), (c0, c1)))
     want = {}
-    for words, c in (([word, "short"], (0, 1)), (["x" * 196], (1, 0))):
-        for g in toxicity._grams(words)[0].tolist():
+    for words, c in (([*(word[i : i + 64] for i in range(0, 1234, 64)), "short"], (0, 1)), (["x" * 64] * 3 + ["x" * 4], (1, 0))):
+        for g in toxicity._strings(toxicity._grams(words)[0]).to_pylist():
             want[g] = tuple(np.add(want.get(g, (0, 0)), c))
     assert got == want
 
@@ -123,7 +166,7 @@ def test_long_runs_of_letters_are_counted_whole():
 def test_all_labels_but_the_curves_are_counted(spark, on_disk):
     names = {i: "".join(chr(0x430 + int(d)) for d in f"{i:06d}") for i in range(200)}
     docs, labels = on_disk(list(names.items())), on_disk([(i, i % 2) for i in names], "labels", "doc_id long, toxic int")
-    held = {g for g in toxicity.fit(docs, labels, curve_rows=3).grams.levels[0][0].tolist()}
-    learned = [i for i, w in names.items() if crc_mod(i, 3) != 1 and set(toxicity._grams([w])[0].tolist()) <= held]
+    held = set(toxicity.fit(docs, labels, curve_rows=3).grams.levels[-1][0].tolist())
+    learned = [i for i, w in names.items() if crc_mod(i, 3) != 1 and set(toxicity._keys(toxicity._grams([w])[0]).tolist()) <= held]
     rest = [i for i in names if crc_mod(i, 3) != 1]
     assert len(rest) - 3 <= len(learned) <= len(rest)

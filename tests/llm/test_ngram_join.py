@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest_llm import prose, word
+from prose import prose, word
 
 from gleanery.llm import ngram_join
 from gleanery.llm.components import connected_components

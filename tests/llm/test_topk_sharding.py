@@ -48,11 +48,27 @@ def test_no_vectors(spark):
 
 def test_pruning_keeps_all_competitors():
     rng = np.random.default_rng(1)
-    m = rng.integers(-50, 50, (500, 40)).astype(float)
-    for q in rng.integers(-50, 50, (20, 40)).astype(float):
-        rows = topk.maxscore(q, m, m.min(axis=0), m.max(axis=0), -np.inf, 10)
-        best = np.sort(m @ q)[-10:]
-        assert set(np.flatnonzero(m @ q >= best[0])) <= set(rows) and len(rows) < 500
+    for m in (rng.integers(-50, 50, (500, 40)), rng.poisson(0.1, (500, 40)) * 100, np.round(rng.normal(0, 300, (500, 40)))):
+        shard = topk.Shard(np.arange(500), m.astype(float))
+        for q in m[:20].astype(float):
+            rows = topk.maxscore(q, shard, None, -np.inf, 10)
+            best = np.sort(m @ q)[-10:]
+            assert set(np.flatnonzero(m @ q >= best[0])) <= set(rows) and len(rows) <= 500
+
+
+def test_essential_postings_spare_probes():
+    rng = np.random.default_rng(2)
+    m = rng.poisson(0.08, (4000, 40)) * rng.integers(1, 900, (4000, 40)) * 1.0
+    shard = topk.Shard(np.arange(4000), m)
+    for q in m[m.sum(axis=1) > 0][:20]:
+        best = float(np.sort(m @ q)[-10])
+        terms, n = shard.essential(q, best)
+        span = np.abs(q) * (shard.high - shard.low)
+        assert 0 < n < 40 and span[terms[n:]].sum() < best - np.minimum(q * shard.low, q * shard.high).sum() <= span[terms[n - 1 :]].sum()
+        met, probes = shard.met(q, best), []
+        rows = topk.maxscore(q, shard, None, best, 10, probes=probes)
+        assert set(np.flatnonzero(m @ q >= best)) <= set(rows) <= set(met) and len(met) < 2000
+        assert sum(probes) < 4000 * 40 / 4
 
 
 def test_sharding(spark, on_disk):
