@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import ctypes
+import re
 import sys
 import tempfile
 import uuid
@@ -13,14 +16,14 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 
-#: Rows of ids (16 bytes each) that may be broadcast; beyond it the same join is done by shuffling.
-BROADCAST_ROWS = 500_000
+#: Bytes, by a bound of each row's size, that may be broadcast; beyond it the same join is done by shuffling.
+BROADCAST_BYTES = 16 << 20
 
 #: What a Python worker gets at once; long texts make few rows heavy, so both are bounded.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 _roots: dict[str, str] = {}
-_made: dict[str, list[str]] = {}
+_made: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("made", default=None)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -30,6 +33,29 @@ def prepare(spark: SparkSession) -> SparkSession:
     return ship(spark)
 
 
+class Memory:
+    """What a worker remembers, within a number of bytes: entries go in, with their weight, to the younger of two dicts, which becomes the older one at half of the bound."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old, self.held = most, {}, {}, 0
+
+    def put(self, key, value, weight: int):
+        if self.held + weight > self.most // 2:
+            self.old, self.young, self.held = self.young, {}, 0
+        self.young[key] = value
+        self.held += weight
+        return value
+
+    def get(self, key, weight: int):
+        """The value or None; one of the older dict becomes young again."""
+        value = self.young.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is not None:
+                self.put(key, value, weight)
+        return value
+
+
 def trim() -> None:
     """Gives memory that a worker has freed back to the system: beside a grown JVM it would count against the executor."""
     pa.default_memory_pool().release_unused()
@@ -39,19 +65,19 @@ def trim() -> None:
         pass
 
 
-def forget() -> None:
-    """Empties what other operators' tasks have left to remember in this worker."""
+def forget(own: str = "") -> None:
+    """Empties what tasks of other operators than `own` have left to remember in this worker."""
     for name, kept in (("packing", "_loaded"), ("token_counts", "_loaded"), ("bpe_codec", "_loaded"), ("toxicity", "_cache")):
         module = sys.modules.get(f"{__package__}.{name}")
-        if module is not None:
+        if module is not None and name != own:
             getattr(module, kept).clear()
 
 
-def freeing(run):
+def freeing(run, own: str = ""):
     """run (batches -> batches) that begins without what other operators remember, and trims when its task ends."""
 
     def f(batches):
-        forget()
+        forget(own)
         try:
             yield from run(batches)
         finally:
@@ -64,6 +90,7 @@ def freeing_group(run):
     """run (table -> table) that trims after each group."""
 
     def f(table):
+        forget()
         try:
             return run(table)
         finally:
@@ -77,36 +104,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a folder of our own only where that setting is absent."""
+    """The folder of spark.checkpoint.dir. Where that is unset, a folder of our own, which only a driver with its executors in one process may have."""
     app = spark.sparkContext.applicationId
     if app not in _roots:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            master = spark.sparkContext.master
+            if not re.fullmatch(r"local(\[.*\])?", master):
+                raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
             root = "file://" + tempfile.mkdtemp(prefix="gleanery-")
         _roots[app] = f"{root.rstrip('/')}/gleanery-{app}"
     return _roots[app]
 
 
-def keep(df: DataFrame, label: str) -> DataFrame:
-    """df as a Parquet table in the shared scratch folder, read back: lineage ends there and any executor can read it."""
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new place in the shared scratch folder, which the scratch() around it deletes, if there is one."""
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
-    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
+
+
+def keep(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """df as a Parquet table in the shared scratch folder, read back: lineage ends there and any executor can read it."""
+    path = path or scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Deletes the scratch tables made so far; call it only when no DataFrame that reads them is still needed."""
-    for path in _made.pop(spark.sparkContext.applicationId, []):
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def few(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """df with a broadcast hint if it was counted to be within BROADCAST_ROWS, else unchanged."""
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+@contextlib.contextmanager
+def scratch(spark: SparkSession, but: list[str] | None = None):
+    """Deletes at its end the scratch tables made within it, and no others; those at paths in `but` go to the scratch() around it."""
+    outer, mine = _made.get(), []
+    token = _made.set(mine)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in mine:
+            if but and path in but:
+                if outer is not None:
+                    outer.append(path)
+            else:
+                delete(spark, path)
+
+
+def few(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if its rows were counted to be within `most` bytes, else unchanged; strings are measured, other columns count 16 bytes."""
+    wide = [F.coalesce(F.octet_length(f.name), F.lit(0)) + 40 for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    size = F.sum(sum(wide, F.lit(16 * (len(df.columns) - len(wide)) + 16)))
+    return F.broadcast(df) if (df.agg(size.alias("size")).first()[0] or 0) <= most else df
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

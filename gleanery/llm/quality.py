@@ -43,7 +43,7 @@ def features(data: bytes) -> np.ndarray:
         tally: dict[bytes, int] = {}
         for x in words:
             tally[x] = tally.get(x, 0) + 1
-        mean, longest, short = sizes.mean(), min(int(sizes.max()), 1000), (sizes <= 2).mean()
+        mean, longest, short = sizes.mean(), int(sizes.max()), (sizes <= 2).mean()
         distinct, most = len(tally) / w, max(tally.values()) / w
         repeats = sum(map(operator.eq, words, words[1:])) / w
     else:
@@ -164,7 +164,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
     known = known.groupBy("known_id").agg(F.max("label").alias("label"))
     sample = known.orderBy(F.xxhash64("known_id"), "known_id").limit(sample_rows)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("known_id")).select("label", "text").mapInArrow(_feature_rows, "label double, x array<double>")
+    rows = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("known_id")).select("label", "text").mapInArrow(common.freeing(_feature_rows), "label double, x array<double>")
     got = rows.toArrow()
     x = np.array(got.column("x").to_pylist(), np.float64).reshape(got.num_rows, len(FEATURES))
     y = np.asarray(got.column("label"), np.float64)
@@ -182,7 +182,7 @@ def _scorer(model, threshold: float, keep_only: bool):
             else:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array((score >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    return run
+    return common.freeing(run)
 
 
 def score(documents: DataFrame, model: AdditiveModel, threshold: float = THRESHOLD) -> DataFrame:
