@@ -7,13 +7,14 @@ import numpy as np
 WORDS = 5
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _BY_PLACE = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
+#: Words of more bytes are hashed one by one.
+LONG = 64
 _powers: dict[int, np.ndarray] = {}
 
 
-def _power_table(base: int, n: int) -> np.ndarray:
+def power_table(base: int, n: int) -> np.ndarray:
+    """The first n powers of base, modulo 2^64."""
     have = _powers.get(base)
     if have is None or len(have) < n:
         have = np.full(max(n, 1 << 16), base, np.uint64)
@@ -30,6 +31,26 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _hashes(part: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Of each word of part: eight bytes after the other are mixed into what the ones before gave, so no sum of letters tells the hash."""
+    import xxhash
+
+    size = last - first
+    eights = np.ndarray(len(part), np.uint64, np.concatenate([part, np.zeros(8, np.uint8)]), 0, (1,))  # the eight bytes from each place on
+    h = mix(size.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    open_ = np.flatnonzero(size <= LONG)
+    for at in range(0, LONG, 8):
+        open_ = open_[size[open_] > at]
+        if not len(open_):
+            break
+        x = eights[first[open_] + at]
+        unused = np.maximum(8 - (size[open_] - at), 0).astype(np.uint64) * np.uint64(8)
+        h[open_] = mix((h[open_] ^ ((x << unused) >> unused)) * np.uint64(0x9E3779B97F4A7C15))
+    for i in np.flatnonzero(size > LONG):
+        h[i] = xxhash.xxh3_64_intdigest(part[first[i] : last[i]].tobytes())
+    return h
+
+
 def word_hashes(data: bytes, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
     """Start of each whitespace-separated word of lower-cased bytes, and its hash; works in blocks cut at white space."""
     starts, hashes, at = [], [], 0
@@ -44,11 +65,8 @@ def word_hashes(data: bytes, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarr
         edge = np.diff(np.concatenate(([0], word.view(np.int8), [0])))
         first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         if len(first):
-            sums = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum((part.astype(np.uint64) + np.uint64(1)) * _power_table(_BASE, len(part)), out=sums[1:])
-            h = (sums[last] - sums[first]) * _power_table(_INVERSE, len(part))[first]
             starts.append(first + at)
-            hashes.append(mix(h + (last - first).astype(np.uint64) * np.uint64(_BASE)))
+            hashes.append(_hashes(part, first, last))
         at = stop
     if not starts:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
