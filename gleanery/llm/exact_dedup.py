@@ -5,12 +5,14 @@ reads that log and keeps, in RocksDB state on the checkpoint folder, per digest:
 the row that stays, and its locator. Rows are summed up per task before the shuffle, so a digest with a third of all rows
 costs a row per task. On hits (digests of more than one row) the full bytes of every copy are compared with those of the row
 that stays; should they differ, that digest's texts are grouped by their bytes.
+
+The state lasts: with a folder of one's own as `state`, a later call on the grown table digests only the files that the log lacks, and
+the stream goes on from its checkpoint.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -49,60 +51,86 @@ def _digests(digest_of):
 
 def _normalise(batches):
     for b in batches:
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), b.column("file"), b.column("row"), normalised(b.column("text"))], ["doc_id", "digest", "file", "row", "body"])
+        yield b.drop_columns(["text"]).append_column("body", normalised(b.column("text")))
+
+
+_LOG = "doc_id long, file string, row long, text_sha256 string, digest string"
 
 
-def stream_state(log: DataFrame, path: str, batch_files: int = 10_000) -> DataFrame:
-    """(digest, keep, group_size) after the stream has taken the whole log at path; keep is (doc_id, file, row), the largest doc_id."""
-    spark = log.sparkSession
-    home = f"{common.scratch_root(spark)}/dedup-{uuid.uuid4().hex[:12]}"
-    common._made.setdefault(spark.sparkContext.applicationId, []).append(home)
+def stream_state(spark, home: str, batch_files: int = 10_000) -> DataFrame:
+    """(digest, keep, group_size) after the stream has taken all of the log in home that it had not; keep is (doc_id, file, row), the largest doc_id."""
     before = {k: spark.conf.get(k, None) for k in _STATE}
     for k, v in _STATE.items():
         spark.conf.set(k, v)
     try:
-        rows = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", batch_files).parquet(path)
+        rows = spark.readStream.schema(_LOG).option("maxFilesPerTrigger", batch_files).parquet(f"{home}/log")
         state = rows.groupBy("digest").agg(F.max(F.struct("doc_id", "file", "row")).alias("keep"), F.count("*").alias("group_size"))
 
         def put(batch: DataFrame, number: int) -> None:
-            batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{home}/out/batch={number}")
+            batch.write.mode("overwrite").parquet(f"{home}/out/batch={number}")
 
-        query = state.writeStream.outputMode("update").option("checkpointLocation", f"{home}/state").trigger(availableNow=True).foreachBatch(put).start()
-        query.awaitTermination()
+        state.writeStream.outputMode("update").option("checkpointLocation", f"{home}/state").trigger(availableNow=True).foreachBatch(put).start().awaitTermination()
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    if query.lastProgress is None and query.exception() is None and not log.take(1):
-        return log.groupBy("digest").agg(F.max(F.struct("doc_id", "file", "row")).alias("keep"), F.count("*").alias("group_size"))
-    out = spark.read.schema("digest string, keep struct<doc_id: bigint, file: string, row: bigint>, group_size bigint").parquet(f"{home}/out")
-    return out.groupBy("digest").agg(F.max_by("keep", "group_size").alias("keep"), F.max("group_size").alias("group_size"))
+    schema = "digest string, keep struct<doc_id: bigint, file: string, row: bigint>, group_size bigint"
+    if not _exists(spark, f"{home}/out"):  # nothing has ever come
+        return spark.createDataFrame([], schema)
+    # a digest is put out by each batch that brings it, always with more rows than before
+    return spark.read.schema(schema).parquet(f"{home}/out").groupBy("digest").agg(F.max_by("keep", "group_size").alias("keep"), F.max("group_size").alias("group_size"))
+
+
+def _exists(spark, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def exact_duplicates(documents: DataFrame, digest_of=None) -> DataFrame:
+#: A digest with more than one in so many rows is hot; there are no more of them than that.
+_HOT = 1000
+
+
+def _with_state(log: DataFrame, state: DataFrame, total: int) -> DataFrame:
+    """log joined with state by digest. Hot digests, _HOT at most, are broadcast, so no task gets all rows of one."""
+    hot = F.broadcast(state.where(F.col("group_size") * _HOT > total))
+    rest = log.join(hot.select("digest"), "digest", "left_anti").join(state.where(F.col("group_size") * _HOT <= total), "digest")
+    return log.join(hot, "digest").unionByName(rest)
+
+
+def exact_duplicates(documents: DataFrame, digest_of=None, state: str | None = None, batch_files: int = 10_000) -> DataFrame:
     """Per row of documents: doc_id, keep_id, group_size, kept, text_sha256, file, row (the locator).
 
     Texts are equal when they are after A-Z is lower-cased; null counts as empty. The row with the largest doc_id stays; among
     rows that repeat that id with that text, the one last by locator. A null doc_id is less than any other. documents needs
     doc_id (long) and text and must come from files; other columns are not looked at. digest_of (bytes -> str) replaces
     SHA-256 as the key, which tests use to bring about hits whose bytes differ. An empty table gives an empty table.
+
+    state is a folder that all executors share and that outlasts the session, in which log and state stay; a later call with it must get the same table with
+    files added, none changed or gone, and takes up only those. None is a scratch folder for this call.
     """
     spark = documents.sparkSession
-    schema = "doc_id long, file string, row long, text_sha256 string, digest string"
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    log = common.keep(docs.mapInArrow(_digests(digest_of), schema), "digests")
-    path = common._made[spark.sparkContext.applicationId][-1]
-    state = common.keep(stream_state(log, path), "state")
+    home = state or common.scratch_path(spark, "dedup")
+    fresh = docs
+    if state and _exists(spark, f"{home}/log"):
+        fresh = docs.join(common.few(spark.read.schema(_LOG).parquet(f"{home}/log").select("file").distinct()), "file", "left_anti").select(*docs.columns)
+    fresh.mapInArrow(common.freeing(_digests(digest_of)), _LOG).write.mode("append").parquet(f"{home}/log")
+    log = spark.read.schema(_LOG).parquet(f"{home}/log")
+    found = common.keep(stream_state(spark, home, batch_files), "state")
 
-    hits = state.where("group_size > 1").select("digest", "keep", "group_size")
     locator = ["file", "row"]
-    copies = common.keep(log.join(hits.select("digest"), "digest", "left_semi").select("digest", *locator), "hits")
-    wanted = common.few(copies)
-    bodies = docs.join(wanted, locator).select("doc_id", "digest", *locator, "text").mapInArrow(_normalise, "doc_id long, digest string, file string, row long, body string")
-    stays = state.where("group_size > 1").select(F.col("keep.file").alias("file"), F.col("keep.row").alias("row"))
-    kept_bodies = docs.join(common.few(stays), locator).join(wanted, locator).select("doc_id", "digest", *locator, "text").mapInArrow(_normalise, "doc_id long, digest string, file string, row long, body string").select("digest", F.col("body").alias("kept_body"))
-    differ = common.keep(bodies.join(kept_bodies, "digest").where("body != kept_body").select("digest").distinct(), "differ")
-
-    plain = log.join(state, "digest")
+    hits = found.where("group_size > 1")
+    total = log.count()
+    # a third of all rows may share a digest: its rows are compared in parts of some 1,000, each with a copy of the text that stays
+    copies = _with_state(log.select("digest", *locator), hits.select("digest", "group_size", F.col("keep.file").alias("kept_file"), F.col("keep.row").alias("kept_row")), total)
+    copies = copies.withColumn("parts", F.ceil(F.col("group_size") / 1024).cast("int"))
+    copies = common.keep(copies.select("digest", *locator, F.pmod(F.xxhash64(*locator), F.col("parts")).cast("int").alias("part"), "parts", ((F.col("file") == F.col("kept_file")) & (F.col("row") == F.col("kept_row"))).alias("stays")), "hits")
+    body = "doc_id long, digest string, file string, row long, part int, parts int, stays boolean, body string"
+    bodies = docs.join(common.few(copies), locator).select("doc_id", "digest", *locator, "part", "parts", "stays", "text").mapInArrow(common.freeing(_normalise), body)
+    staying = docs.join(common.few(copies.where("stays")), locator).select("doc_id", "digest", *locator, "part", "parts", "stays", "text").mapInArrow(common.freeing(_normalise), body)
+    staying = staying.select("digest", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("body").alias("kept_body"))
+    differ = common.keep(bodies.join(staying, ["digest", "part"]).where("body != kept_body").select("digest").distinct(), "differ")
+
+    plain = _with_state(log, found, total)
     if differ.take(1):
         odd = bodies.join(differ, "digest", "left_semi")
         by_bytes = odd.groupBy("digest", "body").agg(F.max(F.struct("doc_id", "file", "row")).alias("keep"), F.count("*").alias("group_size"))
