@@ -18,113 +18,117 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .shingles import mix, word_hashes
 
 FOLDS, FOLD = 3, 1
 THRESHOLD = 0.7
 ORDER = 5
 DISCOUNT = 0.75
-#: Most n-grams (24 bytes each) of models that workers hold; larger ones stay in tables. And labelled rows that the curve is fitted on.
-MOST_GRAMS = 2_000_000
+#: Most n-grams (some 60 bytes each) of models that workers hold; larger ones stay in tables. And labelled rows that the curve is fitted on.
+MOST_GRAMS = 1_500_000
 CURVE_ROWS = 20_000
-REMEMBERED = 1_000_000
-_BITS = 12
+#: Bytes of words that a worker remembers; it then forgets the oldest, which costs time only.
+REMEMBERED = 72 << 20
+#: Letters of a word at most; longer runs of letters, as in scripts without spaces, are words of so many each.
+PIECE = 64
 _EVIDENCE = 6
 _LETTERS = re.compile(r"[^\W\d_]+")
-_cache: dict[str, dict[bytes, tuple[float, int]]] = {}
-
-
-def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """All ORDER-grams of words with starts padded and an end, as integers of 12 bits a letter; and the word of each."""
-    return _grams_within([_padded(w) for w in words])
+_cache: dict[str, common.Memory] = {}
 
 
 def _padded(word: str) -> str:
     return "\x01" * (ORDER - 1) + word + "\x02"
 
 
-def _slices(word: str, size: int = 200) -> list[str]:
-    """The padded word in slices that share ORDER - 1 letters, so that each of its ORDER-grams is within one of them."""
-    padded = _padded(word)
-    return [padded[i : i + size + ORDER - 1] for i in range(0, len(padded) - ORDER + 1, size)]
+def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All ORDER-grams of words with starts padded and an end, as rows of code points; and the word of each."""
+    padded = list(map(_padded, words))
+    codes = np.frombuffer("".join(padded).encode("utf-32-le"), np.uint32)
+    if not len(codes):
+        return np.zeros((0, ORDER), np.uint32), np.zeros(0, np.int64)
+    owner = np.repeat(np.arange(len(words)), list(map(len, padded)))
+    n = len(codes) - ORDER + 1
+    inside = owner[:n] == owner[ORDER - 1 :]
+    return np.lib.stride_tricks.sliding_window_view(codes, ORDER)[inside], owner[:n][inside]
 
 
-def _grams_within(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    joined = "".join(words)
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    codes = np.where(codes < 1 << _BITS, codes, codes % ((1 << _BITS) - 1024) + 1024)
-    size = np.array([len(w) for w in words], np.int64)
-    owner = np.repeat(np.arange(len(words)), size)
-    n = len(codes) - ORDER + 1
-    gram = np.zeros(max(n, 0), np.int64)
-    for k in range(ORDER):
-        gram = (gram << _BITS) | codes[k : k + n]
-    inside = owner[:n] == owner[ORDER - 1 :] if n > 0 else np.zeros(0, bool)
-    return gram[inside], owner[:n][inside] if n > 0 else owner[:0]
+def _keys(codes: np.ndarray) -> np.ndarray:
+    """A 64-bit key of each row of code points."""
+    h = np.full(len(codes), codes.shape[1], np.uint64)
+    for k in range(codes.shape[1]):
+        h = mix((h ^ codes[:, k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15))
+    return h
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where wanted stand in sorted keys, and whether they do."""
+    i = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+    return i, (keys[i] == wanted) if len(keys) else np.zeros(len(wanted), bool)
 
 
 class KneserNey:
-    """Log-likelihood ratio (toxic over ordinary) of words, from counts of ORDER-grams in either class."""
+    """Log-likelihood ratio (toxic over ordinary) of words, from counts of ORDER-grams (rows of code points) in either class."""
 
-    def __init__(self, gram: np.ndarray, counts: np.ndarray):
-        order = np.argsort(gram)
-        self.levels: list[tuple] = []  # from the longest: grams, their counts; contexts, their sums and kinds
-        gram, counts = gram[order], counts[order].astype(np.float64)
+    def __init__(self, codes: np.ndarray, counts: np.ndarray):
+        levels = []  # from the longest: sorted keys, counts, keys of shorter grams, and of contexts their keys, sums and kinds
+        counts = counts.astype(np.float64).reshape(-1, 2)
         for k in range(ORDER, 0, -1):
-            context = gram >> _BITS
-            first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1]))) if len(gram) else np.zeros(0, np.int64)
-            total = np.add.reduceat(counts, first, axis=0) if len(first) else np.zeros((0, 2))
-            kinds = np.add.reduceat((counts > 0).astype(np.float64), first, axis=0) if len(first) else np.zeros((0, 2))
-            self.levels.append((gram, counts, context[first], total, kinds))
+            key, shorter = _keys(codes), _keys(codes[:, 1:])
+            order = np.argsort(key)
+            context, of = np.unique(_keys(codes[:, :-1]), return_inverse=True)
+            total, kinds = (np.column_stack([np.bincount(of, x[:, c], len(context)) for c in (0, 1)]) for x in (counts, (counts > 0).astype(np.float64)))
+            levels.append((key[order], counts[order], shorter[order], of[order], context, total, kinds))
             # how many letters precede each shorter gram: by class for three letters and more, of both together below
-            shorter = gram & ((1 << _BITS * (k - 1)) - 1)
-            order = np.argsort(shorter, kind="stable")
-            shorter, seen = shorter[order], (counts[order] > 0).astype(np.float64)
+            seen = (counts > 0).astype(np.float64)
             if k - 1 <= 2:
                 seen = np.repeat((seen.sum(axis=1, keepdims=True) > 0).astype(np.float64), 2, axis=1)
-            first = np.flatnonzero(np.concatenate(([True], shorter[1:] != shorter[:-1]))) if len(shorter) else np.zeros(0, np.int64)
-            gram = shorter[first]
-            counts = np.add.reduceat(seen, first, axis=0) if len(first) else np.zeros((0, 2))
-        self.letters = max(len(self.levels[-1][0]), 1)
-
-    @staticmethod
-    def _at(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(keys):
-            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-        i = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        return i, keys[i] == wanted
-
-    def chances(self, gram: np.ndarray) -> np.ndarray:
-        """Of each gram's last letter after the others, by class."""
-        p = np.full((len(gram), 2), 1 / (self.letters + 1))
-        for k in range(1, ORDER + 1):
-            keys, counts, contexts, total, kinds = self.levels[ORDER - k]
-            g = gram & ((1 << _BITS * k) - 1)
-            i, known = self._at(keys, g)
-            j, there = self._at(contexts, g >> _BITS)
-            if not len(keys):
-                continue
-            c = np.where(known[:, None], counts[i], 0.0)
-            n, t = np.where(there[:, None], total[j], 0.0), np.where(there[:, None], kinds[j], 0.0)
-            own = (np.maximum(c - DISCOUNT, 0) + DISCOUNT * t * p) / np.maximum(n, 1e-9)
-            p = np.where(n > 0, own, p)
-        return p
+            _, first, of = np.unique(shorter, return_index=True, return_inverse=True)
+            codes, counts = codes[first, 1:], np.column_stack([np.bincount(of, seen[:, c], len(first)) for c in (0, 1)])
+        self.letters = max(len(levels[-1][0]), 1)
+        # from the shortest: sorted keys and chances by class; contexts, and the share that they leave to shorter ones
+        self.levels: list[tuple] = []
+        for key, counts, shorter, of, context, total, kinds in reversed(levels):
+            below = self._shorter(shorter)
+            n, t = total[of], kinds[of]
+            p = np.where(n > 0, (np.maximum(counts - DISCOUNT, 0) + DISCOUNT * t * below) / np.maximum(n, 1e-9), below)
+            self.levels.append((key, p, context, np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1e-9), 1.0)))
+
+    def _shorter(self, keys: np.ndarray) -> np.ndarray:
+        if not self.levels:
+            return np.full((len(keys), 2), 1 / (self.letters + 1))
+        return self.levels[-1][1][_find(self.levels[-1][0], keys)[0]] if len(keys) else np.zeros((0, 2))
+
+    def chances(self, codes: np.ndarray) -> np.ndarray:
+        """Of each gram's last letter after the others, by class: its own chance at the longest length at which it is known, times what longer contexts leave."""
+        share = np.ones((len(codes), 2))
+        out = np.full((len(codes), 2), 1 / (self.letters + 1))
+        open_ = np.arange(len(codes))
+        for k in range(ORDER, 0, -1):
+            keys, p, contexts, left = self.levels[k - 1]
+            rows = codes[open_, ORDER - k :]
+            i, known = _find(keys, _keys(rows))
+            if known.any():
+                out[open_[known]] = p[i[known]]
+            open_, rows = open_[~known], rows[~known]
+            if not len(open_):
+                break
+            j, there = _find(contexts, _keys(rows[:, :-1]))
+            share[open_[there]] *= left[j[there]]
+        return out * share
 
     def ratios(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Sum over a word's letters of the log ratio, and its number of letters, the end included."""
-        gram, owner = _grams(words)
-        some, back = np.unique(gram, return_inverse=True)
-        p = self.chances(some)
+        codes, owner = _grams(words)
+        _, first, back = np.unique(_keys(codes), return_index=True, return_inverse=True)
+        p = self.chances(codes[first])
         llr = np.log(p[:, 1] + 1e-12) - np.log(p[:, 0] + 1e-12)
         return np.bincount(owner, llr[back], len(words)), np.array([len(w) + 1 for w in words], np.int64)
 
 
 def _words_of(raw: bytes) -> list[str]:
-    return _LETTERS.findall(raw.decode("utf-8", "replace").lower())
-
-
-def _parts_of(raw: bytes) -> list[str]:
-    """The words of what stands between spaces; very long ones in pieces."""
-    return [y for i in range(0, max(len(raw), 1), 4096) for y in _words_of(raw[i : i + 4096])]
+    """The words, in lower case, of what stands between spaces; very long ones in pieces."""
+    found = _LETTERS.findall(raw.decode("utf-8", "replace").lower())
+    return [w[i : i + PIECE] for w in found for i in range(0, len(w), PIECE)] if len(raw) > PIECE else found
 
 
 def _evidence_of(ratio: np.ndarray, size: np.ndarray, top: np.ndarray) -> list[float]:
@@ -137,29 +141,36 @@ class ToxicityModel:
     def __init__(self, grams: KneserNey | GramTables, weights: np.ndarray, name: str):
         self.grams, self.weights, self.name = grams, weights, name
 
-    def evidence(self, data: list[bytes], cache: dict | None = None) -> np.ndarray:
+    def evidence(self, data: list[bytes], cache: common.Memory | None = None) -> np.ndarray:
         """Per text: the whole text's length-normalised ratio, the three highest words' ratios, and its length."""
-        cache = {} if cache is None else cache
-        split = [x.split() for x in data]
-        fresh = list({w for words in split for w in words if w not in cache})
-        if len(cache) + len(fresh) > REMEMBERED:
-            cache.clear()
-            fresh = list({w for words in split for w in words})
-        parts = [_parts_of(w) for w in fresh]
+        cache = common.Memory(REMEMBERED) if cache is None else cache
+        out = np.zeros((len(data), _EVIDENCE))
+        joined = b"\n".join(data)
+        words = joined.split()
+        if not words:
+            return out
+        starts, hashes = word_hashes(joined)
+        _, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        some = [words[i] for i in first]
+        found = [cache.get(w, 150 + 2 * len(w)) for w in some]
+        fresh = [i for i, v in enumerate(found) if v is None]
+        parts = [_words_of(some[i]) for i in fresh]
         flat = sorted({y for x in parts for y in x})
         if flat:
             ratio, size = self.grams.ratios(flat)
             known = dict(zip(flat, zip(ratio.tolist(), size.tolist())))
-        for w, ys in zip(fresh, parts):
-            cache[w] = (sum(known[y][0] for y in ys), sum(known[y][1] for y in ys), max((known[y][0] for y in ys), default=0.0))
-        out = np.zeros((len(data), _EVIDENCE))
-        for i, words in enumerate(split):
-            if words:
-                v = np.array([cache[w] for w in words])
-                out[i] = _evidence_of(*v.T)
+        for i, ys in zip(fresh, parts):
+            found[i] = v = (sum(known[y][0] for y in ys), sum(known[y][1] for y in ys), max((known[y][0] for y in ys), default=0.0))
+            if len(some[i]) <= 256:
+                cache.put(some[i], v, 150 + 2 * len(some[i]))
+        v = np.array(found)[back]
+        ends = np.searchsorted(starts, np.cumsum([len(x) + 1 for x in data]))
+        for i, (a, b) in enumerate(zip([0, *ends[:-1]], ends)):
+            if b > a:
+                out[i] = _evidence_of(*v[a:b].T)
         return out
 
-    def score(self, data: list[bytes], cache: dict | None = None) -> np.ndarray:
+    def score(self, data: list[bytes], cache: common.Memory | None = None) -> np.ndarray:
         return curve(self.evidence(data, cache), self.weights)
 
 
@@ -199,7 +210,7 @@ class GramTables:
         self.levels: list[tuple[DataFrame, DataFrame]] = []  # from the longest: grams with counts; contexts with sums and kinds
         some = [(F.col(c) > 0).cast("long") for c in ("c0", "c1")]
         for k in range(ORDER, 0, -1):
-            context = grams.groupBy(F.shiftright("gram", _BITS).alias("context"))
+            context = grams.groupBy(F.substring("gram", 1, k - 1).alias("context"))
             self.levels.append((grams, common.keep(context.agg(F.sum("c0").alias("n0"), F.sum("c1").alias("n1"), F.sum(some[0]).alias("t0"), F.sum(some[1]).alias("t1")), "contexts")))
             if k > 1:
                 seen = some if k - 1 > 2 else [F.greatest(*some)] * 2
@@ -214,7 +225,7 @@ class GramTables:
         p = None
         for k in range(1, ORDER + 1):
             level, contexts = self.levels[ORDER - k]
-            rows = wanted[ORDER - k].join(level, "gram", "left").withColumn("context", F.shiftright("gram", _BITS)).join(contexts, "context", "left")
+            rows = wanted[ORDER - k].join(level, "gram", "left").withColumn("context", F.substring("gram", 1, k - 1)).join(contexts, "context", "left")
             if p is None:
                 rows = rows.withColumns({"p0": F.lit(1 / (self.letters + 1)), "p1": F.lit(1 / (self.letters + 1))})
             else:
@@ -229,7 +240,7 @@ class GramTables:
         rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(mark).alias("mark"), "text")
         rows = common.keep(rows.mapInArrow(_row_tokens, f"row long, mark {kind}, tokens array<struct<token: binary, size: long, times: long>>"), "rows")
         tokens = common.keep(docs.select("text").mapInArrow(_different_tokens, "token binary, raw binary").dropDuplicates(["token"]), "tokens")
-        grams = common.keep(tokens.mapInArrow(_token_grams, "token binary, part int, gram long, times long"), "token-grams")
+        grams = common.keep(tokens.mapInArrow(_token_grams, "token binary, part int, gram string, times long"), "token-grams")
         ratio = F.sum(F.col("times") * (F.log(F.col("p1") + 1e-12) - F.log(F.col("p0") + 1e-12)))
         parts = grams.join(self.chances(grams), "gram").groupBy("token", "part").agg(ratio.alias("ratio"))
         ratios = common.keep(parts.groupBy("token").agg(F.sum("ratio").alias("ratio"), F.max("ratio").alias("top")), "ratios")
@@ -240,7 +251,7 @@ class GramTables:
 
 
 def _last(k: int):
-    return F.col("gram").bitwiseAND(F.lit((1 << _BITS * k) - 1))
+    return F.substring("gram", -k, k)
 
 
 def _token(raw: bytes) -> bytes:
@@ -255,7 +266,7 @@ def _row_tokens(batches):
             times: dict[bytes, int] = {}
             for w in data.split():
                 times[w] = times.get(w, 0) + 1
-            out.append([{"token": _token(w), "size": sum(len(y) + 1 for y in _parts_of(w)), "times": n} for w, n in times.items()])
+            out.append([{"token": _token(w), "size": sum(len(y) + 1 for y in _words_of(w)), "times": n} for w, n in times.items()])
         kind = pa.list_(pa.struct([("token", pa.binary()), ("size", pa.int64()), ("times", pa.int64())]))
         yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("mark"), pa.array(out, kind)], ["row", "mark", "tokens"])
 
@@ -272,11 +283,11 @@ def _token_grams(batches):
         for i, j in common.by_bytes(raw, len, 1 << 20):
             at, part, words = [], [], []
             for n in range(i, j):
-                for k, y in enumerate(_parts_of(raw[n])):
+                for k, y in enumerate(_words_of(raw[n])):
                     at.append(n), part.append(k), words.append(y)
-            gram, owner = _grams(words)
-            some, times = np.unique(np.column_stack([owner, gram]), axis=0, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([token[at[o]] for o in some[:, 0]], pa.binary()), pa.array([part[o] for o in some[:, 0]], pa.int32()), pa.array(some[:, 1]), pa.array(times.astype(np.int64))], ["token", "part", "gram", "times"])
+            codes, owner = _grams(words)
+            _, first, times = np.unique(mix(_keys(codes) + owner.astype(np.uint64)), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([token[at[o]] for o in owner[first]], pa.binary()), pa.array([part[o] for o in owner[first]], pa.int32()), _strings(codes[first]), pa.array(times.astype(np.int64))], ["token", "part", "gram", "times"])
 
 
 def _evidence_rows(batches):
@@ -289,17 +300,22 @@ def _evidence_rows(batches):
         yield pa.RecordBatch.from_arrays([batch.column("mark"), pa.array(e, pa.list_(pa.float64()))], ["mark", "e"])
 
 
+def _strings(codes: np.ndarray) -> pa.Array:
+    text = np.ascontiguousarray(codes).tobytes().decode("utf-32-le")
+    return pa.array([text[i : i + ORDER] for i in range(0, len(text), ORDER)], pa.string())
+
+
 def _word_counts(batches):
-    """Words, padded and long ones in slices, with their counts in ordinary and toxic texts, summed up by task."""
+    """Words with their counts in ordinary and toxic texts, summed up by task."""
     tally: tuple[dict, dict] = ({}, {})
+    held = 0
 
     def out():
         merged: dict[str, list[int]] = {}
         for k in (0, 1):
             for raw, n in tally[k].items():
                 for w in _words_of(raw):
-                    for x in _slices(w):
-                        merged.setdefault(x, [0, 0])[k] += n
+                    merged.setdefault(w, [0, 0])[k] += n
             tally[k].clear()
         return pa.RecordBatch.from_arrays([pa.array(list(merged), pa.string()), pa.array([c[0] for c in merged.values()], pa.int64()), pa.array([c[1] for c in merged.values()], pa.int64())], ["word", "c0", "c1"])
 
@@ -307,20 +323,22 @@ def _word_counts(batches):
         for label, data in zip(batch.column("label").to_pylist(), common.text_bytes(batch.column("text"))):
             t = tally[1 if label else 0]
             for w in data.split():
+                if w not in t:
+                    held += len(w) + 100
                 t[w] = t.get(w, 0) + 1
-            if len(tally[0]) + len(tally[1]) > 500_000:
+            if held > 64 << 20:
                 yield out()
+                held = 0
     yield out()
 
 
 def _gram_counts(batches):
     for batch in batches:
-        words = batch.column("word").to_pylist()
         c = np.column_stack([np.asarray(batch.column("c0")), np.asarray(batch.column("c1"))])
-        gram, owner = _grams_within(words)
-        some, back = np.unique(gram, return_inverse=True)
-        sums = [np.bincount(back, c[owner, k], len(some)).astype(np.int64) for k in (0, 1)]
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[0]), pa.array(sums[1])], ["gram", "c0", "c1"])
+        codes, owner = _grams(batch.column("word").to_pylist())
+        _, first, back = np.unique(_keys(codes), return_index=True, return_inverse=True)
+        sums = [np.bincount(back, c[owner, k], len(first)).astype(np.int64) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays([_strings(codes[first]), pa.array(sums[0]), pa.array(sums[1])], ["gram", "c0", "c1"])
 
 
 def held_out(doc_id):
@@ -338,13 +356,14 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", most_gram
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sample = known.where("part = 0").orderBy(F.xxhash64("known_id", F.lit(1)), "known_id").limit(curve_rows).select("known_id", "label")
     counted = common.few(known.join(F.broadcast(sample.select("known_id")), "known_id", "left_anti").select("known_id", "label"))
-    words = docs.join(counted, F.col("doc_id") == F.col("known_id")).select("label", "text").mapInArrow(_word_counts, "word string, c0 long, c1 long")
+    words = docs.join(counted, F.col("doc_id") == F.col("known_id")).select("label", "text").mapInArrow(common.freeing(_word_counts), "word string, c0 long, c1 long")
     words = words.groupBy("word").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
-    grams = words.mapInArrow(_gram_counts, "gram long, c0 long, c1 long").groupBy("gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+    grams = words.mapInArrow(common.freeing(_gram_counts), "gram string, c0 long, c1 long").groupBy("gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
     grams = common.keep(grams, "grams")
     if grams.count() <= most_grams:
         got = grams.toArrow()
-        model = KneserNey(np.asarray(got.column("gram"), np.int64), np.column_stack([np.asarray(got.column("c0")), np.asarray(got.column("c1"))]).reshape(-1, 2))
+        codes = np.frombuffer("".join(got.column("gram").to_pylist()).encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
+        model = KneserNey(codes, np.column_stack([np.asarray(got.column("c0")), np.asarray(got.column("c1"))]).reshape(-1, 2))
     else:
         model = GramTables(grams)
     name = f"{spark.sparkContext.applicationId}-{id(model)}"
@@ -360,10 +379,10 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", most_gram
     return ToxicityModel(model, fit_curve(e[order], y[order]), name)
 
 
-def _remembered(name: str) -> dict:
+def _remembered(name: str) -> common.Memory:
     if name not in _cache:
         _cache.clear()  # one model at a time
-        _cache[name] = {}
+        _cache[name] = common.Memory(REMEMBERED)
     return _cache[name]
 
 
@@ -376,7 +395,7 @@ def _evidence(model):
             e = model.value.evidence(common.text_bytes(batch.column("text")), cache)
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(list(e), pa.list_(pa.float64()))], ["label", "e"])
 
-    return run
+    return common.freeing(run, "toxicity")
 
 
 def _scorer(model, threshold: float):
@@ -389,7 +408,7 @@ def _scorer(model, threshold: float):
             s = np.concatenate([np.zeros(0), *(model.value.score(data[i:j], cache) for i, j in common.by_bytes(data, len, 4 << 20))])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    return run
+    return common.freeing(run, "toxicity")
 
 
 def _table_scorer(weights: np.ndarray, threshold: float):
@@ -398,7 +417,7 @@ def _table_scorer(weights: np.ndarray, threshold: float):
             s = curve(np.array(batch.column("e").to_pylist(), np.float64).reshape(-1, _EVIDENCE), weights)
             yield pa.RecordBatch.from_arrays([batch.column("mark"), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    return run
+    return common.freeing(run, "toxicity")
 
 
 def score(documents: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
