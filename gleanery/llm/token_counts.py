@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from . import common
 
 MODEL = "piece_bpe_32k.model"
-#: Parts that a worker remembers; beyond it the memory is emptied, which costs time only.
-REMEMBERED = 1_000_000
+#: Bytes of words, and of parts of words, that a worker remembers; it then forgets the oldest, which costs time only.
+REMEMBERED = 72 << 20
 SPACE = "\u2581"
 _loaded: dict[str, "PieceCounter"] = {}
 
@@ -53,8 +53,8 @@ class PieceCounter:
         # a line end that no longer piece holds always stands alone; words then begin after it or after a space
         self.lines = "\n" not in joined
         self.spaces = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces)
-        self.words: dict[str, int] = {}
-        self.parts: dict[str, int] = {}
+        self.words = common.Memory(REMEMBERED)
+        self.parts = common.Memory(REMEMBERED)
 
     def merged(self, part: str) -> int:
         """Tokens of a part: its symbols less the merges that a heap of adjacent pairs brings about."""
@@ -92,14 +92,8 @@ class PieceCounter:
         for i in range(1, len(word) + 1):
             if i == len(word) or word[i - 1 : i + 1] not in beside:
                 part = word[at:i]
-                n = parts.get(part)
-                if n is None:
-                    if len(parts) >= REMEMBERED:
-                        parts.clear()
-                    n = self.merged(part)
-                    if len(part) <= 64:
-                        parts[part] = n
-                total, at = total + n, i
+                n = parts.get(part, 120) if len(part) <= 64 else self.merged(part)
+                total, at = total + (parts.put(part, self.merged(part), 120) if n is None else n), i
         return total
 
     def count(self, text: str) -> int:
@@ -107,10 +101,7 @@ class PieceCounter:
             return 0
         if not (self.spaces and self.lines):
             return self.word(SPACE + text.replace(" ", SPACE))
-        words = self.words
-        if len(words) > REMEMBERED:
-            words.clear()
-        total = 0
+        words, total = self.words, 0
         lines = text.split("\n")
         for k, line in enumerate(lines):
             parts = (line if k else " " + line).split(" ")
@@ -121,16 +112,16 @@ class PieceCounter:
             if parts[0]:
                 total += self._known(words, parts[0])
             for p in parts[1:]:
-                n = words.get(" " + p)
+                n = words.young.get(" " + p)
                 total += self._known(words, " " + p) if n is None else n
         return total + (len(lines) - 1) * (1 if "\n" in self.rank else len(b"\n"))
 
-    def _known(self, words: dict, key: str) -> int:
-        n = words.get(key)
+    def _known(self, words: common.Memory, key: str) -> int:
+        n = words.get(key, 120)
         if n is None:
             n = self.word(SPACE + key[1:] if key[0] == " " else key)
             if len(key) <= 64:
-                words[key] = n
+                words.put(key, n, 120)
         return n
 
 
@@ -152,7 +143,7 @@ def _counts(path, limit: int):
             size = [len(t.encode("utf-8", "surrogatepass")) for t in text]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return run
+    return common.freeing(run, "token_counts")
 
 
 def token_counts(documents: DataFrame, limit: int = 4096, path: str | None = None) -> DataFrame:
