@@ -1,13 +1,17 @@
 """Exact top-k by integer inner product: MaxScore over vector shards.
 
-A vector's components are the terms of a query. For each shard and term the largest contribution that any vector can make is known
-(from the shard's extremes); terms are taken by falling bound. The first, essential, terms are summed for every vector of the
-shard; once the bounds of the rest can no longer lift a vector over the k-th best score so far, it is dropped, and only
-those still competitive are probed in the non-essential terms. Shards' answers are merged by score, then id.
+A vector's components are the terms of a query; a term's score bounds in a shard are what its extreme components can give. A shard keeps a posting
+list for each term, its vectors in the order of their component, so that a query meets the highest contributions first. Given the
+k-th best score so far, a query's terms are split by their bounds: the non-essential ones cannot lift any vector to that score by themselves, so
+a vector that may still reach it must stand, in the list of some essential term, within the part whose contributions are
+a large enough share of that term's bound. Only those parts are traversed; the vectors met are probed in term after term while
+bounds leave them competitive. Shards' answers are merged by score, then id.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -16,8 +20,8 @@ from pyspark.sql import functions as F
 from . import common
 
 SCALE = 1024
-#: Vectors in a shard, and bytes of queries that one pass over the vectors may broadcast.
-SHARD_ROWS = 16_384
+#: Bytes of a shard's components, its postings being as many again and a half, and bytes of queries that one pass over the vectors may broadcast.
+SHARD_BYTES = 8 << 20
 QUERY_BYTES = 64 << 20
 _STEP = 8
 
@@ -41,22 +45,84 @@ def _inner(m: np.ndarray, q: np.ndarray, exact: bool) -> np.ndarray:
     return np.array([sum(int(x) * y for x, y in zip(row, whole)) for row in m], object)
 
 
-def maxscore(q: np.ndarray, m: np.ndarray, low: np.ndarray, high: np.ndarray, best: float, k: int, exact: bool = True) -> np.ndarray:
-    """Rows of m that may score `best` or more, or be among the k best of m; low and high are m's extremes by term.
+class Shard:
+    """Vectors with a posting list for each term: rows and their components, ascending."""
+
+    def __init__(self, ids: np.ndarray, m: np.ndarray):
+        self.ids, self.m = ids, m
+        order = np.argsort(m, axis=0, kind="stable")
+        self.rows, self.values = np.ascontiguousarray(order.T.astype(np.int32)), np.ascontiguousarray(np.take_along_axis(m, order, axis=0).T)
+        self.low, self.high = self.values[:, 0], self.values[:, -1]
+        self.reach = np.maximum(np.abs(self.low), np.abs(self.high))
+
+    def essential(self, q: np.ndarray, best: float) -> tuple[np.ndarray, int]:
+        """Terms by falling span of what they give, and how many of them are essential for a score of `best`: the rest cannot give it beside the least of all others."""
+        span = np.maximum(q * self.low, q * self.high) - np.minimum(q * self.low, q * self.high)
+        terms = np.argsort(-span, kind="stable")
+        need = best - np.minimum(q * self.low, q * self.high).sum()
+        rest = np.concatenate([np.cumsum(span[terms][::-1])[::-1], [0]])  # of the terms from a place on
+        return terms, int(np.argmax(rest < need)) if need > 0 else 0
+
+    def met(self, q: np.ndarray, best: float) -> np.ndarray:
+        """Rows that the traversed parts of essential postings hold; every row that may score `best` is among them."""
+        if best == -np.inf:
+            return np.arange(len(self.m))
+        terms, n = self.essential(q, best)
+        least = np.minimum(q * self.low, q * self.high)
+        span = np.maximum(q * self.low, q * self.high) - least
+        need = best - least.sum()
+        if need <= 0:
+            return np.arange(len(self.m))
+        if need > span.sum():
+            return np.zeros(0, np.int64)
+        ends = np.cumsum(span[terms])
+        found, size = None, np.inf
+        # with more terms than need be essential, each list is traversed less far; the fewest postings win
+        for k in sorted({n, (n + int((span > 0).sum())) // 2, int((span > 0).sum())}):
+            # a row that gives less than this share of each essential span cannot make up for what the others lack
+            share = (need - (ends[-1] - ends[k - 1])) / ends[k - 1]
+            parts = []
+            for t in terms[:k]:
+                # components are whole numbers: one to spare outweighs what rounding may err
+                if q[t] > 0:
+                    parts.append(self.rows[t, np.searchsorted(self.values[t], (least[t] + share * span[t]) / q[t] - 1 + 1e-6) :])
+                else:
+                    parts.append(self.rows[t, : np.searchsorted(self.values[t], (least[t] + share * span[t]) / q[t] + 1 - 1e-6, "right")])
+            total = sum(map(len, parts))
+            if total < size:
+                found, size = parts, total
+        seen = np.zeros(len(self.m), bool)
+        for rows in found:
+            seen[rows] = True
+        return np.flatnonzero(seen)
+
+
+def maxscore(q: np.ndarray, shard: Shard, own: int | None, best: float, k: int, exact: bool = True, probes: list | None = None) -> np.ndarray:
+    """Rows of the shard, but those of id `own`, that may score `best` or more, or be among its k best. probes gets the number of components looked at.
 
     Where sums may pass 2^53, bounds in doubles could err, and all rows are returned.
     """
+    m = shard.m
     if not exact:
-        return np.arange(len(m))
-    lift, drop = np.maximum(q * low, q * high), np.minimum(q * low, q * high)
+        return np.flatnonzero(shard.ids != own)
+    if best == -np.inf and len(m) > 8 * k:  # the first of the longest list tell what is to be reached
+        t = int(np.argmax(np.abs(q) * (shard.high - shard.low)))
+        first = shard.rows[t, -4 * k :] if q[t] > 0 else shard.rows[t, : 4 * k]
+        first = first[shard.ids[first] != own]
+        if len(first) >= k:
+            best = float(np.partition(m[first] @ q, len(first) - k)[len(first) - k])
+    rows = shard.met(q, best)
+    rows = rows[shard.ids[rows] != own]
+    lift, drop = np.maximum(q * shard.low, q * shard.high), np.minimum(q * shard.low, q * shard.high)
     terms = np.argsort(-(lift - drop), kind="stable")
     rest = np.concatenate([np.cumsum(lift[terms][::-1])[::-1], [0]])
     worst = np.concatenate([np.cumsum(drop[terms][::-1])[::-1], [0]])
-    rows = np.arange(len(m))
-    score = np.zeros(len(m))
+    score = np.zeros(len(rows))
     for at in range(0, len(terms), _STEP):
         part = terms[at : at + _STEP]
         score = score + (m[rows[:, None], part] if len(rows) < len(m) else m[:, part]) @ q[part]
+        if probes is not None:
+            probes.append(len(rows) * len(part))
         after = min(at + _STEP, len(terms))
         if len(rows) > k:
             best = max(best, np.partition(score, len(score) - k)[len(score) - k] + worst[after])
@@ -73,21 +139,15 @@ def _searcher(queries, k: int):
         table = queries.value  # {width: (ids, matrix)}
         top = {w: [(np.zeros(0, object), np.zeros(0, np.int64))] * len(ids) for w, (ids, _) in table.items()}
 
-        def shard(ids, m):
+        def search(ids, m):
+            part = Shard(ids, m)
             ids_q, mq = table[m.shape[1]]
-            low, high = m.min(axis=0), m.max(axis=0)
-            reach = np.maximum(np.abs(low), np.abs(high))
             for i, q in enumerate(mq):
-                exact = float(reach @ np.abs(q)) < 2.0**53
+                exact = float(part.reach @ np.abs(q)) < 2.0**53
                 had, names = top[m.shape[1]][i]
-                best = had[-1] if len(had) == k else -np.inf
-                rows = np.flatnonzero(ids != ids_q[i])
-                own = len(rows) < len(m)
-                found = maxscore(q, m[rows] if own else m, low, high, best, k, exact)
-                found = rows[found] if own else found
+                found = maxscore(q, part, ids_q[i], float(had[-1]) if len(had) == k else -np.inf, k, exact)
                 if len(found):
-                    got = _inner(m[found], q, exact)
-                    got = np.array([int(x) for x in got], object)
+                    got = np.array([int(x) for x in _inner(m[found], q, exact)], object)
                     score, name = np.concatenate([had, got]), np.concatenate([names, ids[found]])
                     order = sorted(range(len(score)), key=lambda j: (-score[j], name[j]))[:k]
                     top[m.shape[1]][i] = (score[order], name[order])
@@ -100,16 +160,16 @@ def _searcher(queries, k: int):
                     continue
                 part = batch.filter(pa.array(sizes == w))
                 held.setdefault(int(w), []).append((np.asarray(part.column("vec_id")), _matrix(part)))
-                if sum(len(x) for x, _ in held[int(w)]) >= SHARD_ROWS:
-                    shard(*(np.concatenate(x) for x in zip(*held.pop(int(w)))))
+                if sum(len(x) for x, _ in held[int(w)]) * int(w) * 8 >= SHARD_BYTES:
+                    search(*(np.concatenate(x) for x in zip(*held.pop(int(w)))))
         for parts in held.values():
-            shard(*(np.concatenate(x) for x in zip(*parts)))
+            search(*(np.concatenate(x) for x in zip(*parts)))
         for w, (ids, _) in table.items():
             n = [len(s) for s, _ in top[w]]
             if sum(n):
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)), pa.array(np.concatenate([x for _, x in top[w]])), pa.array([int(x) for s, _ in top[w] for x in s], pa.int64())], ["query_id", "vec_id", "score"])
 
-    return run
+    return common.freeing(run)
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 10, query_bytes: int = QUERY_BYTES) -> DataFrame:
@@ -118,8 +178,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, query_bytes: int = QUERY_BY
     vectors needs vec_id (long) and embedding; is_query is a condition on vec_id. Candidates are all rows of another vec_id, ties
     go to the smaller vec_id. Vectors that are null, empty or hold null or non-finite components take no part, as neither do
     rows without vec_id; a query meets only vectors of its own length. Repeated rows are candidates each; a repeated query counts once, by its least vector.
-    Queries are broadcast in blocks of `query_bytes` at most, with one pass over the vectors each; each task
-    returns k rows a query.
+    Queries are broadcast in blocks of `query_bytes` at most, one after the other, with one pass over the vectors each, whose answers are a table before
+    the next one starts; each task returns k rows a query.
     """
     spark = vectors.sparkSession
     usable = _usable(vectors)
@@ -129,17 +189,19 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, query_bytes: int = QUERY_BY
     if not count:
         return empty.select("query_id", F.lit(1).alias("rank"), "vec_id", "score")
     blocks = -(-count * width * 8 // query_bytes)
-    found = None
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = []
     for block in range(blocks):
         mine = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).toArrow()
-        table = {}
+        table: dict[int, list] = {}
         for batch in mine.to_batches():
             sizes = np.asarray(batch.column("v").value_lengths())
             for w in np.unique(sizes):
                 part = batch.filter(pa.array(sizes == w))
                 table.setdefault(int(w), []).append((np.asarray(part.column("vec_id")), _matrix(part)))
-        table = {w: tuple(np.concatenate(x) for x in zip(*parts)) for w, parts in table.items()}
-        part = usable.mapInArrow(_searcher(spark.sparkContext.broadcast(table), k), "query_id long, vec_id long, score long")
-        found = part if found is None else found.union(part)
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        queries = spark.sparkContext.broadcast({w: tuple(np.concatenate(x) for x in zip(*parts)) for w, parts in table.items()})
+        answers = usable.mapInArrow(_searcher(queries, k), "query_id long, vec_id long, score long")
+        answers = answers.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        found.append(common.keep(answers, "answers"))
+        queries.destroy()
+    return functools.reduce(DataFrame.union, found) if found else empty.select("query_id", F.lit(1).alias("rank"), "vec_id", "score")
