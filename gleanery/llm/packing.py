@@ -22,10 +22,12 @@ from .token_counts import byte_chars, model_path
 MODEL = "word_bpe_49k.json"
 CAPACITY = 4096
 END = 1
+#: Of the shares of tokens, documents and squared lengths that a piece would leave free, in the choice of its sequence.
+WEIGHTS = (1.0, 0.5, 0.5)
 #: Pieces that one task packs.
 GROUP = 20_000
-#: Words and parts that a worker remembers; beyond it the memory is emptied, which costs time only.
-REMEMBERED = 1_000_000
+#: Bytes of words, and of parts of words, that a worker remembers; it then forgets the oldest, which costs time only.
+REMEMBERED = 72 << 20
 _loaded: dict[str, "WordEncoder"] = {}
 
 
@@ -40,8 +42,8 @@ class WordEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.chars = {b: c for c, b in byte_chars().items()}
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words = common.Memory(REMEMBERED)
+        self.parts = common.Memory(REMEMBERED)
         # the vocabulary's own split of words, a fixed value
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
         self.simple = regex.compile(r"[\x21-\x7e¡-ɏ]+")
@@ -58,14 +60,8 @@ class WordEncoder:
         out = []
         text = text.lower()
         for part in (text,) if text.isalpha() else self.split.findall(text):
-            ids = self.parts.get(part)
-            if ids is None:
-                ids = self.merged(part)
-                if len(part) <= 64:
-                    if len(self.parts) >= REMEMBERED:
-                        self.parts.clear()
-                    self.parts[part] = ids
-            out.append(ids)
+            ids = self.parts.get(part, 130) if len(part) <= 64 else self.merged(part)
+            out.append(self.parts.put(part, self.merged(part), 130) if ids is None else ids)
         return b"".join(out)
 
     def merged(self, part: str) -> bytes:
@@ -76,17 +72,12 @@ class WordEncoder:
 
     def ids(self, text: str) -> bytes:
         words = text.encode("utf-8", "surrogatepass").split()
-        if len(self.words) >= REMEMBERED:
-            self.words.clear()
-        found = list(map(self.words.get, words))
+        found = list(map(self.words.young.get, words))
         if None in found:
             for i, w in enumerate(words):
                 if found[i] is None:
-                    found[i] = self.words.get(w)
-                    if found[i] is None:
-                        found[i] = self.word(w)
-                        if len(w) <= 64:
-                            self.words[w] = found[i]
+                    known = self.words.get(w, 130)
+                    found[i] = self.words.put(w, self.word(w), 130) if known is None and len(w) <= 64 else known or self.word(w)
         return b"".join(found)
 
 
@@ -112,12 +103,12 @@ def _pieces(path, capacity: int, end: int):
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return run
+    return common.freeing(run, "packing")
 
 
 def best_fit(items: np.ndarray, capacity: np.ndarray, weights: np.ndarray, rule: str = "norm") -> np.ndarray:
-    """The bin of each item. items is (n, d), in the order in which they are placed, each within capacity."""
-    scale = weights / np.maximum(capacity, 1) ** (1 if rule == "dot" else 1)
+    """The bin of each item. items is (n, d), in the order in which they are placed, each within capacity; every capacity is a share of the whole times its weight."""
+    scale = weights / np.maximum(capacity, 1)
     left = np.empty((max(1, len(items)), items.shape[1]), np.float64)
     out = np.empty(len(items), np.int64)
     names = np.empty(max(1, len(items)), np.int64)
@@ -164,12 +155,12 @@ def _packer(capacity, weights, rule: str):
     return run
 
 
-def pack(documents: DataFrame, capacity: int = CAPACITY, most_documents: int = CAPACITY, most_cost: int = CAPACITY * CAPACITY, weights=(1.0, 0.0, 0.0), rule: str = "norm", path: str | None = None, end: int = END, group: int = GROUP) -> DataFrame:
+def pack(documents: DataFrame, capacity: int = CAPACITY, most_documents: int = CAPACITY, most_cost: int = CAPACITY * CAPACITY, weights=WEIGHTS, rule: str = "norm", path: str | None = None, end: int = END, group: int = GROUP) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document is its ids and then `end`; only documents of more than `capacity` ids are cut, into pieces of that many, the last
     the rest. A sequence holds pieces of `capacity` ids, `most_documents` pieces and `most_cost` of squared lengths at
-    most; the preset values of the last two never bind. documents needs doc_id (long) and text; null counts as empty, whose
+    most; the preset values of the last two never bind, yet all three residuals, by `weights`, choose among the sequences that a piece fits. documents needs doc_id (long) and text; null counts as empty, whose
     only id is `end`. Repeated rows and ids are packed as rows of their own; an empty table gives an empty table. A piece whose
     own cost passes `most_cost` has a sequence to itself. Pieces that fill a sequence need no search.
     """
