@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-JUNK_PARTS = ("__MACOSX", ".DS_Store", "Thumbs.db", "desktop.ini")
+from ..schema import ARCHIVE_SUFFIX_BY_MIME, JUNK_PARTS, SOURCE_PRIORITY
 
 
 def stable_fraction(key: Column) -> Column:
@@ -33,31 +33,66 @@ def image_bucket(name: Column) -> Column:
     return F.nullif(F.substring(F.regexp_extract(name, r"_([0-9a-f]{20})\.[^./]+$", 1), 1, 2), F.lit(""))
 
 
-def label_path(path: Column) -> Column:
-    """The label file of an image: labels in place of the last images folder, .txt in place of the suffix."""
+def suffix_of(path: Column) -> Column:
+    """.jpg and the like in lower case, '' without one; a name that only begins with a dot has none."""
+    return F.lower(F.regexp_extract(path, r"[^/](\.[^./]+)$", 1))
+
+
+def stem_of(path: Column) -> Column:
+    return F.regexp_replace(F.regexp_extract(path, r"([^/]*)$", 1), r"(?<=.)\.[^.]+$", "")
+
+
+def with_suffix(path: Column, suffix: str) -> Column:
+    return F.concat(F.regexp_replace(path, r"(?<=[^/])\.[^./]+$", ""), F.lit(suffix))
+
+
+def label_path(path: Column, root: Column | None = None) -> Column:
+    """The label file of an image: below root/images/ the same place below root/labels/, else labels in place of the last images folder, else beside the image."""
     moved = F.when(path.rlike(r"(^|/)images/"), F.regexp_replace(path, r"^((?:.*/)?)images/", "$1labels/")).otherwise(path)
-    return F.regexp_replace(moved, r"\.[^./]+$", ".txt")
+    if root is not None:
+        head = F.concat(root, F.lit("/images/"))
+        moved = F.when(path.startswith(head), F.concat(root, F.lit("/labels/"), F.substr(path, F.length(head) + 1))).otherwise(moved)
+    return with_suffix(moved, ".txt")
 
 
 def clean_name(name: Column) -> Column:
-    """Only letters, digits, _ and - stay, others become _; ends are stripped of _ and -; null if nothing is left."""
-    return F.nullif(F.regexp_replace(F.regexp_replace(name, "[^A-Za-z0-9_-]", "_"), "^[_-]+|[_-]+$", ""), F.lit(""))
+    """Letters, digits, _ and - stay, each run of others becomes one _; ends are stripped of _ and -; null if nothing is left."""
+    return F.nullif(F.regexp_replace(F.regexp_replace(name, "[^A-Za-z0-9_-]+", "_"), "^[_-]+|[_-]+$", ""), F.lit(""))
+
+
+def timestamped_name(name: Column, started: Column) -> Column:
+    return F.concat(F.date_format(started, "yyyy_MM_dd_HH_mm_ss"), F.lit("_"), clean_name(name))
+
+
+def now() -> Column:
+    """Local time in ISO form, to the second."""
+    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def source_priority(source: Column) -> Column:
+    """How far a source is trusted when copies disagree; 0 for one that is not known."""
+    return F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in SOURCE_PRIORITY.items() for x in kv)), source), F.lit(0))
 
 
 def archive_kind(name: Column, mime: Column) -> Column:
     """'' if the name says archive by itself, the suffix that a MIME type stands for, else null."""
-    by_mime = F.create_map(*(F.lit(x) for x in ("application/zip", ".zip", "application/x-zip-compressed", ".zip", "application/x-rar", ".rar", "application/vnd.rar", ".rar", "application/x-rar-compressed", ".rar")))
-    return F.when(F.lower(name).rlike(r"\.(zip|rar|r\d\d)$"), F.lit("")).otherwise(F.try_element_at(by_mime, mime))
+    by_mime = F.create_map(*(F.lit(x) for kv in ARCHIVE_SUFFIX_BY_MIME.items() for x in kv))
+    return F.when(F.lower(name).rlike(r"\.(zip|rar|r\d{2,3})$"), F.lit("")).otherwise(F.try_element_at(by_mime, mime))
 
 
 def rar_volume(name: Column) -> Column:
     """struct(number, later): the volume that a RAR name tells, and whether it isn't the first."""
     low = F.lower(name)
-    part, old = F.regexp_extract(low, r"\.part(\d+)\.rar$", 1), F.regexp_extract(low, r"\.r(\d\d)$", 1)
+    part, old = F.regexp_extract(low, r"\.part(\d+)\.rar$", 1), F.regexp_extract(low, r"\.r(\d{2,3})$", 1)
     number = F.when(part != "", part.cast("int")).when(old != "", old.cast("int") + 2).when(low.endswith(".rar"), F.lit(1))
     return F.struct(number.alias("number"), F.coalesce(number > 1, F.lit(False)).alias("later"))
 
 
+def in_excluded_folder(path: Column, folder: str = "verif") -> Column:
+    """Whether a folder on the way to a file, given relative to the root, has that name."""
+    return F.array_contains(F.split(F.regexp_replace(path, r"/?[^/]*$", ""), "/"), folder)
+
+
 def is_junk(path: Column) -> Column:
     return F.exists(F.split(path, "/"), lambda p: p.isin(*JUNK_PARTS) | p.startswith("._"))
 
@@ -68,11 +103,12 @@ def is_unsafe_member(path: Column) -> Column:
 
 
 def folder_reference(address: Column) -> Column:
-    """struct(id, resource_key) of a shared folder's address, or a bare id."""
-    found = F.regexp_extract(address, r"/folders/([A-Za-z0-9_-]+)", 1)
-    key = F.nullif(F.regexp_extract(address, r"[?&]resourcekey=([^&#]+)", 1), F.lit(""))
-    bare = F.when(address.rlike(r"^[A-Za-z0-9_-]+$"), address)
-    return F.struct(F.when(found != "", found).otherwise(bare).alias("id"), key.alias("resource_key"))
+    """struct(id, resource_key) of a shared folder's address, the key percent-decoded; without :// it is an id itself. An address of another kind has a null id."""
+    place, query = F.regexp_extract(address, r"^([^?#]*)", 1), F.regexp_extract(address, r"^[^?#]*\?([^#]*)", 1)
+    found = F.nullif(F.regexp_extract(place, r"/folders/([A-Za-z0-9_-]+)", 1), F.lit(""))
+    key = F.nullif(F.regexp_extract(query, r"(?:^|&)resourcekey=([^&]+)", 1), F.lit(""))
+    link = address.contains("://")
+    return F.struct(F.when(link, found).otherwise(address).alias("id"), F.when(link, F.try_url_decode(key)).alias("resource_key"))
 
 
 def frame_number(name: Column) -> Column:
@@ -80,7 +116,7 @@ def frame_number(name: Column) -> Column:
 
 
 def shard_number(path: Column, split: str) -> Column:
-    return F.nullif(F.regexp_extract(path, rf"shards/{split}-(\d+)\.tar$", 1), F.lit("")).cast("int")
+    return F.nullif(F.regexp_extract(path, rf"^shards/{split}-(\d+)\.tar$", 1), F.lit("")).cast("int")
 
 
 def content_key(md5: Column, size: Column, modified: Column) -> Column:

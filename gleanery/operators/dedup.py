@@ -41,10 +41,12 @@ def near_duplicates(rows: DataFrame, words: str, bits: int, source: str, ident:
     """For each row its `top` nearest rows of smaller source within `most` bits: hamming, source_a, id_a, source_b, id_b.
 
     words is an array<bigint> of 32-bit parts of a hash of `bits` bits. Of most + 1 blocks of the bits one at least must be equal, so
-    pairs come from equal blocks and are then verified; only pairs of different sources leave the join. Ties go to the
+    pairs come from equal blocks, which need 10 bits at least, and are then verified; only pairs of different sources leave the join. Ties go to the
     smaller source, then id.
     """
-    blocks = min(most + 1, bits)
+    blocks = most + 1
+    if bits // blocks < 10:
+        raise ValueError(f"{blocks} blocks of {bits} bits would be equal by chance too often; use a longer hash or fewer bits of difference")
     cuts = [bits * i // blocks for i in range(blocks + 1)]
     as_bits = F.array_join(F.transform(F.col(words), lambda w: F.lpad(F.bin(w), 32, "0")), "")
     parts = F.posexplode(F.array(*(F.substring(F.col("_bits"), a + 1, b - a) for a, b in zip(cuts, cuts[1:]))))

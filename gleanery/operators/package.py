@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import centre_to_coco
-from ..schema import BUCKET_FILES
+from ..schema import BUCKET_FILES, SHARD_BYTES
+from ..session import kept
 
 
 def next_fit(sizes, target: int, start: int = 0) -> list[int]:
@@ -21,24 +22,24 @@ def next_fit(sizes, target: int, start: int = 0) -> list[int]:
     return out
 
 
-def pack_next_fit(rows: DataFrame, split: str, order: list[str], size: str, target: int, starts: DataFrame | None = None) -> DataFrame:
-    """rows with `shard`, next-fit by split in the given order; starts (split, start) are the first numbers to use.
+def pack_next_fit(rows: DataFrame, split: str, order: list[str], size: str, target: int = SHARD_BYTES, starts: DataFrame | None = None) -> DataFrame:
+    """rows with `shard`, next-fit by split in the given order, which must tell a split's rows apart; starts (split, start) are the first numbers to use.
 
-    The rule is sequential: where a shard ends depends on all before it, so a split is one task's work; only order, size and
-    the row's own columns travel.
+    The rule is sequential: where a shard ends depends on all before it, so a split is one task's work. Only its order and sizes
+    go there; the shards are joined back to the rows.
     """
-    fields = rows.schema
-    names = rows.columns
-    data = rows.withColumn("_start", F.lit(0)) if starts is None else rows.join(F.broadcast(starts.select(split, F.col("start").cast("int").alias("_start"))), split, "left").na.fill(0, ["_start"]).select(*names, "_start")
+    narrow = rows.select(split, *order, F.col(size).cast("long").alias("_size"))
+    narrow = narrow.withColumn("_start", F.lit(0)) if starts is None else narrow.join(F.broadcast(starts.select(split, F.col("start").cast("int").alias("_start"))), split, "left").na.fill(0, ["_start"])
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([(c, "ascending") for c in order])
-        first = table.column("_start")[0].as_py()
-        shard = next_fit(table.column(size).to_pylist(), target, first)
-        return table.select(names).append_column("shard", pa.array(shard, pa.int32()))
+        shard = next_fit(table.column("_size").to_pylist(), target, table.column("_start")[0].as_py())
+        return table.select([split, *order]).append_column("shard", pa.array(shard, pa.int32()))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", shard int"
-    return data.groupBy(split).applyInArrow(run, schema)
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    placed = narrow.groupBy(split).applyInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in [split, *order]) + ", shard int")
+    named = placed.select(*(F.col(c).alias(f"_{c}") for c in [split, *order]), "shard")
+    return rows.join(named, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [split, *order]]).select(*rows.columns, "shard")
 
 
 def next_shard(manifest: DataFrame, split: str, shard: str) -> DataFrame:
@@ -52,11 +53,18 @@ def shard_manifest(packed: DataFrame, split: str, size: Column, boxes: Column) -
 def coco_ids(boxes: DataFrame, split: str, image: str, line: list[str]) -> DataFrame:
     """boxes with image_id and annotation_id, dense from 1 by split; a total order in `line` makes them certain.
 
-    Numbers are offsets of images plus places within the image: the large table is windowed by image only.
+    Images stand in one global order of ranges; each range is numbered by itself, and the ranges' totals by split, summed up over the ranges before, are
+    added. Within an image a window numbers its boxes. No task gets a whole split.
     """
     images = boxes.groupBy(split, image).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(split).orderBy(image)
-    numbered = images.select(split, image, F.row_number().over(w).alias("image_id"), (F.sum("_n").over(w) - F.col("_n")).alias("_before"))
+    # written once: ranges come from a sample and must be the same for the totals and the rows
+    ranged = kept(images.repartitionByRange(split, image).sortWithinPartitions(split, image).withColumn("_part", F.spark_partition_id()), "images")
+    totals = ranged.groupBy("_part", split).agg(F.count("*").alias("_images"), F.sum("_n").alias("_boxes"))
+    before = Window.partitionBy(split).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range and split
+    offsets = totals.select("_part", split, *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("_images", "_boxes")))
+    w = Window.partitionBy("_part", split).orderBy(image)
+    numbered = ranged.withColumn("_place", F.row_number().over(w)).withColumn("_inside", F.sum("_n").over(w) - F.col("_n")).join(F.broadcast(offsets), ["_part", split])
+    numbered = numbered.select(split, image, (F.col("_place") + F.col("_images_before")).cast("int").alias("image_id"), (F.col("_inside") + F.col("_boxes_before")).alias("_before"))
     inside = boxes.withColumn("_at", F.row_number().over(Window.partitionBy(split, image).orderBy(*line)))
     return inside.join(numbered, [split, image]).withColumn("annotation_id", F.col("_before") + F.col("_at")).drop("_at", "_before")
 

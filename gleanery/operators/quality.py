@@ -42,7 +42,7 @@ def number(text: Column) -> Column:
 
 
 def parse_label_lines(rows: DataFrame, text: str, classes: list[int] | None = None) -> DataFrame:
-    """rows exploded by line of a label text: line (from 1), class_id, cx, cy, w, h, fields, status.
+    """rows exploded by line of a label text: line (from 1), class_value (as it stands), class_id, cx, cy, w, h, fields, status.
 
     status: 'malformed' (not five fields or not numbers), 'other_class' (not of the wanted ones), else 'box'. Blank lines are left out. A class is cut to an integer.
     """
@@ -53,7 +53,7 @@ def parse_label_lines(rows: DataFrame, text: str, classes: list[int] | None = No
     sound = (F.col("fields") == 5) & F.col("_c").isNotNull() & (F.abs("_c") < 2147483647) & F.col("cx").isNotNull() & F.col("cy").isNotNull() & F.col("w").isNotNull() & F.col("h").isNotNull()
     out = out.withColumn("class_id", F.when(sound, F.col("_c").cast("int"))).withColumn("_sound", sound)
     wanted = F.lit(True) if classes is None else F.col("class_id").isin(classes)
-    return out.withColumn("status", F.when(~F.col("_sound"), "malformed").when(~wanted, "other_class").otherwise("box")).drop("_c", "_sound")
+    return out.withColumn("status", F.when(~F.col("_sound"), "malformed").when(~wanted, "other_class").otherwise("box")).withColumnRenamed("_c", "class_value").drop("_sound")
 
 
 def box_errors(class_value: Column, cx: Column, cy: Column, w: Column, h: Column, classes: list[int], tolerance: float = VALIDATOR_TOLERANCE) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,22 +30,32 @@ def split_by_group(rows: DataFrame, group: str, ordinal: str, source_split: Colu
 def greedy_splits(groups: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """groups (name, size) -> (name, split): largest first, each to the split furthest under its target share of everything.
 
-    known (split, n) are counts so far. The fold needs the order, so the groups are gathered: one row for each group, not each record.
+    known (split, n) are counts so far. Each choice depends on all before it, so one task makes them, over a name and a number for each group of images,
+    in one pass that keeps three sums.
     """
-    spark = groups.sparkSession
-    start = known if known is not None else spark.createDataFrame([(SPLITS[0], 0)], "split string, n long")
-    counts = start.agg(*(F.coalesce(F.sum(F.when(F.col("split") == s, F.col("n"))), F.lit(0)).cast("double").alias(s) for s in SPLITS))
-    listed = groups.agg(F.array_sort(F.collect_list(F.struct((-F.col("size")).alias("k"), F.col("name")))).alias("todo"), F.coalesce(F.sum("size"), F.lit(0)).cast("double").alias("fresh"))
-    every = listed.crossJoin(counts).withColumn("total", F.col("fresh") + sum(F.col(s) for s in SPLITS))  # one row by one row
-
-    def place(state, g):
-        need = [F.lit(t) * F.col("total") - state[s] for t, s in zip(SPLIT_TARGETS, SPLITS)]
-        pick = F.when((need[0] >= need[1]) & (need[0] >= need[2]), SPLITS[0]).when(need[1] >= need[2], SPLITS[1]).otherwise(SPLITS[2])
-        return F.struct(*((state[s] + F.when(pick == s, -g["k"]).otherwise(0)).cast("double").alias(s) for s in SPLITS), F.concat(state["out"], F.array(F.struct(g["name"].alias("name"), pick.alias("split")))).alias("out"))
-
-    empty = F.array().cast("array<struct<name:string,split:string>>")
-    folded = every.select(F.aggregate("todo", F.struct(*(F.col(s) for s in SPLITS), empty.alias("out")), place)["out"].alias("out"))
-    return folded.select(F.inline("out"))
+    kind = groups.schema["name"].dataType.simpleString()
+    rows = groups.select("name", F.col("size").cast("long").alias("size"), F.lit(None).cast("string").alias("split"))
+    if known is not None:
+        rows = rows.union(known.groupBy("split").agg(F.sum("n").cast("long").alias("size")).select(F.lit(None).cast(kind), "size", "split"))
+
+    def place(table: pa.Table) -> pa.Table:
+        had = dict.fromkeys(SPLITS, 0.0)
+        todo = []
+        for name, size, split in zip(*(table.column(c).to_pylist() for c in ("name", "size", "split"))):
+            if split is None:
+                todo.append((-size, name))
+            elif split in had:
+                had[split] += size
+        total = sum(had.values()) - sum(k for k, _ in todo)
+        names, out = [], []
+        for k, name in sorted(todo):
+            pick = max(SPLITS, key=lambda s: SPLIT_TARGETS[SPLITS.index(s)] * total - had[s])  # the first of equal ones
+            had[pick] -= k
+            names.append(name)
+            out.append(pick)
+        return pa.table({"name": pa.array(names, table.schema.field("name").type), "split": pa.array(out, pa.string())})
+
+    return rows.withColumn("_all", F.lit(1)).groupBy("_all").applyInArrow(place, f"name {kind}, split string")
 
 
 def subset(rows: DataFrame, sha256: str, split: str, fraction: float) -> DataFrame:

@@ -68,3 +68,9 @@ def as_of(left: DataFrame, right: DataFrame, key: str, time: str, columns: list[
     both = left.withColumn("_s", F.lit(None).cast(kind)).withColumn("_k", F.lit(1)).unionByName(right.select(key, time, *order, state.alias("_s"), F.lit(0).alias("_k")), allowMissingColumns=True)
     w = Window.partitionBy(key).orderBy(time, "_k", *order).rowsBetween(Window.unboundedPreceding, 0)
     return both.withColumn("_s", F.last("_s", ignorenulls=True).over(w)).where("_k = 1").select(*left.columns, *(F.col(f"_s.{c}").alias(f"last_{c}") for c in columns))
+
+
+def within(spans: DataFrame, points: DataFrame, keys: list[str], first: str, last: str, at: str, width: int) -> DataFrame:
+    """spans joined with the points of equal keys that they hold, ends included: an equi-join on bins of `width`, of which a span has one entry for each that it touches."""
+    bins = spans.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(first) / width), F.floor(F.col(last) / width))))
+    return bins.join(points.withColumn("_bin", F.floor(F.col(at) / width)), [*keys, "_bin"]).where(F.col(at).between(F.col(first), F.col(last))).drop("_bin")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keys as K
 from ..operators import dedup, package, profile, splits
-from ..sources import annotations
+from ..sources import annotations, scans
 from .common import table
 
 
@@ -86,17 +86,6 @@ f AS (SELECT 0::BIGINT AS i, ''::VARCHAR AS name, ''::VARCHAR AS split, 0e0 AS a
 SELECT name, split FROM f WHERE i > 0"""
 
 
-def neardup_hamming_top3(spark, sf_dir):
-    half = lambda k: F.conv(F.array_join(F.transform(F.slice("embedding", 1 + 32 * k, 32), lambda x: F.when(x > 0, "1").otherwise("0")), ""), 2, 10).cast("long")
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.array(half(0), half(1)).alias("words"))
-    return dedup.near_duplicates(rows, "words", 64, "label", "vec_id", most=16)
-
-
-_HAMMING = """WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x > 0) AS s FROM embeddings),
-p AS (SELECT len(list_filter(range(1, 65), lambda i: a.s[i] <> b.s[i]))::INTEGER AS hamming, a.label AS source_a, a.vec_id AS id_a, b.label AS source_b, b.vec_id AS id_b FROM v a JOIN v b ON a.label < b.label)
-SELECT * FROM p WHERE hamming <= 16 QUALIFY row_number() OVER (PARTITION BY source_b, id_b ORDER BY hamming, source_a, id_a) <= 3"""
-
-
 def known_hash_filter(spark, sf_dir):
     rows = _candidates(spark, sf_dir)
     return dedup.drop_known(rows.where("ordinal % 5 != 0"), rows.where("ordinal % 5 = 0"), "image_hash", "ordinal").select("ordinal", "image_hash")
@@ -104,13 +93,7 @@ def known_hash_filter(spark, sf_dir):
 
 def contamination(spark, sf_dir):
     """Documents that share a run of 8 words with a benchmark item, by item."""
-    def grams(df, ident):
-        words = F.filter(F.split(F.lower("text"), r"\s+"), lambda x: x != "")
-        runs = F.transform(F.sequence(F.lit(1), F.size("w") - 7), lambda i: F.array_join(F.slice("w", i, 8), " "))
-        return df.select(ident, words.alias("w")).where(F.size("w") >= 8).select(ident, F.explode(F.array_distinct(runs)).alias("gram"))
-
-    items = grams(table(spark, sf_dir, "benchmark"), "item_id")
-    return grams(table(spark, sf_dir, "documents"), "doc_id").join(items, "gram").groupBy("item_id", "doc_id").agg(F.count("*").alias("shared"))
+    return profile.shared_runs(table(spark, sf_dir, "documents"), "doc_id", table(spark, sf_dir, "benchmark"), "item_id")
 
 
 _GRAMS = "SELECT {0}, unnest(list_distinct(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' ')))) AS gram FROM (SELECT {0}, list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '') AS w FROM {1}) WHERE len(w) >= 8"
@@ -167,26 +150,26 @@ def recording_day(spark, sf_dir):
 def path_ops(spark, sf_dir):
     u = F.col("url")
     path = F.concat(F.lit("a/images/"), F.regexp_replace(u, "^[a-z]+://", ""), F.lit("/images/p"), F.col("page_id").cast("string"), F.lit(".jpg"))
-    return table(spark, sf_dir, "pages").select("page_id", K.label_path(path).alias("label"), K.clean_name(u).alias("clean"), K.is_junk(F.concat(u, F.when(F.col("page_id") % 5 == 0, "/__MACOSX/x").when(F.col("page_id") % 5 == 1, "/._y").otherwise("/z"))).alias("junk"), K.is_unsafe_member(F.concat(F.when(F.col("page_id") % 3 == 0, "/").when(F.col("page_id") % 3 == 1, "a/../").otherwise(""), F.col("page_id").cast("string"))).alias("unsafe"), K.folder_reference(F.concat(F.lit("https://host.test/drive/folders/F"), F.col("page_id").cast("string"), F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("?resourcekey=k-"), F.col("page_id").cast("string"), F.lit("&x=1"))).otherwise(""))).alias("f")).select("*", "f.id", "f.resource_key").drop("f")
+    return table(spark, sf_dir, "pages").select("page_id", K.label_path(path).alias("label"), K.clean_name(F.concat(F.lit("  "), F.regexp_replace(u, "/", " /& "), F.lit("-_ "))).alias("clean"), K.is_junk(F.concat(u, F.when(F.col("page_id") % 5 == 0, "/__MACOSX/x").when(F.col("page_id") % 5 == 1, "/._y").otherwise("/z"))).alias("junk"), K.is_unsafe_member(F.concat(F.when(F.col("page_id") % 3 == 0, "/").when(F.col("page_id") % 3 == 1, "a/../").otherwise(""), F.col("page_id").cast("string"))).alias("unsafe"), K.folder_reference(F.concat(F.when(F.col("page_id") % 7 == 0, "bare id ").otherwise("https://host.test/drive/folders/F"), F.col("page_id").cast("string"), F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("?x=/folders/no&resourcekey=k%2D"), F.col("page_id").cast("string"), F.lit("&x=1"))).otherwise(""))).alias("f")).select("*", "f.id", "f.resource_key").drop("f")
 
 
 def archive_classify(spark, sf_dir):
     k = F.col("p_partkey")
-    name = F.concat(F.lit("v"), k.cast("string"), F.when(k % 5 == 0, F.concat(F.lit(".part"), (k % 4 + 1).cast("string"), F.lit(".RAR"))).when(k % 5 == 1, ".zip").when(k % 5 == 2, F.concat(F.lit(".r0"), (k % 3).cast("string"))).when(k % 5 == 3, ".rar").otherwise(""))
+    name = F.concat(F.lit("v"), k.cast("string"), F.when(k % 5 == 0, F.concat(F.lit(".part"), (k % 4 + 1).cast("string"), F.lit(".RAR"))).when(k % 5 == 1, ".zip").when(k % 5 == 2, F.concat(F.lit(".r"), F.when(k % 2 == 0, "10").otherwise("0"), (k % 3).cast("string"))).when(k % 5 == 3, ".rar").otherwise(""))
     mime = F.when(k % 2 == 0, "application/zip").otherwise("text/plain")
     return table(spark, sf_dir, "part").select("p_partkey", name.alias("name"), K.archive_kind(name, mime).alias("kind"), K.rar_volume(name).alias("v")).select("p_partkey", "name", "kind", "v.number", "v.later")
 
 
 def _files(spark, sf_dir):
-    suffix = F.element_at(F.array(*(F.lit(x) for x in (".JPG", ".png", ".mp4", ".json", ".txt", "", ".zip"))), (F.col("doc_id") % 7 + 1).cast("int"))
-    return table(spark, sf_dir, "documents").select("source", "n_chars", F.concat(F.when(F.col("doc_id") % 13 == 0, "__MACOSX/").otherwise("frames/"), F.col("doc_id").cast("string"), suffix).alias("path"))
+    suffix = F.element_at(F.array(*(F.lit(x) for x in (".JPG", ".png", ".mp4", ".json", ".yml", "", ".zip"))), (F.col("doc_id") % 7 + 1).cast("int"))
+    return table(spark, sf_dir, "documents").select("source", "n_chars", F.concat(F.when(F.col("doc_id") % 13 == 0, "__MACOSX/").when(F.col("doc_id") % 5 == 0, "").otherwise(F.concat(F.lit("d"), (F.col("doc_id") % 4).cast("string"), F.when(F.col("doc_id") % 3 == 0, "/Images/a/").otherwise("/labels/"))), F.col("doc_id").cast("string"), suffix).alias("path"))
 
 
-_FILES = "SELECT source, n_chars, CASE WHEN doc_id % 13 = 0 THEN '__MACOSX/' ELSE 'frames/' END || doc_id || ['.JPG', '.png', '.mp4', '.json', '.txt', '', '.zip'][doc_id % 7 + 1] AS path FROM documents"
+_FILES = "SELECT source, n_chars, CASE WHEN doc_id % 13 = 0 THEN '__MACOSX/' WHEN doc_id % 5 = 0 THEN '' WHEN doc_id % 3 = 0 THEN 'd' || (doc_id % 4) || '/Images/a/' ELSE 'd' || (doc_id % 4) || '/labels/' END || doc_id || ['.JPG', '.png', '.mp4', '.json', '.yml', '', '.zip'][doc_id % 7 + 1] AS path FROM documents"
 
 
 def content_profile(spark, sf_dir):
-    return profile.content_profile(_files(spark, sf_dir), "source", "path", "n_chars")
+    return profile.content_profile(_files(spark, sf_dir), "source", "path", "n_chars").withColumns({c: F.array_join(c, ",") for c in ("top_level", "annotation_examples")})
 
 
 def suffix_histogram(spark, sf_dir):
@@ -200,8 +183,7 @@ def detect_format(spark, sf_dir):
 
 def stride_filter(spark, sf_dir):
     name = F.concat(F.lit("frame_"), F.col("event_id").cast("string"), F.when(F.col("event_id") % 10 == 0, "x").otherwise(""))
-    number = F.nullif(F.regexp_extract("name", r"_(\d+)$", 1), F.lit("")).cast("long")
-    return table(spark, sf_dir, "events").select("event_id", name.alias("name")).select("*", K.frame_number(F.col("name")).alias("frame"), number.alias("n")).where(F.col("n").isNull() | (F.col("n") % 3 == 0)).select("event_id", "frame")
+    return table(spark, sf_dir, "events").select("event_id", name.alias("name")).where(scans.on_stride(F.col("name"))).select("event_id", K.frame_number(F.col("name")).alias("frame"))
 
 
 def manifest_union_minus(spark, sf_dir):
@@ -238,7 +220,6 @@ b AS (SELECT n.split, count(s.split) AS images, coalesce(sum(o), 0)::BIGINT AS o
 SELECT * FROM b UNION ALL SELECT 'total', sum(images)::BIGINT, sum(objects)::BIGINT, sum(negatives)::BIGINT FROM b""",
     subset_fraction: f"SELECT ordinal, coalesce(source_split, 'train') AS split FROM ({_CAND}) WHERE source_split = 'test' OR (('0x' || substr(image_hash, 1, 12))::UBIGINT)::DOUBLE / 281474976710656e0 < 0.25e0",
     split_greedy: _GREEDY,
-    neardup_hamming_top3: _HAMMING,
     known_hash_filter: f"SELECT ordinal, image_hash FROM ({_CAND}) WHERE ordinal % 5 <> 0 AND image_hash NOT IN (SELECT image_hash FROM ({_CAND}) WHERE ordinal % 5 = 0) QUALIFY row_number() OVER (PARTITION BY image_hash ORDER BY ordinal) = 1",
     contamination: f"SELECT item_id, doc_id, count(*) AS shared FROM ({_GRAMS.format('doc_id', 'documents')}) JOIN ({_GRAMS.format('item_id', 'benchmark')}) USING (gram) GROUP BY 1, 2",
     pack_nextfit: f"{_FIT} SELECT lang, doc_id AS ordinal, n_chars, shard FROM f",
@@ -253,14 +234,19 @@ SELECT doc_id, CASE WHEN row_number() OVER (PARTITION BY stem || suffix ORDER BY
     output_paths: f"""WITH p AS (SELECT ordinal, image_hash, 'images/' || coalesce(source_split, 'train') || '/' || substr(image_hash, 1, 2) || '/' || source || '_' || substr(image_hash, 1, 20) AS stem FROM ({_CAND}))
 SELECT ordinal, stem || CASE WHEN ordinal % 3 = 0 THEN '.jpg' ELSE '.png' END AS path, substr(image_hash, 1, 2) AS bucket, 'labels/' || substr(stem, 8) || '.txt' AS label FROM p""",
     recording_day: "SELECT o_orderkey, CASE WHEN o_orderkey % 4 IN (0, 1) AND year(o_orderdate) >= 2000 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders",
-    path_ops: """SELECT page_id, 'a/images/' || regexp_replace(url, '^[a-z]+://', '') || '/labels/p' || page_id || '.txt' AS label, nullif(regexp_replace(regexp_replace(url, '[^A-Za-z0-9_-]', '_', 'g'), '^[_-]+|[_-]+$', '', 'g'), '') AS clean,
- page_id % 5 IN (0, 1) AS junk, page_id % 3 IN (0, 1) AS unsafe, 'F' || page_id AS id, CASE WHEN page_id % 2 = 0 THEN 'k-' || page_id END AS resource_key FROM pages""",
-    archive_classify: """WITH n AS (SELECT p_partkey, 'v' || p_partkey || CASE p_partkey % 5 WHEN 0 THEN '.part' || (p_partkey % 4 + 1) || '.RAR' WHEN 1 THEN '.zip' WHEN 2 THEN '.r0' || (p_partkey % 3) WHEN 3 THEN '.rar' ELSE '' END AS name FROM part)
+    path_ops: """SELECT page_id, 'a/images/' || regexp_replace(url, '^[a-z]+://', '') || '/labels/p' || page_id || '.txt' AS label, nullif(regexp_replace(regexp_replace(url, '[^A-Za-z0-9_-]+', '_', 'g'), '^[_-]+|[_-]+$', '', 'g'), '') AS clean,
+ page_id % 5 IN (0, 1) AS junk, page_id % 3 IN (0, 1) AS unsafe, CASE WHEN page_id % 7 = 0 THEN 'bare id ' || page_id || CASE WHEN page_id % 2 = 0 THEN '?x=/folders/no&resourcekey=k%2D' || page_id || '&x=1' ELSE '' END ELSE 'F' || page_id END AS id, CASE WHEN page_id % 2 = 0 AND page_id % 7 <> 0 THEN 'k-' || page_id END AS resource_key FROM pages""",
+    archive_classify: """WITH n AS (SELECT p_partkey, 'v' || p_partkey || CASE p_partkey % 5 WHEN 0 THEN '.part' || (p_partkey % 4 + 1) || '.RAR' WHEN 1 THEN '.zip' WHEN 2 THEN '.r' || CASE WHEN p_partkey % 2 = 0 THEN '10' ELSE '0' END || (p_partkey % 3) WHEN 3 THEN '.rar' ELSE '' END AS name FROM part)
 SELECT p_partkey, name, CASE WHEN p_partkey % 5 <> 4 THEN '' WHEN p_partkey % 2 = 0 THEN '.zip' END AS kind, v::INTEGER AS number, coalesce(v > 1, false) AS later
-FROM (SELECT *, CASE p_partkey % 5 WHEN 0 THEN p_partkey % 4 + 1 WHEN 2 THEN p_partkey % 3 + 2 WHEN 3 THEN 1 END AS v FROM n)""",
-    content_profile: f"""SELECT source, count(*) AS files, sum(n_chars)::BIGINT AS bytes, count(*) FILTER (WHERE lower(path) LIKE '%.jpg' OR path LIKE '%.png') AS images, count(*) FILTER (WHERE path LIKE '%.mp4') AS videos,
- count(*) FILTER (WHERE path LIKE '%.json' OR path LIKE '%.txt') AS annotations FROM ({_FILES}) WHERE path NOT LIKE '\\_\\_MACOSX/%' ESCAPE '\\' GROUP BY source""",
-    suffix_histogram: f"SELECT source, lower(regexp_extract(path, '(\\.[^./]+)$', 1)) AS suffix, count(*) AS n FROM ({_FILES}) WHERE NOT starts_with(path, '__MACOSX/') GROUP BY 1, 2",
+FROM (SELECT *, CASE p_partkey % 5 WHEN 0 THEN p_partkey % 4 + 1 WHEN 2 THEN p_partkey % 3 + 2 + CASE WHEN p_partkey % 2 = 0 THEN 100 ELSE 0 END WHEN 3 THEN 1 END AS v FROM n)""",
+    content_profile: f"""WITH f AS (SELECT * FROM ({_FILES}) WHERE NOT starts_with(path, '__MACOSX/')),
+d AS (SELECT DISTINCT source, string_split(path, '/')[1:i] AS d FROM f, range(1, 4) r(i) WHERE i < len(string_split(path, '/'))),
+n AS (SELECT source, count(*) FILTER (WHERE lower(d[-1]) IN ('frames', 'images')) AS frames_or_images_dirs, count(*) FILTER (WHERE lower(d[-1]) = 'labels') AS labels_dirs FROM d GROUP BY source),
+s AS (SELECT source, count(*) AS files, sum(n_chars)::BIGINT AS bytes, count(*) FILTER (WHERE lower(path) LIKE '%.jpg' OR path LIKE '%.png') AS images, count(*) FILTER (WHERE path LIKE '%.mp4') AS videos,
+ count(*) FILTER (WHERE path LIKE '%.json' OR path LIKE '%.yml') AS annotation_files, list_sort(list(DISTINCT string_split(path, '/')[1]))[1:30] AS top_level,
+ coalesce(list_sort(list(DISTINCT path) FILTER (WHERE path LIKE '%.json' OR path LIKE '%.yml'))[1:20], []) AS annotation_examples FROM f GROUP BY source)
+SELECT s.source, files, bytes, images, videos, annotation_files, coalesce(frames_or_images_dirs, 0) AS frames_or_images_dirs, coalesce(labels_dirs, 0) AS labels_dirs, list_aggregate(top_level, 'string_agg', ',') AS top_level, coalesce(list_aggregate(annotation_examples, 'string_agg', ','), '') AS annotation_examples FROM s LEFT JOIN n ON n.source = s.source""",
+    suffix_histogram: f"SELECT source, coalesce(nullif(lower(regexp_extract(path, '[^/](\\.[^./]+)$', 1)), ''), '<none>') AS suffix, count(*) AS n FROM ({_FILES}) WHERE NOT starts_with(path, '__MACOSX/') GROUP BY 1, 2",
     detect_format: """WITH f AS (SELECT l_partkey AS seq, CASE WHEN l_quantity > 48 THEN 3 ELSE l_suppkey % 3 END AS k FROM lineitem)
 SELECT seq, CASE WHEN bool_or(k = 3) THEN 'json' WHEN bool_or(k = 0) THEN 'yolo' WHEN bool_or(k = 1) THEN 'csv' ELSE 'json' END AS format FROM f GROUP BY seq""",
     stride_filter: "SELECT event_id, event_id::INTEGER AS frame FROM events WHERE event_id % 10 = 0 OR event_id % 3 = 0",

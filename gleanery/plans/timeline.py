@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions import keys as K
 from ..operators import ledger, tracks
+from ..session import scratch_root
 from ..streaming import incremental
 from .common import KEYS, keyframes, table
 
@@ -44,10 +44,10 @@ def asof_last_view(spark, sf_dir):
 
 
 def interval_join(spark, sf_dir):
-    """Orders in each customer's open intervals of 30 days, by exploding the interval to days and joining on them."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("d"))
-    days = o.select(F.col("o_orderkey").alias("from_key"), "o_custkey", F.explode(F.sequence(F.date_add("d", 1), F.date_add("d", 30))).alias("d"))
-    return days.join(o, ["o_custkey", "d"]).groupBy("from_key").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("least"))
+    """Orders in each customer's open intervals of 30 days: an interval touches two bins of 30 days at most."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.unix_date(F.to_date("o_orderdate")).alias("d"))
+    spans = o.select(F.col("o_orderkey").alias("from_key"), "o_custkey", (F.col("d") + 1).alias("first"), (F.col("d") + 30).alias("last"))
+    return tracks.within(spans, o, ["o_custkey"], "first", "last", "d", 30).groupBy("from_key").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("least"))
 
 
 def lookup_fallback(spark, sf_dir):
@@ -84,18 +84,24 @@ def retry_attempts(spark, sf_dir):
 
 
 def listing_diff(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("drive_id"), F.concat("source", F.lit("/"), F.lpad(F.col("doc_id").cast("string"), 9, "0")).alias("path"), F.md5(F.col("text").cast("binary")).alias("md5"))
-    old = d.where("drive_id % 2 = 0").withColumn("md5", F.when(F.col("drive_id") % 16 == 0, F.concat("md5", F.lit("-"))).otherwise(F.col("md5")))
-    now = d.where("drive_id % 5 != 0").withColumn("path", F.when(F.col("drive_id") % 12 == 0, F.concat("path", F.lit("x"))).otherwise(F.col("path")))
-    return ledger.listing_diff(now, old)
-
-
-_DIFF = """WITH d AS (SELECT doc_id AS drive_id, source || '/' || lpad(doc_id::VARCHAR, 9, '0') AS path, md5(text) AS md5 FROM documents),
-o AS (SELECT drive_id, path, CASE WHEN drive_id % 16 = 0 THEN md5 || '-' ELSE md5 END AS md5 FROM d WHERE drive_id % 2 = 0),
-n AS (SELECT drive_id, CASE WHEN drive_id % 12 = 0 THEN path || 'x' ELSE path END AS path, md5 FROM d WHERE drive_id % 5 <> 0),
-j AS (SELECT n.*, o.path AS old_path, (SELECT count(*) FROM o x WHERE x.drive_id = n.drive_id) AS versions, w.md5 IS NOT NULL AS owned, min(n.path) OVER (PARTITION BY n.md5) AS first_path
- FROM n LEFT JOIN o ON o.drive_id = n.drive_id AND o.md5 = n.md5 LEFT JOIN (SELECT DISTINCT md5 FROM o) w ON w.md5 = n.md5)
-SELECT drive_id, path, md5, CASE WHEN old_path = path THEN 'skip' WHEN old_path IS NOT NULL THEN 'rename' WHEN owned OR first_path <> path THEN 'duplicate' WHEN versions > 0 THEN 'new_version' ELSE 'new' END AS action FROM j"""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat("source", F.lit("/"), F.lpad(F.col("doc_id").cast("string"), 9, "0")).alias("path"), F.md5(F.col("text").cast("binary")).alias("md5"))
+    id_, k = F.concat(F.lit("f"), F.col("doc_id").cast("string")).alias("drive_id"), F.col("doc_id")
+    status = F.element_at(F.array(*map(F.lit, ("ingested", "download_failed", "new", "extracted", "ignored"))), (k % 10 / 2 + 1).cast("int"))
+    state = d.where("doc_id % 2 = 0").select(id_, "path", F.when(k % 16 == 0, F.concat("md5", F.lit("-"))).otherwise(F.col("md5")).alias("md5"), status.alias("status"))
+    name = F.concat("path", F.when(k % 12 == 0, "x").otherwise(""), F.when(k % 7 != 0, ".zip").otherwise(""))
+    listing = d.where("doc_id % 5 != 0 or doc_id % 4 = 0").select(id_, name.alias("path"), "md5", K.archive_kind(name, F.when(k % 3 == 0, "application/zip").otherwise("text/plain")).alias("suffix"))
+    return ledger.listing_diff(listing, state)
+
+
+_DIFF = """WITH d AS (SELECT doc_id AS k, 'f' || doc_id AS drive_id, source || '/' || lpad(doc_id::VARCHAR, 9, '0') AS path, md5(text) AS md5 FROM documents),
+o AS (SELECT drive_id, path, CASE WHEN k % 16 = 0 THEN md5 || '-' ELSE md5 END AS md5, ['ingested', 'download_failed', 'new', 'extracted', 'ignored'][k % 10 // 2 + 1] AS status FROM d WHERE k % 2 = 0),
+n AS (SELECT drive_id, path || CASE WHEN k % 12 = 0 THEN 'x' ELSE '' END || CASE WHEN k % 7 <> 0 THEN '.zip' ELSE '' END AS path, md5, k % 7 <> 0 OR k % 3 = 0 AS archive FROM d WHERE k % 5 <> 0 OR k % 4 = 0),
+w AS (SELECT md5, arg_max(drive_id, (path, drive_id)) AS owner FROM o WHERE status NOT IN ('download_failed', 'ignored', 'duplicate') GROUP BY md5),
+j AS (SELECT n.*, o.path AS old_path, status, owner, EXISTS (SELECT 1 FROM o x WHERE x.drive_id = n.drive_id) AS versions, coalesce(status NOT IN ('new', 'download_failed', 'downloading', 'ignored'), false) AS handled
+ FROM n LEFT JOIN o ON o.drive_id = n.drive_id AND o.md5 = n.md5 LEFT JOIN w ON w.md5 = n.md5),
+t AS (SELECT *, min(CASE WHEN NOT handled AND archive AND (owner IS NULL OR owner = drive_id) THEN path END) OVER (PARTITION BY md5) AS first_path FROM j)
+SELECT drive_id, path, md5, CASE WHEN handled THEN 'skip' WHEN NOT archive THEN 'ignored' WHEN owner <> drive_id OR owner IS NULL AND path <> first_path THEN 'duplicate' WHEN status IS NOT NULL THEN 'again' WHEN versions THEN 'new_version' ELSE 'new' END AS action,
+ coalesce(old_path <> path, false) AS renamed FROM t"""
 
 
 def undo_replay(spark, sf_dir):
@@ -157,7 +163,7 @@ def eligible_runs(spark, sf_dir):
 def streaming_dedup(spark, sf_dir):
     """The first event of each user, type and k that a stream of the events brings; which one it is, the stream decides, so only the key is returned."""
     events = table(spark, sf_dir, "events")
-    root = (spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="gleanery-")).rstrip("/") + f"/gleanery-stream-{uuid.uuid4().hex[:12]}"
+    root = f"{scratch_root(spark)}/stream-{uuid.uuid4().hex[:12]}"
     stream = incremental.stream_table(spark, events.schema, f"{sf_dir}/event[s].parquet")  # a pattern may name one file or a folder
     incremental.run_to_end(incremental.first_of_key(stream.select("user_id", "event_type", "props"), ["user_id", "event_type", "props"]), f"{root}/out", f"{root}/state")
     return spark.read.schema("user_id long, event_type string, props string").parquet(f"{root}/out")

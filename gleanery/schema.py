@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # --- fixed values -------------------------------------------------------------------------------------------------
 SOURCE_PRIORITY = {
     "recordings": 120, "gem_new": 115, "gem": 110, "midgard": 105, "antiuav": 100, "pathik": 90,
@@ -22,13 +20,20 @@ VALIDATOR_TOLERANCE = 1e-6
 REPAIR_TOLERANCE = 1e-9
 BUCKET_FILES = 10_000
 SHARD_BYTES = 1 << 30
-LEDGER_STATES = ("new", "downloading", "downloaded", "extracting", "extracted", "ingesting", "ingested")
+ANNOTATION_SUFFIXES = ("json", "csv", "txt", "xml", "yaml", "yml", "parquet")
+JUNK_PARTS = ("__MACOSX", ".DS_Store", "Thumbs.db", "desktop.ini")
+ARCHIVE_SUFFIX_BY_MIME = {
+    "application/zip": ".zip",
+    "application/x-zip-compressed": ".zip",
+    "application/x-rar": ".rar",
+    "application/x-rar-compressed": ".rar",
+    "application/vnd.rar": ".rar",
+}
+HANDLED_AGAIN = ("new", "download_failed", "downloading", "ignored")
+NO_ORIGINAL = ("download_failed", "ignored", "duplicate")
+MANIFEST = "output_image string, split string, source string, original string, sha256 string, visual_hash string, `group` string, source_split string, width int, height int, boxes int, negative_kind string, removed_classes string"
+NEAR_DUPLICATE_COLUMNS = ("hamming_distance", "source_a", "image_a", "sha256_a", "source_b", "image_b", "sha256_b")
 # ------------------------------------------------------------------------------------------------------------------
 
-BOX = T.StructType([T.StructField(k, T.DoubleType()) for k in ("cx", "cy", "w", "h")])
-KEYFRAME = T.StructType([
-    T.StructField("frame", T.IntegerType()), T.StructField("time", T.DoubleType()), T.StructField("enabled", T.BooleanType()), T.StructField("rotation", T.DoubleType()),
-    *(T.StructField(k, T.DoubleType()) for k in ("x", "y", "width", "height")),
-])
 LABEL_STUDIO = "array<struct<data:struct<video_url:string>,annotations:array<struct<id:bigint,was_cancelled:boolean,result:array<struct<type:string,value:struct<labels:array<string>,framesCount:int,sequence:array<struct<frame:int,time:double,enabled:boolean,rotation:double,x:double,y:double,width:double,height:double>>>>>>>>>"
 EDITOR = "struct<exist:array<int>,gt_rect:array<array<double>>>"

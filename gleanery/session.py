@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_roots: dict[str, str] = {}
 
 
 def local_session(cpus: str | int = "*", **conf: str) -> SparkSession:
@@ -34,3 +37,24 @@ def ship(spark: SparkSession) -> SparkSession:
         context.addPyFile(name)
         _shipped.add(context.applicationId)
     return spark
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """A folder of this application in that of spark.checkpoint.dir. Where that is unset, one of our own, which only a driver with its executors in one process may have."""
+    app = spark.sparkContext.applicationId
+    if app not in _roots:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            master = spark.sparkContext.master
+            if not re.fullmatch(r"local(\[.*\])?", master):
+                raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+            root = "file://" + tempfile.mkdtemp(prefix="gleanery-")
+        _roots[app] = f"{root.rstrip('/')}/gleanery-{app}"
+    return _roots[app]
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """df as a Parquet table in the scratch folder, read back: lineage ends there and any executor can read it."""
+    path = f"{scratch_root(df.sparkSession)}/{label}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MANIFEST = "output_image string, split string, source string, original string, sha256 string, visual_hash string, `group` string, source_split string, width int, height int, boxes int, negative_kind string, removed_classes string"
+from ..schema import MANIFEST
+
 LISTING = "Path string, ID string, Size bigint, ModTime string, MimeType string, Hashes struct<md5:string>"
 
 
@@ -68,16 +69,19 @@ def zip_members(files: DataFrame) -> DataFrame:
 
 
 def tar_members(files: DataFrame) -> DataFrame:
-    """archive, member, size, safe of TAR files; links and paths that leave the folder are not safe."""
+    """archive, member, size, safe of TAR files; links and paths that leave the folder are not safe. Where a file cannot be read further, a row has member null."""
 
     def run(batches):
         for b in batches:
             rows = []
             for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
-                with tarfile.open(fileobj=io.BytesIO(content or b"")) as t:
-                    for m in t:
-                        if not m.isdir():
-                            rows.append((path, m.name, m.size, m.isfile() and not m.name.startswith(("/", "\\")) and ".." not in m.name.replace("\\", "/").split("/")))
+                try:
+                    with tarfile.open(fileobj=io.BytesIO(content or b"")) as t:
+                        for m in t:
+                            if not m.isdir():
+                                rows.append((path, m.name, m.size, m.isfile() and not m.name.startswith(("/", "\\")) and ".." not in m.name.replace("\\", "/").split("/")))
+                except (tarfile.TarError, OSError, EOFError):
+                    rows.append((path, None, None, None))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.bool_()))], ["archive", "member", "size", "safe"])
 
     return files.select("path", "content").mapInArrow(run, "archive string, member string, size long, safe boolean")
@@ -97,7 +101,7 @@ def read_metric_log(spark: SparkSession, path: str, metric: str = "test_coco_eva
 
 def trainer_lines(rows: DataFrame, line: str) -> DataFrame:
     """rows with phase ('train' or 'test'), epoch and batch where a trainer's line tells them."""
-    train, test = r"Epoch: \[(\d+)\]\s*\[\s*(\d+)/(\d+)\]", r"Test:\s*\[\s*(\d+)/(\d+)\]"
+    train, test = r"Epoch: \[(\d+)(?:/\d+)?\]\s+\[\s*(\d+)/(\d+)\]", r"Test:\s+\[\s*(\d+)/(\d+)\]"
     num = lambda p, i: F.nullif(F.regexp_extract(line, p, i), F.lit("")).cast("int")
     phase = F.when(F.col(line).rlike(train), "train").when(F.col(line).rlike(test), "test")
     return rows.select("*", phase.alias("phase"), num(train, 1).alias("epoch"), F.coalesce(num(train, 2), num(test, 1)).alias("batch"), F.coalesce(num(train, 3), num(test, 2)).alias("batches"))

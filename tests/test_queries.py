@@ -9,7 +9,9 @@ from gleanery.plans import registry
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 #: Queries that may find nothing on the smallest tables.
-MAY_BE_EMPTY = {"full_directories", "neardup_hamming_top3", "contiguity", "contamination"}
+MAY_BE_EMPTY = {"full_directories", "neardup_hamming_top3", "near_duplicate_report", "contiguity", "contamination"}
+#: Queries that SQL can't express; test_semantics compares them with plain code.
+NO_SQL = {"edit_replay"}
 
 
 @pytest.fixture(scope="module")
@@ -41,7 +43,7 @@ def test_query_matches_its_sql(spark, sf_dir, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql()) | NO_SQL
 
 
 def test_entry(spark):

@@ -125,10 +125,9 @@ def test_label_lines(spark):
 
 
 def test_near_duplicates_by_bits(spark):
-    near, far = (1 << 10) - 1, (1 << 11) - 1
-    rows = spark.createDataFrame([("a", 1, [0, 0], 1.0), ("b", 2, [near, 0], 1.0), ("b", 3, [far, 0], 1.0), ("a", 4, [0, 0], 1.0), ("c", 5, [0, 0], 2.0)], "s string, i long, w array<bigint>, r double")
-    got = {(r.id_a, r.id_b, r.hamming) for r in dedup.near_duplicates(rows, "w", 64, "s", "i", "r").collect()}
-    assert got == {(1, 2, 10), (4, 2, 10)}
+    rows = spark.createDataFrame([(s, i, [w, 0] * 8, r) for s, i, w, r in (("a", 1, 0, 1.0), ("b", 2, 31, 1.0), ("b", 3, 63, 1.0), ("a", 4, 0, 1.0), ("c", 5, 0, 2.0))], "s string, i long, w array<bigint>, r double")
+    got = {(r.id_a, r.id_b, r.hamming) for r in dedup.near_duplicates(rows, "w", 512, "s", "i", "r", most=40).collect()}
+    assert got == {(1, 2, 40), (4, 2, 40)}
 
 
 def test_undo_replay(spark):
@@ -139,10 +138,16 @@ def test_undo_replay(spark):
 
 
 def test_listing_diff(spark):
-    state = spark.createDataFrame([("1", "a", "m1"), ("2", "b", "m2")], "drive_id string, path string, md5 string")
-    now = spark.createDataFrame([("1", "a", "m1"), ("2", "c", "m2"), ("1", "a", "m9"), ("5", "e", "m1"), ("6", "f", "m6"), ("7", "g", "m6")], "drive_id string, path string, md5 string")
-    got = {(r.drive_id, r.md5): r.action for r in ledger.listing_diff(now, state).collect()}
-    assert got == {("1", "m1"): "skip", ("2", "m2"): "rename", ("1", "m9"): "new_version", ("5", "m1"): "duplicate", ("6", "m6"): "new", ("7", "m6"): "duplicate"}
+    state = spark.createDataFrame(
+        [("1", "a.zip", "m1", "ingested"), ("2", "b.zip", "m2", "extracted"), ("3", "x.zip", "m3", "download_failed"), ("4", "y.zip", "m4", "ignored"), ("8", "h.zip", "m8", "duplicate")],
+        "drive_id string, path string, md5 string, status string",
+    )
+    now = [("1", "a.zip", "m1", ""), ("2", "c.zip", "m2", ""), ("1", "a.zip", "m9", ""), ("5", "e.zip", "m1", ""), ("6", "f.zip", "m6", ""), ("7", "g.zip", "m6", ""), ("3", "x.zip", "m3", ""), ("4", "y.txt", "m4", None), ("9", "n.txt", "m6", None), ("8", "h.zip", "m8", "")]
+    got = {(r.drive_id, r.md5): (r.action, r.renamed) for r in ledger.listing_diff(spark.createDataFrame(now, "drive_id string, path string, md5 string, suffix string"), state).collect()}
+    assert got == {
+        ("1", "m1"): ("skip", False), ("2", "m2"): ("skip", True), ("1", "m9"): ("new_version", False), ("5", "m1"): ("duplicate", False), ("6", "m6"): ("new", False),
+        ("7", "m6"): ("duplicate", False), ("3", "m3"): ("again", False), ("4", "m4"): ("ignored", True), ("9", "m6"): ("ignored", False), ("8", "m8"): ("skip", False),
+    }
 
 
 def test_pair_rules(spark):
@@ -235,3 +240,70 @@ def test_incremental_stream(spark, tmp_path):
     spark.createDataFrame([(4, "b"), (5, "c")], schema).write.parquet(f"{tmp_path}/in/2")
     incremental.ingest(stream(), f"{tmp_path}/known", "h", "o", f"{tmp_path}/state")
     assert sorted(r.h for r in spark.read.parquet(f"{tmp_path}/known").collect()) == ["a", "b", "c"]
+
+
+def test_edits_undos_and_redos(spark):
+    import random
+
+    from gleanery.operators import ledger
+
+    rng = random.Random(6)
+    rows = [(s, rng.randrange(3), i, rng.choice(["edit", "edit", "undo", "redo"]), float(i)) for s in range(6) for i in range(40)]
+    want = {}
+    for s in range(6):
+        held, done, undone = [{}], [], []  # whole states, one after the other
+        for _, c, _, op, v in (r for r in rows if r[0] == s):
+            if op == "edit":
+                held.append(held[-1] | {c: v})
+                undone = []
+            elif op == "undo" and len(held) > 1:
+                undone.append(held.pop())
+            elif op == "redo" and undone:
+                held.append(undone.pop())
+        want |= {(s, c): v for c, v in held[-1].items()}
+    got = ledger.edited(spark.createDataFrame(rows, "s long, c long, i long, op string, v double").repartition(5), "s", "c", "i", "op", "v")
+    assert {(r.s, r.c): r.v for r in got.collect()} == want
+
+
+def test_bad_tars_are_rows(spark):
+    import io
+    import tarfile
+
+    from gleanery.sources import files
+
+    buffer = io.BytesIO()
+    with tarfile.open(fileobj=buffer, mode="w") as t:
+        for name in ("a.txt", "../b.txt"):
+            info = tarfile.TarInfo(name)
+            info.size = 3
+            t.addfile(info, io.BytesIO(b"abc"))
+    got = files.tar_members(spark.createDataFrame([("good", buffer.getvalue()), ("bad", b"no tar at all" * 100), ("none", None)], "path string, content binary")).collect()
+    assert sorted((r.archive, r.member, r.safe) for r in got if r.member) == [("good", "../b.txt", False), ("good", "a.txt", True)]
+    assert {r.archive for r in got if r.member is None} >= {"bad"}
+
+
+def test_short_blocks_are_refused(spark):
+    from gleanery.operators import dedup
+
+    with pytest.raises(ValueError):
+        dedup.near_duplicates(spark.createDataFrame([(1, "a", [1, 2])], "i long, s string, w array<bigint>"), "w", 64, "s", "i", most=16)
+
+
+def test_dataset_yaml_and_documents(spark):
+    from gleanery.operators import report
+    from gleanery.sources import files
+
+    text = report.dataset_yaml({"train": "images/train", "val": "images/val"}, {0: "drone", 1: "a: b"})
+    assert files.class_names(files.read_yaml(text))[0] == "drone" and 'images/train' in text
+    doc = report.one_document(spark.createDataFrame([("b", 2), ("a", 1)], "name string, frames int"), "videos", F.sum("frames").alias("frame_count")).first()[0]
+    import json
+
+    assert json.loads(doc) == {"frame_count": 3, "videos": [{"name": "a", "frames": 1}, {"name": "b", "frames": 2}]}
+
+
+def test_history_is_appended(spark, tmp_path):
+    from gleanery.operators import report
+
+    for k in range(2):
+        report.append_history(spark.createDataFrame([(f"run{k}", k)], "command string, exit_code int"), f"{tmp_path}/history")
+    assert {r.command for r in spark.read.json(f"{tmp_path}/history").collect()} == {"run0", "run1"}
