@@ -5,16 +5,14 @@ from __future__ import annotations
 import contextlib
 import contextvars
 import ctypes
-import re
 import sys
-import tempfile
 import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import scratch_root, ship
 
 #: Bytes, by a bound of each row's size, that may be broadcast; beyond it the same join is done by shuffling.
 BROADCAST_BYTES = 16 << 20
@@ -22,7 +20,6 @@ BROADCAST_BYTES = 16 << 20
 #: What a Python worker gets at once; long texts make few rows heavy, so both are bounded.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
-_roots: dict[str, str] = {}
 _made: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("made", default=None)
 
 
@@ -103,20 +100,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir. Where that is unset, a folder of our own, which only a driver with its executors in one process may have."""
-    app = spark.sparkContext.applicationId
-    if app not in _roots:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            master = spark.sparkContext.master
-            if not re.fullmatch(r"local(\[.*\])?", master):
-                raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
-            root = "file://" + tempfile.mkdtemp(prefix="gleanery-")
-        _roots[app] = f"{root.rstrip('/')}/gleanery-{app}"
-    return _roots[app]
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new place in the shared scratch folder, which the scratch() around it deletes, if there is one."""
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"

@@ -34,7 +34,7 @@ def test_queries_return_a_row_for_each_document(spark, sf_dir, name):
         assert len(got) == docs
 
 
-def test_pipeline(spark, sf_dir):
+def test_pipeline(spark, sf_dir, tmp_path):
     import corpus_pipeline
 
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "exact_dedup", "ngram_jaccard_join", "secret_scans", "best_fit_packing"]
@@ -50,8 +50,11 @@ def test_pipeline(spark, sf_dir):
 
     left = {d for d, _, c in classes([(d, text[d]) for d in sorted(alone)]) if c == d}
     want = {d: redacted(text[d]) for d in left}
-    root = f"{common.scratch_root(spark)}-pipeline"
-    packed = corpus_pipeline.run(spark, sf_dir).collect()
+    root = f"file://{tmp_path}/run"
+    first = corpus_pipeline.run(spark, sf_dir, root)
+    again = corpus_pipeline.run(spark, sf_dir)  # a run of its own, which leaves the first one's result alone
+    packed = first.collect()
+    assert sorted(packed) == sorted(again.collect())
     cleaned = spark.read.parquet(f"{root}/secret_scans")
     assert cleaned.columns == docs.columns
     assert {r.doc_id: r.text for r in cleaned.collect()} == want
@@ -60,6 +63,53 @@ def test_pipeline(spark, sf_dir):
     assert 0 < len(left) < len(alone) <= len(good) < len(text)
 
 
+ODD = [
+    (7, "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty and more words here"),
+    (3, "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty and more words here too"),
+    (7, "another text altogether that shares its number with the first one and must stay whatever becomes of that"),
+    (None, "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty and more words here two"),
+    (None, "alone without a number"), (8, "Same TEXT"), (8, "same text"), (9, None), (10, ""), (11, "token=abcdefghijklmnop1"),
+]
+
+
+def stage_after_stage(spark, docs, tmp_path, stages):
+    for name, stage in stages:
+        stage(spark, docs, "/root/testdata/sf0.001").write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+    return docs
+
+
+def test_pipeline_on_odd_rows(spark, on_disk, tmp_path):
+    """Repeated and null ids, equal texts, null texts, and columns (file, row, node, label ...) that operators use themselves."""
+    import corpus_pipeline
+
+    docs = on_disk(ODD)
+    done = stage_after_stage(spark, docs, tmp_path, corpus_pipeline.STAGES[1:4])
+    assert done.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in done.collect()), key=repr)
+    # null and empty texts are equal: 10 stays; of the near copies 3 does; of rows 8 one; the other row 7 is no copy
+    texts = {t for _, t in got}
+    assert len(got) == 6 and {d for d, _ in got} == {3, 7, None, 8, 10, 11} and ODD[2][1] in texts and "token=" not in " ".join(t or "" for t in texts)
+    packed = corpus_pipeline.packed(spark, done, "").collect()
+    assert len(packed) == 6
+
+
+def test_pipeline_on_an_empty_table(spark, on_disk, tmp_path):
+    import corpus_pipeline
+
+    docs = on_disk([], "empty")
+    done = stage_after_stage(spark, docs, tmp_path, corpus_pipeline.STAGES[:4])
+    assert done.columns == docs.columns and done.count() == 0 and corpus_pipeline.packed(spark, done, "").count() == 0
+
+
+def test_scratch_tables_go_with_their_scope(spark, on_disk):
+    docs = on_disk([(1, "a"), (2, "A")])
+    outside = exact_dedup.exact_duplicates(docs)
+    with common.scratch(spark):
+        assert exact_dedup.exact_duplicates(docs).count() == 2
+    assert outside.count() == 2
+
+
 def redacted(text):
     out, at = [], 0
     for a, _, b in secrets.scan(text)[1]:
