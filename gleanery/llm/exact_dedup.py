@@ -16,7 +16,7 @@ import hashlib
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -117,26 +117,33 @@ def exact_duplicates(documents: DataFrame, digest_of=None, state: str | None = N
     log = spark.read.schema(_LOG).parquet(f"{home}/log")
     found = common.keep(stream_state(spark, home, batch_files), "state")
 
-    locator = ["file", "row"]
-    hits = found.where("group_size > 1")
+    # a number for each locator: files by name, then the row; what is broadcast below are such numbers
+    files = common.few(common.keep(log.select(F.col("file").alias("named")).distinct().withColumn("no", F.row_number().over(Window.orderBy("named")).cast("long") * (1 << 40)), "files"))
+    at = lambda df, file, row, name: df.join(files, F.col(file) == F.col("named")).withColumn(name, F.col("no") + F.col(row)).drop("no", "named")
+    hits = found.where("group_size > 1").select("digest", "group_size", F.col("keep.file").alias("kept_file"), F.col("keep.row").alias("kept_row"))
+    hits = common.keep(at(hits, "kept_file", "kept_row", "one").select("digest", "group_size", "one"), "hits")
     total = log.count()
     # a third of all rows may share a digest: its rows are compared in parts of some 1,000, each with a copy of the text that stays
-    copies = _with_state(log.select("digest", *locator), hits.select("digest", "group_size", F.col("keep.file").alias("kept_file"), F.col("keep.row").alias("kept_row")), total)
-    copies = copies.withColumn("parts", F.ceil(F.col("group_size") / 1024).cast("int"))
-    copies = common.keep(copies.select("digest", *locator, F.pmod(F.xxhash64(*locator), F.col("parts")).cast("int").alias("part"), "parts", ((F.col("file") == F.col("kept_file")) & (F.col("row") == F.col("kept_row"))).alias("stays")), "hits")
-    body = "doc_id long, digest string, file string, row long, part int, parts int, stays boolean, body string"
-    bodies = docs.join(common.few(copies), locator).select("doc_id", "digest", *locator, "part", "parts", "stays", "text").mapInArrow(common.freeing(_normalise), body)
-    staying = docs.join(common.few(copies.where("stays")), locator).select("doc_id", "digest", *locator, "part", "parts", "stays", "text").mapInArrow(common.freeing(_normalise), body)
-    staying = staying.select("digest", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("body").alias("kept_body"))
-    differ = common.keep(bodies.join(staying, ["digest", "part"]).where("body != kept_body").select("digest").distinct(), "differ")
+    copies = _with_state(at(log.select("digest", "file", "row"), "file", "row", "at").select("digest", "at"), hits, total)
+    copies = common.keep(copies.select("at", "one", F.ceil(F.col("group_size") / 1024).cast("int").alias("parts")), "copies")
+    numbered = at(docs, "file", "row", "at").select("doc_id", "at", "text")
+    body = "doc_id long, at long, one long, parts int, body string"
+
+    def bodies_of(wanted: DataFrame) -> DataFrame:
+        return numbered.join(common.few(wanted), "at").select("doc_id", "at", "one", "parts", "text").mapInArrow(common.freeing(_normalise), body)
+
+    bodies = bodies_of(copies)
+    staying = bodies_of(copies.where("at = one")).select("one", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("body").alias("kept_body"))
+    parted = bodies.withColumn("part", F.pmod(F.xxhash64("at"), F.col("parts")).cast("int"))
+    differ = common.keep(parted.join(staying, ["one", "part"]).where("body != kept_body").select("one").distinct(), "differ")
 
     plain = _with_state(log, found, total)
     if differ.take(1):
-        odd = bodies.join(differ, "digest", "left_semi")
+        odd = at(log, "file", "row", "at").join(bodies.join(differ, "one", "left_semi").select("at", "body"), "at")
         by_bytes = odd.groupBy("digest", "body").agg(F.max(F.struct("doc_id", "file", "row")).alias("keep"), F.count("*").alias("group_size"))
-        exact = odd.join(by_bytes, ["digest", "body"]).select("digest", "doc_id", "file", "row", "keep", "group_size")
-        exact = exact.join(log.select("file", "row", "text_sha256"), locator)
-        plain = plain.join(differ, "digest", "left_anti").unionByName(exact.select(*plain.columns))
+        exact = odd.join(by_bytes, ["digest", "body"])
+        digests = hits.join(differ, "one", "left_semi").select("digest")
+        plain = plain.join(digests, "digest", "left_anti").unionByName(exact.select(*plain.columns))
     return plain.select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
         ((F.col("keep.file") == F.col("file")) & (F.col("keep.row") == F.col("row"))).alias("kept"), "text_sha256", "file", "row",
