@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from . import common
 
 SCALE = 1024
-#: Bytes of a shard's components, its postings being as many again and a half, and bytes of queries that one pass over the vectors may broadcast.
+#: Bytes of a shard's components, which it holds by vector, by term and, with half as many for rows, as postings; and bytes of queries that one pass over the vectors may broadcast.
 SHARD_BYTES = 8 << 20
 QUERY_BYTES = 64 << 20
 _STEP = 8
@@ -49,9 +49,9 @@ class Shard:
     """Vectors with a posting list for each term: rows and their components, ascending."""
 
     def __init__(self, ids: np.ndarray, m: np.ndarray):
-        self.ids, self.m = ids, m
-        order = np.argsort(m, axis=0, kind="stable")
-        self.rows, self.values = np.ascontiguousarray(order.T.astype(np.int32)), np.ascontiguousarray(np.take_along_axis(m, order, axis=0).T)
+        self.ids, self.m, self.by_term = ids, m, np.ascontiguousarray(m.T)
+        order = np.argsort(self.by_term, axis=1, kind="stable")
+        self.rows, self.values = order.astype(np.int32), np.take_along_axis(self.by_term, order, axis=1)
         self.low, self.high = self.values[:, 0], self.values[:, -1]
         self.reach = np.maximum(np.abs(self.low), np.abs(self.high))
 
@@ -76,21 +76,25 @@ class Shard:
         if need > span.sum():
             return np.zeros(0, np.int64)
         ends = np.cumsum(span[terms])
-        found, size = None, np.inf
-        # with more terms than need be essential, each list is traversed less far; the fewest postings win
-        for k in sorted({n, (n + int((span > 0).sum())) // 2, int((span > 0).sum())}):
+        found, size = None, 4 * len(self.m)  # beyond that many postings nearly all rows are met: no need to go through them
+        # with all terms essential, each list is traversed less far; the fewer postings win
+        for k in sorted({n, int((span > 0).sum())}):
             # a row that gives less than this share of each essential span cannot make up for what the others lack
             share = (need - (ends[-1] - ends[k - 1])) / ends[k - 1]
-            parts = []
+            parts, total = [], 0
             for t in terms[:k]:
                 # components are whole numbers: one to spare outweighs what rounding may err
                 if q[t] > 0:
                     parts.append(self.rows[t, np.searchsorted(self.values[t], (least[t] + share * span[t]) / q[t] - 1 + 1e-6) :])
                 else:
                     parts.append(self.rows[t, : np.searchsorted(self.values[t], (least[t] + share * span[t]) / q[t] + 1 - 1e-6, "right")])
-            total = sum(map(len, parts))
-            if total < size:
+                total += len(parts[-1])
+                if total >= size:
+                    break
+            else:
                 found, size = parts, total
+        if found is None:
+            return np.arange(len(self.m))
         seen = np.zeros(len(self.m), bool)
         for rows in found:
             seen[rows] = True
@@ -120,7 +124,8 @@ def maxscore(q: np.ndarray, shard: Shard, own: int | None, best: float, k: int,
     score = np.zeros(len(rows))
     for at in range(0, len(terms), _STEP):
         part = terms[at : at + _STEP]
-        score = score + (m[rows[:, None], part] if len(rows) < len(m) else m[:, part]) @ q[part]
+        # one by one only where few are left: side by side, all are added up sooner
+        score = score + (q[part] @ shard.by_term[np.ix_(part, rows)] if 4 * len(rows) < len(m) else (q[part] @ shard.by_term[part])[rows])
         if probes is not None:
             probes.append(len(rows) * len(part))
         after = min(at + _STEP, len(terms))
