@@ -40,7 +40,7 @@ def _matrix(batch) -> np.ndarray:
 def _inner(m: np.ndarray, q: np.ndarray, exact: bool) -> np.ndarray:
     """Integer products; float64 holds them exactly if no sum can pass 2^53, else Python integers do."""
     if exact:
-        return m @ q
+        return np.einsum("ij,j->i", m, q)
     whole = [int(x) for x in q]
     return np.array([sum(int(x) * y for x, y in zip(row, whole)) for row in m], object)
 
@@ -114,7 +114,7 @@ def maxscore(q: np.ndarray, shard: Shard, own: int | None, best: float, k: int,
         first = shard.rows[t, -4 * k :] if q[t] > 0 else shard.rows[t, : 4 * k]
         first = first[shard.ids[first] != own]
         if len(first) >= k:
-            best = float(np.partition(m[first] @ q, len(first) - k)[len(first) - k])
+            best = float(np.partition(np.einsum("ij,j->i", m[first], q), len(first) - k)[len(first) - k])
     rows = shard.met(q, best)
     rows = rows[shard.ids[rows] != own]
     lift, drop = np.maximum(q * shard.low, q * shard.high), np.minimum(q * shard.low, q * shard.high)
@@ -125,7 +125,10 @@ def maxscore(q: np.ndarray, shard: Shard, own: int | None, best: float, k: int,
     for at in range(0, len(terms), _STEP):
         part = terms[at : at + _STEP]
         # one by one only where few are left: side by side, all are added up sooner
-        score = score + (q[part] @ shard.by_term[np.ix_(part, rows)] if 4 * len(rows) < len(m) else (q[part] @ shard.by_term[part])[rows])
+        few = 4 * len(rows) < len(m)
+        # not by BLAS, whose threads would wait for each other over such small products
+        given = np.einsum("i,ij->j", q[part], shard.by_term[np.ix_(part, rows)] if few else shard.by_term[part])
+        score = score + (given if few else given[rows])
         if probes is not None:
             probes.append(len(rows) * len(part))
         after = min(at + _STEP, len(terms))
