@@ -19,7 +19,7 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(common.table(common.prepare(spark), sf_dir, "documents"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans", "n_layers")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans", "n_layers", "n_closed")
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import re
 import urllib.parse
 import zlib
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -105,3 +106,24 @@ def test_bytes_that_are_no_text_hide_nothing():
     assert found("x=%00%01&secret%3Dabcdefghijklmnop") == ["secret%3Dabcdefghijklmnop"]
     for raw in (b"\xff\x00\x01 " + KEY.encode() + b"\xfe\x02", KEY.encode("utf-16"), KEY.encode("utf-16-be"), zlib.compress(b"\x07\xff" + KEY.encode())):
         assert 1 in kinds(base64.b64encode(raw).decode())
+
+
+@pytest.mark.parametrize("text", ["x" * 300_000 + "%", "x" * 300_000 + "\\", "x%41" * 60_000, "\\u0041" * 60_000, "漢字" * 100_000 + "%20", "abcdefghijklmnop\n" * 20_000, "a" * 300_000 + " " + "AKIA" * 20_000], ids=lambda t: repr(t[:7] + t[-2:]))
+def test_long_texts_take_linear_time(text):
+    import time
+
+    began = time.time()
+    base, spans, _, _ = secrets.scan(text + " password=abcdefghijklmnop")
+    assert time.time() - began < 20
+    assert (len(text) + 1, 0, len(text) + 26) in base and set(base) <= set(spans)
+
+
+def test_a_large_layer_is_read_in_parts_within_bounds():
+    import base64
+    import resource
+    import zlib
+
+    text = "z " + base64.b64encode(zlib.compress(b"a b " * (16 << 20) + b"password=hunter2hunter2")).decode()
+    base, spans, _, closed = secrets.scan(text)
+    assert not base and closed == 1 and [k for _, k, _ in spans] == [0]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss < 3 << 20  # KB; of this process, whatever its other tests left
