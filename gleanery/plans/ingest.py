@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import keys as K
 from ..operators import dedup, ledger, quality, report
-from ..sources import annotations, files, scans
+from ..session import scratch_root
+from ..sources import annotations, files, images, scans, sinks
 from .common import table
 
 _S = lambda c: F.col(c).cast("string")
@@ -241,6 +244,74 @@ def usable_images(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", quality.usable_image(k % 4, k % 5, _pick(k, "PNG", "GIF", "TIFF")).alias("usable"), quality.negative_kind(boxes, k % 2).alias("kind"))
 
 
+def _folder(spark, label):
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def manifest_round_trip(spark, sf_dir):
+    """A manifest written in its order, added to, and read back; texts with commas, quotes and line ends among it."""
+    d = table(spark, sf_dir, "documents")
+    original = F.concat(F.lit('a "b", c'), F.when(F.col("doc_id") % 2 == 0, "\n").otherwise(""), _S("doc_id"))
+    none = F.lit(None).cast("string")
+    rows = d.select(_S("doc_id").alias("output_image"), F.lit("train").alias("split"), "source", original.alias("original"), F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), none.alias("visual_hash"), F.col("lang").alias("group"), none.alias("source_split"), F.lit(640).alias("width"), F.lit(480).alias("height"), (F.col("doc_id") % 5).cast("int").alias("boxes"), none.alias("negative_kind"), none.alias("removed_classes"))
+    path = _folder(spark, "manifest")
+    sinks.write_manifest(rows.where("source < 'src3'"), path)
+    sinks.append_manifest(rows.where("source >= 'src3'"), path)
+    return files.read_manifest(spark, path).select("output_image", "source", "original", "group", "width", "boxes", "visual_hash")
+
+
+def tar_round_trip(spark, sf_dir):
+    """Documents packed into a TAR by source, written as files, and listed again."""
+    d = table(spark, sf_dir, "documents").where("doc_id % 3 = 0 or lang = 'en'")
+    shards = sinks.tar_shards(d.select("source", F.lit(4).alias("shard"), F.concat(F.when(F.col("doc_id") % 7 == 0, "../").otherwise("d/"), _S("doc_id"), F.lit(".txt")).alias("name"), F.col("text").cast("binary").alias("content")), "source", "shard", "name", "content")
+    return files.tar_members(shards.select("path", "content")).select(F.col("archive"), "member", "size", "safe")
+
+
+def label_texts(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem")  # noqa: E741
+    box = F.struct((F.col("l_discount") * 8).cast("double").alias("cx"), F.lit(0.25).alias("cy"), (F.col("l_suppkey") / 1024).alias("w"), F.lit(0.5).alias("h"))
+    return l.where("l_linenumber = 1").select("l_orderkey", "l_partkey", "l_suppkey", sinks.label_text(F.array(box.withField("cx", F.col("l_linenumber") / 8.0), box.withField("cx", F.lit(0.125)))).alias("text"))
+
+
+def metric_log(spark, sf_dir):
+    path = _folder(spark, "log")
+    e = table(spark, sf_dir, "events").where("event_type = 'purchase'")
+    lines = e.select(F.to_json(F.struct(F.col("event_id").alias("epoch"), F.when(F.col("event_id") % 3 != 0, F.array(F.col("event_id") / 8.0, F.col("event_id") / 4.0)).alias("test_coco_eval_bbox"), F.lit(1).alias("other"))).alias("value"))
+    lines.write.text(path)
+    return files.read_metric_log(spark, path)
+
+
+def results_csv(spark, sf_dir):
+    path = _folder(spark, "results")
+    table(spark, sf_dir, "part").select(F.concat(F.lit("   "), _S("p_partkey")).alias("   epoch"), F.concat(F.lit(" "), (F.col("p_size") / 4.0).cast("string"), F.lit("  ")).alias(" metrics/mAP50(B)")).write.option("header", True).csv(path)
+    got = files.read_results_csv(spark, path)
+    return got.select("epoch", F.col("`metrics/mAP50(B)`").alias("map50"))
+
+
+def listing_read(spark, sf_dir):
+    path = _folder(spark, "listing")
+    d = table(spark, sf_dir, "documents")
+    d.select(F.concat("source", F.lit("/"), _S("doc_id")).alias("Path"), _S("doc_id").alias("ID"), F.col("n_chars").cast("long").alias("Size"), F.lit("2024-01-01T00:00:00Z").alias("ModTime"), F.lit("application/zip").alias("MimeType"), F.when(F.col("doc_id") % 4 != 0, F.struct(F.md5(F.col("text").cast("binary")).alias("md5"))).alias("Hashes")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct("*"))), ","), F.lit("]")).alias("value")).write.text(path)
+    return files.read_listing(spark, path).select("drive_id", "path", "size", K.content_key(F.col("md5"), F.col("size"), F.col("modified")).alias("key"))
+
+
+def image_headers(spark, sf_dir):
+    """PNG, GIF and BMP headers of sizes that line items tell, some cut short."""
+    k, w = F.col("l_suppkey"), F.col("l_quantity").cast("int")
+    four = lambda n: F.lpad(F.hex(n.cast("long")), 8, "0")
+    two = lambda n: F.concat(F.lpad(F.hex(n.cast("long") % 256), 2, "0"), F.lpad(F.hex(F.floor(n / 256).cast("long")), 2, "0"))
+    png = F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), four(w), four(k + 1))
+    gif = F.concat(F.lit("474946383961"), two(w), two(k + 1))
+    data = F.when(k % 4 == 0, F.substring(png, 1, 44)).when(k % 4 == 1, png).when(k % 4 == 2, gif).otherwise("00")
+    rows = table(spark, sf_dir, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("path"), F.unhex(data).alias("content"))
+    return images.inspected(rows)
+
+
+def static_pairs(spark, sf_dir):
+    pairs = scans.static_pairs(spark, {"en": "english", "de": "german", "xx": "nowhere"}, "lang", "name")
+    return table(spark, sf_dir, "documents").join(F.broadcast(pairs), "lang").groupBy("name").agg(F.count("*").alias("n"))
+
+
 _STEM = "'k3/' || CASE WHEN o % 3 = 0 THEN 'Video' || (o % 50) || '_' ELSE '' END || 'im.g' || o"
 _MISSING = "CASE WHEN o % 5 <> 0 THEN 'labelled' ELSE 'missing_label' END AS status"
 _O = "(SELECT o_orderkey AS o, o_custkey AS seq FROM orders)"
@@ -296,5 +367,14 @@ UNION ALL SELECT o_orderkey, NULL, NULL, NULL, NULL, NULL, NULL, 'length_mismatc
     label_studio_keyframes: "SELECT o_orderkey, 0 AS track_id, 0 AS point_no, o_orderkey::INTEGER AS frame, 0.5e0 AS time, true AS enabled, CASE WHEN o_orderkey % 2 = 0 THEN 1.5e0 ELSE 7.5e0 END AS x, 4e0 AS height, 90 AS frames_count FROM orders",
     nested_boxes: "SELECT o_orderkey, 0 AS box_no, o_custkey::DOUBLE AS x, 1e0 AS y, 2e0 AS w, 3e0 AS h FROM orders UNION ALL SELECT o_orderkey, 1, 5, 6, NULL, NULL FROM orders",
     box_aliases: "SELECT o_orderkey AS id, o_orderkey::DOUBLE AS frame, (o_custkey % 2)::DOUBLE AS exist, 1.5e0 AS x, 2e0 AS y, CASE WHEN o_orderkey % 3 <> 0 THEN 7.5e0 END AS width, 7e0 AS height FROM orders",
+    manifest_round_trip: "SELECT doc_id::VARCHAR AS output_image, source, 'a \"b\", c' || CASE WHEN doc_id % 2 = 0 THEN chr(10) ELSE '' END || doc_id AS original, lang AS \"group\", 640 AS width, (doc_id % 5)::INTEGER AS boxes, NULL::VARCHAR AS visual_hash FROM documents",
+    tar_round_trip: "SELECT 'shards/' || source || '-00004.tar' AS archive, CASE WHEN doc_id % 7 = 0 THEN '../' ELSE 'd/' END || doc_id || '.txt' AS member, coalesce(strlen(text), 0) AS size, doc_id % 7 <> 0 AS safe FROM documents WHERE doc_id % 3 = 0 OR lang = 'en'",
+    label_texts: "SELECT l_orderkey, l_partkey, l_suppkey, format('0 0.12500000 0.25000000 {:.8f} 0.50000000', l_suppkey / 1024) || chr(10) || format('0 0.12500000 0.25000000 {:.8f} 0.50000000', l_suppkey / 1024) AS text FROM lineitem WHERE l_linenumber = 1",
+    metric_log: "SELECT (event_id + 1)::INTEGER AS epoch, CASE WHEN event_id % 3 <> 0 THEN event_id / 8 END AS map50_95, CASE WHEN event_id % 3 <> 0 THEN event_id / 4 END AS map50 FROM events WHERE event_type = 'purchase'",
+    results_csv: "SELECT p_partkey::DOUBLE AS epoch, p_size / 4 AS map50 FROM part",
+    listing_read: "SELECT doc_id::VARCHAR AS drive_id, source || '/' || doc_id AS path, n_chars::BIGINT AS size, CASE WHEN doc_id % 4 <> 0 THEN md5(text) ELSE 'size' || n_chars || '-2024-01-01T00:00:00Z' END AS key FROM documents",
+    image_headers: """SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS path, CASE l_suppkey % 4 WHEN 1 THEN 'PNG' WHEN 2 THEN 'GIF' END AS kind, CASE WHEN l_suppkey % 4 IN (1, 2) THEN floor(l_quantity)::INTEGER END AS width, CASE WHEN l_suppkey % 4 IN (1, 2) THEN (l_suppkey + 1)::INTEGER END AS height,
+ l_suppkey % 4 IN (1, 2) AND floor(l_quantity) > 0 AS readable FROM lineitem""",
+    static_pairs: "SELECT CASE lang WHEN 'en' THEN 'english' ELSE 'german' END AS name, count(*) AS n FROM documents WHERE lang IN ('en', 'de') GROUP BY 1",
     usable_images: "SELECT l_orderkey, l_linenumber, l_suppkey % 4 >= 2 AND l_suppkey % 5 >= 2 AND l_suppkey % 3 <> 2 AS usable, CASE WHEN l_suppkey % 3 <> 0 THEN '' WHEN l_suppkey % 2 > 0 THEN 'non_target' ELSE 'native_empty' END AS kind FROM lineitem",
 }

@@ -28,7 +28,8 @@ def scan_text(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(MANIFEST).option("header", True).option("escape", '"').csv(path)
+    """A manifest, whose texts may hold line ends: each file is one task's work."""
+    return spark.read.schema(MANIFEST).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
 
 
 def synthesised_manifest(images: DataFrame, labels: DataFrame) -> DataFrame:

@@ -19,8 +19,9 @@ def append_manifest(rows: DataFrame, path: str) -> None:
 
 
 def label_text(boxes: Column, digits: int = 8) -> Column:
-    """The lines of a label file from an array of structs cx, cy, w, h."""
-    return F.array_join(F.transform(boxes, lambda b: F.format_string("0 " + " ".join([f"%.{digits}f"] * 4), b["cx"], b["cy"], b["w"], b["h"])), "\n")
+    """The lines of a label file from an array of structs cx, cy, w, h; values half way between two are rounded to the even one."""
+    even = lambda x: F.rint(x * 10.0**digits) / 10.0**digits
+    return F.array_join(F.transform(boxes, lambda b: F.format_string("0 " + " ".join([f"%.{digits}f"] * 4), *(even(b[k]) for k in ("cx", "cy", "w", "h")))), "\n")
 
 
 def audit_document(counts: DataFrame) -> DataFrame:

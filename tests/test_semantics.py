@@ -307,3 +307,19 @@ def test_history_is_appended(spark, tmp_path):
     for k in range(2):
         report.append_history(spark.createDataFrame([(f"run{k}", k)], "command string, exit_code int"), f"{tmp_path}/history")
     assert {r.command for r in spark.read.json(f"{tmp_path}/history").collect()} == {"run0", "run1"}
+
+
+def test_image_headers():
+    import struct
+
+    from gleanery.sources.images import header
+
+    jpeg = b"\xff\xd8\xff\xe0" + struct.pack(">H", 4) + b"ab" + b"\xff\xff\xc2" + struct.pack(">HBHH", 11, 8, 480, 640) + b"\x01\x01\x11\x00"
+    assert header(jpeg) == ("JPEG", 640, 480) and header(jpeg[:14]) == (None, None, None)
+    lossy = b"RIFF\0\0\0\0WEBPVP8 \0\0\0\0\0\0\0\x9d\x01\x2a" + struct.pack("<HH", 320, 200)
+    extended = b"RIFF\0\0\0\0WEBPVP8X\0\0\0\0\0\0\0\0" + (99).to_bytes(3, "little") + (49).to_bytes(3, "little")
+    assert header(lossy) == ("WEBP", 320, 200) and header(extended) == ("WEBP", 100, 50)
+    tiff = b"II*\0" + struct.pack("<IH", 8, 2) + struct.pack("<HHIHH", 256, 3, 1, 70, 0) + struct.pack("<HHII", 257, 4, 1, 30)
+    assert header(tiff) == ("TIFF", 70, 30)
+    assert header(b"BM" + b"\0" * 12 + struct.pack("<Iii", 40, 12, -9)) == ("BMP", 12, 9)
+    assert header(b"") == header(b"plain text") == (None, None, None)
