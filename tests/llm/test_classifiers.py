@@ -170,3 +170,40 @@ def test_all_labels_but_the_curves_are_counted(spark, on_disk):
     learned = [i for i, w in names.items() if crc_mod(i, 3) != 1 and set(toxicity._keys(toxicity._grams([w])[0]).tolist()) <= held]
     rest = [i for i in names if crc_mod(i, 3) != 1]
     assert len(rest) - 3 <= len(learned) <= len(rest)
+
+
+def test_trees_are_those_of_an_exhaustive_search():
+    rng = np.random.default_rng(8)
+    m = quality.AdditiveModel(leaves=2)
+    for _ in range(20):
+        g, h = rng.normal(size=9), rng.uniform(0.1, 1, 9)
+        gain = lambda parts: sum(g[p].sum() ** 2 / (h[p].sum() + m.ridge) for p in parts)
+        best = max(range(1, 9), key=lambda k: gain([slice(0, k), slice(k, 9)]))
+        want = np.empty(9)
+        for p in (slice(0, best), slice(best, 9)):
+            want[p] = g[p].sum() / (h[p].sum() + m.ridge)
+        if gain([slice(0, best), slice(best, 9)]) - gain([slice(0, 9)]) > 1e-9:
+            assert np.allclose(m._tree(g, h), want)
+        g, h = rng.normal(size=(4, 5)), rng.uniform(0.1, 1, (4, 5))
+        parts = lambda i, j: [(r, c) for r in (slice(0, i + 1), slice(i + 1, 4)) for c in (slice(0, j + 1), slice(j + 1, 5))]
+        most = max(sum(g[p].sum() ** 2 / (h[p].sum() + m.ridge) for p in parts(i, j)) for i in range(3) for j in range(4))
+        assert np.isclose(m._quad(g, h)[0], most)
+
+
+def test_fitting_is_newton_boosting_feature_by_feature():
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 6, (300, 2)).astype(float)
+    y = ((x[:, 0] > 2) ^ (rng.random(300) < 0.2)).astype(float)
+    m = quality.AdditiveModel(rounds=3, pairs=0, leaves=2)
+    m.fit(x, y)
+    z, tables = np.full(300, m.start), [np.zeros(len(e) + 1) for e in m.edges]
+    for _ in range(3):
+        for f in range(2):
+            p = 1 / (1 + np.exp(-z))
+            at = np.array([sum(e <= v for e in m.edges[f]) for v in x[:, f]])
+            g = np.array([(y - p)[at == b].sum() for b in range(len(tables[f]))])
+            h = np.array([(p * (1 - p))[at == b].sum() for b in range(len(tables[f]))])
+            step = m.rate * m._tree(g, h)
+            tables[f] += step
+            z += step[at]
+    assert all(np.allclose(a, b) for a, b in zip(m.tables, tables)) and np.allclose(m.score(x), 1 / (1 + np.exp(-z)))
