@@ -28,6 +28,7 @@ WEIGHTS = (1.0, 0.5, 0.5)
 GROUP = 20_000
 #: Bytes of words, and of parts of words, that a worker remembers; it then forgets the oldest, which costs time only.
 REMEMBERED = 72 << 20
+REMEMBERED_PARTS = 24 << 20
 _loaded: dict[str, "WordEncoder"] = {}
 
 
@@ -43,7 +44,7 @@ class WordEncoder:
         self.library.no_padding()
         self.chars = {b: c for c, b in byte_chars().items()}
         self.words = common.Memory(REMEMBERED)
-        self.parts = common.Memory(REMEMBERED)
+        self.parts = common.Memory(REMEMBERED_PARTS)
         # the vocabulary's own split of words, a fixed value
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
         self.simple = regex.compile(r"[\x21-\x7e¡-ɏ]+")
