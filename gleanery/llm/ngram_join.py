@@ -491,7 +491,8 @@ def _near_duplicates(documents: DataFrame, words: int, percent: int, long: int,
 
     # one document for each set that has a candidate, and its whole set
     named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(rest.select("node")).distinct()
-    ids = base.select("node", "doc_id").join(named, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    first = base.where("window is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))  # a row for each task that has met the set, so no task gets all copies of one
+    ids = first.join(named, "node", "left_semi")
     sets = common.keep(_by_id(docs, ids.select("doc_id"), _set_blobs(words, names), "node long, tokens binary").dropDuplicates(["node"]), "sets")
 
     def verify(edges: DataFrame, label: str) -> DataFrame:
