@@ -65,7 +65,7 @@ def scan_track_frames(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").where("l_linenumber <= 2").select(F.col("l_orderkey").alias("o"), "l_linenumber", (F.col("l_quantity") * 2 - 10.0).alias("x"), F.col("l_quantity").cast("double").alias("w"))
     tracks = lines.join(o, "o").select("seq", (F.col("o") + 1).alias("frame"), "x", F.lit(10.0).alias("y"), "w", F.lit(0.25 * 4).alias("h"))
     out = scans.track_frames(frames, tracks, presence, "seq")
-    return out.select("seq", "path", "frame", F.size("boxes").cast("long").alias("boxes"), F.aggregate("boxes", F.lit(0.0), lambda t, b: t + b["w"]).alias("widths"), "status", "negative_kind")
+    return out.select("seq", "path", "frame", F.size("boxes").cast("long").alias("boxes"), F.round(F.aggregate("boxes", F.lit(0.0), lambda t, b: t + b["w"]), 6).alias("widths"), "status", "negative_kind")
 
 
 def _dataset(spark, sf_dir):
@@ -327,7 +327,7 @@ FROM i LEFT JOIN l ON l.s = i.s AND l.stem = i.stem""",
     scan_track_frames: f"""WITH t AS (SELECT seq, o, list_transform([l_quantity * 2 - 10], lambda x: least(greatest(x, 0), 100))[1]::DOUBLE / 100 AS l, least(l_quantity * 3 - 10, 100)::DOUBLE / 100 AS r FROM {_O} JOIN lineitem ON l_orderkey = o WHERE l_linenumber <= 2),
 k AS (SELECT DISTINCT seq FROM t WHERE seq % 6 <> 0), b AS (SELECT seq, o, count(*) AS n, sum(r - l) AS w FROM t WHERE (r - l) * 640 >= 1 GROUP BY 1, 2),
 f AS (SELECT x.seq, x.o, x.o % 11 = 0 AS bad, x.o % 4 <> 0 AND x.o % 11 <> 0 AS present, coalesce(n, 0) AS n, coalesce(w, 0) AS w FROM {_O} x JOIN k ON k.seq = x.seq LEFT JOIN b ON b.seq = x.seq AND b.o = x.o)
-SELECT seq, CASE WHEN bad THEN 'still_' ELSE 'frame_' END || o || '_x.jpg' AS path, CASE WHEN NOT bad THEN o::INTEGER END AS frame, CASE WHEN present THEN n ELSE 0 END AS boxes, CASE WHEN present THEN w ELSE 0e0 END AS widths,
+SELECT seq, CASE WHEN bad THEN 'still_' ELSE 'frame_' END || o || '_x.jpg' AS path, CASE WHEN NOT bad THEN o::INTEGER END AS frame, CASE WHEN present THEN n ELSE 0 END AS boxes, round(CASE WHEN present THEN w ELSE 0e0 END, 6) AS widths,
 CASE WHEN bad THEN 'invalid_frame_name' WHEN present AND n = 0 THEN 'positive_without_box' ELSE 'kept' END AS status, CASE WHEN NOT bad AND NOT present THEN 'native_empty' ELSE '' END AS negative_kind FROM f""",
     dataset_errors: f"""{_DATASET}, e AS (SELECT 'train_undefined' AS rule, 'train' AS split, NULL::VARCHAR AS path, NULL::BIGINT AS line
 UNION ALL SELECT 'root_missing', 'test', 'images/3', NULL UNION ALL SELECT 'no_images', split, 'images/' || k, NULL FROM (VALUES (0, 'val'), (1, 'test'), (2, 'val'), (4, 'val')) v(k, split) WHERE k <> 0 OR NOT EXISTS (SELECT 1 FROM i0 WHERE i0.split = 'val')
