@@ -49,11 +49,11 @@ def shared_runs(texts: DataFrame, ident: str, items: DataFrame, item: str, words
     def runs(df: DataFrame, key: str) -> DataFrame:
         split = F.filter(F.split(F.lower("text"), r"\s+"), lambda x: x != "")
         each = F.transform(F.sequence(F.lit(1), F.size("w") - (words - 1)), lambda i: F.array_join(F.slice("w", i, words), " "))
-        return df.select(key, split.alias("w")).where(F.size("w") >= words).select(key, F.explode(F.array_distinct(each)).alias("run")).withColumn("h", F.xxhash64("run"))
+        return df.select(key, split.alias("w")).where(F.size("w") >= words).select(key, F.explode(each).alias("run")).withColumn("h", F.xxhash64("run"))
 
     wanted = runs(items, item)
     hashes = wanted.select("h").distinct()
     if hashes.count() * 48 <= broadcast_bytes:
         hashes = F.broadcast(hashes)
-    found = runs(texts, ident).join(hashes, "h", "left_semi")
-    return found.join(wanted, ["h", "run"]).groupBy(item, ident).agg(F.count("*").alias("shared"))
+    found = runs(texts, ident).join(hashes, "h", "left_semi").distinct()  # few are left; most runs are told apart by nobody
+    return found.join(wanted.distinct(), ["h", "run"]).groupBy(item, ident).agg(F.count("*").alias("shared"))
