@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, common, exact_dedup, ngram_join, packing, quality, secrets, sharding, token_counts, topk, toxicity
+from . import bpe_codec, common, exact_dedup, ngram_join, packing, phrases, quality, secrets, sharding, spelling, token_counts, topk, toxicity
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.balanced_shards(common.table(common.prepare(spark), sf_dir, "documents")).drop("begin")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(common.table(common.prepare(spark), sf_dir, "documents"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(common.table(common.prepare(spark), sf_dir, "documents")).drop("k", "cut")
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL = {
@@ -79,12 +87,43 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, le
   FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 100 = 0)
 SELECT query_id, (row_number() OVER by_score)::INTEGER AS rank, vec_id, score FROM s
 WINDOW by_score AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER by_score <= 10
+""",
+    # CRC-32 by its table, made from the polynomial; two words are near if they are equal without one code point each at the same place, or the longer one without one
+    "op12_spelling_variants": """
+WITH RECURSIVE t AS MATERIALIZED (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+r AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+l AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM r WHERE length(run) >= 6 GROUP BY ALL),
+x AS (SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM l),
+b AS (SELECT *, list_transform(range(len(x) // 2), lambda i: 16 * (instr('0123456789ABCDEF', x[2 * i + 1]) - 1) + instr('0123456789ABCDEF', x[2 * i + 2]) - 1) AS b FROM x),
+h AS (SELECT run, n, xor(list_reduce(b, lambda c, v: xor(c >> 8, t[(xor(c, v) & 255) + 1]), 4294967295), 4294967295) AS h FROM b, t),
+w AS (SELECT CASE WHEN h % 199 = 0 THEN run[:(h % length(run))] || run[(h % length(run)) + 2:] ELSE run END AS word, sum(n)::BIGINT AS n FROM h GROUP BY 1),
+d AS MATERIALIZED (SELECT word, n FROM w WHERE length(word) >= 6 AND n >= 5),
+c AS (SELECT word, n, i, word[:i] || word[i + 2:] AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM d)),
+e AS (SELECT a.word, b.word AS near, b.n FROM c a JOIN c b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+ UNION SELECT c.word, d.word, d.n FROM c JOIN d ON c.rest = d.word UNION SELECT d.word, c.word, c.n FROM c JOIN d ON c.rest = d.word),
+g AS (SELECT word, count(*) AS n_near, max(n) AS m FROM e GROUP BY word),
+f AS MATERIALIZED (SELECT d.word, d.n, coalesce(g.n_near, 0) AS n_near, CASE WHEN g.m >= 5 * d.n THEN (SELECT min(near) FROM e WHERE e.word = d.word AND e.n = g.m) END AS form, CASE WHEN g.m >= 5 * d.n THEN g.m END AS form_n FROM d LEFT JOIN g ON g.word = d.word),
+s AS (SELECT word, word AS root, form FROM f UNION ALL SELECT s.word, f.word, f.form FROM s JOIN f ON f.word = s.form)
+SELECT f.word, f.form, s.root, f.n, f.n_near, f.form_n FROM f JOIN s ON s.word = f.word AND s.form IS NULL
+""",
+    "op13_phrase_collocations": f"""
+WITH p AS (SELECT lang, unnest(regexp_split_to_array(body, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM (SELECT coalesce(lang, 'und') AS lang, {_LOWER} AS body FROM documents)),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM w, range(1, 5) t(k)),
+n AS (SELECT lang, count(*) AS n FROM g WHERE k = 1 GROUP BY lang),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a, string_split(phrase, ' ') AS w FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, phrase, k, a, cut, array_to_string(w[:cut], ' ') AS x, array_to_string(w[cut + 1:], ' ') AS y FROM f, range(1, 4) t(cut) WHERE cut < k),
+s AS (SELECT c.lang, c.phrase, c.k, c.a, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a // (x.a::HUGEINT + y.a))::BIGINT AS score FROM c JOIN f x ON x.lang = c.lang AND x.phrase = c.x JOIN f y ON y.lang = c.lang AND y.phrase = c.y
+ QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY 2000000::HUGEINT * c.a // (x.a::HUGEINT + y.a), cut) = 1),
+i AS (SELECT f.lang, array_to_string(w[o:o + size - 1], ' ') AS phrase, max(a) AS a FROM f, range(1, 4) t(o), range(2, 4) u(size) WHERE size < k AND o + size - 1 <= k GROUP BY ALL)
+SELECT s.lang, row_number() OVER best AS rank, s.phrase, s.a, l, r, n, score FROM s JOIN n ON n.lang = s.lang LEFT JOIN i ON i.lang = s.lang AND i.phrase = s.phrase
+WHERE i.a IS NULL OR 100 * i.a < 80 * s.a WINDOW best AS (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, s.phrase) QUALIFY row_number() OVER best <= 2000
 """,
 }
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_exact_dedup, op3_secret_scans, op4_quality_classifier, op5_toxicity, op6_token_counts, op7_bpe_codec, op8_exact_top_k, op9_best_fit_packing, op10_sharding)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_exact_dedup, op3_secret_scans, op4_quality_classifier, op5_toxicity, op6_token_counts, op7_bpe_codec, op8_exact_top_k, op9_best_fit_packing, op10_sharding, op12_spelling_variants, op13_phrase_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
