@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, common, exact_dedup, ngram_join, packing, phrases, quality, secrets, sharding, spelling, token_counts, topk, toxicity
+from . import bpe_codec, common, exact_dedup, ngram_join, packing, phrases, pii, quality, secrets, sharding, spelling, token_counts, topk, toxicity
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.balanced_shards(common.table(common.prepare(spark), sf_dir, "documents")).drop("begin")
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(common.table(common.prepare(spark), sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans", "n_found")
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(common.table(common.prepare(spark), sf_dir, "documents"))
 
@@ -123,7 +128,7 @@ WHERE i.a IS NULL OR 100 * i.a < 80 * s.a WINDOW best AS (PARTITION BY s.lang OR
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_exact_dedup, op3_secret_scans, op4_quality_classifier, op5_toxicity, op6_token_counts, op7_bpe_codec, op8_exact_top_k, op9_best_fit_packing, op10_sharding, op12_spelling_variants, op13_phrase_collocations)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_exact_dedup, op3_secret_scans, op4_quality_classifier, op5_toxicity, op6_token_counts, op7_bpe_codec, op8_exact_top_k, op9_best_fit_packing, op10_sharding, op11_personal_data, op12_spelling_variants, op13_phrase_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:

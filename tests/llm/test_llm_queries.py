@@ -26,7 +26,9 @@ def test_query_matches_its_sql(spark, sf_dir, name):
 def test_queries_return_a_row_for_each_document(spark, sf_dir, name):
     got = queries.queries()[name](spark, sf_dir).collect()
     docs = common.table(spark, sf_dir, "documents").count()
-    if name.startswith("op8"):
+    if name.startswith(("op12", "op13")):  # a row for each word or phrase
+        assert got
+    elif name.startswith("op8"):
         assert len(got) == 10 * math.ceil(common.table(spark, sf_dir, "embeddings").count() / 100)
     elif name.startswith("op9"):
         assert len({r.doc_id for r in got}) == docs
