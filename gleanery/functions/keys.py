@@ -81,11 +81,11 @@ def archive_kind(name: Column, mime: Column) -> Column:
 
 
 def rar_volume(name: Column) -> Column:
-    """struct(number, later): the volume that a RAR name tells, and whether it isn't the first."""
+    """struct(number, later): the volume that a RAR name tells (null if it is no int), and whether it isn't the first."""
     low = F.lower(name)
     part, old = F.regexp_extract(low, r"\.part(\d+)\.rar$", 1), F.regexp_extract(low, r"\.r(\d{2,3})$", 1)
-    number = F.when(part != "", part.cast("int")).when(old != "", old.cast("int") + 2).when(low.endswith(".rar"), F.lit(1))
-    return F.struct(number.alias("number"), F.coalesce(number > 1, F.lit(False)).alias("later"))
+    number = F.when(part != "", part.try_cast("int")).when(old != "", old.cast("int") + 2).when(low.endswith(".rar"), F.lit(1))
+    return F.struct(number.alias("number"), F.when(part != "", F.ltrim(part, F.lit("0")).isin("", "1") == F.lit(False)).otherwise(F.coalesce(number > 1, F.lit(False))).alias("later"))
 
 
 def in_excluded_folder(path: Column, folder: str = "verif") -> Column:
@@ -112,11 +112,12 @@ def folder_reference(address: Column) -> Column:
 
 
 def frame_number(name: Column) -> Column:
-    return F.nullif(F.regexp_extract(name, r"(?i)^frame_(\d+)", 1), F.lit("")).cast("int")
+    """The number after frame_; null without one, or with one that is no int."""
+    return F.nullif(F.regexp_extract(name, r"(?i)^frame_(\d+)", 1), F.lit("")).try_cast("int")
 
 
 def shard_number(path: Column, split: str) -> Column:
-    return F.nullif(F.regexp_extract(path, rf"^shards/{split}-(\d+)\.tar$", 1), F.lit("")).cast("int")
+    return F.nullif(F.regexp_extract(path, rf"^shards/{split}-(\d+)\.tar$", 1), F.lit("")).try_cast("int")
 
 
 def content_key(md5: Column, size: Column, modified: Column) -> Column:

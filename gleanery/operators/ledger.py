@@ -30,13 +30,13 @@ def pending(state: DataFrame, ready: tuple[str, ...], failed: str, retry_failed:
 def listing_diff(listing: DataFrame, state: DataFrame) -> DataFrame:
     """What to do with each entry of a listing (drive_id, path, md5, suffix): skip, ignored, duplicate, new_version, again or new; and `renamed`.
 
-    suffix is what archive_kind tells, null for what is no archive. state (drive_id, path, md5, status) is what is known, one row for each drive_id and md5. Records that
-    are new, failed, under way or ignored are looked at again, all others are skipped. Of entries with one md5 the record known longest, else the first by path, is the original; failed, ignored
+    suffix is what archive_kind tells, null for what is no archive. state (drive_id, path, md5, status, seq) is what is known in the order that it came to be, one row for each drive_id and md5. Records that
+    are new, failed, under way or ignored are looked at again, all others are skipped. Of entries with one md5 the record that came last, else the first by path, is the original; failed, ignored
     and duplicate records are no originals.
     """
     had = state.select("drive_id", "md5", F.col("path").alias("old_path"), "status")
     ids = state.groupBy("drive_id").agg(F.count("*").alias("versions"))
-    owner = state.where(~F.col("status").isin(*NO_ORIGINAL)).groupBy("md5").agg(F.max(F.struct("path", "drive_id")).alias("owner"))
+    owner = state.where(~F.col("status").isin(*NO_ORIGINAL)).groupBy("md5").agg(F.max_by(F.struct("path", "drive_id"), "seq").alias("owner"))
     seen = listing.join(had, ["drive_id", "md5"], "left").join(ids, "drive_id", "left").join(owner, "md5", "left")
     open_ = F.col("status").isNull() | F.col("status").isin(*HANDLED_AGAIN)
     # an entry that is taken up is the original from then on; one whose md5 has another original is not taken up
@@ -89,8 +89,8 @@ def edited(changes: DataFrame, session: str, cell: str, seq: str, op: str, value
 
 
 def frame_positions(files: DataFrame, sequence: str, path: str) -> DataFrame:
-    """files with `position`: the place, from 0, of each in its sequence by path."""
-    return files.withColumn("position", F.row_number().over(Window.partitionBy(sequence).orderBy(path)) - 1)
+    """files with `position`: the place, from 0, of each in its sequence, ordered by the parts of its path: a/x stands before a-b/x."""
+    return files.withColumn("position", F.row_number().over(Window.partitionBy(sequence).orderBy(F.split(path, "/"))) - 1)
 
 
 def seeded_sample(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:

@@ -41,6 +41,12 @@ def number(text: Column) -> Column:
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
+def finite_number(text: Column) -> Column:
+    """A plain decimal number that a double can hold, else null: 1e999 is none."""
+    value = number(text)
+    return F.when(F.abs(value) < float("inf"), value)
+
+
 def parse_label_lines(rows: DataFrame, text: str, classes: list[int] | None = None) -> DataFrame:
     """rows exploded by line of a label text: line (from 1), class_value (as it stands), class_id, cx, cy, w, h, fields, status.
 

@@ -155,7 +155,7 @@ def path_ops(spark, sf_dir):
 
 def archive_classify(spark, sf_dir):
     k = F.col("p_partkey")
-    name = F.concat(F.lit("v"), k.cast("string"), F.when(k % 5 == 0, F.concat(F.lit(".part"), (k % 4 + 1).cast("string"), F.lit(".RAR"))).when(k % 5 == 1, ".zip").when(k % 5 == 2, F.concat(F.lit(".r"), F.when(k % 2 == 0, "10").otherwise("0"), (k % 3).cast("string"))).when(k % 5 == 3, ".rar").otherwise(""))
+    name = F.concat(F.lit("v"), k.cast("string"), F.when(k % 5 == 0, F.concat(F.lit(".part"), F.when(k % 25 == 0, "99999999999").otherwise((k % 4 + 1).cast("string")), F.lit(".RAR"))).when(k % 5 == 1, ".zip").when(k % 5 == 2, F.concat(F.lit(".r"), F.when(k % 2 == 0, "10").otherwise("0"), (k % 3).cast("string"))).when(k % 5 == 3, ".rar").otherwise(""))
     mime = F.when(k % 2 == 0, "application/zip").otherwise("text/plain")
     return table(spark, sf_dir, "part").select("p_partkey", name.alias("name"), K.archive_kind(name, mime).alias("kind"), K.rar_volume(name).alias("v")).select("p_partkey", "name", "kind", "v.number", "v.later")
 
@@ -182,7 +182,8 @@ def detect_format(spark, sf_dir):
 
 
 def stride_filter(spark, sf_dir):
-    name = F.concat(F.lit("frame_"), F.col("event_id").cast("string"), F.when(F.col("event_id") % 10 == 0, "x").otherwise(""))
+    k = F.col("event_id")  # some have 24 digits and more, of which the last ones do not change the remainder
+    name = F.concat(F.lit("frame_"), k.cast("string"), F.when(k % 10 == 0, "x").when(k % 7 == 0, "300000000000000000000000").otherwise(""))
     return table(spark, sf_dir, "events").select("event_id", name.alias("name")).where(scans.on_stride(F.col("name"))).select("event_id", K.frame_number(F.col("name")).alias("frame"))
 
 
@@ -236,9 +237,9 @@ SELECT ordinal, stem || CASE WHEN ordinal % 3 = 0 THEN '.jpg' ELSE '.png' END AS
     recording_day: "SELECT o_orderkey, CASE WHEN o_orderkey % 4 IN (0, 1) AND year(o_orderdate) >= 2000 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders",
     path_ops: """SELECT page_id, 'a/images/' || regexp_replace(url, '^[a-z]+://', '') || '/labels/p' || page_id || '.txt' AS label, nullif(regexp_replace(regexp_replace(url, '[^A-Za-z0-9_-]+', '_', 'g'), '^[_-]+|[_-]+$', '', 'g'), '') AS clean,
  page_id % 5 IN (0, 1) AS junk, page_id % 3 IN (0, 1) AS unsafe, CASE WHEN page_id % 7 = 0 THEN 'bare id ' || page_id || CASE WHEN page_id % 2 = 0 THEN '?x=/folders/no&resourcekey=k%2D' || page_id || '&x=1' ELSE '' END ELSE 'F' || page_id END AS id, CASE WHEN page_id % 2 = 0 AND page_id % 7 <> 0 THEN 'k-' || page_id END AS resource_key FROM pages""",
-    archive_classify: """WITH n AS (SELECT p_partkey, 'v' || p_partkey || CASE p_partkey % 5 WHEN 0 THEN '.part' || (p_partkey % 4 + 1) || '.RAR' WHEN 1 THEN '.zip' WHEN 2 THEN '.r' || CASE WHEN p_partkey % 2 = 0 THEN '10' ELSE '0' END || (p_partkey % 3) WHEN 3 THEN '.rar' ELSE '' END AS name FROM part)
-SELECT p_partkey, name, CASE WHEN p_partkey % 5 <> 4 THEN '' WHEN p_partkey % 2 = 0 THEN '.zip' END AS kind, v::INTEGER AS number, coalesce(v > 1, false) AS later
-FROM (SELECT *, CASE p_partkey % 5 WHEN 0 THEN p_partkey % 4 + 1 WHEN 2 THEN p_partkey % 3 + 2 + CASE WHEN p_partkey % 2 = 0 THEN 100 ELSE 0 END WHEN 3 THEN 1 END AS v FROM n)""",
+    archive_classify: """WITH n AS (SELECT p_partkey, 'v' || p_partkey || CASE p_partkey % 5 WHEN 0 THEN '.part' || CASE WHEN p_partkey % 25 = 0 THEN 99999999999 ELSE p_partkey % 4 + 1 END || '.RAR' WHEN 1 THEN '.zip' WHEN 2 THEN '.r' || CASE WHEN p_partkey % 2 = 0 THEN '10' ELSE '0' END || (p_partkey % 3) WHEN 3 THEN '.rar' ELSE '' END AS name FROM part)
+SELECT p_partkey, name, CASE WHEN p_partkey % 5 <> 4 THEN '' WHEN p_partkey % 2 = 0 THEN '.zip' END AS kind, CASE WHEN v < 99999999999 THEN v END::INTEGER AS number, coalesce(v > 1, false) AS later
+FROM (SELECT *, CASE p_partkey % 5 WHEN 0 THEN CASE WHEN p_partkey % 25 = 0 THEN 99999999999 ELSE p_partkey % 4 + 1 END WHEN 2 THEN p_partkey % 3 + 2 + CASE WHEN p_partkey % 2 = 0 THEN 100 ELSE 0 END WHEN 3 THEN 1 END AS v FROM n)""",
     content_profile: f"""WITH f AS (SELECT * FROM ({_FILES}) WHERE NOT starts_with(path, '__MACOSX/')),
 d AS (SELECT DISTINCT source, string_split(path, '/')[1:i] AS d FROM f, range(1, 4) r(i) WHERE i < len(string_split(path, '/'))),
 n AS (SELECT source, count(*) FILTER (WHERE lower(d[-1]) IN ('frames', 'images')) AS frames_or_images_dirs, count(*) FILTER (WHERE lower(d[-1]) = 'labels') AS labels_dirs FROM d GROUP BY source),
@@ -249,7 +250,7 @@ SELECT s.source, files, bytes, images, videos, annotation_files, coalesce(frames
     suffix_histogram: f"SELECT source, coalesce(nullif(lower(regexp_extract(path, '[^/](\\.[^./]+)$', 1)), ''), '<none>') AS suffix, count(*) AS n FROM ({_FILES}) WHERE NOT starts_with(path, '__MACOSX/') GROUP BY 1, 2",
     detect_format: """WITH f AS (SELECT l_partkey AS seq, CASE WHEN l_quantity > 48 THEN 3 ELSE l_suppkey % 3 END AS k FROM lineitem)
 SELECT seq, CASE WHEN bool_or(k = 3) THEN 'json' WHEN bool_or(k = 0) THEN 'yolo' WHEN bool_or(k = 1) THEN 'csv' ELSE 'json' END AS format FROM f GROUP BY seq""",
-    stride_filter: "SELECT event_id, event_id::INTEGER AS frame FROM events WHERE event_id % 10 = 0 OR event_id % 3 = 0",
+    stride_filter: "SELECT event_id, CASE WHEN event_id % 10 = 0 OR event_id % 7 <> 0 THEN event_id END::INTEGER AS frame FROM events WHERE event_id % 10 = 0 OR event_id % 3 = 0",
     manifest_union_minus: "SELECT doc_id, lang FROM documents WHERE (doc_id % 2 = 0 OR doc_id % 3 = 0) AND doc_id % 10 <> 0",
     latest_annotation: "SELECT conv_id, max(turn) AS turn, arg_max(role, turn) AS role, arg_max(length(text), turn) AS n FROM conversations WHERE turn % 4 <> 3 GROUP BY conv_id",
     html_extract: "SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title, len(string_split(html, '<p')) - 1 AS paragraphs FROM pages",

@@ -170,7 +170,7 @@ def edit_replay(spark, sf_dir):
 
 
 def frame_positions(spark, sf_dir):
-    f = table(spark, sf_dir, "orders").select("o_custkey", F.concat(F.lit("f/frame_"), _S("o_orderkey"), F.lit(".jpg")).alias("path"))
+    f = table(spark, sf_dir, "orders").select("o_custkey", F.concat(_pick(F.col("o_orderkey"), "f-g", "f", "f/a"), F.lit("/frame_"), _S("o_orderkey"), F.lit(".jpg")).alias("path"))
     return ledger.frame_positions(f, "o_custkey", "path")
 
 
@@ -186,20 +186,20 @@ def name_ops(spark, sf_dir):
     image = F.concat(F.when(k % 2 == 0, "set/images/").otherwise("other/images/"), F.lit("x/images/"), _S("o_orderkey"), F.when(k % 4 < 2, ".a.jpg").otherwise(""))
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", K.timestamped_name(name, started).alias("stamped"), K.in_excluded_folder(path).alias("excluded"), K.label_path(image, F.lit("set")).alias("label"),
-        K.source_priority(_pick(k, "gem", "kaggle2", "who")).cast("int").alias("priority"), K.shard_number(F.concat(F.when(k % 2 == 0, "x/").otherwise(""), F.lit("shards/train-"), F.lpad(_S("o_orderkey"), 5, "0"), F.lit(".tar")), "train").alias("shard"),
+        K.source_priority(_pick(k, "gem", "kaggle2", "who")).cast("int").alias("priority"), K.shard_number(F.concat(F.when(k % 2 == 0, "x/").otherwise(""), F.lit("shards/train-"), F.lpad(_S("o_orderkey"), 5, "0"), F.when(k % 9 == 1, "99999999999").otherwise(""), F.lit(".tar")), "train").alias("shard"),
         K.content_key(F.when(k % 3 == 0, F.lit("m")), k, F.lit("T")).alias("key"),
     )
 
 
 def trainer_lines(spark, sf_dir):
     k = F.col("event_id")
-    line = F.when(k % 4 == 0, F.concat(F.lit("Epoch: [3/120]  [ "), _S("event_id"), F.lit("/900000]  eta"))).when(k % 4 == 1, F.concat(F.lit("Epoch: ["), (k % 9).cast("string"), F.lit("] ["), _S("event_id"), F.lit("/5]"))).when(k % 4 == 2, F.concat(F.lit("Test:  [ "), _S("event_id"), F.lit("/511]"))).otherwise(F.lit("Epoch: [3/120][1/2]"))
+    line = F.when(k % 4 == 0, F.concat(F.lit("Epoch: [3/120]  [ "), _S("event_id"), F.lit("/900000]  eta"))).when(k % 4 == 1, F.concat(F.lit("Epoch: ["), (k % 9).cast("string"), F.lit("] ["), _S("event_id"), F.lit("/5]"))).when(k % 4 == 2, F.concat(F.lit("Test:  [ "), _S("event_id"), F.when(k % 3 == 0, "/99999999999]").otherwise("/511]"))).otherwise(F.lit("Epoch: [3/120][1/2]"))
     return files.trainer_lines(table(spark, sf_dir, "events").select("event_id", line.alias("line")), "line").drop("line")
 
 
 def voc_boxes(spark, sf_dir):
     k = F.col("l_suppkey")
-    corner = F.concat(F.lit("<xmin>"), _S("l_suppkey"), F.lit("</xmin><ymin>1.5</ymin>"), F.when(k % 5 != 0, F.concat(F.lit("<xmax>"), (k + 20).cast("string"), F.lit("</xmax>"))).otherwise(""), F.lit("<ymax>"), F.when(k % 7 == 0, "wide").otherwise("31.5"), F.lit("</ymax>"))
+    corner = F.concat(F.lit("<xmin>"), _S("l_suppkey"), F.lit("</xmin><ymin>1.5</ymin>"), F.when(k % 5 != 0, F.concat(F.lit("<xmax>"), (k + 20).cast("string"), F.lit("</xmax>"))).otherwise(""), F.lit("<ymax>"), F.when(k % 7 == 0, "wide").when(k % 11 == 0, "inf").when(k % 13 == 0, "31d").when(k % 17 == 0, "1e999").otherwise("31.5"), F.lit("</ymax>"))
     text = F.concat(F.lit("<annotation><filename>a.jpg</filename><object><name>"), F.when(k % 3 == 0, "bird").otherwise("drone"), F.lit("</name><bndbox>"), corner, F.lit("</bndbox></object></annotation>"))
     rows = table(spark, sf_dir, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), text.alias("text"))
     return annotations.voc_boxes(rows, "text", "id", F.lit(640.0), F.lit(480.0))
@@ -207,7 +207,7 @@ def voc_boxes(spark, sf_dir):
 
 def pixel_rows(spark, sf_dir):
     k = F.col("l_suppkey")
-    line = F.concat_ws(",", F.lit("n"), F.when(k % 6 == 0, "0").otherwise(_S("l_suppkey")), F.when(k % 6 == 0, "0").otherwise("2.5"), F.when(k % 6 == 0, "0").when(k % 7 == 0, "x").otherwise("3"), F.when(k % 6 == 0, "0.0").when(k % 5 != 0, "4"), F.lit("junk"))
+    line = F.concat_ws(",", F.lit("n"), F.when(k % 6 == 0, "0").otherwise(_S("l_suppkey")), F.when(k % 6 == 0, "0").otherwise("2.5"), F.when(k % 6 == 0, "0").when(k % 7 == 0, "x").when(k % 11 == 0, "nan").when(k % 13 == 0, "3d").when(k % 17 == 0, "1e999").otherwise("3"), F.when(k % 6 == 0, "0.0").when(k % 5 != 0, "4"), F.lit("junk"))
     return annotations.pixel_rows(table(spark, sf_dir, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), line.alias("line")), "line", "id")
 
 
@@ -351,16 +351,16 @@ SELECT source, lang, count(*) AS frames, count(*) FILTER (WHERE b = 0) AS frames
     completed_runs: "SELECT user_id, max(event_id) AS seq FROM events WHERE event_type IN ('purchase', 'error') GROUP BY user_id HAVING arg_max(event_type, event_id) = 'purchase'",
     pending_records: "SELECT user_id, status FROM (SELECT user_id, CASE arg_max(event_type, event_id) WHEN 'click' THEN 'downloaded' WHEN 'signup' THEN 'extracting' WHEN 'error' THEN 'download_failed' END AS status FROM events GROUP BY user_id) WHERE status IS NOT NULL",
     edit_replay: None,
-    frame_positions: "SELECT o_custkey, 'f/frame_' || o_orderkey || '.jpg' AS path, (row_number() OVER (PARTITION BY o_custkey ORDER BY 'f/frame_' || o_orderkey || '.jpg') - 1)::INTEGER AS position FROM orders",
+    frame_positions: "SELECT o_custkey, path, (row_number() OVER (PARTITION BY o_custkey ORDER BY string_split(path, '/')) - 1)::INTEGER AS position FROM (SELECT o_custkey, ['f-g', 'f', 'f/a'][o_orderkey % 3 + 1] || '/frame_' || o_orderkey || '.jpg' AS path FROM orders)",
     seeded_sample: "SELECT p_partkey, p_size FROM part ORDER BY sha256('7:' || p_partkey), p_partkey LIMIT 25",
     name_ops: """SELECT o_orderkey, strftime(o_orderdate::TIMESTAMP, '%Y_%m_%d_%H_%M_%S') || CASE WHEN o_orderkey % 2 = 0 THEN '_ride_' ELSE '_ride-_' END || o_orderkey AS stamped, o_orderkey % 3 <> 2 AS excluded,
  CASE WHEN o_orderkey % 2 = 0 THEN 'set/labels/x/images/' ELSE 'other/images/x/labels/' END || o_orderkey || CASE WHEN o_orderkey % 4 < 2 THEN '.a' ELSE '' END || '.txt' AS label, [110, 80, 0][o_orderkey % 3 + 1] AS priority,
- CASE WHEN o_orderkey % 2 <> 0 THEN left(lpad(o_orderkey::VARCHAR, 5, '0'), 5)::INTEGER END AS shard, CASE WHEN o_orderkey % 3 = 0 THEN 'm' ELSE 'size' || o_orderkey || '-T' END AS key FROM orders""",
-    trainer_lines: "SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'train' WHEN 1 THEN 'train' WHEN 2 THEN 'test' END AS phase, CASE event_id % 4 WHEN 0 THEN 3 WHEN 1 THEN event_id % 9 END::INTEGER AS epoch, CASE WHEN event_id % 4 <> 3 THEN event_id END::INTEGER AS batch, CASE event_id % 4 WHEN 0 THEN 900000 WHEN 1 THEN 5 WHEN 2 THEN 511 END::INTEGER AS batches FROM events",
+ CASE WHEN o_orderkey % 2 <> 0 AND o_orderkey % 9 <> 1 THEN left(lpad(o_orderkey::VARCHAR, 5, '0'), 5)::INTEGER END AS shard, CASE WHEN o_orderkey % 3 = 0 THEN 'm' ELSE 'size' || o_orderkey || '-T' END AS key FROM orders""",
+    trainer_lines: "SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'train' WHEN 1 THEN 'train' WHEN 2 THEN 'test' END AS phase, CASE event_id % 4 WHEN 0 THEN 3 WHEN 1 THEN event_id % 9 END::INTEGER AS epoch, CASE WHEN event_id % 4 <> 3 THEN event_id END::INTEGER AS batch, CASE event_id % 4 WHEN 0 THEN 900000 WHEN 1 THEN 5 WHEN 2 THEN CASE WHEN event_id % 3 <> 0 THEN 511 END END::INTEGER AS batches FROM events",
     voc_boxes: """SELECT l_orderkey || '-' || l_linenumber AS id, CASE WHEN ok THEN (l_suppkey + 10) / 640e0 END AS cx, CASE WHEN ok THEN 16.5e0 / 480e0 END AS cy, CASE WHEN ok THEN 20 / 640e0 END AS w, CASE WHEN ok THEN 30 / 480e0 END AS h, CASE WHEN NOT ok THEN 'bad_corner' END AS error
-FROM (SELECT *, l_suppkey % 5 <> 0 AND l_suppkey % 7 <> 0 AS ok FROM lineitem WHERE l_suppkey % 3 <> 0)""",
-    pixel_rows: """SELECT l_orderkey || '-' || l_linenumber AS id, CASE WHEN s % 6 = 0 THEN 0 ELSE s END::DOUBLE AS x, CASE WHEN s % 6 = 0 THEN 0 ELSE 2.5 END::DOUBLE AS y, CASE WHEN s % 6 = 0 THEN 0 WHEN s % 7 <> 0 THEN 3 END::DOUBLE AS w, CASE WHEN s % 6 = 0 THEN 0 WHEN s % 5 <> 0 THEN 4 END::DOUBLE AS h,
- CASE WHEN s % 6 = 0 THEN 'negative' WHEN s % 7 = 0 OR s % 5 = 0 THEN 'malformed' ELSE 'box' END AS status FROM (SELECT *, l_suppkey AS s FROM lineitem)""",
+FROM (SELECT *, l_suppkey % 5 <> 0 AND l_suppkey % 7 <> 0 AND l_suppkey % 11 <> 0 AND l_suppkey % 13 <> 0 AND l_suppkey % 17 <> 0 AS ok FROM lineitem WHERE l_suppkey % 3 <> 0)""",
+    pixel_rows: """SELECT l_orderkey || '-' || l_linenumber AS id, CASE WHEN s % 6 = 0 THEN 0 ELSE s END::DOUBLE AS x, CASE WHEN s % 6 = 0 THEN 0 ELSE 2.5 END::DOUBLE AS y, CASE WHEN s % 6 = 0 THEN 0 WHEN s % 7 <> 0 AND s % 11 <> 0 AND s % 13 <> 0 AND s % 17 <> 0 THEN 3 END::DOUBLE AS w, CASE WHEN s % 6 = 0 THEN 0 WHEN s % 5 <> 0 THEN 4 END::DOUBLE AS h,
+ CASE WHEN s % 6 = 0 THEN 'negative' WHEN s % 7 = 0 OR s % 5 = 0 OR s % 11 = 0 OR s % 13 = 0 OR s % 17 = 0 THEN 'malformed' ELSE 'box' END AS status FROM (SELECT *, l_suppkey AS s FROM lineitem)""",
     editor_frames: """WITH g AS (SELECT o_orderkey, o_custkey, unnest(range(0, o_orderkey % 4 + 1)) AS i FROM orders WHERE o_orderkey % 5 <> 0), h AS (SELECT *, (i + o_custkey) % 2 AS e, (i + o_orderkey) % 3 <> 0 AS r FROM g)
 SELECT o_orderkey, i::INTEGER AS frame, e::INTEGER AS exist, CASE WHEN r THEN i::DOUBLE END AS x, CASE WHEN r THEN 2e0 END AS y, CASE WHEN r THEN 3.5e0 END AS w, CASE WHEN r THEN 4e0 END AS h, CASE WHEN e <> 0 AND NOT r THEN 'positive_without_box' END AS error FROM h
 UNION ALL SELECT o_orderkey, NULL, NULL, NULL, NULL, NULL, NULL, 'length_mismatch' FROM orders WHERE o_orderkey % 5 = 0""",

@@ -87,16 +87,16 @@ def listing_diff(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", F.concat("source", F.lit("/"), F.lpad(F.col("doc_id").cast("string"), 9, "0")).alias("path"), F.md5(F.col("text").cast("binary")).alias("md5"))
     id_, k = F.concat(F.lit("f"), F.col("doc_id").cast("string")).alias("drive_id"), F.col("doc_id")
     status = F.element_at(F.array(*map(F.lit, ("ingested", "download_failed", "new", "extracted", "ignored"))), (k % 10 / 2 + 1).cast("int"))
-    state = d.where("doc_id % 2 = 0").select(id_, "path", F.when(k % 16 == 0, F.concat("md5", F.lit("-"))).otherwise(F.col("md5")).alias("md5"), status.alias("status"))
+    state = d.where("doc_id % 2 = 0").select(id_, "path", F.when(k % 16 == 0, F.concat("md5", F.lit("-"))).otherwise(F.col("md5")).alias("md5"), status.alias("status"), (k * 7 % 1000003).alias("seq"))
     name = F.concat("path", F.when(k % 12 == 0, "x").otherwise(""), F.when(k % 7 != 0, ".zip").otherwise(""))
     listing = d.where("doc_id % 5 != 0 or doc_id % 4 = 0").select(id_, name.alias("path"), "md5", K.archive_kind(name, F.when(k % 3 == 0, "application/zip").otherwise("text/plain")).alias("suffix"))
     return ledger.listing_diff(listing, state)
 
 
 _DIFF = """WITH d AS (SELECT doc_id AS k, 'f' || doc_id AS drive_id, source || '/' || lpad(doc_id::VARCHAR, 9, '0') AS path, md5(text) AS md5 FROM documents),
-o AS (SELECT drive_id, path, CASE WHEN k % 16 = 0 THEN md5 || '-' ELSE md5 END AS md5, ['ingested', 'download_failed', 'new', 'extracted', 'ignored'][k % 10 // 2 + 1] AS status FROM d WHERE k % 2 = 0),
+o AS (SELECT drive_id, path, CASE WHEN k % 16 = 0 THEN md5 || '-' ELSE md5 END AS md5, ['ingested', 'download_failed', 'new', 'extracted', 'ignored'][k % 10 // 2 + 1] AS status, k * 7 % 1000003 AS seq FROM d WHERE k % 2 = 0),
 n AS (SELECT drive_id, path || CASE WHEN k % 12 = 0 THEN 'x' ELSE '' END || CASE WHEN k % 7 <> 0 THEN '.zip' ELSE '' END AS path, md5, k % 7 <> 0 OR k % 3 = 0 AS archive FROM d WHERE k % 5 <> 0 OR k % 4 = 0),
-w AS (SELECT md5, arg_max(drive_id, (path, drive_id)) AS owner FROM o WHERE status NOT IN ('download_failed', 'ignored', 'duplicate') GROUP BY md5),
+w AS (SELECT md5, arg_max(drive_id, seq) AS owner FROM o WHERE status NOT IN ('download_failed', 'ignored', 'duplicate') GROUP BY md5),
 j AS (SELECT n.*, o.path AS old_path, status, owner, EXISTS (SELECT 1 FROM o x WHERE x.drive_id = n.drive_id) AS versions, coalesce(status NOT IN ('new', 'download_failed', 'downloading', 'ignored'), false) AS handled
  FROM n LEFT JOIN o ON o.drive_id = n.drive_id AND o.md5 = n.md5 LEFT JOIN w ON w.md5 = n.md5),
 t AS (SELECT *, min(CASE WHEN NOT handled AND archive AND (owner IS NULL OR owner = drive_id) THEN path END) OVER (PARTITION BY md5) AS first_path FROM j)

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.geometry import corners_to_centre
-from ..schema import EDITOR, LABEL_STUDIO
+from ..functions.keys import stem_of, suffix_of
+from ..operators.quality import finite_number
+from ..schema import BUILD_IMAGE_SUFFIXES, EDITOR, LABEL_STUDIO
 
 #: Column names by which a box file may call a value, first match wins; fixed values.
 ALIASES = {
@@ -17,12 +19,12 @@ ALIASES = {
 
 
 def resolve_aliases(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """rows of a box CSV, all strings, with the names of ALIASES as doubles; absent ones are null. A file without a frame column is an error."""
+    """rows of a box CSV, all strings, with the names of ALIASES as doubles; absent ones are null, as is what is no plain finite number. A file without a frame column is an error."""
     have = {c.strip().lower(): c for c in reversed(rows.columns)}
     found = {name: next((have[a] for a in aliases if a in have), None) for name, aliases in ALIASES.items()}
     if found["frame"] is None:
         raise ValueError("a box file needs a frame column")
-    value = lambda c: F.trim(F.col(f"`{c}`")).try_cast("double") if c else F.lit(None).cast("double")
+    value = lambda c: finite_number(F.trim(F.col(f"`{c}`"))) if c else F.lit(None).cast("double")
     out = rows.select(*(keep or []), *(value(c).alias(name) for name, c in found.items()))
     size = lambda side, a, b: F.coalesce(F.col(side), F.col(b) - F.col(a))
     return out.withColumn("width", size("width", "x", "x2")).withColumn("height", size("height", "y", "y2")).drop("x2", "y2")
@@ -63,21 +65,37 @@ def label_studio_keyframes(rows: DataFrame, text: str, ident: str, label: str =
 
 
 def voc_boxes(rows: DataFrame, text: str, ident: str, width: Column, height: Column, name: str = "drone") -> DataFrame:
-    """ident, cx, cy, w, h, error of the named objects of a VOC document; a missing or unreadable corner is an error row."""
+    """ident, cx, cy, w, h, error of the named objects of a VOC document; a corner that is missing or no plain finite number makes an error row."""
     kind = T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("bndbox", T.StructType([T.StructField(c, T.StringType()) for c in ("xmin", "ymin", "xmax", "ymax")]))]))
     doc = F.from_xml(F.col(text), T.StructType([T.StructField("filename", T.StringType()), T.StructField("object", kind)]).simpleString())
     objects = rows.select(ident, width.alias("_w"), height.alias("_h"), F.explode(doc["object"]).alias("o")).where(F.col("o.name") == name)
-    corner = [F.trim(F.col(f"o.bndbox.{c}")).try_cast("double") for c in ("xmin", "ymin", "xmax", "ymax")]
-    lacking = sum((c.isNull() | F.isnan(c)).cast("int") for c in corner) > 0
+    corner = [finite_number(F.trim(F.col(f"o.bndbox.{c}"))) for c in ("xmin", "ymin", "xmax", "ymax")]
+    lacking = sum(c.isNull().cast("int") for c in corner) > 0
     box = corners_to_centre(*corner, F.col("_w"), F.col("_h"))
     out = objects.select(ident, F.when(~lacking, box).alias("b"), F.when(lacking, "bad_corner").alias("error"))
     return out.select(ident, *(F.col(f"b.{c}").alias(c) for c in ("cx", "cy", "w", "h")), "error")
 
 
+def voc_images(documents: DataFrame, images: DataFrame, text: str, path: str) -> DataFrame:
+    """documents with `image`: the file that a VOC document names, in its own folder, else the first by name of the images that share its stem there, else null.
+
+    path is where a document lies; images (path) are the files that are there. Two equi-joins: by path, and by folder and stem.
+    """
+    name = F.trim(F.from_xml(F.col(text), "filename string")["filename"])
+    folder = F.regexp_extract(path, r"^(.*/)?[^/]*$", 1)
+    stemmed = lambda c: F.concat(F.regexp_extract(c, r"^(.*/)?[^/]*$", 1), stem_of(F.col(c)))
+    there = images.select(F.col("path").alias("_there")).distinct()
+    usable = there.where(F.substring(suffix_of(F.col("_there")), 2, 100).isin(*BUILD_IMAGE_SUFFIXES))
+    by_stem = usable.groupBy(stemmed("_there").alias("_stem")).agg(F.min("_there").alias("_fallback"))
+    rows = documents.withColumns({"_named": F.when(name != "", F.concat(folder, name)), "_stem": stemmed(path)})
+    rows = rows.join(there, F.col("_named") == F.col("_there"), "left").join(by_stem, "_stem", "left")
+    return rows.select(*documents.columns, F.coalesce("_there", "_fallback").alias("image"))
+
+
 def pixel_rows(rows: DataFrame, line: str, ident: str) -> DataFrame:
-    """ident, x, y, w, h, status of lines of a headerless pixel file: 'malformed' under five columns, 'negative' if all four are 0, else 'box'."""
+    """ident, x, y, w, h, status of lines of a headerless pixel file: 'malformed' under five columns or where one is no plain finite number, 'negative' if all four are 0, else 'box'."""
     f = F.split(F.col(line), ",")
-    value = [F.trim(F.try_element_at(f, F.lit(i))).try_cast("double") for i in (2, 3, 4, 5)]
+    value = [finite_number(F.trim(F.try_element_at(f, F.lit(i)))) for i in (2, 3, 4, 5)]
     bad = (F.size(f) < 5) | F.array_contains(F.transform(F.array(*value), lambda v: v.isNull()), True)
     zero = (value[0] == 0) & (value[1] == 0) & (value[2] == 0) & (value[3] == 0)
     return rows.select(ident, *(v.alias(c) for v, c in zip(value, "xywh")), F.when(bad, "malformed").when(zero, "negative").otherwise("box").alias("status"))

@@ -103,7 +103,7 @@ def read_metric_log(spark: SparkSession, path: str, metric: str = "test_coco_eva
 def trainer_lines(rows: DataFrame, line: str) -> DataFrame:
     """rows with phase ('train' or 'test'), epoch and batch where a trainer's line tells them."""
     train, test = r"Epoch: \[(\d+)(?:/\d+)?\]\s+\[\s*(\d+)/(\d+)\]", r"Test:\s+\[\s*(\d+)/(\d+)\]"
-    num = lambda p, i: F.nullif(F.regexp_extract(line, p, i), F.lit("")).cast("int")
+    num = lambda p, i: F.nullif(F.regexp_extract(line, p, i), F.lit("")).try_cast("int")  # noqa: E731  null if it is too long
     phase = F.when(F.col(line).rlike(train), "train").when(F.col(line).rlike(test), "test")
     return rows.select("*", phase.alias("phase"), num(train, 1).alias("epoch"), F.coalesce(num(train, 2), num(test, 1)).alias("batch"), F.coalesce(num(train, 3), num(test, 2)).alias("batches"))
 

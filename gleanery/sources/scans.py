@@ -33,7 +33,9 @@ def flat_yolo(images: DataFrame, labels: DataFrame, source: str, by_video: bool
 def on_stride(stem: Column, stride: int = STRIDE) -> Column:
     """Whether the number at a name's end is a multiple of the stride; names without one always are."""
     number = F.regexp_extract(stem, r"_(\d+)$", 1)
-    return (number == "") | (F.try_to_number(number, F.lit("9" * 18)) % stride == 0)
+    # digit by digit, as a number of any length has a remainder
+    rest = F.aggregate(F.filter(F.split(number, ""), lambda d: d != ""), F.lit(0), lambda r, d: (r * 10 + d.cast("int")) % stride)
+    return (number == "") | (F.when(F.length(number) <= 18, F.when(number != "", number.cast("long")) % stride).otherwise(rest) == 0)
 
 
 def strided_yolo(images: DataFrame, labels: DataFrame, source: str, stride: int = STRIDE) -> DataFrame:

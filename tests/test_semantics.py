@@ -141,7 +141,7 @@ def test_listing_diff(spark):
     state = spark.createDataFrame(
         [("1", "a.zip", "m1", "ingested"), ("2", "b.zip", "m2", "extracted"), ("3", "x.zip", "m3", "download_failed"), ("4", "y.zip", "m4", "ignored"), ("8", "h.zip", "m8", "duplicate")],
         "drive_id string, path string, md5 string, status string",
-    )
+    ).withColumn("seq", F.col("drive_id").cast("int"))
     now = [("1", "a.zip", "m1", ""), ("2", "c.zip", "m2", ""), ("1", "a.zip", "m9", ""), ("5", "e.zip", "m1", ""), ("6", "f.zip", "m6", ""), ("7", "g.zip", "m6", ""), ("3", "x.zip", "m3", ""), ("4", "y.txt", "m4", None), ("9", "n.txt", "m6", None), ("8", "h.zip", "m8", "")]
     got = {(r.drive_id, r.md5): (r.action, r.renamed) for r in ledger.listing_diff(spark.createDataFrame(now, "drive_id string, path string, md5 string, suffix string"), state).collect()}
     assert got == {
@@ -323,3 +323,54 @@ def test_image_headers():
     assert header(tiff) == ("TIFF", 70, 30)
     assert header(b"BM" + b"\0" * 12 + struct.pack("<Iii", 40, 12, -9)) == ("BMP", 12, 9)
     assert header(b"") == header(b"plain text") == (None, None, None)
+
+
+def test_long_numbers_never_abort(spark):
+    one = lambda c, *names: spark.createDataFrame([(n,) for n in names], "n string").select(c.alias("o")).collect()
+    n = F.col("n")
+    assert [r.o for r in one(K.frame_number(n), "frame_99999999999.jpg", "frame_7_x", "still")] == [None, 7, None]
+    assert [tuple(r.o) for r in one(K.rar_volume(n), "a.part99999999999.rar", "a.part0001.rar", "a.part02.rar", "a.rar", "a.r00", "a.zip")] == [(None, True), (1, False), (2, True), (1, False), (2, True), (None, False)]
+    assert [r.o for r in one(K.shard_number(n, "train"), "shards/train-99999999999.tar", "shards/train-00012.tar")] == [None, 12]
+    log = spark.createDataFrame([("Epoch: [3]  [99999999999/5]",)], "l string")
+    assert [(r.phase, r.epoch, r.batch, r.batches) for r in files.trainer_lines(log, "l").collect()] == [("train", 3, None, 5)]
+
+
+@pytest.mark.parametrize("digits", ["123456789012345678901234", "123456789012345678901236", "9" * 60, "1" + "0" * 18, "5", "6", "000000000000000000000003"])
+def test_stride_of_any_length(spark, digits):
+    from gleanery.sources import scans
+
+    got = spark.createDataFrame([(f"a_{digits}",), ("a",), ("a_5x",)], "s string").select(scans.on_stride(F.col("s")).alias("o")).collect()
+    assert [r.o for r in got] == [int(digits) % 3 == 0, True, True]
+
+
+def test_only_plain_finite_numbers_are_boxes(spark):
+    lines = ["n,nan,1d,3,4", "n,inf,1,2,3", "n,1e999,1,2,3", "n,1_0,1,2,3", "n, 1e2 ,+1,.5,3."]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, l string")
+    assert [(r.status, r.x) for r in annotations.pixel_rows(df, "l", "i").orderBy("i").collect()] == [("malformed", None)] * 4 + [("box", 100.0)]
+    xml = "<annotation><object><name>drone</name><bndbox><xmin>{}</xmin><ymin>{}</ymin><xmax>30</xmax><ymax>60</ymax></bndbox></object></annotation>"
+    docs = spark.createDataFrame([(i, xml.format(*c)) for i, c in enumerate([("inf", "1"), ("1", "2d"), ("1e999", "1"), ("NaN", "1"), ("10", "20")])], "i int, t string")
+    assert [r.error for r in annotations.voc_boxes(docs, "t", "i", F.lit(100.0), F.lit(100.0)).orderBy("i").collect()] == ["bad_corner"] * 4 + [None]
+
+
+def test_voc_image_by_name_or_stem(spark):
+    doc = "<annotation><filename>{}</filename></annotation>"
+    docs = spark.createDataFrame([("a/1.xml", doc.format("x.jpg")), ("a/2.xml", doc.format("gone.jpg")), ("a/3.xml", "<annotation/>"), ("a/4.xml", doc.format("gone.jpg")), ("2.xml", "no xml")], "path string, t string")
+    images = spark.createDataFrame([("a/x.jpg",), ("a/1.png",), ("a/2.PNG",), ("a/2.jpg",), ("a/3.txt",), ("b/4.jpg",), ("2.jpg",)], "path string")
+    assert {r.path: r.image for r in annotations.voc_images(docs, images, "t", "path").collect()} == {"a/1.xml": "a/x.jpg", "a/2.xml": "a/2.PNG", "a/3.xml": None, "a/4.xml": None, "2.xml": "2.jpg"}
+
+
+def test_positions_follow_path_parts(spark):
+    from pathlib import PurePosixPath
+
+    paths = ["a-b/x", "a/x", "a/b/c", "a.b/x", "a", "b"]
+    got = ledger.frame_positions(spark.createDataFrame([("s", p) for p in paths], "s string, p string"), "s", "p").orderBy("position").collect()
+    assert [r.p for r in got] == [str(p) for p in sorted(map(PurePosixPath, paths))]
+
+
+def test_last_record_is_the_original(spark):
+    state = spark.createDataFrame([("1", "z.zip", "m", "ingested", 1), ("2", "a.zip", "m", "ingested", 2)], "drive_id string, path string, md5 string, status string, seq int")
+    now = spark.createDataFrame([("3", "n.zip", "m", "")], "drive_id string, path string, md5 string, suffix string")
+    again = spark.createDataFrame([("2", "b.zip", "m", ""), ("1", "z.zip", "m", "")], "drive_id string, path string, md5 string, suffix string")
+    assert [r.action for r in ledger.listing_diff(now, state).collect()] == ["duplicate"]
+    failed = state.replace("ingested", "new", "status")
+    assert {r.drive_id: r.action for r in ledger.listing_diff(again, failed).collect()} == {"2": "again", "1": "duplicate"}
