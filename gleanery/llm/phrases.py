@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -139,39 +139,35 @@ def _merging(cells: int, least: int):
     return run
 
 
-def _surviving(documents: DataFrame, least: int, cells: int | None) -> tuple[int, list[np.ndarray]]:
-    """The cells of a row, and for each row of the sketches which cells reach `least`, as bits."""
-    spark = documents.sparkSession
-    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    cells = cells or min(MOST_CELLS, max(1 << 16, 1 << (size // BYTES_A_CELL).bit_length()))
-    # few tasks, each with a whole sketch: as many as the cluster runs at once, more where they would read over 64 sketches' bytes
-    tasks = max(2 * spark.sparkContext.defaultParallelism, size // (64 * LONGEST * ROWS * cells))
-    sketches = documents.coalesce(tasks).mapInArrow(_sketching(cells, least), "block int, data binary")
-    merged = sketches.repartition(common.shuffle_partitions(spark), "block").sortWithinPartitions("block").mapInArrow(_merging(cells, least), "block int, bits binary")
+def _surviving(rows: DataFrame, least: int, cells: int) -> list[np.ndarray]:
+    """For each row of the sketches of (lang, text) which cells reach `least`, as bits."""
+    sketches = rows.mapInArrow(_sketching(cells, least), "block int, data binary")
+    merged = sketches.repartition(common.shuffle_partitions(rows.sparkSession), "block").sortWithinPartitions("block").mapInArrow(_merging(cells, least), "block int, bits binary")
     bits = [np.zeros(cells // 8, np.uint8) for _ in range(LONGEST * ROWS)]
     width = min(_BLOCK, cells)
     for x in merged.toLocalIterator():  # cells bytes in all, whatever the corpus has
         row, b = divmod(x.block, cells // width)
         bits[row][b * width // 8 : (b + 1) * width // 8] = np.frombuffer(x.bits, np.uint8)
-    return cells, bits
+    return bits
 
 
-def _counting(cells: int, bits, most: int = 64 << 20):
+def _counting(cells: int, bits, most: int = 160 << 20):
     """(lang, text) batches -> (lang, phrase, k, n): how often each surviving sequence stands in what a task has read, and with k = 0 all words of a language."""
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int32()), ("n", pa.int64())])
 
-    def table(found: Counter):
-        keys, n = list(found), list(found.values())
-        for a in range(0, len(keys), 50_000):
-            part = keys[a : a + 50_000]
-            columns = [[x for x, _, _ in part], [p.decode("utf-8", "replace") for _, p, _ in part], [k for _, _, k in part], n[a : a + 50_000]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+    def table(found: dict):
+        for (lang, k), counts in found.items():
+            keys, n = list(counts), list(counts.values())
+            for a in range(0, len(keys), 50_000):
+                phrases = [p.decode("utf-8", "replace") for p in keys[a : a + 50_000]]
+                columns = [[lang] * len(phrases), phrases, [k] * len(phrases), n[a : a + 50_000]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     def run(batches):
-        found, held, known = Counter(), 0, bits.value
+        found, held, known = defaultdict(dict), 0, bits.value
         for words, langs in _words(batches):
-            for i, n in enumerate(np.bincount(words.text, minlength=len(langs)).tolist()):
-                found[langs[i], b"", 0] += n
+            for lang, n in zip(langs, np.bincount(words.text, minlength=len(langs)).tolist()):
+                found[lang, 0][b""] = found[lang, 0].get(b"", 0) + n
             for k in range(1, LONGEST + 1):
                 at, h = words.sequences(k)
                 for r in range(ROWS):
@@ -179,14 +175,18 @@ def _counting(cells: int, bits, most: int = 64 << 20):
                     left = np.flatnonzero((row[c >> 3] >> (c & 7).astype(np.uint8)) & 1)
                     at, h = at[left], h[left]
                 _, place, n = np.unique(h, return_index=True, return_counts=True)
-                for i, m in zip(at[place].tolist(), n.tolist()):
-                    key = langs[words.text[i]], words.phrase(i, k), k
-                    if key not in found:
-                        held += 200 + len(key[1])
-                    found[key] += m
+                at = at[place]
+                for i, lang, m in zip(at.tolist(), words.text[at].tolist(), n.tolist()):
+                    counts, phrase = found[langs[lang], k], words.phrase(i, k)
+                    before = counts.get(phrase)
+                    if before is None:
+                        held += 150 + len(phrase)
+                        counts[phrase] = m
+                    else:
+                        counts[phrase] = before + m
             if held > most:
                 yield from table(found)
-                found, held = Counter(), 0
+                found, held = defaultdict(dict), 0
         yield from table(found)
 
     return common.freeing(run)
@@ -196,7 +196,11 @@ def phrase_counts(documents: DataFrame, least: int = LEAST, cells: int | None =
     """lang, phrase, k, n: every sequence of 1 to 4 words that stands `least` times or more in a language, and with k = 0 and an empty phrase all its words. A kept table."""
     spark = documents.sparkSession
     rows = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    cells, bits = _surviving(rows, least, cells)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    cells = cells or min(MOST_CELLS, max(1 << 16, 1 << (size // BYTES_A_CELL).bit_length()))
+    # few tasks, as each sends a whole sketch and then each sequence that it meets: as many as the cluster runs at once twice over, more where they would read over 64 sketches' bytes
+    rows = rows.coalesce(max(2 * spark.sparkContext.defaultParallelism, size // (64 * LONGEST * ROWS * cells)))
+    bits = _surviving(rows, least, cells)
     counted = rows.mapInArrow(_counting(cells, spark.sparkContext.broadcast(bits)), "lang string, phrase string, k int, n long")
     return common.keep(counted.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
 
