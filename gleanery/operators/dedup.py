@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import ASPECT_TOLERANCE, NEAR_DUPLICATE_BITS
+from ..schema import NEAR_DUPLICATE_BITS
+from . import hamming
 
 
 def winners(rows: DataFrame, key: str, priority: Column, size: Column, ordinal: str) -> DataFrame:
@@ -38,23 +39,5 @@ def drop_known(rows: DataFrame, known: DataFrame, key: str, ordinal: str) -> Dat
 
 
 def near_duplicates(rows: DataFrame, words: str, bits: int, source: str, ident: str, aspect: str | None = None, most: int = NEAR_DUPLICATE_BITS, top: int = 3) -> DataFrame:
-    """For each row its `top` nearest rows of smaller source within `most` bits: hamming, source_a, id_a, source_b, id_b.
-
-    words is an array<bigint> of 32-bit parts of a hash of `bits` bits. Of most + 1 blocks of the bits one at least must be equal, so
-    pairs come from equal blocks, which need 10 bits at least, and are then verified; only pairs of different sources leave the join. Ties go to the
-    smaller source, then id.
-    """
-    blocks = most + 1
-    if bits // blocks < 10:
-        raise ValueError(f"{blocks} blocks of {bits} bits would be equal by chance too often; use a longer hash or fewer bits of difference")
-    cuts = [bits * i // blocks for i in range(blocks + 1)]
-    as_bits = F.array_join(F.transform(F.col(words), lambda w: F.lpad(F.bin(w), 32, "0")), "")
-    parts = F.posexplode(F.array(*(F.substring(F.col("_bits"), a + 1, b - a) for a, b in zip(cuts, cuts[1:]))))
-    plain = rows.select(F.col(source).alias("s"), F.col(ident).alias("i"), F.col(words).alias("w"), (F.col(aspect) if aspect else F.lit(1.0)).alias("r"), as_bits.alias("_bits"))
-    keyed = plain.select("s", "i", "w", "r", parts.alias("block", "part"))
-    a, b = (keyed.select("block", "part", *(F.col(c).alias(f"{c}{k}") for c in "siwr")) for k in "ab")
-    distance = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda t, x: t + x)
-    pairs = a.join(b, ["block", "part"]).where("sa < sb").where(F.abs(F.col("ra") - F.col("rb")) <= ASPECT_TOLERANCE * F.greatest("ra", "rb"))
-    pairs = pairs.select(distance.alias("hamming"), "sa", "ia", "sb", "ib").where(F.col("hamming") <= most).distinct()
-    w = Window.partitionBy("sb", "ib").orderBy("hamming", "sa", "ia")
-    return pairs.withColumn("n", F.row_number().over(w)).where(F.col("n") <= top).select("hamming", F.col("sa").alias("source_a"), F.col("ia").alias("id_a"), F.col("sb").alias("source_b"), F.col("ib").alias("id_b"))
+    """For each row its `top` nearest rows of smaller source within `most` bits: hamming, source_a, id_a, source_b, id_b. See hamming.nearest."""
+    return hamming.nearest(rows, words, bits, source, ident, aspect, most, top)

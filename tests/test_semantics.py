@@ -282,11 +282,90 @@ def test_bad_tars_are_rows(spark):
     assert {r.archive for r in got if r.member is None} >= {"bad"}
 
 
-def test_short_blocks_are_refused(spark):
-    from gleanery.operators import dedup
+def brute_nearest(rows, most, top=3):
+    out = []
+    for s, i, w, r in rows:
+        if w is None or s is None or r is None:
+            continue
+        near = []
+        for t, j, v, q in rows:
+            if v is not None and t is not None and q is not None and t < s and abs(q - r) <= 0.02 * max(q, r):
+                d = sum((x ^ y).bit_count() for x, y in zip(v, w))
+                if d <= most:
+                    near.append((d, t, j))
+        out += [(d, t, j, s, i) for d, t, j in sorted(near)[:top]]
+    return sorted(out)
+
+
+def hash_rows(rng, n, size=16):
+    centres = [[rng.getrandbits(32) for _ in range(size)] for _ in range(8)]
+    rows = []
+    for i in range(n):
+        w = list(rng.choice(centres))
+        for _ in range(rng.choice([0, 0, 1, 5, 11, 20, 45, 80])):
+            k = rng.randrange(32 * size)
+            w[k // 32] ^= 1 << k % 32
+        rows.append((rng.choice("abcd"), i, w, rng.choice([1.0, 1.0, 1.01, 1.5])))
+    return rows + [("a", n, None, 1.0), (None, n + 1, centres[0], 1.0), ("d", n + 2, centres[0], None)]
+
+
+@pytest.mark.parametrize("most, cell, hot", [(0, 1024, None), (10, 1024, 5), (10, 3, 2), (40, 1024, 10), (50, 7, None), (60, 1024, None), (90, 1024, None), (90, 16, None), (256, 50, None), (512, 1024, None)])
+def test_nearest_at_any_distance(spark, most, cell, hot):
+    import random
 
-    with pytest.raises(ValueError):
-        dedup.near_duplicates(spark.createDataFrame([(1, "a", [1, 2])], "i long, s string, w array<bigint>"), "w", 64, "s", "i", most=16)
+    from gleanery.operators import hamming
+
+    rows = hash_rows(random.Random(most), 260)
+    df = spark.createDataFrame(rows, "s string, i long, w array<bigint>, r double").repartition(5)
+    got = hamming.nearest(df, "w", 512, "s", "i", "r", most, cell=cell, hot=hot)
+    assert sorted(tuple(r) for r in got.collect()) == brute_nearest(rows, most)
+
+
+@pytest.mark.parametrize("how", [("near", 21, 1), ("near", 14, 2), ("near", 41, 0), ("all", 1, 0), ("equal", 51, 0)])
+def test_all_ways_find_the_same(spark, monkeypatch, how):
+    import random
+
+    from gleanery.operators import hamming
+
+    rows = hash_rows(random.Random(5), 200)
+    monkeypatch.setattr(hamming, "plan", lambda *_: how)
+    got = hamming.nearest(spark.createDataFrame(rows, "s string, i long, w array<bigint>, r double"), "w", 512, "s", "i", "r", 40)
+    assert sorted(tuple(r) for r in got.collect()) == brute_nearest(rows, 40)
+
+
+def test_ways_by_distance_and_size():
+    from gleanery.operators import hamming
+
+    assert hamming.plan(512, 10, 1000)[0] == hamming.plan(512, 50, 10**9)[0] == "equal"
+    assert hamming.plan(512, 60, 10**6)[0] == "near" and hamming.plan(512, 512, 10**6)[0] == "all" and hamming.plan(512, 90, 100)[0] == "all"
+    for most in range(0, 513):
+        how, blocks, radius = hamming.plan(512, most, 10**7)
+        assert how == "all" or (blocks > most if how == "equal" else most // blocks <= radius)
+
+
+def test_hot_blocks_make_no_pairs(spark):
+    """A third of the rows share nearly all blocks, another third are copies: cells stay small and each gives three answers a class."""
+    import random
+
+    from gleanery.operators import hamming
+
+    rng = random.Random(9)
+    flat = [0] * 16
+    rows = [("ab"[i % 2], i, flat[:-1] + [rng.getrandbits(32)], 1.0) for i in range(900)] + [("ab"[i % 2], i, flat, 1.0) for i in range(900, 1800)]
+    rows += [("ab"[i % 2], i, [rng.getrandbits(32) for _ in range(16)], 1.0) for i in range(1800, 2700)]
+    df = spark.createDataFrame(rows, "s string, i long, w array<bigint>, r double")
+    got = sorted(tuple(r) for r in hamming.nearest(df, "w", 512, "s", "i", "r", 10, cell=64, hot=50).collect())
+    assert got == brute_nearest(rows, 10)
+    keyed = df.select(F.when(F.col("s") == "a", 0).otherwise(1).alias("side"), F.col("i").alias("id"), F.lit(1).cast("long").alias("key"))
+    cells = hamming._cells(*(keyed.where(F.col("side") == k).select("key", "id") for k in (0, 1)), 64).groupBy("key", "i", "j").count()
+    assert cells.agg(F.max("count")).first()[0] < 3 * 64
+
+
+def test_distances_out_of_range_are_refused(spark):
+    df = spark.createDataFrame([(1, "a", [1, 2])], "i long, s string, w array<bigint>")
+    for most in (-1, 65):
+        with pytest.raises(ValueError):
+            dedup.near_duplicates(df, "w", 64, "s", "i", most=most)
 
 
 def test_dataset_yaml_and_documents(spark):
