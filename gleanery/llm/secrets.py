@@ -28,17 +28,25 @@ _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _URL = re.compile(r"%([0-9A-Fa-f]{2})")
-_ESCAPES = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+_FORM = re.compile(r"%([0-9A-Fa-f]{2})|\+")
+_NAMED = {"quot": '"', "apos": "'", "amp": "&", "lt": "<", "gt": ">", "nbsp": " ", "sol": "/", "bsol": "\\", "colon": ":", "equals": "=", "plus": "+", "lowbar": "_", "num": "#", "period": ".", "Tab": "\t", "NewLine": "\n"}
+_SHORT = {"n": "\n", "r": "\r", "t": "\t", "b": "\b", "f": "\f"}
+_ESCAPES = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});|\\([nrtbf\"'/\\])|&(" + "|".join(_NAMED) + ");")
 # lines that base64 was wrapped into are one run; its last line may be short
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]{16,})*(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]{1,15}(?![A-Za-z0-9+/_-]))?")
 _LINE_END = re.compile(r"[\r\n\x20\t]+")
 _UTF16 = re.compile(r"(?:[\t\n\r\x20-\x7e]\x00){16,}|(?:\x00[\t\n\r\x20-\x7e]){16,}")
-_PACKED = re.compile(r"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|x[\x01\x5e\x9c\xda]")
+# of zlib the two bytes that it begins with, for windows of every size: their number divides by 31, and no dictionary is asked for
+_ZLIB = "|".join(f"\\x{a:02x}[" + "".join(f"\\x{b:02x}" for b in range(256) if (a << 8 | b) % 31 == 0 and not b & 32) + "]" for a in range(0x08, 0x80, 0x10))
+_PACKED = re.compile(r"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|" + _ZLIB)
+_OPEN_RUN = re.compile(rb"[A-Za-z0-9+/_=-](?:[A-Za-z0-9+/_=-]|\r?\n[\x20\t]*)*\Z")
 # all patterns and encodings need 16 such characters in a row, or are compressed
 _WORTH = re.compile(r"[\t\n\r\x20-\x7e]{16}|" + _UTF16.pattern + "|" + _PACKED.pattern)
-#: Bytes that one layer is decompressed to at a time; a larger one is scanned in parts that overlap, and counted.
+#: Bytes that one layer is decompressed to at a time; a larger one is scanned in parts, and counted. Parts overlap by OVERLAP, and by all of an encoded run that is not at its end.
 LAYER_BYTES = 64 << 20
 OVERLAP = 1 << 20
+#: The largest window that a zstd frame may ask for; a frame that asks for more is not read, and counted.
+WINDOW_BYTES = 128 << 20
 
 
 def base_spans(text: str, data: bytes | None = None) -> list[tuple[int, int, int]]:
@@ -66,7 +74,7 @@ def _engine(raw: bytes):
     if raw[:4] == b"\x28\xb5\x2f\xfd":
         import zstandard
 
-        return zstandard.ZstdDecompressor(max_window_size=LAYER_BYTES).decompressobj()
+        return zstandard.ZstdDecompressor(max_window_size=WINDOW_BYTES).decompressobj()
     return None
 
 
@@ -77,7 +85,9 @@ def _pieces(raw: bytes, at: int):
             chunk = raw[i : i + (1 << 14)]
             try:
                 out = engine.decompress(chunk)
-            except Exception:  # not compressed after all, or broken from here on; each library has errors of its own
+            except Exception as error:  # not compressed after all, or broken from here on; each library has errors of its own
+                if "memory" in str(error):
+                    yield None, at
                 return
             if out:
                 yield out, min(len(raw), i + len(chunk))
@@ -93,19 +103,35 @@ def _pieces(raw: bytes, at: int):
 
 def _decompressed(raw: bytes, at: int, limit: int):
     """(part of the content, end of what was used so far, whether it has just passed the limit) of compressed bytes; parts overlap."""
-    held, size, used, over = [], 0, 0, False
+    held, size, used, over, kept = [], 0, 0, False, 0
     for out, used in _pieces(raw, at):
+        if out is None:
+            yield b"", used, True
+            continue
         held.append(out)
         size += len(out)
-        if size > limit:
+        if size > limit + kept:
             part = b"".join(held)
             yield part, used, not over
-            over, held = True, [part[-min(OVERLAP, limit // 2) :]]
-            size = len(held[0])
+            run = _open_run(part)
+            over, held = True, [part[-max(run, min(OVERLAP, limit // 2)) :]]
+            size = kept = len(held[0])
     if used:
         yield b"".join(held), used, False
 
 
+def _open_run(part: bytes) -> int:
+    """Bytes at the end of part that may be the beginning of an encoded run, lines and all."""
+    size = 1 << 16
+    while True:
+        m = _OPEN_RUN.search(part, max(0, len(part) - size))
+        if m is None:
+            return 0
+        if m.start() > len(part) - size or size >= len(part):
+            return len(part) - m.start()
+        size *= 4
+
+
 def _replaced(layer: str, escapes: re.Pattern, char):
     """layer with each escape as the one character that it stands for; starts and ends of all characters."""
     keep, ends = np.ones(len(layer), bool), np.arange(1, len(layer) + 1)
@@ -116,6 +142,10 @@ def _replaced(layer: str, escapes: re.Pattern, char):
 
 
 def _escaped(m: re.Match) -> str:
+    if m[7] is not None:
+        return _SHORT.get(m[7], m[7])
+    if m[8] is not None:
+        return _NAMED[m[8]]
     n = next(int(g, 10 if k == 6 else 16) for k, g in enumerate(m.groups(), 1) if g is not None)
     return chr(n) if n <= 0x10FFFF and not 0xD800 <= n < 0xE000 else "\ufffd"
 
@@ -156,7 +186,9 @@ def _layers(text: str, decoded: bool, limit: int):
             yield m[0].replace("\x00", ""), at, at + 2, False
     if "%" in text and _URL.search(text):
         yield *_replaced(text, _URL, lambda m: chr(int(m[1], 16))), False
-    if ("\\" in text or "&#" in text) and _ESCAPES.search(text):
+        if "+" in text:  # of a form, where it is a space
+            yield *_replaced(text, _FORM, lambda m: chr(int(m[1], 16)) if m[1] else " "), False
+    if ("\\" in text or "&" in text) and _ESCAPES.search(text):
         yield *_replaced(text, _ESCAPES, _escaped), False
     for m in _BASE64.finditer(text):
         for inner, starts, ends in _unbased(text, m.start(), m.end()):
@@ -214,7 +246,8 @@ def secret_spans(documents: DataFrame, limit: int = LAYER_BYTES) -> DataFrame:
     Spans are kind:start:end in code points of the whole text, end exclusive, by start, then kind. A span found in a layer is
     mapped to the text's characters that it was decoded from. documents needs doc_id (long) and text; null counts as empty and has
     no spans. Rows are independent, so repeated rows give equal results; an empty table gives an empty table. A layer that
-    decompresses to more than `limit` bytes is scanned in overlapping parts and counted in n_closed.
+    decompresses to more than `limit` bytes is scanned in overlapping parts and counted in n_closed, as is a zstd frame whose window is too large to be read.
+    Parts overlap by an encoded run that the first one does not end, however long; compressed bytes that lie across two parts are read as far as the overlap holds them.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(_scanner(limit), "doc_id long, n_assign long, n_access long, n_hex long, base_spans string, spans string, n_layers long, n_closed long")

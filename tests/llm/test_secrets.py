@@ -1,6 +1,7 @@
 import base64
 import bz2
 import gzip
+import json
 import lzma
 import re
 import urllib.parse
@@ -127,3 +128,92 @@ def test_a_large_layer_is_read_in_parts_within_bounds():
     base, spans, _, closed = secrets.scan(text)
     assert not base and closed == 1 and [k for _, k, _ in spans] == [0]
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss < 3 << 20  # KB; of this process, whatever its other tests left
+
+
+def independent(text, depth=6):
+    """Whether a secret shows in any layer, by a plain recursive decoder with the standard library's own functions."""
+    import html
+
+    seen, work = set(), [(text, 0)]
+    while work:
+        t, d = work.pop()
+        if t in seen or d > depth:
+            continue
+        seen.add(t)
+        if re.search(r"""(?i)(?:password|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{12,}""", t):
+            return True
+        work += [(urllib.parse.unquote(t), d + 1), (urllib.parse.unquote_plus(t), d + 1), (html.unescape(t), d + 1)]
+        for m in re.finditer(r'"(?:[^"\\]|\\.)*"', t):
+            try:
+                work.append((json.loads(m[0]), d + 1))
+            except ValueError:
+                pass
+        for m in re.finditer(r"[A-Za-z0-9+/]{16,}={0,2}", t.replace("\n", "")):
+            raw = base64.b64decode(m[0][: len(m[0]) // 4 * 4])
+            for inner in (raw, *(unpacked(raw[k:]) for k in range(len(raw)) if raw[k : k + 1] in b"\x08\x18\x28\x38\x48\x58\x68\x78")):
+                if inner:
+                    work.append((inner.decode("latin-1"), d + 1))
+    return False
+
+
+def unpacked(raw):
+    try:
+        return zlib.decompressobj().decompress(raw)
+    except zlib.error:
+        return b""
+
+
+def small_window(data, bits):
+    c = zlib.compressobj(9, zlib.DEFLATED, bits)
+    return c.compress(data) + c.flush()
+
+
+def nested():
+    plain = '{"password": "abcdefghijklmnop1"}'
+    wrapped = "\n".join(re.findall(".{1,24}", base64.b64encode(b"key: token=abcdefghijklmnop1 and some more words beside it").decode()))
+    yield "json in json", json.dumps(plain)
+    yield "json in json in json", json.dumps(json.dumps(plain))
+    yield "wrapped base64 in json", json.dumps({"private_key": "-----BEGIN-----\n" + wrapped + "\n-----END-----\n"})
+    yield "html", "password&quot;: &quot;abcdefghijklmnop1&quot;"
+    yield "html of html", "password&amp;quot;: &amp;quot;abcdefghijklmnop1"
+    yield "form", "q=1&x=password%3A+%22abcdefghijklmnop1%22"
+    for bits in range(9, 16):
+        yield f"zlib, window {bits}", base64.b64encode(b"header " + small_window(b"token=abcdefghijklmnop1 " * 3, bits)).decode()
+
+
+@pytest.mark.parametrize("name, text", list(nested()))
+def test_ordinary_nestings(name, text):
+    base, spans, *_ = secrets.scan(f"before {text} after")
+    assert independent(text) and len(spans) > len(base), name
+
+
+def test_random_nestings_against_an_independent_decoder(rng):
+    wraps = [json.dumps, lambda t: urllib.parse.quote(t, safe=""), lambda t: base64.b64encode(t.encode()).decode(), lambda t: t.replace("&", "&amp;").replace('"', "&quot;"), lambda t: base64.b64encode(zlib.compress(t.encode())).decode()]
+    for _ in range(200):
+        text = rng.choice(['{"password": "abcdefghijklmnop1"}', "token=abcdefghijklmnop1", "nothing to see in here at all, really"])
+        for _ in range(rng.randint(0, 4)):
+            text = rng.choice(["", "x "]) + rng.choice(wraps)(text)
+        assert bool(secrets.scan(text)[1]) >= independent(text), text
+
+
+def test_encoded_runs_across_parts():
+    """A layer of more than the limit, in which a base64 run much longer than the overlap lies across parts."""
+    limit = 1 << 16
+    inner = base64.b64encode(b"some filling words " * 9000 + b"password=abcdefghijklmnop1 " + b"and more filling words " * 9000)
+    for before in (0, 30_000, 60_000, 65_000, 200_000):
+        text = base64.b64encode(gzip.compress(b"filler, " * (before // 8) + inner + b" the end" * 9000)).decode()
+        _, spans, _, closed = secrets.scan(text, None, limit)
+        assert spans and closed
+    lines = b"\n".join(inner[i : i + 76] for i in range(0, len(inner), 76))
+    assert secrets.scan(base64.b64encode(gzip.compress(b"filler, " * 5000 + lines + b" the end")).decode(), None, limit)[1]
+
+
+def test_windows_too_large_are_counted(monkeypatch):
+    import zstandard
+
+    data = zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters(window_log=24)).compressobj()
+    frame = data.compress(b"token=abcdefghijklmnop1 " * 100) + data.flush()
+    text = base64.b64encode(frame).decode()
+    assert secrets.scan(text)[1]
+    monkeypatch.setattr(secrets, "WINDOW_BYTES", 1 << 20)
+    assert secrets.scan(text)[3] == 1
