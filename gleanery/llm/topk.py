@@ -24,6 +24,9 @@ SCALE = 1024
 SHARD_BYTES = 8 << 20
 QUERY_BYTES = 64 << 20
 _STEP = 8
+#: Larger components count as this, which no float32 reaches; scores that 64 bits cannot hold count as the largest or least that they can.
+LARGEST = 2.0**200
+_LOW, _HIGH = -(1 << 63), (1 << 63) - 1
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
@@ -34,7 +37,8 @@ def _usable(vectors: DataFrame) -> DataFrame:
 
 def _matrix(batch) -> np.ndarray:
     column = batch.column("v")
-    return np.floor(SCALE * np.asarray(column.flatten(), np.float64)).reshape(len(column), -1)
+    with np.errstate(over="ignore"):
+        return np.clip(np.floor(SCALE * np.asarray(column.flatten(), np.float64)), -LARGEST, LARGEST).reshape(len(column), -1)
 
 
 def _inner(m: np.ndarray, q: np.ndarray, exact: bool) -> np.ndarray:
@@ -155,7 +159,7 @@ def _searcher(queries, k: int):
                 had, names = top[m.shape[1]][i]
                 found = maxscore(q, part, ids_q[i], float(had[-1]) if len(had) == k else -np.inf, k, exact)
                 if len(found):
-                    got = np.array([int(x) for x in _inner(m[found], q, exact)], object)
+                    got = np.array([min(max(int(x), _LOW), _HIGH) for x in _inner(m[found], q, exact)], object)
                     score, name = np.concatenate([had, got]), np.concatenate([names, ids[found]])
                     order = sorted(range(len(score)), key=lambda j: (-score[j], name[j]))[:k]
                     top[m.shape[1]][i] = (score[order], name[order])
@@ -186,6 +190,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, query_bytes: int = QUERY_BY
     vectors needs vec_id (long) and embedding; is_query is a condition on vec_id. Candidates are all rows of another vec_id, ties
     go to the smaller vec_id. Vectors that are null, empty or hold null or non-finite components take no part, as neither do
     rows without vec_id; a query meets only vectors of its own length. Repeated rows are candidates each; a repeated query counts once, by its least vector.
+    Scores beyond 64 bits are the largest or least number of 64 bits, and tie as such; components beyond 2^200 count as 2^200. Other columns are not read.
     Queries are broadcast in blocks of `query_bytes` at most, one after the other, with one pass over the vectors each, whose answers are a table before
     the next one starts; each task returns k rows a query.
     """

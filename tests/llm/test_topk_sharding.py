@@ -8,16 +8,20 @@ from pyspark.sql import functions as F
 from gleanery.llm import sharding, topk
 
 
+def whole(x):
+    return min(max(math.floor(1024 * x), -(2**200)), 2**200)
+
+
 def brute(rows, k):
-    ok = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    ok = [(i, [whole(x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     queries = {}
     for i, v in rows:
         if i is not None and i % 100 == 0 and v and all(x is not None and math.isfinite(x) for x in v):
             queries[i] = min(queries.get(i, v), v)
     out = []
     for q, v in queries.items():
-        qv = [math.floor(1024 * x) for x in v]
-        scored = sorted((-sum(a * b for a, b in zip(qv, w)), i) for i, w in ok if i != q and len(w) == len(qv))
+        qv = [whole(x) for x in v]
+        scored = sorted((-min(max(sum(a * b for a, b in zip(qv, w)), -(2**63)), 2**63 - 1), i) for i, w in ok if i != q and len(w) == len(qv))
         out += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:k], 1)]
     return sorted(out)
 
@@ -30,9 +34,9 @@ def vectors(spark, rows):
 def test_top_k(spark, query_bytes):
     rng = np.random.default_rng(5)
     rows = [(i, (rng.integers(-3, 4, 20) / 8).tolist()) for i in range(700)]
-    rows += [(701, None), (702, []), (703, [1.0, None]), (704, [math.nan] * 20), (800, [math.inf] * 20), (None, [0.5] * 20), (5, rows[5][1]), (100, rows[100][1]), (900, [0.25] * 3), (901, [0.5] * 3), (1000, [1e300] * 20)]
-    got = topk.top_k(vectors(spark, rows[:-1]), F.col("vec_id") % 100 == 0, 10, query_bytes)
-    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got.collect()) == brute(rows[:-1], 10)
+    rows += [(701, None), (702, []), (703, [1.0, None]), (704, [math.nan] * 20), (800, [math.inf] * 20), (None, [0.5] * 20), (5, rows[5][1]), (100, rows[100][1]), (900, [0.25] * 3), (901, [0.5] * 3), (1000, [1e300] * 20), (1100, [1e20, -1e20] * 10), (1101, [-1e18] * 20)]
+    got = topk.top_k(vectors(spark, rows), F.col("vec_id") % 100 == 0, 10, query_bytes)
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got.collect()) == brute(rows, 10)
 
 
 def test_scores_beyond_doubles_are_exact(spark):
