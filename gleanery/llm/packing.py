@@ -27,8 +27,8 @@ WEIGHTS = (1.0, 0.5, 0.5)
 #: Pieces that one task packs.
 GROUP = 20_000
 #: Bytes of words, and of parts of words, that a worker remembers; it then forgets the oldest, which costs time only.
-REMEMBERED = 72 << 20
-REMEMBERED_PARTS = 24 << 20
+REMEMBERED = 40 << 20
+REMEMBERED_PARTS = 16 << 20
 _loaded: dict[str, "WordEncoder"] = {}
 
 
