@@ -144,6 +144,12 @@ def few(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if (df.agg(size.alias("size")).first()[0] or 0) <= most else df
 
 
+def one_text(rows: DataFrame) -> DataFrame:
+    """label, text of one of the rows (known_id, label, text) of each id, by a hash of the text: however often an id is repeated, it gives one row."""
+    first = rows.groupBy("known_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "label")).alias("one"))
+    return first.select("one.label", "one.text")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -159,12 +159,12 @@ def _feature_rows(batches):
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, label: str = "quality") -> AdditiveModel:
-    """A model from the labelled rows that are not held out, `sample_rows` of them at most. Null ids and labels are left out."""
+    """A model from the labelled rows that are not held out, `sample_rows` of them at most. Null ids and labels are left out; of the rows of one id one is taken, of an id's labels the largest. Other columns are not read."""
     known = labels.select(F.col("doc_id").cast("long").alias("known_id"), F.col(label).cast("double").alias("label")).where("known_id is not null and label is not null").where(~held_out(F.col("known_id")))
     known = known.groupBy("known_id").agg(F.max("label").alias("label"))
     sample = known.orderBy(F.xxhash64("known_id"), "known_id").limit(sample_rows)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("known_id")).select("label", "text").mapInArrow(common.freeing(_feature_rows), "label double, x array<double>")
+    rows = common.one_text(docs.join(F.broadcast(sample), F.col("doc_id") == F.col("known_id"))).mapInArrow(common.freeing(_feature_rows), "label double, x array<double>")
     got = rows.toArrow()
     x = np.array(got.column("x").to_pylist(), np.float64).reshape(got.num_rows, len(FEATURES))
     y = np.asarray(got.column("label"), np.float64)
@@ -188,7 +188,7 @@ def _scorer(model, threshold: float, keep_only: bool):
 def score(documents: DataFrame, model: AdditiveModel, threshold: float = THRESHOLD) -> DataFrame:
     """Per row: doc_id, score (0 to 1), predicted (1 from `threshold` on). Only the text tells the score; null counts as empty.
 
-    Rows are independent: repeated rows give equal results; an empty table gives an empty table.
+    Rows are independent: repeated rows give equal results; an empty table gives an empty table. Long texts are read whole, other columns are not read.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(_scorer(documents.sparkSession.sparkContext.broadcast(model), threshold, False), "doc_id long, score double, predicted int")

@@ -348,6 +348,7 @@ def held_out(doc_id):
 def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", most_grams: int = MOST_GRAMS, curve_rows: int = CURVE_ROWS) -> ToxicityModel:
     """Models from all labelled rows that are not held out: the curve is fitted on a fifth, `curve_rows` at most, and all others are counted.
 
+    Null ids and labels are left out; of the rows of one id one is taken for the curve and all are counted, of an id's labels the largest. Other columns are not read.
     All n-grams count: up to `most_grams` of them go to the workers, more are kept as scratch tables and joined.
     """
     spark = documents.sparkSession
@@ -367,7 +368,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", most_gram
     else:
         model = GramTables(grams)
     name = f"{spark.sparkContext.applicationId}-{id(model)}"
-    rows = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("known_id")).select("label", "text")
+    rows = common.one_text(docs.join(F.broadcast(sample), F.col("doc_id") == F.col("known_id")))
     if isinstance(model, GramTables):
         rows = model.evidence(rows, "label").withColumnRenamed("mark", "label").toArrow()
     else:
@@ -423,7 +424,7 @@ def _table_scorer(weights: np.ndarray, threshold: float):
 def score(documents: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
     """Per row: doc_id, score (0 to 1), predicted (1 from `threshold` on). Only the text tells the score; null counts as empty.
 
-    Rows are independent: repeated rows give equal results; an empty table gives an empty table.
+    Rows are independent: repeated rows give equal results; an empty table gives an empty table. Long texts are read whole, other columns are not read.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if isinstance(model.grams, GramTables):
