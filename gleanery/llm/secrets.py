@@ -39,7 +39,7 @@ _UTF16 = re.compile(r"(?:[\t\n\r\x20-\x7e]\x00){16,}|(?:\x00[\t\n\r\x20-\x7e]){1
 # of zlib the two bytes that it begins with, for windows of every size: their number divides by 31, and no dictionary is asked for
 _ZLIB = "|".join(f"\\x{a:02x}[" + "".join(f"\\x{b:02x}" for b in range(256) if (a << 8 | b) % 31 == 0 and not b & 32) + "]" for a in range(0x08, 0x80, 0x10))
 _PACKED = re.compile(r"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|" + _ZLIB)
-_OPEN_RUN = re.compile(rb"[A-Za-z0-9+/_=-](?:[A-Za-z0-9+/_=-]|\r?\n[\x20\t]*)*\Z")
+_OPEN_RUN = re.compile(rb"(?:[A-Za-z0-9+/_=-]+|[\x20\t]*\n\r?)*")  # backwards
 # all patterns and encodings need 16 such characters in a row, or are compressed
 _WORTH = re.compile(r"[\t\n\r\x20-\x7e]{16}|" + _UTF16.pattern + "|" + _PACKED.pattern)
 #: Bytes that one layer is decompressed to at a time; a larger one is scanned in parts, and counted. Parts overlap by OVERLAP, and by all of an encoded run that is not at its end.
@@ -124,11 +124,9 @@ def _open_run(part: bytes) -> int:
     """Bytes at the end of part that may be the beginning of an encoded run, lines and all."""
     size = 1 << 16
     while True:
-        m = _OPEN_RUN.search(part, max(0, len(part) - size))
-        if m is None:
-            return 0
-        if m.start() > len(part) - size or size >= len(part):
-            return len(part) - m.start()
+        run = _OPEN_RUN.match(part[-size:][::-1]).end()
+        if run < size or size >= len(part):
+            return run
         size *= 4
 
 
