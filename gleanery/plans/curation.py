@@ -203,7 +203,7 @@ def html_extract(spark, sf_dir):
 
 
 def json_props(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_type", F.from_json("props", "k int").getField("k").alias("k")).where("k % 2 = 0").groupBy("event_type", "k").agg(F.count("*").alias("n"))
+    return table(spark, sf_dir, "events").select("event_type", F.from_json("props", "k int").getField("k").alias("k")).groupBy("event_type", "k").agg(F.count("*").alias("n"))
 
 
 def nested_transform(spark, sf_dir):
@@ -254,6 +254,6 @@ SELECT seq, CASE WHEN bool_or(k = 3) THEN 'json' WHEN bool_or(k = 0) THEN 'yolo'
     manifest_union_minus: "SELECT doc_id, lang FROM documents WHERE (doc_id % 2 = 0 OR doc_id % 3 = 0) AND doc_id % 10 <> 0",
     latest_annotation: "SELECT conv_id, max(turn) AS turn, arg_max(role, turn) AS role, arg_max(length(text), turn) AS n FROM conversations WHERE turn % 4 <> 3 GROUP BY conv_id",
     html_extract: "SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title, len(string_split(html, '<p')) - 1 AS paragraphs FROM pages",
-    json_props: "SELECT event_type, (props->>'k')::INTEGER AS k, count(*) AS n FROM events WHERE (props->>'k')::INTEGER % 2 = 0 GROUP BY 1, 2",
+    json_props: "SELECT event_type, (props->>'k')::INTEGER AS k, count(*) AS n FROM events GROUP BY 1, 2",
     nested_transform: "SELECT vec_id, len(list_filter(embedding, lambda x: x > 0)) AS positive, list_max(embedding)::DOUBLE AS most, list_min(embedding)::DOUBLE AS least, embedding[3]::DOUBLE AS third FROM embeddings",
 }

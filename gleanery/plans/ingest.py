@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import keys as K
 from ..operators import dedup, ledger, quality, report
 from ..session import scratch_root
-from ..sources import annotations, files, images, scans, sinks
+from ..sources import annotations, files, images, scans, sinks, tar
 from .common import table
 
 _S = lambda c: F.col(c).cast("string")
@@ -62,7 +62,7 @@ def scan_track_frames(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("seq"), F.col("o_orderkey").alias("o"))
     frames = o.select("seq", F.concat(F.when(F.col("o") % 11 == 0, "still_").otherwise("frame_"), _S("o"), F.lit("_x.jpg")).alias("path"), F.lit(640.0).alias("width"), F.lit(480.0).alias("height"))
     presence = o.where("seq % 6 != 0").select("seq", F.col("o").alias("frame"), (F.col("o") % 4 != 0).cast("int").alias("exist"), F.col("o").alias("ordinal"))
-    lines = table(spark, sf_dir, "lineitem").where("l_linenumber <= 2").select(F.col("l_orderkey").alias("o"), "l_linenumber", (F.col("l_quantity") * 2 - 10.0).alias("x"), F.col("l_quantity").cast("double").alias("w"))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o"), "l_linenumber", (F.col("l_quantity") * 2 - 10.0).alias("x"), F.col("l_quantity").cast("double").alias("w"))
     tracks = lines.join(o, "o").select("seq", (F.col("o") + 1).alias("frame"), "x", F.lit(10.0).alias("y"), "w", F.lit(0.25 * 4).alias("h"))
     out = scans.track_frames(frames, tracks, presence, "seq")
     return out.select("seq", "path", "frame", F.size("boxes").cast("long").alias("boxes"), F.round(F.aggregate("boxes", F.lit(0.0), lambda t, b: t + b["w"]), 6).alias("widths"), "status", "negative_kind")
@@ -261,21 +261,33 @@ def manifest_round_trip(spark, sf_dir):
 
 
 def tar_round_trip(spark, sf_dir):
-    """Documents packed into a TAR by source, written as files, and listed again."""
-    d = table(spark, sf_dir, "documents").where("doc_id % 3 = 0 or lang = 'en'")
-    shards = sinks.tar_shards(d.select("source", F.lit(4).alias("shard"), F.concat(F.when(F.col("doc_id") % 7 == 0, "../").otherwise("d/"), _S("doc_id"), F.lit(".txt")).alias("name"), F.col("text").cast("binary").alias("content")), "source", "shard", "name", "content")
-    return files.tar_members(shards.select("path", "content")).select(F.col("archive"), "member", "size", "safe")
+    """Documents packed into a TAR by source, written as files in two phases, and listed again."""
+    d = table(spark, sf_dir, "documents")
+    path = _folder(spark, "shards")
+    tar.write_tar(d.select(F.col("source").alias("split"), F.lit(4).alias("shard"), F.concat(F.when(F.col("doc_id") % 7 == 0, "../").otherwise("d/"), _S("doc_id"), F.lit(".txt")).alias("name"), F.col("text").cast("binary").alias("content")), path)
+    listed = tar.read_tar(spark, path, content=False)
+    return listed.select(F.regexp_extract("archive", "shards/[^/]*$", 0).alias("archive"), "member", "size", "safe")
+
+
+def tar_contents(spark, sf_dir):
+    """Pages packed by thirds of their number, in parts of 1,000 bytes, and read back by ranges of 20,000 bytes."""
+    p, path = table(spark, sf_dir, "pages"), _folder(spark, "pages")
+    html = F.col("html").cast("binary")
+    parts = p.withColumn("part", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.octet_length("html") / 1000).cast("int") - 1, F.lit(0)))))
+    tar.write_tar(parts.select(F.lit("train").alias("split"), (F.col("page_id") % 3).cast("int").alias("shard"), F.concat(_S("page_id"), F.lit(".html")).alias("name"), F.octet_length("html").alias("size"), "part", F.substring(html, F.col("part") * 1000 + 1, F.lit(1000)).alias("content")), path)
+    got = tar.read_tar(spark, path, split_bytes=20_000, part_bytes=3000).groupBy("member").agg(F.sum(F.octet_length("content")).alias("bytes"), F.sum(F.crc32("content")).alias("crc"), F.count("*").alias("parts"))
+    return got.select(F.regexp_extract("member", r"^(\d+)", 1).cast("long").alias("page_id"), "bytes", "parts")
 
 
 def label_texts(spark, sf_dir):
     l = table(spark, sf_dir, "lineitem")  # noqa: E741
     box = F.struct((F.col("l_discount") * 8).cast("double").alias("cx"), F.lit(0.25).alias("cy"), (F.col("l_suppkey") / 1024).alias("w"), F.lit(0.5).alias("h"))
-    return l.where("l_linenumber = 1").select("l_orderkey", "l_partkey", "l_suppkey", sinks.label_text(F.array(box.withField("cx", F.col("l_linenumber") / 8.0), box.withField("cx", F.lit(0.125)))).alias("text"))
+    return l.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", sinks.label_text(F.array(box.withField("cx", F.col("l_linenumber") / 8.0), box.withField("cx", F.lit(0.125)))).alias("text"))
 
 
 def metric_log(spark, sf_dir):
     path = _folder(spark, "log")
-    e = table(spark, sf_dir, "events").where("event_type = 'purchase'")
+    e = table(spark, sf_dir, "events")
     lines = e.select(F.to_json(F.struct(F.col("event_id").alias("epoch"), F.when(F.col("event_id") % 3 != 0, F.array(F.col("event_id") / 8.0, F.col("event_id") / 4.0)).alias("test_coco_eval_bbox"), F.lit(1).alias("other"))).alias("value"))
     lines.write.text(path)
     return files.read_metric_log(spark, path)
@@ -324,7 +336,7 @@ SELECT 'a/images/' || i.s || '/' || i.stem || '.jpg' AS path, 'a:' || regexp_rep
 FROM i LEFT JOIN l ON l.s = i.s AND l.stem = i.stem""",
     scan_split_yolo: f"SELECT 'd/images/' || ['train', 'valid', 'test'][o % 3 + 1] || '/images/s' || (o % 90) || '_jpg.rf.' || o || '.jpg' AS path, 'e:s' || (o % 90) || '_jpg' AS \"group\", ['train', 'val', 'test'][o % 3 + 1] AS source_split, 'd/images/' || ['train', 'valid', 'test'][o % 3 + 1] || '/labels/s' || (o % 90) || '_jpg.rf.' || o || '.txt' AS label_path, {_MISSING} FROM {_O}",
     scan_prepared_yolo: f"SELECT 'images/' || d || o || '.png' AS path, 'g:' || CASE WHEN d = '' THEN '.' ELSE d[:-2] END AS \"group\", NULL::VARCHAR AS source_split, 'labels/' || d || o || '.txt' AS label_path, {_MISSING} FROM (SELECT o, CASE WHEN o % 4 = 0 THEN '' ELSE 'day' || (o % 9) || '/images/' END AS d FROM {_O})",
-    scan_track_frames: f"""WITH t AS (SELECT seq, o, list_transform([l_quantity * 2 - 10], lambda x: least(greatest(x, 0), 100))[1]::DOUBLE / 100 AS l, least(l_quantity * 3 - 10, 100)::DOUBLE / 100 AS r FROM {_O} JOIN lineitem ON l_orderkey = o WHERE l_linenumber <= 2),
+    scan_track_frames: f"""WITH t AS (SELECT seq, o, list_transform([l_quantity * 2 - 10], lambda x: least(greatest(x, 0), 100))[1]::DOUBLE / 100 AS l, least(l_quantity * 3 - 10, 100)::DOUBLE / 100 AS r FROM {_O} JOIN lineitem ON l_orderkey = o),
 k AS (SELECT DISTINCT seq FROM t WHERE seq % 6 <> 0), b AS (SELECT seq, o, count(*) AS n, sum(r - l) AS w FROM t WHERE (r - l) * 640 >= 1 GROUP BY 1, 2),
 f AS (SELECT x.seq, x.o, x.o % 11 = 0 AS bad, x.o % 4 <> 0 AND x.o % 11 <> 0 AS present, coalesce(n, 0) AS n, coalesce(w, 0) AS w FROM {_O} x JOIN k ON k.seq = x.seq LEFT JOIN b ON b.seq = x.seq AND b.o = x.o)
 SELECT seq, CASE WHEN bad THEN 'still_' ELSE 'frame_' END || o || '_x.jpg' AS path, CASE WHEN NOT bad THEN o::INTEGER END AS frame, CASE WHEN present THEN n ELSE 0 END AS boxes, round(CASE WHEN present THEN w ELSE 0e0 END, 6) AS widths,
@@ -368,9 +380,10 @@ UNION ALL SELECT o_orderkey, NULL, NULL, NULL, NULL, NULL, NULL, 'length_mismatc
     nested_boxes: "SELECT o_orderkey, 0 AS box_no, o_custkey::DOUBLE AS x, 1e0 AS y, 2e0 AS w, 3e0 AS h FROM orders UNION ALL SELECT o_orderkey, 1, 5, 6, NULL, NULL FROM orders",
     box_aliases: "SELECT o_orderkey AS id, o_orderkey::DOUBLE AS frame, (o_custkey % 2)::DOUBLE AS exist, 1.5e0 AS x, 2e0 AS y, CASE WHEN o_orderkey % 3 <> 0 THEN 7.5e0 END AS width, 7e0 AS height FROM orders",
     manifest_round_trip: "SELECT doc_id::VARCHAR AS output_image, source, 'a \"b\", c' || CASE WHEN doc_id % 2 = 0 THEN chr(10) ELSE '' END || doc_id AS original, lang AS \"group\", 640 AS width, (doc_id % 5)::INTEGER AS boxes, NULL::VARCHAR AS visual_hash FROM documents",
-    tar_round_trip: "SELECT 'shards/' || source || '-00004.tar' AS archive, CASE WHEN doc_id % 7 = 0 THEN '../' ELSE 'd/' END || doc_id || '.txt' AS member, coalesce(strlen(text), 0) AS size, doc_id % 7 <> 0 AS safe FROM documents WHERE doc_id % 3 = 0 OR lang = 'en'",
-    label_texts: "SELECT l_orderkey, l_partkey, l_suppkey, format('0 0.12500000 0.25000000 {:.8f} 0.50000000', l_suppkey / 1024) || chr(10) || format('0 0.12500000 0.25000000 {:.8f} 0.50000000', l_suppkey / 1024) AS text FROM lineitem WHERE l_linenumber = 1",
-    metric_log: "SELECT (event_id + 1)::INTEGER AS epoch, CASE WHEN event_id % 3 <> 0 THEN event_id / 8 END AS map50_95, CASE WHEN event_id % 3 <> 0 THEN event_id / 4 END AS map50 FROM events WHERE event_type = 'purchase'",
+    tar_round_trip: "SELECT 'shards/' || source || '-00004.tar' AS archive, CASE WHEN doc_id % 7 = 0 THEN '../' ELSE 'd/' END || doc_id || '.txt' AS member, coalesce(strlen(text), 0) AS size, doc_id % 7 <> 0 AS safe FROM documents",
+    tar_contents: "SELECT page_id, strlen(html) AS bytes, ceil(strlen(html) / 3000)::BIGINT AS parts FROM pages",
+    label_texts: "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, format('0 {:.8f} 0.25000000 {:.8f} 0.50000000', l_linenumber / 8, l_suppkey / 1024) || chr(10) || format('0 0.12500000 0.25000000 {:.8f} 0.50000000', l_suppkey / 1024) AS text FROM lineitem",
+    metric_log: "SELECT (event_id + 1)::INTEGER AS epoch, CASE WHEN event_id % 3 <> 0 THEN event_id / 8 END AS map50_95, CASE WHEN event_id % 3 <> 0 THEN event_id / 4 END AS map50 FROM events",
     results_csv: "SELECT p_partkey::DOUBLE AS epoch, p_size / 4 AS map50 FROM part",
     listing_read: "SELECT doc_id::VARCHAR AS drive_id, source || '/' || doc_id AS path, n_chars::BIGINT AS size, CASE WHEN doc_id % 4 <> 0 THEN md5(text) ELSE 'size' || n_chars || '-2024-01-01T00:00:00Z' END AS key FROM documents",
     image_headers: """SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS path, CASE l_suppkey % 4 WHEN 1 THEN 'PNG' WHEN 2 THEN 'GIF' END AS kind, CASE WHEN l_suppkey % 4 IN (1, 2) THEN floor(l_quantity)::INTEGER END AS width, CASE WHEN l_suppkey % 4 IN (1, 2) THEN (l_suppkey + 1)::INTEGER END AS height,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import tarfile
 import zipfile
 
 import pyarrow as pa
@@ -69,25 +68,6 @@ def zip_members(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInArrow(run, "archive string, member string, size long, crc32 long")
 
 
-def tar_members(files: DataFrame) -> DataFrame:
-    """archive, member, size, safe of TAR files; links and paths that leave the folder are not safe. Where a file cannot be read further, a row has member null."""
-
-    def run(batches):
-        for b in batches:
-            rows = []
-            for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
-                try:
-                    with tarfile.open(fileobj=io.BytesIO(content or b"")) as t:
-                        for m in t:
-                            if not m.isdir():
-                                rows.append((path, m.name, m.size, m.isfile() and not m.name.startswith(("/", "\\")) and ".." not in m.name.replace("\\", "/").split("/")))
-                except (tarfile.TarError, OSError, EOFError):
-                    rows.append((path, None, None, None))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.bool_()))], ["archive", "member", "size", "safe"])
-
-    return files.select("path", "content").mapInArrow(run, "archive string, member string, size long, safe boolean")
-
-
 def read_results_csv(spark: SparkSession, path: str) -> DataFrame:
     """A metrics table with blanks around its names and values."""
     rows = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path)

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import io
-import tarfile
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,24 +32,6 @@ def dataset_card(summary: list, title: str = "Dataset") -> str:
     return "\n".join([*lines, *(f"| {r['split']} | {r['images']:,} | {r['objects']:,} | {r['negatives']:,} |" for r in summary), ""])
 
 
-def tar_shards(rows: DataFrame, split: str, shard: str, name: str, content: str) -> DataFrame:
-    """split, shard, path, size, sha256, content: one TAR by shard, made by one task each; write them with any sink."""
-    import hashlib
-
-    def run(table: pa.Table) -> pa.Table:
-        s, n = table.column(split)[0].as_py(), table.column(shard)[0].as_py()
-        buffer = io.BytesIO()
-        with tarfile.open(fileobj=buffer, mode="w") as t:
-            for member, data in sorted(zip(table.column(name).to_pylist(), table.column(content).to_pylist())):
-                info = tarfile.TarInfo(member)
-                info.size = len(data or b"")
-                t.addfile(info, io.BytesIO(data or b""))
-        data = buffer.getvalue()
-        return pa.table({"split": pa.array([s], pa.string()), "shard": pa.array([n], pa.int32()), "path": [f"shards/{s}-{n:05d}.tar"], "size": pa.array([len(data)], pa.int64()), "sha256": [hashlib.sha256(data).hexdigest()], "content": pa.array([data], pa.binary())})
-
-    return rows.select(split, shard, name, content).groupBy(split, shard).applyInArrow(run, "split string, shard int, path string, size long, sha256 string, content binary")
-
-
 def repaired_jpeg(content: Column) -> Column:
     """JPEG bytes with the end marker added where it is missing."""
     return F.when(F.hex(F.substring(content, -2, 2)) != "FFD9", F.concat(content, F.unhex(F.lit("FFD9")))).otherwise(content)

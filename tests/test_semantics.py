@@ -196,13 +196,6 @@ def test_archives(spark, tmp_path):
     assert [(r.member, r.size) for r in files.zip_members(found.where("path like '%.bin'")).collect()] == [("x/y.txt", 5)]
 
 
-def test_tar_round_trip(spark):
-    rows = spark.createDataFrame([("train", 0, "b.txt", b"22"), ("train", 0, "a.txt", b"1"), ("val", 1, "c.txt", b"")], "split string, shard int, name string, content binary")
-    shards = sinks.tar_shards(rows, "split", "shard", "name", "content")
-    got = files.tar_members(shards.select("path", "content")).collect()
-    assert sorted((r.archive, r.member, r.size, r.safe) for r in got) == [("shards/train-00000.tar", "a.txt", 1, True), ("shards/train-00000.tar", "b.txt", 2, True), ("shards/val-00001.tar", "c.txt", 0, True)]
-
-
 def test_manifest_round_trip(spark, tmp_path):
     row = ("images/train/ab/s_ab.png", "train", "s", 'o,"x"', "ab", "0", "g", None, 3, 4, 1, "", "{}")
     sinks.write_manifest(spark.createDataFrame([row], files.MANIFEST), f"{tmp_path}/m")
@@ -265,23 +258,6 @@ def test_edits_undos_and_redos(spark):
     assert {(r.s, r.c): r.v for r in got.collect()} == want
 
 
-def test_bad_tars_are_rows(spark):
-    import io
-    import tarfile
-
-    from gleanery.sources import files
-
-    buffer = io.BytesIO()
-    with tarfile.open(fileobj=buffer, mode="w") as t:
-        for name in ("a.txt", "../b.txt"):
-            info = tarfile.TarInfo(name)
-            info.size = 3
-            t.addfile(info, io.BytesIO(b"abc"))
-    got = files.tar_members(spark.createDataFrame([("good", buffer.getvalue()), ("bad", b"no tar at all" * 100), ("none", None)], "path string, content binary")).collect()
-    assert sorted((r.archive, r.member, r.safe) for r in got if r.member) == [("good", "../b.txt", False), ("good", "a.txt", True)]
-    assert {r.archive for r in got if r.member is None} >= {"bad"}
-
-
 def brute_nearest(rows, most, top=3):
     out = []
     for s, i, w, r in rows:
