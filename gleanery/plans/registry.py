@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import boxes, curation, ingest, timeline, vision
+from . import boxes, curation, ingest, stores, timeline, vision
 
-_ALL = {f: sql for part in (boxes.QUERIES, curation.QUERIES, timeline.QUERIES, ingest.QUERIES, vision.QUERIES) for f, sql in part.items()}
+_ALL = {f: sql for part in (boxes.QUERIES, curation.QUERIES, timeline.QUERIES, ingest.QUERIES, vision.QUERIES, stores.QUERIES) for f, sql in part.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

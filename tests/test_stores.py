@@ -84,3 +84,106 @@ def test_broken_archives_are_rows(spark, tmp_path):
         got.setdefault(r.archive.rsplit("/", 1)[1], []).append((r.member, r.size, r.safe))
     assert sorted(got["good.tar"]) == sorted([("n" * 150, 600, True), ("link", 0, False), ("last", 600, True)])
     assert None in [m for m, _, _ in got["cut.tar"]] and got["text.tar"] == [(None, None, None)] == got["empty.tar"]
+
+
+def parts_read(df):
+    return len(df.inputFiles())
+
+
+def test_known_keys_open_only_what_may_hold_them(spark, tmp_path):
+    from gleanery.streaming.known import KnownKeys
+
+    known = KnownKeys(spark, f"file://{tmp_path}/known", "h")
+    assert known.parts(spark.createDataFrame([("a",)], "h string")) == [] and known.fresh(spark.createDataFrame([("a", 1)], "h string, o long"), "o").count() == 1
+    old = [(hashlib.sha256(str(i).encode()).hexdigest(), i) for i in range(3000)]
+    known.add(spark.createDataFrame(old, "h string, o long"), 0)
+    every = parts_read(known._table("keys", "h string, part string, batch long"))
+    assert every >= 250
+    one = spark.createDataFrame([(old[7][0], 1), ("never seen", 2), ("never seen either", 3), (None, 4)], "h string, o long")
+    parts = known.parts(one)
+    digits = lambda h: hashlib.sha256(h.encode()).hexdigest()[:2]
+    assert digits(old[7][0]) in parts and len(parts) <= 3
+    assert parts_read(known.known(parts).where("h is not null")) == every or known.known(parts)._jdf.queryExecution().executedPlan().toString().count("PartitionFilters: [part") == 1
+    files = {f.split("part=")[1][:2] for f in (r.f for r in known.known(parts).select(F.input_file_name().alias("f")).distinct().collect())}
+    assert files == set(parts)
+    assert sorted(r.o for r in known.fresh(one, "o").collect()) == [2, 3]
+    assert known.parts(spark.createDataFrame(old, "h string, o long")) == sorted({digits(h) for h, _ in old})
+
+
+def test_ingest_restarts_where_it_was(spark, tmp_path, monkeypatch):
+    from gleanery.streaming import known
+
+    schema, root = "o long, h string", f"file://{tmp_path}"
+    put = lambda n, rows: spark.createDataFrame(rows, schema).write.parquet(f"{root}/in/{n}")
+    run = lambda: known.ingest(spark.readStream.schema(schema).parquet(f"{root}/in/*"), f"{root}/known", "h", "o", f"{root}/state", f"{root}/out")
+    put(1, [(1, "a"), (2, "a"), (3, "b"), (9, None)])
+    run()
+    put(2, [(4, "b"), (5, "c"), (6, "d"), (7, "d")])
+    real = known.KnownKeys.add
+
+    def cut_off(self, rows, batch):
+        real(self, rows, batch)
+        raise RuntimeError("lost between write and commit")
+
+    monkeypatch.setattr(known.KnownKeys, "add", cut_off)
+    with pytest.raises(Exception, match="lost between"):
+        run()
+    monkeypatch.setattr(known.KnownKeys, "add", real)
+    run()  # the batch is marked: nothing is written again
+    os.remove(f"{tmp_path}/known/log/batch=1/_SUCCESS")
+    state = spark.read.parquet(f"{root}/known/keys").count()
+    k = known.KnownKeys(spark, f"{root}/known", "h")
+    again = k.fresh(spark.read.schema(schema).parquet(f"{root}/in/2"), "o", 1)  # what a batch that was cut off gives when it is run again
+    assert sorted((r.o, r.h) for r in again.collect()) == [(5, "c"), (6, "d")]
+    k.add(again, 1)
+    assert spark.read.parquet(f"{root}/known/keys").count() == state == 4
+    assert sorted((r.o, r.h) for r in spark.read.parquet(f"{root}/out").collect()) == [(1, "a"), (3, "b"), (5, "c"), (6, "d")]
+
+
+def plain_ledger(events, patience, until):
+    from gleanery.streaming.machine import FAILS_TO, FOLLOWS
+
+    out, state = [], {}
+    for k, at, seq, status in sorted(events, key=lambda e: (e[1], e[2])):
+        s, t, q, n = state.get(k, ("", None, None, 0))
+        if s in FAILS_TO and t + patience <= at:
+            out.append((k, t + patience, None, FAILS_TO[s], s, n, True, "timeout"))
+            s, t = FAILS_TO[s], t + patience
+        if t is not None and (at, seq) <= (t, q):
+            out.append((k, at, seq, status, s, n, False, "late"))
+        elif status not in FOLLOWS.get(s, ()):
+            out.append((k, at, seq, status, s or None, n, False, "not_allowed"))
+        else:
+            out.append((k, at, seq, status, s or None, n + (status == "downloading"), True, None))
+            s, t, q, n = status, at, seq, n + (status == "downloading")
+        state[k] = (s, t, q, n)
+    for k, (s, t, _, n) in state.items():
+        if s in FAILS_TO and t + patience <= until:
+            out.append((k, t + patience, None, FAILS_TO[s], s, n, True, "timeout"))
+    return sorted(out, key=repr)
+
+
+def test_ledger_stream_with_restarts(spark, tmp_path):
+    import random
+
+    from gleanery.streaming import incremental, machine
+
+    rng, base = random.Random(4), 1_704_067_200
+    names = [s for s in machine.FOLLOWS if s] + ["ingested", "nonsense"]
+    events, clock = [], {}
+    for i in range(1200):
+        k = rng.randrange(60)
+        likely = rng.choice(machine.FOLLOWS.get(clock.get(k, ""), ("new",)))
+        status = likely if rng.random() < 0.8 else rng.choice(names)
+        clock[k] = status
+        events.append((k, base + i * 20 + rng.randrange(15), i, status))
+    schema = "user long, at long, seq long, status string"
+    for n in range(3):
+        spark.createDataFrame(events[n * 400 : n * 400 + 400], schema).selectExpr("user", "timestamp_seconds(at) AS ts", "seq", "status").repartition(1).write.parquet(f"{tmp_path}/in/{n}")
+        stream = spark.readStream.schema("user long, ts timestamp, seq long, status string").parquet(f"file://{tmp_path}/in/*")
+        told = machine.ledger(stream, "user", "ts", "seq", "status", 25 * 60, "1 minute")
+        incremental.run_to_end(told, f"file://{tmp_path}/out", f"file://{tmp_path}/state")  # each run goes on from the state of the last
+    got = spark.read.parquet(f"file://{tmp_path}/out").selectExpr("key", "unix_seconds(at) AS at", "seq", "status", "previous", "attempts", "accepted", "reason").collect()
+    want = plain_ledger(events, 25 * 60, max(e[1] for e in events) - 60)
+    assert sorted((tuple(r) for r in got), key=repr) == want
+    assert {r.reason for r in got} >= {None, "timeout", "not_allowed"}
