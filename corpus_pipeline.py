@@ -35,7 +35,7 @@ def keep_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts are equal, so one of them stays; an empty table stays empty.
     """
-    common.prepare(spark)
+    common.give_back(common.prepare(spark))
     file, row, gone_file, gone_row = _free(docs, "file", "row", "gone_file", "gone_row")
     gone = exact_dedup.exact_duplicates(docs).where(~F.col("kept")).select(F.col("file").alias(gone_file), F.col("row").alias(gone_row))
     rows = docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
@@ -47,7 +47,7 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Texts without words are in no class and stay; an empty table stays empty.
     """
-    common.prepare(spark)
+    common.give_back(common.prepare(spark))
     file, row, gone_row = _free(docs, "file", "row", "gone")
     # a number for each row: files by name, then the place in the file
     files = docs.select(F.col("_metadata.file_path").alias(file)).distinct().withColumn(row, F.row_number().over(Window.orderBy(file)).cast("long") * (1 << 40))
@@ -62,14 +62,14 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the spans that hold secrets, plain or encoded, replaced; n_chars, where there is one, follows. Null texts stay null."""
-    common.prepare(spark)
+    common.give_back(common.prepare(spark))
     cleaned = secrets.redact(docs)
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cleaned
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 4096 tokens; a null or empty text is one piece of one token."""
-    common.prepare(spark)
+    common.give_back(common.prepare(spark))
     return packing.pack(docs)
 
 

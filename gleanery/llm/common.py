@@ -62,6 +62,12 @@ def trim() -> None:
         pass
 
 
+def give_back(spark: SparkSession) -> None:
+    """Has each executor's JVM collect all its garbage, after which it gives unused heap back to the system: what a stage has grown it to would count against the executor beside the next stage's Python workers."""
+    n = 2 * spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.expr("java_method('java.lang.System', 'gc')")).write.format("noop").mode("overwrite").save()
+
+
 def forget(own: str = "") -> None:
     """Empties what tasks of other operators than `own` have left to remember in this worker."""
     for name, kept in (("packing", "_loaded"), ("token_counts", "_loaded"), ("bpe_codec", "_loaded"), ("toxicity", "_cache")):
