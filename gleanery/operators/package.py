@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import bisect
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.geometry import centre_to_coco
 from ..schema import BUCKET_FILES, SHARD_BYTES
@@ -22,24 +26,94 @@ def next_fit(sizes, target: int, start: int = 0) -> list[int]:
     return out
 
 
+def _starts(sizes: np.ndarray, target: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sums of the sizes up to each, and for each item where the next shard begins if one begins there; len(sizes) if not among these."""
+    total = np.cumsum(sizes)
+    before = total - sizes
+    return total, np.maximum(np.searchsorted(total, before + target, "right"), np.arange(1, len(sizes) + 1))
+
+
+def _range_map(part: str, target: int):
+    """What a range of items makes of what stands open before it: one row with the bytes held at its end, and the shards begun on the way, for each item that the next shard may begin with."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_id")
+        total, following = _starts(table.column("_size").to_numpy(), target)
+        n = len(total)
+        held, begun = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        sizes = table.column("_size").to_numpy()
+        for i in range(n - 1, -1, -1):
+            j = following[i]
+            held[i], begun[i] = (total[-1] - total[i] + sizes[i], 1) if j >= n else (held[j], begun[j] + 1)
+        before = total - sizes
+        # an open shard is closed within `target` bytes, so only so many items can be the first of a new one
+        k = int(np.searchsorted(before, target, "right"))
+        one = lambda c: table.column(c).slice(0, 1)
+        listed = lambda x: pa.array([x[:k].tolist()], pa.list_(pa.int64()))
+        return pa.table([one(part), one("_part"), pa.array([int(total[-1])], pa.int64()), listed(before), listed(held), listed(begun)], names=[part, "_part", "_total", "_before", "_held", "_begun"])
+
+    return run
+
+
+def _entries(part: str, target: int, schema: pa.Schema):
+    """(maps of all ranges of a split) -> what stands open before each: held (-1 for nothing) and the number of the open shard."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_part")
+        held, shard, out = -1, table.column("_start")[0].as_py() - 1, []
+        for total, before, ends, begun in zip(*(table.column(c).to_pylist() for c in ("_total", "_before", "_held", "_begun"))):
+            out.append((held, shard))
+            # the item that does not fit any more; with nothing open the first one
+            i = 0 if held < 0 else max(bisect.bisect_right(before, target - held) - 1, 0)
+            if held >= 0 and target - held >= total:
+                held += total
+            else:
+                held, shard = ends[i], shard + begun[i]
+        return pa.table([table.column(part), table.column("_part"), pa.array([h for h, _ in out], pa.int64()), pa.array([n for _, n in out], pa.int32())], schema=schema)
+
+    return run
+
+
+def _numbered(target: int):
+    """The items of a range with their shards, from what stands open before it."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_id")
+        sizes = table.column("_size").to_numpy()
+        held, shard = table.column("_open")[0].as_py(), table.column("_number")[0].as_py()
+        total, following = _starts(sizes, target)
+        begins = np.zeros(len(sizes) + 1, np.int32)
+        i = 0 if held < 0 else int(np.searchsorted(total, target - held, "right"))
+        while i < len(sizes):
+            begins[i] = 1
+            i = following[i]
+        return pa.table([table.column("_id"), pa.array(shard + np.cumsum(begins[:-1]), pa.int32())], names=["_id", "shard"])
+
+    return run
+
+
 def pack_next_fit(rows: DataFrame, split: str, order: list[str], size: str, target: int = SHARD_BYTES, starts: DataFrame | None = None) -> DataFrame:
     """rows with `shard`, next-fit by split in the given order, which must tell a split's rows apart; starts (split, start) are the first numbers to use.
 
-    The rule is sequential: where a shard ends depends on all before it, so a split is one task's work. Only its order and sizes
-    go there; the shards are joined back to the rows.
+    Where a shard ends depends on all before it, but a range of the order sees of that only how many bytes stand open at its beginning. So each range tells,
+    for every item that may be its first of a new shard, what it would leave open and how many shards it would begin; these maps are composed from range to range (a row each), and
+    then every range numbers its items by itself. No task gets more than a range of sizes, or a row for each range.
     """
-    narrow = rows.select(split, *order, F.col(size).cast("long").alias("_size"))
-    narrow = narrow.withColumn("_start", F.lit(0)) if starts is None else narrow.join(F.broadcast(starts.select(split, F.col("start").cast("int").alias("_start"))), split, "left").na.fill(0, ["_start"])
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([(c, "ascending") for c in order])
-        shard = next_fit(table.column("_size").to_pylist(), target, table.column("_start")[0].as_py())
-        return table.select([split, *order]).append_column("shard", pa.array(shard, pa.int32()))
-
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    placed = narrow.groupBy(split).applyInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in [split, *order]) + ", shard int")
-    named = placed.select(*(F.col(c).alias(f"_{c}") for c in [split, *order]), "shard")
-    return rows.join(named, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [split, *order]]).select(*rows.columns, "shard")
+    wanted = rows if starts is None else rows.join(F.broadcast(starts.select(F.col(split).alias("_split"), F.col("start").cast("int").alias("_start"))), F.col(split) == F.col("_split"), "left").drop("_split")
+    ranged = wanted.repartitionByRange(split, *order).sortWithinPartitions(split, *order)
+    ranged = ranged.withColumns({"_part": F.spark_partition_id(), "_id": F.monotonically_increasing_id(), "_size": F.coalesce(F.col(size).cast("long"), F.lit(0)), "_start": F.coalesce("_start", F.lit(0)) if starts is not None else F.lit(0)})
+    # written once: the ranges come from a sample and must be the same in both passes
+    ranged = kept(ranged, "ranges")
+    kind = rows.schema[split].dataType
+    name, sizes = f"`{split}` {kind.simpleString()}", ranged.select(split, "_part", "_id", "_size")
+    maps = sizes.groupBy(split, "_part").applyInArrow(_range_map(split, target), f"{name}, _part int, _total long, _before array<long>, _held array<long>, _begun array<long>")
+    first = ranged.groupBy(split).agg(F.first("_start").alias("_start")).withColumnRenamed(split, "_split")
+    maps = maps.join(first, F.col(split).eqNullSafe(F.col("_split"))).drop("_split")
+    schema = pa.schema([(split, to_arrow_type(kind)), ("_part", pa.int32()), ("_open", pa.int64()), ("_number", pa.int32())])
+    entries = maps.groupBy(split).applyInArrow(_entries(split, target, schema), f"{name}, _part int, _open long, _number int").withColumnRenamed(split, "_split")
+    entered = sizes.join(entries.withColumnRenamed("_part", "_range"), F.col(split).eqNullSafe(F.col("_split")) & (F.col("_part") == F.col("_range"))).drop("_split", "_range")
+    shards = entered.groupBy(split, "_part").applyInArrow(_numbered(target), "_id long, shard int")
+    return ranged.join(shards, "_id").select(*rows.columns, "shard")
 
 
 def next_shard(manifest: DataFrame, split: str, shard: str) -> DataFrame:

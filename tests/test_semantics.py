@@ -71,6 +71,26 @@ def test_next_fit(sizes, shards):
     assert package.next_fit(sizes, 100) == shards
 
 
+@pytest.mark.parametrize("target, parts", [(100, 1), (100, 7), (5, 13), (10_000, 9)])
+def test_next_fit_over_ranges(spark, monkeypatch, target, parts):
+    import random
+
+    rng = random.Random(target)
+    rows = [(s, i, rng.choice([0, 0, 1, 7, 30, 60, 99, 100, 101, 250, None])) for s in ("a", "b", None) for i in range(150)] + [("one", 0, 5), ("zero", 0, 0), ("zero", 1, 101)]
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        starts = spark.createDataFrame([("b", 7)], "s string, start int")
+        df = spark.createDataFrame(rows, "s string, i int, n long").repartition(4)
+        got = {(r.s, r.i): r.shard for r in package.pack_next_fit(df, "s", ["i"], "n", target, starts).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+    want = {}
+    for s in {s for s, _, _ in rows}:
+        mine = sorted((i, n or 0) for t, i, n in rows if t == s)
+        want |= {(s, i): k for (i, _), k in zip(mine, package.next_fit([n for _, n in mine], target, 7 if s == "b" else 0))}
+    assert got == want
+
+
 def keys(spark, points):
     return spark.createDataFrame([("t", i, *p) for i, p in enumerate(points)], "t string, point_no int, frame int, time double, enabled boolean, rotation double, x double")
 
