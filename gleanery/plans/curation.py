@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import keys as K
-from ..operators import dedup, package, profile, splits
+from ..operators import dedup, lookups, package, profile, splits
 from ..sources import annotations, scans
 from .common import table
 
@@ -37,9 +37,7 @@ def dedup_audit(spark, sf_dir):
 
 
 def dup_images(spark, sf_dir):
-    rows = _candidates(spark, sf_dir)
-    first = rows.groupBy("image_hash").agg(F.min("ordinal").alias("first"), F.count("*").alias("n"))
-    return rows.join(first.where("n > 1"), "image_hash").where("ordinal != first").select("ordinal", "first")
+    return lookups.repeats(_candidates(spark, sf_dir), "image_hash", "ordinal")
 
 
 def _split(spark, sf_dir):
@@ -189,13 +187,12 @@ def stride_filter(spark, sf_dir):
 
 def manifest_union_minus(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    both = d.where("doc_id % 2 = 0").unionByName(d.where("doc_id % 3 = 0")).distinct()
-    return both.exceptAll(d.where("doc_id % 10 = 0"))
+    return lookups.union_minus([d.where("doc_id % 2 = 0"), d.where("doc_id % 3 = 0")], d.where("doc_id % 10 = 0"))
 
 
 def latest_annotation(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations")
-    return c.where("turn % 4 != 3").groupBy("conv_id").agg(F.max("turn").alias("turn"), F.max_by("role", "turn").alias("role"), F.max_by(F.length("text"), F.col("turn")).cast("long").alias("n"))
+    c = table(spark, sf_dir, "conversations").where("turn % 4 != 3")
+    return lookups.latest(c, "conv_id", "turn", role=F.col("role"), n=F.length("text").cast("long"))
 
 
 def html_extract(spark, sf_dir):

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import keys as K
-from ..operators import ledger, tracks
+from ..operators import ledger, lookups, tracks
 from ..session import scratch_root
 from ..streaming import incremental
 from .common import KEYS, keyframes, table
@@ -52,15 +52,13 @@ def interval_join(spark, sf_dir):
 
 def lookup_fallback(spark, sf_dir):
     names = table(spark, sf_dir, "customer").select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).otherwise(F.concat(F.lit("x-"), F.lower("c_mktsegment"))).alias("name"))
-    videos = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("v")).distinct()
-    exact = videos.where("v < 'G'").select(F.col("v").alias("name"), F.col("v").alias("exact"))
-    tail = videos.select(F.lower("v").alias("tail"), F.col("v").alias("other"))
-    return names.join(exact, "name", "left").join(tail, F.regexp_extract("name", "-(.*)$", 1) == F.col("tail"), "left").select("c_custkey", F.coalesce("exact", "other").alias("video"))
+    videos = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("video")).distinct()
+    exact = videos.where("video < 'G'").select(F.col("video").alias("name"), "video")
+    return lookups.lookup_with_fallback(names, "name", exact, videos.select(F.lower("video").alias("tail"), "video"), "video").drop("name")
 
 
 def first_active_time(spark, sf_dir):
-    k = keyframes(spark, sf_dir)
-    return k.groupBy("user_id").agg(F.coalesce(F.min(F.when(F.col("enabled") & (F.col("x") > 15), F.col("time"))), F.lit(0.0)).alias("starts"))
+    return lookups.first_active_time(keyframes(spark, sf_dir), "user_id", F.col("enabled") & (F.col("x") > 15), "time")
 
 
 def _ledger(spark, sf_dir):
@@ -135,18 +133,12 @@ def next_empty(spark, sf_dir):
 
 
 def copy_previous(spark, sf_dir):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.lag("role").over(w).alias("previous"))
+    return lookups.previous_value(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role").select("conv_id", "turn", "previous")
 
 
 def contiguity(spark, sf_dir):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("conv_id").orderBy("turn")
     c = table(spark, sf_dir, "conversations").where("turn != 2 or conv_id % 2 = 0")
-    return c.select("conv_id", "turn", (F.row_number().over(w) - 1).cast("long").alias("place")).where("place != turn")
+    return lookups.out_of_place(c.select("conv_id", "turn"), "conv_id", "turn")
 
 
 def phase_changes(spark, sf_dir):
@@ -156,8 +148,7 @@ def phase_changes(spark, sf_dir):
 
 def eligible_runs(spark, sf_dir):
     e = table(spark, sf_dir, "events")
-    done, named = (e.where(f"event_type = '{k}'").select("user_id") for k in ("purchase", "signup"))
-    return e.select("user_id").distinct().join(done, "user_id", "left_semi").join(named, "user_id", "left_semi")
+    return lookups.having_all(e, "user_id", *(e.where(f"event_type = '{k}'") for k in ("purchase", "signup")))
 
 
 def streaming_dedup(spark, sf_dir):
