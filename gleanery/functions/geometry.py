@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..schema import REPAIR_TOLERANCE
+from .rounding import rounded
 
 
 def _clamp(x: Column, high) -> Column:
@@ -35,7 +36,7 @@ def clip_pixels(x: Column, y: Column, w: Column, h: Column, width: Column, heigh
     l, r, t, b = _clamp(x, width), _clamp(x + w, width), _clamp(y, height), _clamp(y + h, height)
     keep = _sound(x, y, w, h) & (r - l > 1.0) & (b - t > 1.0)
     out = {"cx": (l + r) / 2 / width, "cy": (t + b) / 2 / height, "w": (r - l) / width, "h": (b - t) / height}
-    return F.when(keep, F.struct(*(F.round(v, digits).alias(k) for k, v in out.items())))
+    return F.when(keep, F.struct(*(rounded(v, digits).alias(k) for k, v in out.items())))
 
 
 def clip_percent(x: Column, y: Column, w: Column, h: Column) -> Column:
@@ -66,7 +67,7 @@ def top_left_to_centre(x: Column, y: Column, w: Column, h: Column, unit: Column,
 def centre_to_coco(cx: Column, cy: Column, w: Column, h: Column, width: Column, height: Column, digits: int = 3) -> Column:
     """struct(x, y, w, h, area) in pixels, rounded."""
     bw, bh = w * width, h * height
-    return F.struct(F.round((cx - w / 2) * width, digits).alias("x"), F.round((cy - h / 2) * height, digits).alias("y"), F.round(bw, digits).alias("w"), F.round(bh, digits).alias("h"), F.round(bw * bh, digits).alias("area"))
+    return F.struct(*(rounded(v, digits).alias(k) for k, v in {"x": (cx - w / 2) * width, "y": (cy - h / 2) * height, "w": bw, "h": bh, "area": bw * bh}.items()))
 
 
 def centre_to_corners(cx: Column, cy: Column, w: Column, h: Column, width: Column, height: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..functions.rounding import _SPLIT, _halves
 from ..operators import package, quality
 from .common import BOX_IDS, BOXES, boxes, table
 
@@ -130,12 +131,23 @@ def csv_reconcile(spark, sf_dir):
     return quality.disagreements(docs, table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("flag")), "doc_id", "flag", F.col("lang"))
 
 
+def _round(x: str, digits: int) -> str:
+    """SQL of rounded(): the product and its error by halves of doubles."""
+    scale = 10.0**digits
+    high, low = _halves(scale)
+    d = lambda v: f"{v!r}::DOUBLE"
+    split = f"{{'v': zv, 'h': zv * {d(_SPLIT)} - (zv * {d(_SPLIT)} - zv), 'p': zv * {d(scale)}}}"
+    error = f"{{'n': round_even(zs.p, 0), 'e': ((zs.h * {d(high)} - zs.p) + zs.h * {d(low)} + (zs.v - zs.h) * {d(high)}) + (zs.v - zs.h) * {d(low)}}}"
+    whole = f"CASE WHEN zs.p - zt.n = 0.5 AND zt.e > 0 THEN zt.n + 1 WHEN zs.p - zt.n = -0.5 AND zt.e < 0 THEN zt.n - 1 ELSE zt.n END / {d(scale)}"
+    return f"list_transform([{x}], lambda zv: list_transform([{split}], lambda zs: list_transform([{error}], lambda zt: {whole})[1])[1])[1]"
+
+
 QUERIES = {
     clip_boxes_norm: f"""WITH c AS (SELECT *, cx - w / 2 AS l0, cx + w / 2 AS r0, cy - h / 2 AS t0, cy + h / 2 AS b0 FROM ({BOXES})),
 d AS (SELECT *, least(greatest(l0, 0e0), 1e0) AS l, least(greatest(r0, 0e0), 1e0) AS r, least(greatest(t0, 0e0), 1e0) AS t, least(greatest(b0, 0e0), 1e0) AS b FROM c)
 SELECT {_IDS}, (l + r) / 2 AS cx, (t + b) / 2 AS cy, r - l AS w, b - t AS h, abs(l - l0) > 1e-9 OR abs(r - r0) > 1e-9 OR abs(t - t0) > 1e-9 OR abs(b - b0) > 1e-9 AS repaired
 FROM d WHERE (r - l) * width >= 1 AND (b - t) * height >= 1""",
-    clip_boxes_pixel: f"SELECT {_IDS}, round((l + r) / 2 / width, 6) AS cx, round((t + b) / 2 / height, 6) AS cy, round((r - l) / width, 6) AS w, round((b - t) / height, 6) AS h FROM ({_CLAMPED.format('px', 'pw', 'width', 'py', 'ph', 'height', _PIXELS)}) WHERE r - l > 1 AND b - t > 1",
+    clip_boxes_pixel: f"SELECT {_IDS}, {_round('(l + r) / 2 / width', 6)} AS cx, {_round('(t + b) / 2 / height', 6)} AS cy, {_round('(r - l) / width', 6)} AS w, {_round('(b - t) / height', 6)} AS h FROM ({_CLAMPED.format('px', 'pw', 'width', 'py', 'ph', 'height', _PIXELS)}) WHERE r - l > 1 AND b - t > 1",
     clip_boxes_percent: f"SELECT {_IDS}, l AS x, t AS y, r - l AS w, b - t AS h FROM (SELECT {_IDS}, least(greatest(cx * 100 - 50, 0e0), 100e0) AS l, least(greatest(cx * 100 - 50 + w * 100, 0e0), 100e0) AS r, least(greatest(cy * 100 - 50, 0e0), 100e0) AS t, least(greatest(cy * 100 - 50 + h * 100, 0e0), 100e0) AS b FROM ({BOXES})) WHERE r > l AND b > t",
     clip_boxes_strict: f"SELECT {_IDS}, l AS x, t AS y, r - l AS w, b - t AS h, l <> px OR t <> py OR r - l <> pw OR b - t <> ph AS changed, CASE WHEN r <= l OR b <= t THEN 'empty' END AS error FROM ({_CLAMPED.format('px', 'pw', 'width', 'py', 'ph', 'height', _PIXELS)})",
     box_topleft_to_yolo: f"SELECT {_IDS}, (cx + w / 2) / sx AS cx, (cy + h / 2) / sy AS cy, w / sx AS w, h / sy AS h FROM (SELECT *, CASE l_returnflag WHEN 'A' THEN width ELSE 100e0 END AS sx, CASE l_returnflag WHEN 'A' THEN height ELSE 100e0 END AS sy FROM ({BOXES}) WHERE l_returnflag IN ('A', 'N'))",
@@ -143,7 +155,7 @@ FROM d WHERE (r - l) * width >= 1 AND (b - t) * height >= 1""",
     yolo_to_corners: f"SELECT {_IDS}, (cx - w / 2) * width AS x1, (cy - h / 2) * height AS y1, (cx + w / 2) * width AS x2, (cy + h / 2) * height AS y2 FROM ({BOXES})",
     coco_boxes: f"""WITH s AS (SELECT *, CASE image % 10 WHEN 0 THEN 'test' WHEN 1 THEN 'val' ELSE 'train' END AS split FROM ({BOXES}))
 SELECT split, dense_rank() OVER (PARTITION BY split ORDER BY image)::INTEGER AS image_id, row_number() OVER (PARTITION BY split ORDER BY image, line, l_partkey, l_suppkey, cx, cy, w) AS annotation_id, image, line,
- round((cx - w / 2) * width, 3) AS x, round((cy - h / 2) * height, 3) AS y, round(w * width, 3) AS w, round(h * height, 3) AS h, round(w * width * (h * height), 3) AS area FROM s""",
+ {_round('(cx - w / 2) * width', 3)} AS x, {_round('(cy - h / 2) * height', 3)} AS y, {_round('w * width', 3)} AS w, {_round('h * height', 3)} AS h, {_round('w * width * (h * height)', 3)} AS area FROM s""",
     filter_undersized: _VERDICT,
     candidate_audit: f"""WITH v AS (SELECT v.*, o_orderpriority AS source FROM ({_VERDICT}) v JOIN orders ON o_orderkey = image)
 SELECT 'candidates' AS metric, source AS key, count(*) AS n FROM v GROUP BY 2 UNION ALL SELECT 'accepted', source, count(*) FROM v WHERE verdict = 'kept' GROUP BY 2

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rounding import rounded
+
 
 def write_manifest(rows: DataFrame, path: str, order: tuple[str, ...] = ("split", "source", "sha256"), mode: str = "errorifexists") -> None:
     rows.orderBy(*order).write.mode(mode).option("header", True).option("escape", '"').csv(path)
@@ -16,8 +18,7 @@ def append_manifest(rows: DataFrame, path: str) -> None:
 
 def label_text(boxes: Column, digits: int = 8) -> Column:
     """The lines of a label file from an array of structs cx, cy, w, h; values half way between two are rounded to the even one."""
-    even = lambda x: F.rint(x * 10.0**digits) / 10.0**digits
-    return F.array_join(F.transform(boxes, lambda b: F.format_string("0 " + " ".join([f"%.{digits}f"] * 4), *(even(b[k]) for k in ("cx", "cy", "w", "h")))), "\n")
+    return F.array_join(F.transform(boxes, lambda b: F.format_string("0 " + " ".join([f"%.{digits}f"] * 4), *(rounded(b[k], digits) for k in ("cx", "cy", "w", "h")))), "\n")
 
 
 def audit_document(counts: DataFrame) -> DataFrame:

@@ -449,3 +449,19 @@ def test_last_record_is_the_original(spark):
     assert [r.action for r in ledger.listing_diff(now, state).collect()] == ["duplicate"]
     failed = state.replace("ingested", "new", "status")
     assert {r.drive_id: r.action for r in ledger.listing_diff(again, failed).collect()} == {"2": "again", "1": "duplicate"}
+
+
+@pytest.mark.parametrize("digits", [0, 3, 6, 8])
+def test_rounding_is_that_of_the_exact_value(spark, digits):
+    import random
+
+    from gleanery.functions.rounding import rounded
+
+    rng = random.Random(digits)
+    values = [rng.uniform(-1000, 1000) for _ in range(6000)] + [(2 * rng.randrange(-(10**6), 10**6) + 1) / 2 / 10**digits for _ in range(8000)]
+    values += [rng.randrange(-(10**4), 10**4) / 2**k for k in range(1, 12) for _ in range(500)] + [math.nextafter(v, d) for v in (0.5, 1.5, 2.5, 0.0005, 0.0015, 1.0000005, 2.675, 1.005) for d in (-math.inf, math.inf)]
+    values += [0.0, -0.0, 2.675, 1.005, 1e15 + 0.3, 2.0**52 + 0.5, 2.0**53 + 2, 1e22, -1e300, 5e-324, 2.0**52 / 10**digits + 0.5 / 10**digits]
+    got = [r.o for r in spark.createDataFrame([(v,) for v in values], "v double").select(rounded(F.col("v"), digits).alias("o")).collect()]
+    assert got == [round(v, digits) for v in values]
+    odd = spark.createDataFrame([(math.nan,), (math.inf,), (None,)], "v double").select(rounded(F.col("v"), digits).alias("o")).collect()
+    assert math.isnan(odd[0].o) and odd[1].o == math.inf and odd[2].o is None
