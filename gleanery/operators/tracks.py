@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import between
+from . import ordered
 
 VALUES = ("x", "y", "width", "height")
 
 
 def _next(keys: DataFrame, track: str, order: list[str], values) -> DataFrame:
-    w = Window.partitionBy(track).orderBy(*order)
+    """keys with the next key-frame's values; a track may be longer than a task should get."""
     names = ("frame", "enabled", *values)
-    return keys.select("*", *(F.lead(c).over(w).alias(f"_{c}") for c in names))
+    rows = ordered.next_row(ordered.in_ranges(keys, track, *map(F.col, order)), track, F.struct(*names), "_next")
+    return rows.select(*keys.columns, *(F.col(f"_next.{c}").alias(f"_{c}") for c in names))
 
 
 def _filled(pairs: DataFrame, track: str, start: Column, end: Column, values, extra=()) -> DataFrame:
@@ -50,24 +52,26 @@ def interpolate_half_open(keys: DataFrame, track: str, frame_count: int, values=
 
 def interpolate_at(keys: DataFrame, times: DataFrame, track: str, values=VALUES, tie: str = "point_no") -> DataFrame:
     """Values at given times (track, t): between the last key-frame at or before and the first at or after, if the former is enabled (missing counts as off);
-    after the last key-frame its values hold. Both looks-up are one window each over keys and times together.
+    after the last key-frame its values hold. Both looks-up go over keys and times together, in ranges of that order.
     """
     state = F.struct("time", "enabled", *values)
     line = keys.select(track, F.col("time").alias("t"), F.lit(0).alias("kind"), F.col(tie), state.alias("key")).unionByName(times.select(track, "t", F.lit(1).alias("kind"), F.lit(None).cast(keys.schema[tie].dataType).alias(tie), F.lit(None).cast(keys.select(state.alias("s")).schema["s"].dataType).alias("key")))
-    back = Window.partitionBy(track).orderBy("t", "kind", tie).rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(track).orderBy("t", F.desc("kind"), tie).rowsBetween(0, Window.unboundedFollowing)
-    seen = line.select(track, "t", "kind", F.last("key", ignorenulls=True).over(back).alias("a"), F.first("key", ignorenulls=True).over(ahead).alias("b")).where("kind = 1")
+    # a time stands after the key-frames at it when looking back, and before them when looking ahead
+    back = ordered.last_so_far(ordered.in_ranges(line, track, F.col("t"), F.col("kind"), F.col(tie)), track, "key", "a").where("kind = 1")
+    times = back.select(track, "t", "kind", F.lit(None).cast(line.schema[tie].dataType).alias(tie), F.lit(None).cast(line.schema["key"].dataType).alias("key"), "a")
+    line = line.where("kind = 0").withColumn("a", F.lit(None).cast(line.schema["key"].dataType)).unionByName(times)
+    seen = ordered.first_from_here(ordered.in_ranges(line, track, F.col("t"), F.desc("kind"), F.col(tie)), track, "key", "b").where("kind = 1")
     value = lambda c: F.when(F.col("b").isNull() | (F.col("b.time") <= F.col("a.time")), F.col(f"a.{c}")).otherwise(between(F.col("a.time"), F.col("b.time"), F.col("t"), F.col(f"a.{c}"), F.col(f"b.{c}")))
     return seen.where(F.coalesce(F.col("a.enabled"), F.lit(False))).select(track, "t", *(value(c).alias(c) for c in values))
 
 
 def as_of(left: DataFrame, right: DataFrame, key: str, time: str, columns: list[str], order: list[str]) -> DataFrame:
-    """left with the columns of right's last row of the key at or before its time; null if there is none."""
+    """left with the columns of right's last row of the key at or before its time; null if there is none. Both lie in one order of key and time, which is read in ranges."""
     state = F.struct(*columns)
     kind = right.select(state.alias("s")).schema["s"].dataType
     both = left.withColumn("_s", F.lit(None).cast(kind)).withColumn("_k", F.lit(1)).unionByName(right.select(key, time, *order, state.alias("_s"), F.lit(0).alias("_k")), allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy(time, "_k", *order).rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn("_s", F.last("_s", ignorenulls=True).over(w)).where("_k = 1").select(*left.columns, *(F.col(f"_s.{c}").alias(f"last_{c}") for c in columns))
+    ranged = ordered.in_ranges(both, key, F.col(time), F.col("_k"), *map(F.col, order))
+    return ordered.last_so_far(ranged, key, "_s", "_last").where("_k = 1").select(*left.columns, *(F.col(f"_last.{c}").alias(f"last_{c}") for c in columns))
 
 
 def within(spans: DataFrame, points: DataFrame, keys: list[str], first: str, last: str, at: str, width: int) -> DataFrame:

@@ -78,12 +78,14 @@ def test_next_fit_over_ranges(spark, monkeypatch, target, parts):
     rng = random.Random(target)
     rows = [(s, i, rng.choice([0, 0, 1, 7, 30, 60, 99, 100, 101, 250, None])) for s in ("a", "b", None) for i in range(150)] + [("one", 0, 5), ("zero", 0, 0), ("zero", 1, 101)]
     spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         starts = spark.createDataFrame([("b", 7)], "s string, start int")
         df = spark.createDataFrame(rows, "s string, i int, n long").repartition(4)
         got = {(r.s, r.i): r.shard for r in package.pack_next_fit(df, "s", ["i"], "n", target, starts).collect()}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", 8)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     want = {}
     for s in {s for s, _, _ in rows}:
         mine = sorted((i, n or 0) for t, i, n in rows if t == s)
@@ -465,3 +467,33 @@ def test_rounding_is_that_of_the_exact_value(spark, digits):
     assert got == [round(v, digits) for v in values]
     odd = spark.createDataFrame([(math.nan,), (math.inf,), (None,)], "v double").select(rounded(F.col("v"), digits).alias("o")).collect()
     assert math.isnan(odd[0].o) and odd[1].o == math.inf and odd[2].o is None
+
+
+def test_hot_keys_are_carried_over_ranges(spark):
+    """One key has half of all rows: no range gets much more than its share, and all are as one window would have them."""
+    import random
+
+    from pyspark.sql import Window
+
+    from gleanery.operators import ordered
+
+    rng = random.Random(2)
+    rows = [("hot" if rng.random() < 0.5 else rng.choice(["a", "b", None]), rng.randrange(500), i, rng.choice([None, None, i])) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k string, t int, i int, v int").repartition(6)
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranged = ordered.in_ranges(df, "k", F.col("t"), F.col("i"))
+        sizes = [r["count"] for r in ranged.groupBy("_part").count().collect()]
+        assert len(sizes) > 8 and max(sizes) < 2.5 * 4000 / len(sizes)
+        w = Window.partitionBy("k").orderBy("t", "i")
+        plain = df.select("*", F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("a"), F.first("v", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("b"), F.lead(F.struct("t", "v")).over(w).alias("n"))
+        want = sorted(plain.collect(), key=repr)
+        assert sorted(ordered.last_so_far(ranged, "k", "v", "a").select("k", "t", "i", "v", "a").collect(), key=repr) == sorted((r[:5] for r in want), key=repr)
+        ahead = ordered.first_from_here(ranged, "k", "v", "b").select("i", "b").collect()
+        assert sorted(tuple(r) for r in ahead if r.b is not None) == sorted((r.i, r.b) for r in want if r.b is not None) and len(ahead) == 4000
+        following = ordered.next_row(ranged, "k", F.struct("t", "v"), "n").select("i", "n").collect()
+        assert {r.i: r.n for r in following} == {r.i: r.n for r in want}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
