@@ -154,6 +154,25 @@ def coco_document(annotations: DataFrame, split: str, category: str = "drone") -
     return by.select(split, F.to_json(F.struct("images", "annotations", cats.alias("categories"))).alias("document"))
 
 
+def coco_lines(annotations: DataFrame, split: str, category: str = "drone") -> DataFrame:
+    """split, section, n, line: the same document as lines, which in order of section and n make one JSON text by split, however large.
+
+    Ids are dense from 1, so a line ends with a comma if its id is less than how many there are: no line has to know the one after it.
+    """
+    box = centre_to_coco(*(F.col(c) for c in ("cx", "cy", "w", "h", "width", "height")))
+    totals = F.broadcast(annotations.groupBy(split).agg(F.max("image_id").alias("_images"), F.max("annotation_id").alias("_annotations")))  # a row for each split
+    line = lambda x, n, most: F.concat(F.to_json(x), F.when(n < most, ",").otherwise("")).alias("line")
+    images = annotations.select(split, "image_id", "image", "width", "height").distinct().join(totals, split)
+    img = F.struct(F.col("image_id").alias("id"), F.col("image").cast("string").alias("file_name"), "width", "height")
+    images = images.select(split, F.lit(1).alias("section"), F.col("image_id").cast("long").alias("n"), line(img, F.col("image_id"), F.col("_images")))
+    boxes = annotations.withColumn("b", box).join(totals, split)
+    ann = F.struct(F.col("annotation_id").alias("id"), "image_id", F.lit(1).alias("category_id"), F.array("b.x", "b.y", "b.w", "b.h").alias("bbox"), F.col("b.area").alias("area"), F.lit(0).alias("iscrowd"))
+    boxes = boxes.select(split, F.lit(3).alias("section"), F.col("annotation_id").cast("long").alias("n"), line(ann, F.col("annotation_id"), F.col("_annotations")))
+    cats = F.to_json(F.array(F.struct(F.lit(1).alias("id"), F.lit(category).alias("name"), F.lit(category).alias("supercategory"))))
+    frame = F.array(*(F.struct(F.lit(k).alias("section"), F.lit(0).cast("long").alias("n"), x.alias("line")) for k, x in ((0, F.lit('{"images":[')), (2, F.lit('],"annotations":[')), (4, F.concat(F.lit('],"categories":'), cats, F.lit("}"))))))
+    return annotations.select(split).distinct().select(split, F.inline(frame)).unionByName(images).unionByName(boxes)
+
+
 def full_directories(paths: DataFrame, path: str, limit: int = BUCKET_FILES) -> DataFrame:
     """Directories with `limit` files or more."""
     return paths.groupBy(F.regexp_replace(F.col(path), "/[^/]*$", "").alias("directory")).agg(F.count("*").alias("files")).where(F.col("files") >= limit)

@@ -6,11 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import archives
+from ..operators import archives, package
 from ..session import scratch_root
-from ..sources import workspaces
+from ..sources import sinks, workspaces
 from ..streaming import incremental, known, machine
-from .common import table
+from .common import BOXES, boxes, table
 
 _S = lambda c: F.col(c).cast("string")
 _PATIENCE = 6 * 3600
@@ -113,7 +113,26 @@ t AS (SELECT archive, style, count(*) AS files, count(*) FILTER (WHERE v IS NULL
 SELECT t.archive, t.style, files, coalesce(volumes, 0) AS volumes, last, missing, doubled, coalesce(disordered, 0) AS disordered, unreadable, coalesce(volumes > 0 AND missing = '' AND doubled = '' AND unreadable = 0, false) AS openable
 FROM t LEFT JOIN s ON s.archive = t.archive AND s.style = t.style"""
 
+def coco_lines(spark, sf_dir):
+    """The lines of a COCO document by split: where each stands, and whether one of its kind follows."""
+    b = boxes(spark, sf_dir).withColumn("split", F.when(F.col("image") % 10 == 0, "test").when(F.col("image") % 10 == 1, "val").otherwise("train"))
+    ids = package.coco_ids(b, "split", "image", ["line", "l_partkey", "l_suppkey", "cx", "cy", "w"])
+    return package.coco_lines(ids, "split").select("split", "section", "n", F.col("line").endswith(",").alias("goes_on"))
+
+
+def audit_lines(spark, sf_dir):
+    """Counters by segment and nation as the lines of one document."""
+    c = table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("metric"), _S("c_nationkey").alias("key")).agg(F.count("*").alias("n"))
+    return sinks.audit_lines(c)
+
+
 QUERIES = {
+    coco_lines: f"""WITH b AS (SELECT image, CASE image % 10 WHEN 0 THEN 'test' WHEN 1 THEN 'val' ELSE 'train' END AS split FROM ({BOXES})),
+a AS (SELECT split, row_number() OVER (PARTITION BY split) AS n, count(*) OVER (PARTITION BY split) AS m FROM b), i AS (SELECT split, row_number() OVER (PARTITION BY split) AS n, count(*) OVER (PARTITION BY split) AS m FROM (SELECT DISTINCT split, image FROM b))
+SELECT split, 1::INTEGER AS section, n, n < m AS goes_on FROM i UNION ALL SELECT split, 3, n, n < m FROM a UNION ALL SELECT DISTINCT split, unnest([0, 2, 4])::INTEGER, 0, false FROM b""",
+    audit_lines: """WITH c AS (SELECT c_mktsegment AS metric, c_nationkey::VARCHAR AS key, count(*) AS n FROM customer GROUP BY 1, 2),
+d AS (SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY metric) AS m, dense_rank() OVER (ORDER BY metric) AS a, min(metric) OVER () AS lo, max(metric) OVER () AS hi FROM c WINDOW w AS (PARTITION BY metric ORDER BY key))
+SELECT metric, key, CASE WHEN i = 1 THEN CASE WHEN metric = lo THEN '{' ELSE '' END || '"' || metric || '":{' ELSE '' END || '"' || key || '":' || n || CASE WHEN i < m THEN ',' WHEN metric = hi THEN '}}' ELSE '},' END AS line FROM d""",
     ledger_stream: _LEDGER,
     known_set: "SELECT (doc_id % 2)::INTEGER AS batch, doc_id, sha256(text) AS sha FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id % 2, doc_id) = 1",
     workspace_sequences: f"WITH {_SEQUENCES} SELECT rank, base, sequence, \"group\", frames, annotation, CASE WHEN annotation IS NULL THEN 'missing_json' ELSE 'chosen' END AS status FROM w",

@@ -187,3 +187,36 @@ def test_ledger_stream_with_restarts(spark, tmp_path):
     want = plain_ledger(events, 25 * 60, max(e[1] for e in events) - 60)
     assert sorted((tuple(r) for r in got), key=repr) == want
     assert {r.reason for r in got} >= {None, "timeout", "not_allowed"}
+
+
+def whole(path):
+    parts = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    text = []
+    for p in parts:
+        with open(f"{path}/{p}", encoding="utf-8") as f:
+            text.append(f.read().replace("\n", ""))
+    return len(parts), "".join(text)
+
+
+def test_documents_larger_than_a_row(spark, tmp_path):
+    from gleanery.operators import package
+    from gleanery.sources import sinks
+
+    rows = [("val" if i % 5 else "test", f"i{i % 70}" if i % 5 else f"t{i % 40}", i, 0.5, 0.25, i / 1000, 0.5, 100.0, 200.0) for i in range(700)]
+    boxes = spark.createDataFrame(rows, "split string, image string, line int, cx double, cy double, w double, h double, width double, height double")
+    ids = package.coco_ids(boxes, "split", "image", ["line"])
+    want = {r.split: r.document for r in package.coco_document(ids, "split").collect()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for split, document in want.items():
+            sinks.write_document(package.coco_lines(ids.where(F.col("split") == split), "split"), f"file://{tmp_path}/{split}", "section", "n")
+            n, text = whole(f"{tmp_path}/{split}")
+            assert n > 3 and text == document
+        counts = spark.createDataFrame([(m, k, i) for i, (m, k) in enumerate((m, k) for m in ("b", 'a"q', "c") for k in ("x", "y:1", "ü", 'q"'))] + [("one", "only", 7)], "metric string, key string, n long")
+        sinks.write_document(sinks.audit_lines(counts), f"file://{tmp_path}/audit", "metric", "key")
+        want = {}
+        for r in sorted(counts.collect()):
+            want.setdefault(r.metric, {})[r.key] = r.n
+        assert whole(f"{tmp_path}/audit")[1] == json.dumps(want, ensure_ascii=False, separators=(",", ":"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
