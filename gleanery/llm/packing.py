@@ -28,7 +28,7 @@ WEIGHTS = (1.0, 0.5, 0.5)
 GROUP = 20_000
 #: Bytes of words, and of parts of words, that a worker remembers; it then forgets the oldest, which costs time only.
 REMEMBERED = 72 << 20
-REMEMBERED_PARTS = 24 << 20
+REMEMBERED_PARTS = 72 << 20
 _loaded: dict[str, "WordEncoder"] = {}
 
 
