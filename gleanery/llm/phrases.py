@@ -19,13 +19,13 @@ TOP = 2000
 #: A candidate within a longer one goes if the longer one has this many hundredths of its occurrences.
 SUBSUMED = 80
 SCALE = 2_000_000
-#: Rows of the sketch for each length; a sequence survives if its cell has LEAST or more in all of them.
-ROWS = 2
-#: Cells of a row of the sketch, at most: with 8 rows of a byte a cell, 128 MB of a worker, and 16 MB of bits that go to all workers.
-MOST_CELLS = 1 << 24
-#: Bytes of text for each cell of a row, as long as MOST_CELLS allows: some ten words.
-BYTES_A_CELL = 64
-_BLOCK = 1 << 18
+#: Cells of the sketch of each length, at most: more than a worker could hold, so they are dealt out in blocks of BLOCK cells, one of which is summed up at a time.
+MOST_CELLS = 1 << 32
+BLOCK = 1 << 24
+#: Cells for each byte of text, as long as MOST_CELLS allows: some three for each word.
+CELLS_A_BYTE = 0.5
+#: Surviving cells go to all workers as bits, so many of them for each length at most, two of which stand for a cell.
+MOST_BITS = 1 << 26
 _SLICE = 4 << 20
 _SPACE, _BREAK = b" \t", b".,;:!?\n\x0b\x0c\r"
 _KIND = np.zeros(256, np.uint8)
@@ -89,65 +89,79 @@ def _words(batches):
             yield Words([y for _, y in parts[a:b]], np.array([seeds[x] for x in langs], np.uint64)), langs
 
 
-def _cells(h: np.ndarray, cells: int) -> tuple[np.ndarray, ...]:
-    return tuple(((h >> np.uint64(64 // ROWS * r)) & np.uint64(cells - 1)).astype(np.int64) for r in range(ROWS))
+def _cells(h: np.ndarray, cells: int) -> np.ndarray:
+    return h & np.uint64(cells - 1)
+
+
+def _places(cells: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits, of `size`, that stand for each cell."""
+    h = mix(cells)
+    return tuple(((h >> np.uint64(r)) & np.uint64(size - 1)).astype(np.int64) for r in (0, 32))
+
+
+def _kind(least: int) -> np.dtype:
+    """What counts up to `least` and a little more, where it stops."""
+    return np.dtype(np.uint8 if least < 255 else np.uint32)
 
 
 def _sketching(cells: int, least: int):
-    """(lang, text) batches -> (block, data): the blocks of a sketch of all that a task has read, cells stopping at their type's most."""
+    """(lang, text) batches -> (block, n, data): of some megabytes of text the cells that are met in each block of the sketch, ascending, and how often, packed."""
+    schema = pa.schema([("block", pa.int32()), ("n", pa.int32()), ("data", pa.binary())])
 
     def run(batches):
-        kind = np.uint8 if least <= 255 else np.uint32
-        most = np.iinfo(kind).max
-        sketch = np.zeros((LONGEST * ROWS, cells), kind)
+        kind, codec, width = _kind(least), pa.Codec("zstd", 1), min(BLOCK, cells)
         for words, _ in _words(batches):
             for k in range(1, LONGEST + 1):
-                for r, c in enumerate(_cells(words.sequences(k)[1], cells)):
-                    row = sketch[(k - 1) * ROWS + r]
-                    c, n = np.unique(c, return_counts=True)
-                    row[c] = np.minimum(row[c] + n, most)
-        codec, size = pa.Codec("zstd", 1), min(_BLOCK, cells)
-        for r, row in enumerate(sketch):
-            blocks = [(r * (cells // size) + b, row[b * size : (b + 1) * size]) for b in range(cells // size)]
-            for a in range(0, len(blocks), 16):
-                full = [(b, codec.compress(x.tobytes(), asbytes=True)) for b, x in blocks[a : a + 16] if x.any()]
-                yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in full], pa.int32()), pa.array([x for _, x in full], pa.binary())], ["block", "data"])
+                c, n = np.unique(_cells(words.sequences(k)[1], cells), return_counts=True)
+                n = np.minimum(n, np.iinfo(kind).max).astype(kind)
+                edge = np.searchsorted(c, np.arange(cells // width + 1, dtype=np.uint64) * np.uint64(width)).tolist()
+                full = [(b, x, y) for b, (x, y) in enumerate(zip(edge, edge[1:])) if y > x]
+                # steps from one cell to the next pack better than cells
+                data = [codec.compress(np.diff(c[x:y], prepend=np.uint64(b * width)).astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes() + n[x:y].tobytes(), asbytes=True) for b, x, y in full]
+                blocks = [(k - 1) * (cells // width) + b for b, _, _ in full]
+                yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array([y - x for _, x, y in full], pa.int32()), pa.array(data, pa.binary())], schema=schema)
 
     return common.freeing(run)
 
 
 def _merging(cells: int, least: int):
-    """(block, data) sorted by block -> (block, bits): which cells of the sum have `least` or more. Holds one block at a time."""
+    """(block, n, data) sorted by block -> (k, cells): which cells of the sum have `least` or more, as 64-bit numbers. Holds one block at a time."""
 
     def run(batches):
-        kind, size, codec = np.dtype(np.uint8 if least <= 255 else np.uint32), min(_BLOCK, cells), pa.Codec("zstd")
-        now, total = None, None
+        kind, width, codec = _kind(least), min(BLOCK, cells), pa.Codec("zstd")
+        now, total, most = None, None, np.iinfo(kind).max
 
         def done():
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(total >= least, bitorder="little").tobytes()], pa.binary())], ["block", "bits"])
+            k, b = divmod(now, cells // width)
+            found = np.flatnonzero(total >= least).astype(np.uint64) + np.uint64(b * width)
+            parts = [found[i : i + (1 << 20)].tobytes() for i in range(0, len(found), 1 << 20)]
+            return pa.RecordBatch.from_arrays([pa.array([k + 1] * len(parts), pa.int32()), pa.array(parts, pa.binary())], ["k", "cells"])
 
         for batch in batches:
-            for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for block, n, data in zip(*(c.to_pylist() for c in batch.columns)):
                 if block != now:
                     if now is not None:
                         yield done()
-                    now, total = block, np.zeros(size, np.int64)
-                total += np.frombuffer(codec.decompress(data, size * kind.itemsize, asbytes=True), kind)
+                    now, total = block, np.zeros(width, kind)
+                raw = np.frombuffer(codec.decompress(data, n * (4 + kind.itemsize), asbytes=True), np.uint8)
+                c = np.cumsum(np.ascontiguousarray(raw[: 4 * n].reshape(4, -1).T).view(np.uint32).ravel(), dtype=np.int64)
+                more, old = raw[4 * n :].view(kind), total[c]
+                total[c] = old + np.minimum(more, most - old)
         if now is not None:
             yield done()
 
-    return run
+    return common.freeing(run)
 
 
 def _surviving(rows: DataFrame, least: int, cells: int) -> list[np.ndarray]:
-    """For each row of the sketches of (lang, text) which cells reach `least`, as bits."""
-    sketches = rows.mapInArrow(_sketching(cells, least), "block int, data binary")
-    merged = sketches.repartition(common.shuffle_partitions(rows.sparkSession), "block").sortWithinPartitions("block").mapInArrow(_merging(cells, least), "block int, bits binary")
-    bits = [np.zeros(cells // 8, np.uint8) for _ in range(LONGEST * ROWS)]
-    width = min(_BLOCK, cells)
-    for x in merged.toLocalIterator():  # cells bytes in all, whatever the corpus has
-        row, b = divmod(x.block, cells // width)
-        bits[row][b * width // 8 : (b + 1) * width // 8] = np.frombuffer(x.bits, np.uint8)
+    """For each length which cells of the sketch of (lang, text) reach `least`, as bits that stand for them (see _places)."""
+    sketches = rows.mapInArrow(_sketching(cells, least), "block int, n int, data binary")
+    merged = sketches.repartition(common.shuffle_partitions(rows.sparkSession), "block").sortWithinPartitions("block").mapInArrow(_merging(cells, least), "k int, cells binary")
+    size = min(MOST_BITS, max(1 << 16, cells // 32))  # bytes in all: half of `size`, whatever the corpus has
+    bits = [np.zeros(size // 8, np.uint8) for _ in range(LONGEST)]
+    for x in common.keep(merged, "cells").toLocalIterator():
+        for place in _places(np.frombuffer(x.cells, np.uint64), size):
+            np.bitwise_or.at(bits[x.k - 1], place >> 3, (1 << (place & 7)).astype(np.uint8))
     return bits
 
 
@@ -170,8 +184,9 @@ def _counting(cells: int, bits, most: int = 160 << 20):
                 found[lang, 0][b""] = found[lang, 0].get(b"", 0) + n
             for k in range(1, LONGEST + 1):
                 at, h = words.sequences(k)
-                for r in range(ROWS):
-                    c, row = _cells(h, cells)[r], known[(k - 1) * ROWS + r]
+                row = known[k - 1]
+                for r in (0, 1):
+                    c = _places(_cells(h, cells), 8 * len(row))[r]
                     left = np.flatnonzero((row[c >> 3] >> (c & 7).astype(np.uint8)) & 1)
                     at, h = at[left], h[left]
                 _, place, n = np.unique(h, return_index=True, return_counts=True)
@@ -197,9 +212,9 @@ def phrase_counts(documents: DataFrame, least: int = LEAST, cells: int | None =
     spark = documents.sparkSession
     rows = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    cells = cells or min(MOST_CELLS, max(1 << 16, 1 << (size // BYTES_A_CELL).bit_length()))
-    # few tasks, as each sends a whole sketch and then each sequence that it meets: as many as the cluster runs at once twice over, more where they would read over 64 sketches' bytes
-    rows = rows.coalesce(max(2 * spark.sparkContext.defaultParallelism, size // (64 * LONGEST * ROWS * cells)))
+    cells = cells or min(MOST_CELLS, max(1 << 16, 1 << int(size * CELLS_A_BYTE).bit_length()))
+    # few tasks, as each sends every frequent sequence that it meets: as many as the cluster runs at once twice over, more where they would read over 256 MB
+    rows = rows.coalesce(max(2 * spark.sparkContext.defaultParallelism, size >> 28))
     bits = _surviving(rows, least, cells)
     counted = rows.mapInArrow(_counting(cells, spark.sparkContext.broadcast(bits)), "lang string, phrase string, k int, n long")
     return common.keep(counted.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
@@ -213,8 +228,8 @@ def collocations(documents: DataFrame, least: int = LEAST, top: int = TOP, subsu
     """lang, rank, phrase, a, l, r, n, score, k, cut: the `top` phrases of 2 to 4 words of each language.
 
     documents has lang (null: 'und') and text (null: empty). A-Z are lower-cased; texts are cut into pieces at . , ; : ! ? and line
-    ends, pieces into words at spaces and tabs. Sketches of a bounded number of cells, merged over all tasks, overestimate how
-    often each sequence stands there; a second pass counts exactly those that reach `least` in every row of the sketch. So no frequent one is lost,
+    ends, pieces into words at spaces and tabs. A sketch, whose cells grow with the text and are summed up in blocks, overestimates how
+    often each sequence stands there; a second pass counts exactly those whose cell reaches `least`. So no frequent one is lost,
     and how many others are counted in vain depends on the cells alone, not the result. a is a phrase's count, l and r those of its parts at the cut
     of the least score floor(2000000 a / (l + r)) (ties: the earliest), n all words of the language. Phrases within a longer
     candidate that has `subsumed` hundredths of their count or more are left out. Ties of a score go to the larger a, then the lesser phrase by bytes.

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,3 +161,14 @@ def test_scores_beyond_64_bits(spark):
 
 def test_collocations_of_nothing(spark):
     assert phrases.collocations(spark.createDataFrame([], "lang string, text string")).collect() == []
+
+
+def test_sketch_grows_with_text_in_blocks(spark, rng, monkeypatch):
+    """A sketch of more cells than are summed up at once (three for each word) lets hardly any rare sequence through."""
+    monkeypatch.setattr(phrases, "BLOCK", 1 << 12)
+    rows = [("en", " ".join(f"w{rng.randrange(3000)}" for _ in range(500))) for _ in range(60)] + [("en", "once upon a time")] * 40
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    cells = 1 << 17
+    bits = phrases._surviving(df, 30, cells)
+    assert [int(np.unpackbits(b).sum()) for b in bits][1:] == [6, 4, 2]  # two bits for each of the sequences of `once upon a time`
+    assert {r.phrase for r in phrases.phrase_counts(df, cells=cells).where("k = 4").collect()} == {"once upon a time"}
