@@ -12,12 +12,19 @@ from ..schema import ASPECT_TOLERANCE, NEAR_DUPLICATE_BITS
 from ..session import kept
 
 #: Rows of either side that meet in a task at once; larger groups are dealt out in cells of so many by so many.
-CELL = 1024
+CELL = 8192
+#: Parts of either side, at most, where all meet all: so many copies of a row are sent.
+PARTS = 16
+#: Rows with one value of a block from which that is common.
+HOT = 1024
 #: Bits that a block needs for equal ones to be rare.
 BLOCK_BITS = 10
 #: How much cheaper it is to compare two hashes in a cell than to send a probe.
-COMPARED = 20
+COMPARED = 100
 _PAIRS = 1 << 17
+#: Rows of side 1 and of side 0 that are compared at once, all with all, and how many pairs a run needs for that.
+_TILE = (64, 2048)
+_DENSE = 1 << 16
 
 
 def _block(bits: Column, first: int, last: int) -> Column:
@@ -99,7 +106,10 @@ def _nearest(most: int, top: int, schema: pa.Schema):
         end = np.concatenate((first[1:], [len(run)]))
         split = first + np.array([int((side[x:y] == 0).sum()) for x, y in zip(first, end)])
         # of each row of side 1 the rows of side 0 of its run
-        b = np.flatnonzero(side == 1)
+        large = (split - first) * (end - split) >= _DENSE
+        for x, m, y in zip(first[large], split[large], end[large]):
+            yield from dense(t, hashes, rank, ratio, x, m, y)
+        b = np.flatnonzero((side == 1) & ~np.repeat(large, end - first))
         at = np.searchsorted(first, b, "right") - 1
         low, size = first[at], (split - first)[at]
         done = 0
@@ -115,11 +125,43 @@ def _nearest(most: int, top: int, schema: pa.Schema):
             x, y, d = x[d <= most], y[d <= most], d[d <= most]
             if not len(x):
                 continue
-            order = np.lexsort((x, d, y))
-            x, y, d = x[order], y[order], d[order]
-            begin = np.concatenate(([True], y[1:] != y[:-1]))
-            place = np.arange(len(y)) - np.repeat(np.flatnonzero(begin), np.diff(np.concatenate((np.flatnonzero(begin), [len(y)]))))
-            x, y, d = x[place < top], y[place < top], d[place < top]
+            yield from best(t, x, y, d)
+
+    def dense(t: pa.Table, hashes, rank, ratio, first: int, split: int, end: int):
+        """A run's rows of side 1 with all of side 0 of smaller source, which come first in order: word by word of their hashes, until few pairs are left that may be near enough."""
+        words = np.ascontiguousarray(hashes[first:end].T)
+        for b in range(split, end, _TILE[0]):
+            stop = min(b + _TILE[0], end)
+            found = []
+            for a in range(first, first + int(np.searchsorted(rank[first:split], rank[stop - 1])), _TILE[1]):
+                last = min(a + _TILE[1], split)
+                d = np.zeros((stop - b, last - a), np.uint16)
+                for k, w in enumerate(words, 1):
+                    d += np.bitwise_count(w[b - first : stop - first, None] ^ w[None, a - first : last - first])
+                    if k % 2 == 0 and np.count_nonzero(d <= most) * 16 < d.size:
+                        break
+                y, x = np.nonzero(d <= most)
+                x, y = x + a, y + b
+                fit = (rank[x] < rank[y]) & (np.abs(ratio[x] - ratio[y]) <= ASPECT_TOLERANCE * np.maximum(ratio[x], ratio[y]))
+                x, y = x[fit], y[fit]
+                d = _distances(hashes[x], hashes[y])
+                found.append((x[d <= most], y[d <= most], d[d <= most]))
+                if sum(len(f[0]) for f in found) > _PAIRS:
+                    found = [first_ones(*map(np.concatenate, zip(*found)))]
+            if found:
+                yield from best(t, *map(np.concatenate, zip(*found)))
+
+    def first_ones(x, y, d):
+        """Of pairs those of the `top` least d, then x, of each y."""
+        order = np.lexsort((x, d, y))
+        x, y, d = x[order], y[order], d[order]
+        begin = np.concatenate((np.ones(min(len(y), 1), bool), y[1:] != y[:-1]))
+        place = np.arange(len(y)) - np.repeat(np.flatnonzero(begin), np.diff(np.concatenate((np.flatnonzero(begin), [len(y)]))))
+        return x[place < top], y[place < top], d[place < top]
+
+    def best(t: pa.Table, x, y, d):
+        x, y, d = first_ones(x, y, d)
+        if len(x):
             columns = [t.column("id").take(pa.array(y)), pa.array(d, pa.int32()), t.column("source").take(pa.array(x)), t.column("ident").take(pa.array(x))]
             yield from pa.table(columns, schema=schema).to_batches()
 
@@ -135,7 +177,7 @@ def _nearest(most: int, top: int, schema: pa.Schema):
                 numbers.append(number)
             held.append(pa.table({c: batch.column(c) for c in ("side", "id", "hash", "source", "ident", "ratio")} | {"run": pa.array(numbers, pa.int64())}))
             many += batch.num_rows
-            if many >= 8 * CELL and numbers:
+            if many >= CELL and numbers:
                 t = pa.concat_tables(held).combine_chunks()
                 cut = int(np.searchsorted(t.column("run").to_numpy(), numbers[-1]))
                 if cut:
@@ -147,7 +189,7 @@ def _nearest(most: int, top: int, schema: pa.Schema):
     return run
 
 
-def nearest(rows: DataFrame, words: str, bits: int, source: str, ident: str, aspect: str | None = None, most: int = NEAR_DUPLICATE_BITS, top: int = 3, cell: int = CELL, hot: int | None = None) -> DataFrame:
+def nearest(rows: DataFrame, words: str, bits: int, source: str, ident: str, aspect: str | None = None, most: int = NEAR_DUPLICATE_BITS, top: int = 3, cell: int | None = None, hot: int | None = None) -> DataFrame:
     """For each row its `top` nearest rows of smaller source within `most` bits and the aspect tolerance: hamming, source_a, id_a, source_b, id_b.
 
     words is an array<bigint> of 32-bit parts of a hash of `bits` bits; most may be any distance from 0 to bits. Ties go to the smaller source, then id.
@@ -161,12 +203,15 @@ def nearest(rows: DataFrame, words: str, bits: int, source: str, ident: str, asp
     spark = rows.sparkSession
     plain = rows.select(F.col(source).alias("source"), F.col(ident).alias("ident"), F.col(words).alias("w"), (F.col(aspect).cast("double") if aspect else F.lit(1.0)).alias("ratio"))
     plain = plain.where("w is not null and source is not null and ratio is not null and not exists(w, x -> x is null)").withColumn("h", F.array_join(F.transform("w", lambda x: F.lpad(F.hex(x), 8, "0")), "")).drop("w")
+    plain = kept(plain, "plain")  # what tells the hashes, perhaps whole texts, is computed once
     w = Window.partitionBy("h", "ratio").orderBy("source", "ident")
     mine = plain.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= top).drop("_n")
     sides = mine.withColumn("side", F.lit(0)).unionByName(plain.select("source", "h", "ratio").distinct().withColumns({"side": F.lit(1), "ident": F.lit(None).cast(plain.schema["ident"].dataType)}))
     # written once: a row's number must be the same wherever it is used
     sides = kept(sides.withColumn("id", F.monotonically_increasing_id()), "sides")
-    how, blocks, radius = plan(bits, most, sides.where("side = 0").count())
+    count = sides.where("side = 0").count()
+    how, blocks, radius = plan(bits, most, count)
+    cell = cell or max(CELL, -(-count // PARTS) if how == "all" else 0)
     if how == "all":
         keyed = sides.select("side", "id", F.lit(0).cast("long").alias("key"))
     else:
@@ -174,11 +219,12 @@ def nearest(rows: DataFrame, words: str, bits: int, source: str, ident: str, asp
         cuts = _cuts(bits, blocks)
         cut = sides.select("side", "id", as_bits.alias("b")).select("side", "id", F.array(*(_block(F.col("b"), *c) for c in cuts)).alias("blocks"))
         if how == "equal":
-            keyed = _rarest(cut, most, hot or max(CELL, cut.count() // 10_000))
+            keyed = _rarest(cut, most, hot or max(HOT, cut.count() // 10_000))
         else:  # one side by its blocks as they are, the other by all that is near them
             masks = F.array(*(F.lit(m).cast("long") for m in _masks(max(b - a for a, b in cuts), radius)))
             near = F.flatten(F.transform("blocks", lambda v, i: F.transform(masks, lambda m: _key(i, v.bitwiseXOR(m)))))
             keyed = cut.select("side", "id", F.explode(F.when(F.col("side") == 0, F.transform("blocks", lambda v, i: _key(i, v))).otherwise(near)).alias("key"))
+    keyed = kept(keyed, "keyed") if how == "equal" else keyed
     cells = _cells(*(keyed.where(F.col("side") == k).select("key", "id") for k in (0, 1)), cell)
     packed = sides.select("id", F.unhex(F.rpad("h", -(-bits // 64) * 16, "0")).alias("hash"), "source", "ident", "ratio")
     dealt = cells.join(packed, "id").repartition(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), "key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "source", "ident")

@@ -124,7 +124,7 @@ def _hashes(spark, sf_dir):
     digest = F.concat(F.sha2(F.col("text").cast("binary"), 256), F.sha2(F.concat("text", F.lit("#")).cast("binary"), 256))
     words = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.conv(F.substring(F.col("digest"), 8 * i + 1, 8), 16, 10).cast("long"))
     flip = F.pow(F.lit(2), F.col("doc_id") % 14).cast("long") - 1
-    rows = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "source", F.sha2(F.col("text").cast("binary"), 256).alias("sha"), digest.alias("digest"))
+    rows = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "source", F.sha2(F.col("text").cast("binary"), 256).alias("sha"), F.inline(F.array(F.struct(digest.alias("digest")))))  # out of a generator, else the lambda would digest the text for each word
     rows = rows.withColumn("words", words).withColumn("words", F.transform("words", lambda x, i: F.when(i == 0, x.bitwiseXOR(flip)).otherwise(x)))
     return rows.drop("digest")
 

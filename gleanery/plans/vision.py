@@ -49,7 +49,7 @@ def _hashes(spark, sf_dir, spread):
     n = (F.col("doc_id") % spread).cast("int")
     flip = lambda i: F.pow(F.lit(2), F.least(F.greatest(n - i * 32, F.lit(0)), F.lit(32))).cast("long") - 1
     word = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.conv(F.substring(F.col("digest"), 8 * i + 1, 8), 16, 10).cast("long").bitwiseXOR(flip(i)))
-    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "source", digest.alias("digest")).select("doc_id", "source", word.alias("words"))
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "source", F.inline(F.array(F.struct(digest.alias("digest"))))).select("doc_id", "source", word.alias("words"))  # out of a generator, else the lambda would digest the text for each word
 
 
 _NEAR = """SELECT abs(a.doc_id % {0} - b.doc_id % {0})::INTEGER AS hamming, a.source AS source_a, a.doc_id AS id_a, b.source AS source_b, b.doc_id AS id_b

@@ -1,13 +1,14 @@
 """Hand-made cases with results worked out from the rules."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from gleanery.functions import geometry as G
 from gleanery.functions import keys as K
-from gleanery.operators import dedup, ledger, package, quality, splits, tracks
+from gleanery.operators import dedup, hamming, ledger, package, quality, splits, tracks
 from gleanery.sources import annotations, files, sinks
 
 
@@ -497,3 +498,26 @@ def test_hot_keys_are_carried_over_ranges(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", 8)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("most", [20, 200, 256])
+def test_large_runs_are_compared_densely(spark, most):
+    """Runs of many rows of either side, in tiles, give the same neighbours as small ones pair by pair; and what tells the hashes is computed once."""
+    rng, calls = random.Random(7), spark.sparkContext.accumulator(0)
+    base = [rng.getrandbits(512) for _ in range(4)]
+    some = [rng.choice(base) ^ sum(1 << rng.randrange(512) for _ in range(rng.randrange(60))) for _ in range(600)]
+    rows = [(f"s{rng.randrange(5)}", i, [h >> 32 * (15 - k) & 0xFFFFFFFF for k in range(16)]) for i, h in enumerate(some)]
+    df = spark.createDataFrame(rows, "s string, i long, t array<bigint>")
+
+    def words(t):
+        calls.add(1)
+        return t
+
+    df = df.withColumn("w", F.udf(words, "array<bigint>").asNondeterministic()("t"))
+    got = hamming.nearest(df, "w", 512, "s", "i", most=most)
+    want = []
+    for (s, i, _), h in zip(rows, some):
+        near = sorted(((h ^ g).bit_count(), a, j) for (a, j, _), g in zip(rows, some) if a < s and (h ^ g).bit_count() <= most)[:3]
+        want += [(d, a, j, s, i) for d, a, j in near]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    assert calls.value == len(rows)
