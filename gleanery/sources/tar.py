@@ -11,6 +11,7 @@ import posixpath
 import sys
 import tarfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -25,6 +26,8 @@ MANIFEST_NAME = "manifest.json"
 #: Bytes of an archive that a task reads, and of a member that a row holds.
 SPLIT_BYTES = 64 << 20
 PART_BYTES = 8 << 20
+#: Tasks of a scan, at most: beyond, each reads several splits.
+MOST_TASKS = 1000
 _BLOCK = tarfile.BLOCKSIZE
 
 # planning and committing run in processes of Spark's own, which need not have this package
@@ -46,9 +49,9 @@ def _records(data: bytes) -> dict[str, str]:
     return out
 
 
-def _members(file, size: int):
-    """(place of the first header, name, place of the content, size, whether a plain file) of each member that is no folder; a name of None where it can't be read further."""
-    at, begin, long, more = 0, None, None, {}
+def _members(file, size: int, at: int = 0):
+    """(place of the first header, name, place of the content, size, whether a plain file) of each member from a header at `at` on that is no folder; a name of None where it can't be read further."""
+    begin, long, more = None, None, {}
     while at + _BLOCK <= size:
         block = file.read_at(_BLOCK, at)
         if block == b"\0" * _BLOCK:
@@ -85,11 +88,26 @@ class Range(InputPartition):
     size: int
     start: int
     stop: int
+    header: int  # where the first member from its start on begins, or the archive's end
 
     def __post_init__(self):
         super().__init__((self.path, self.start))
 
 
+def _ranges(store, path: str, size: int, step: int):
+    """Ranges of an archive. What has several is walked once by its headers, so that no range has to be read from the archive's beginning."""
+    starts = list(range(0, max(size, 1), step))
+    if len(starts) == 1:
+        return [Range(path, size, 0, size, 0)]
+    out = []
+    with store.open_input_file(path) as file:
+        for begin, *_ in _members(file, size):
+            while len(out) < len(starts) and starts[len(out)] <= begin:
+                a = starts[len(out)]
+                out.append(Range(path, size, a, min(a + step, size), begin))
+    return out + [Range(path, size, a, min(a + step, size), size) for a in starts[len(out) :]]  # no member begins there
+
+
 class TarReader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
@@ -100,19 +118,24 @@ class TarReader(DataSourceReader):
         store, path = fs.FileSystem.from_uri(self.path)
         info = store.get_file_info(path)
         found = [info] if info.type == fs.FileType.File else [x for x in store.get_file_info(fs.FileSelector(path, recursive=True)) if x.type == fs.FileType.File and x.path.endswith(".tar") and not any(p.startswith(("_", ".")) for p in posixpath.relpath(x.path, path).split("/"))]
-        return [Range(x.path, x.size, a, min(a + self.split, x.size)) for x in sorted(found, key=lambda x: x.path) for a in range(0, max(x.size, 1), self.split)]
+        found.sort(key=lambda x: x.path)
+        step = max(self.split, -(-sum(x.size for x in found) // MOST_TASKS))
+        with ThreadPoolExecutor(8) as pool:
+            return [r for ranges in pool.map(lambda x: _ranges(store, x.path, x.size, step), found) for r in ranges]
 
     def read(self, partition):
-        """The members whose first header stands in the range; those before it are passed over by their headers alone."""
+        """The members whose first header stands in the range."""
         schema = pa.schema([("archive", pa.string()), ("member", pa.string()), ("offset", pa.int64()), ("size", pa.int64()), ("safe", pa.bool_()), ("part", pa.int32()), ("content", pa.binary())])
         store, _ = fs.FileSystem.from_uri(self.path)
         rows, held = [], 0
+        if partition.header >= max(partition.stop, 1):
+            return
 
         def batch():
             return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
         with store.open_input_file(partition.path) as file:
-            for begin, name, place, size, plain in _members(file, partition.size):
+            for begin, name, place, size, plain in _members(file, partition.size, partition.header):
                 if begin >= max(partition.stop, 1):
                     break
                 if begin < partition.start:

@@ -86,6 +86,29 @@ def test_broken_archives_are_rows(spark, tmp_path):
     assert None in [m for m, _, _ in got["cut.tar"]] and got["text.tar"] == [(None, None, None)] == got["empty.tar"]
 
 
+def test_ranges_read_only_their_own_headers(tmp_path, monkeypatch):
+    """Twice the archive means twice the headers that are read, not four times; and no more tasks than MOST_TASKS, with the same rows."""
+    looked, members = [0], tar._members
+    monkeypatch.setattr(tar, "_members", lambda *a: (looked.__setitem__(0, looked[0] + 1) or x for x in members(*a)))
+
+    def read(n):
+        with tarfile.open(f"{tmp_path}/{n}.tar", mode="w") as t:
+            for i in range(n):
+                info = tarfile.TarInfo(f"{i}.txt")
+                info.size = 900
+                t.addfile(info, io.BytesIO(b"y" * 900))
+        reader, looked[0] = tar.TarReader({"path": f"file://{tmp_path}/{n}.tar", "splitBytes": "3000"}), 0
+        ranges = reader.partitions()
+        return ranges, [m for r in ranges for b in reader.read(r) for m in b.column("member").to_pylist()], looked[0]
+
+    for n in (200, 400):
+        ranges, found, count = read(n)
+        assert len(ranges) > n // 3 and found == [f"{i}.txt" for i in range(n)] and count <= 3 * n
+    monkeypatch.setattr(tar, "MOST_TASKS", 7)
+    ranges, again, _ = read(400)
+    assert len(ranges) == 7 and again == found
+
+
 def parts_read(df):
     return len(df.inputFiles())
 
