@@ -53,9 +53,11 @@ def parse_label_lines(rows: DataFrame, text: str, classes: list[int] | None = No
     status: 'malformed' (not five fields or not numbers), 'other_class' (not of the wanted ones), else 'box'. Blank lines are left out. A class is cut to an integer.
     """
     lines = rows.select("*", F.posexplode(F.split(F.col(text), "\n")).alias("_p", "_line")).where(F.trim("_line") != "")
-    parts = lines.withColumn("_f", F.split(F.trim(F.regexp_replace("_line", r"\s+", " ")), " "))
+    # fields and numbers come out of generators: conditions on them would else be put before them, and each of their mentions be parsed anew
+    once = lambda *c: F.inline(F.array(F.struct(*c)))
+    parts = lines.select("*", once(F.split(F.trim(F.regexp_replace("_line", r"\s+", " ")), " ").alias("_f")))
     value = lambda i: number(F.try_element_at("_f", F.lit(i)))
-    out = parts.select(*rows.columns, (F.col("_p") + 1).alias("line"), F.size("_f").alias("fields"), *(value(i + 1).alias(k) for i, k in enumerate(("_c", "cx", "cy", "w", "h"))))
+    out = parts.select(*rows.columns, (F.col("_p") + 1).alias("line"), once(F.size("_f").alias("fields"), *(value(i + 1).alias(k) for i, k in enumerate(("_c", "cx", "cy", "w", "h")))))
     sound = (F.col("fields") == 5) & F.col("_c").isNotNull() & (F.abs("_c") < 2147483647) & F.col("cx").isNotNull() & F.col("cy").isNotNull() & F.col("w").isNotNull() & F.col("h").isNotNull()
     out = out.withColumn("class_id", F.when(sound, F.col("_c").cast("int"))).withColumn("_sound", sound)
     wanted = F.lit(True) if classes is None else F.col("class_id").isin(classes)

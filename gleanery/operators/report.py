@@ -31,13 +31,14 @@ def dataset_report(roots: DataFrame, images: DataFrame, labels: DataFrame, class
     again = _repeats(again)
     paired = once.join(labels.select(F.col("path").alias("label"), "text"), "label", "left")
     lines = parse_label_lines(paired.where("text is not null").select("split", "label", "text"), "text")
-    broken = lines.withColumn("rule", F.when(F.col("fields") != 5, F.array(F.lit("field_count"))).when(F.col("status") == "malformed", F.array(F.lit("not_numeric"))).otherwise(box_errors(F.col("class_value"), F.col("cx"), F.col("cy"), F.col("w"), F.col("h"), classes)))
+    broken = lines.select("*", F.inline(F.array(F.struct(F.when(F.col("fields") != 5, F.array(F.lit("field_count"))).when(F.col("status") == "malformed", F.array(F.lit("not_numeric"))).otherwise(box_errors(F.col("class_value"), F.col("cx"), F.col("cy"), F.col("w"), F.col("h"), classes)).alias("rule")))))  # as in parse_label_lines
+    orphan = error(labels.join(once.select(F.col("label").alias("path")).distinct(), "path", "left_anti"), "orphan_label", split=none)
     errors = [
         train.select(F.lit("train_undefined").alias("rule"), F.lit("train").alias("split"), none.alias("path"), F.lit(None).cast("int").alias("line")),
         error(roots.where("not present"), "root_missing", path=F.col("root")), error(bare, "no_images", path=F.col("root")), error(again, "duplicate_image"),
         error(once.where("not readable"), "unreadable_image"), *([] if allow_missing else [error(paired.where("text is null"), "missing_label")]),
         broken.select(F.explode("rule").alias("rule"), "split", F.col("label").alias("path"), "line"),
-        error(labels.join(once.select(F.col("label").alias("path")).distinct(), "path", "left_anti"), "orphan_label", split=none),
+        orphan,
     ]
     out = errors[0]
     for e in errors[1:]:
@@ -45,7 +46,7 @@ def dataset_report(roots: DataFrame, images: DataFrame, labels: DataFrame, class
     by = lambda df, kind: df.groupBy("split").agg(F.count("*").alias("n")).select(F.concat("split", F.lit(f"_{kind}")).alias("name"), "n")
     boxes = broken.where("status != 'malformed' and not array_contains(rule, 'not_finite')")
     counts = by(once, "images").union(by(paired.where("text is not null"), "labels")).union(by(paired.where("text is null"), "missing_labels")).union(by(boxes, "boxes"))
-    orphans = out.where("rule = 'orphan_label'").agg(F.count("*").alias("n")).select(F.lit("orphan_labels").alias("name"), "n")
+    orphans = orphan.agg(F.count("*").alias("n")).select(F.lit("orphan_labels").alias("name"), "n")
     return out, counts.union(orphans.where("n > 0"))
 
 

@@ -521,3 +521,13 @@ def test_large_runs_are_compared_densely(spark, most):
         want += [(d, a, j, s, i) for d, a, j in near]
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
     assert calls.value == len(rows)
+
+
+def test_label_lines_are_parsed_once(spark):
+    """A condition on what a line says must not parse it anew for each mention of a number."""
+    rows = spark.createDataFrame([("0 0.5 0.5 0.1 0.1\n0 2 0.5 0.1 0.1\n0 x 0.5 0.1 0.1",)], "text string")
+    lines = quality.parse_label_lines(rows, "text")
+    bad = quality.box_errors(*map(F.col, ("class_value", "cx", "cy", "w", "h")), [0])
+    some = lines.where(F.size(bad) > 0).where("status != 'malformed'")
+    assert [r.line for r in some.collect()] == [2]
+    assert some._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
