@@ -143,7 +143,7 @@ class ChunkCodec:
         if len(data) <= 4096:
             h = hash(data) or 1
             if self.met[h % MET] == h:  # the second time, so it may come again
-                if known.head >= 0 and known.tail >= known.head:
+                if known.head >= 0 and known.n_tail > known.n_head:
                     known.inner = self._entry(known.ids[known.n_head : known.n_tail])
                 self.chunks.put(data, known, weight)
             else:

@@ -78,6 +78,24 @@ def test_a_chunk_met_again_is_not_encoded_again(rng):
     assert sum(calls) < len(text) / 4
 
 
+@pytest.mark.parametrize("text", ["Hello world", "one two three", "x<|endoftext|>a b<|endoftext|>a b", "é " * 9 + "end"])
+def test_joined_ids_of_chunks_met_again(text):
+    """A remembered chunk with a single space between words has no ids between its first and its last place; that must leave no mark in the joined ids."""
+    own = bpe_codec.ChunkCodec(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = own.library.encode(text, add_special_tokens=False).ids
+    for _ in range(4):
+        parts = list(own.parts(text))
+        assert ",".join([e[0] for e in parts]) == ",".join(map(str, ids)) and sum([e[2] for e in parts]) == len(ids) and b"".join([e[1] for e in parts]).decode() == text
+
+
+def test_codec_rows_of_repeated_short_texts(spark, on_disk, codec):
+    rows = [(k, t) for k in range(5) for t in ("Hello world", "one two three", "a b", None)]
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    ids = {t: codec.library.encode(t or "", add_special_tokens=False).ids for _, t in rows}
+    got = bpe_codec.encode_and_decode(on_disk(rows, parts=1)).collect()
+    assert sorted((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got) == sorted((d, len(ids[t]), sha(",".join(map(str, ids[t]))), sha(t or "")) for d, t in rows)
+
+
 def test_cuts_follow_content(rng):
     text = prose(rng, 8000)
     a, b = text.encode(), ("other start " + text).encode()
