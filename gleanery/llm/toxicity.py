@@ -32,6 +32,8 @@ REMEMBERED = 72 << 20
 #: Letters of a word at most; longer runs of letters, as in scripts without spaces, are words of so many each.
 PIECE = 64
 _EVIDENCE = 6
+#: What the curve weighs the ratios by before it has seen rows: the intercept; the whole text's ratio; the three highest words', the share of high ones, the length.
+PRIOR = np.array([-5.0, 0.5, 0.5, 0.3, 0.2, 0.1, 0.0])
 _LETTERS = re.compile(r"[^\W\d_]+")
 _cache: dict[str, common.Memory] = {}
 
@@ -185,24 +187,35 @@ def curve(e: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 def fit_curve(e: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Logistic weights by Newton's method; with one class only, or none, the share of toxic rows (a half for none)."""
-    x = _inputs(e)
-    w = np.zeros(x.shape[1])
-    share = (y.sum() + 0.5) / (len(y) + 1)
-    w[0] = np.log(share / (1 - share))
-    if len(y) < 20 or y.min() == y.max():
-        return w
-    pull = np.full(x.shape[1], ridge)
-    pull[0] = 1e-6
-    for _ in range(40):
+    """Logistic weights by Newton's method, pulled towards PRIOR: few rows, or rows of one class only, leave them near it, so that a score always rises with the ratios."""
+    x, pull = _inputs(e), np.full(len(PRIOR), ridge)
+    pull[0] = 0.02
+
+    def loss(w):
+        z = x @ w
+        return (np.logaddexp(0, z) - y * z).sum() + (pull * (w - PRIOR) ** 2).sum() / 2
+
+    w = PRIOR.copy()
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(pull), x.T @ (y - p) - pull * w)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(pull), x.T @ (y - p) - pull * (w - PRIOR))
+        before = loss(w)
+        while np.abs(step).max() >= 1e-8 and loss(w + step) > before:
+            step = step / 2
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
+def share_curve(y: np.ndarray) -> np.ndarray:
+    """Weights where nothing was counted: the share of toxic rows for any text (a half for none)."""
+    w = np.zeros(len(PRIOR))
+    share = (y.sum() + 0.5) / (len(y) + 1)
+    w[0] = np.log(share / (1 - share))
+    return w
+
+
 class GramTables:
     """The same models as KneserNey's, of any size: its levels as tables, of which joins give the ratios of whole tables of texts."""
 
@@ -349,7 +362,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", most_gram
     """Models from all labelled rows that are not held out: the curve is fitted on a fifth, `curve_rows` at most, and all others are counted.
 
     Null ids and labels are left out; of the rows of one id one is taken for the curve and all are counted, of an id's labels the largest. Other columns are not read.
-    All n-grams count: up to `most_grams` of them go to the workers, more are kept as scratch tables and joined.
+    With few rows for the curve, or none of one class, its weights stay near PRIOR. All n-grams count: up to `most_grams` of them go to the workers, more are kept as scratch tables and joined.
     """
     spark = documents.sparkSession
     known = labels.select(F.col("doc_id").cast("long").alias("known_id"), F.col(label).cast("double").alias("label")).where("known_id is not null and label is not null").where(~held_out(F.col("known_id")))
@@ -361,7 +374,8 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", most_gram
     words = words.groupBy("word").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
     grams = words.mapInArrow(common.freeing(_gram_counts), "gram string, c0 long, c1 long").groupBy("gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
     grams = common.keep(grams, "grams")
-    if grams.count() <= most_grams:
+    n_grams = grams.count()
+    if n_grams <= most_grams:
         got = grams.toArrow()
         codes = np.frombuffer("".join(got.column("gram").to_pylist()).encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
         model = KneserNey(codes, np.column_stack([np.asarray(got.column("c0")), np.asarray(got.column("c1"))]).reshape(-1, 2))
@@ -377,7 +391,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", most_gram
     e = np.array(rows.column("e").to_pylist(), np.float64).reshape(rows.num_rows, _EVIDENCE)
     y = np.asarray(rows.column("label"), np.float64)
     order = np.lexsort((y, *e.T[::-1])) if len(y) else slice(None)
-    return ToxicityModel(model, fit_curve(e[order], y[order]), name)
+    return ToxicityModel(model, fit_curve(e[order], y[order]) if n_grams else share_curve(y), name)
 
 
 def _remembered(name: str) -> common.Memory:

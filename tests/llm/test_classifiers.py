@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from prose import prose
 
 from gleanery.llm import quality, toxicity
@@ -207,3 +208,26 @@ def test_fitting_is_newton_boosting_feature_by_feature():
             tables[f] += step
             z += step[at]
     assert all(np.allclose(a, b) for a, b in zip(m.tables, tables)) and np.allclose(m.score(x), 1 / (1 + np.exp(-z)))
+
+
+@pytest.mark.parametrize("n, every", [(40, 3), (120, 4), (300, 60)])
+def test_toxicity_ranks_with_few_labels_or_one_class_for_the_curve(spark, on_disk, n, every):
+    """Too few rows for a curve, or ordinary ones only, still give scores that rise with the ratios, not one score for all texts."""
+    rng, rows, labels = random.Random(n), [], []
+    for i in range(n):
+        bad = i % every == 0
+        rows.append((i, " ".join(rng.choices("the of and house water day people number word line".split(), k=20) + ["stupidscum"] * bad)))
+        labels.append((i, int(bad)))
+    docs, labels = on_disk(rows), on_disk(labels, "labels", "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect() if crc_mod(r.doc_id, 3) == 1}
+    bad, fine = ([s for i, s in got.items() if (i % every == 0) == k] for k in (True, False))
+    assert bad and fine and min(bad) > max(fine)
+
+
+def test_the_curve_of_separable_rows_ends(rng):
+    y = np.arange(400) % 2.0
+    e = np.column_stack([y * 30 - 15 + k for k in range(toxicity._EVIDENCE)])
+    w = toxicity.fit_curve(e, y)
+    p = toxicity.curve(e, w)
+    assert np.isfinite(w).all() and p[y == 1].min() > 0.9 and p[y == 0].max() < 0.1
+    assert np.allclose(toxicity.fit_curve(e[:0], y[:0]), toxicity.PRIOR)
