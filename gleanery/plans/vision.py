@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import dedup, detection, visual
+from ..session import kept
 from .common import BOXES, boxes, table
 
 
@@ -75,6 +76,7 @@ def _detections(spark, sf_dir):
     """True boxes of line items; predictions that are moved or made smaller by what the line tells, some without a true box, scored by the part."""
     b = boxes(spark, sf_dir).withColumn("name", F.concat_ws("-", "line", "l_partkey", "l_suppkey")).withColumn("class", (F.col("l_suppkey") % 3).cast("int"))
     b = b.groupBy("image", "class", "name", "l_partkey").agg(*(F.min(c).alias(c) for c in ("cx", "cy", "w", "h")))  # a name stands once in an image
+    b = kept(b, "boxes")  # both tables come from it
     k = F.col("l_partkey")
     box = lambda x, y, w, h: F.struct(x.alias("x1"), y.alias("y1"), (x + w).alias("x2"), (y + h).alias("y2"))
     cx, cy, w, h = (F.col(c) for c in ("cx", "cy", "w", "h"))

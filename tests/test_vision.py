@@ -147,3 +147,43 @@ def test_metrics_of_nothing(spark, empty):
     truth = spark.createDataFrame([] if empty == "truth" else [(1, 0, 0, (0.0, 0.0, 1.0, 1.0))], f"image int, class int, truth int, {kind}")
     found = spark.createDataFrame([] if empty == "found" else [(1, 0, 0, 0.5, (0.0, 0.0, 1.0, 1.0))], f"image int, class int, pred int, score double, {kind}")
     assert {(r.matched, r.ap) for r in detection.average_precision(truth, found).collect()} == {(0, None if empty == "truth" else 0.0)}
+
+
+def test_matches_within_tasks_of_any_batches(spark):
+    """Groups cut by batches, rivals for one true box, rows without image, score or box: the same as choosing one after the other."""
+    rng = random.Random(3)
+    place = lambda: (x := rng.randrange(4), y := rng.randrange(4), x + rng.randrange(1, 6), y + rng.randrange(1, 6))
+    truth = [(i // 7 if i % 50 else None, i % 2, i, tuple(map(float, place()))) for i in range(300)]
+    found = [(i // 9 if i % 40 else None, i % 2, i, [0.1, 0.5, 0.9, None, float("nan")][rng.randrange(5)], tuple(map(float, place())) if i % 31 else None) for i in range(400)]
+    box = "struct<x1: double, y1: double, x2: double, y2: double>"
+    frames = spark.createDataFrame(truth, f"image int, class int, truth int, box {box}"), spark.createDataFrame(found, f"image int, class int, pred int, score double, box {box}")
+
+    def iou(a, b):
+        side = lambda k: max(min(a[k + 2], b[k + 2]) - max(a[k], b[k]), 0.0)
+        area = lambda r: (r[2] - r[0]) * (r[3] - r[1])
+        return side(0) * side(1) / (area(a) + area(b) - side(0) * side(1))
+
+    want = {}
+    for least in detection.OVERLAPS:
+        taken = set()
+        for image, kind, pred, score, b in sorted((f for f in found if f[3] is not None and f[3] == f[3]), key=lambda f: (-f[3], f[2])):
+            offers = sorted((-iou(b, t[3]), t[2]) for t in truth if b and image is not None and t[:2] == (image, kind) and iou(b, t[3]) * 100 >= least and t[2] not in taken)
+            taken |= {offers[0][1]} if offers else set()
+            want.setdefault(pred, []).append(int(bool(offers)))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"), detection.PAIRS
+    try:
+        for size, detection.PAIRS in ((1, 1), (7, 5), (10000, 1 << 20)):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            assert {r.pred: r.hits for r in detection.matches(*frames).collect()} == want
+    finally:
+        detection.PAIRS = before[1]
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before[0])
+    assert 0 < sum(map(sum, want.values()))
+
+
+def test_detection_plan_matches_once(spark):
+    """Matching is one shuffle of boxes, without a join of true boxes and predictions, and runs no lambda for an overlap."""
+    box = "struct<x1: double, y1: double, x2: double, y2: double>"
+    frames = spark.createDataFrame([], f"image int, class int, truth int, box {box}"), spark.createDataFrame([], f"image int, class int, pred int, score double, box {box}")
+    plan = detection.matches(*frames)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "lambda" not in plan
