@@ -47,7 +47,8 @@ class Ledger(StatefulProcessor):
         return -(-(at + self.patience) // 1000) * 1000
 
     def _read(self):
-        return tuple(self.record.get()) if self.record.exists() else ("", None, None, 0)
+        held = self.record.get()
+        return ("", None, None, 0) if held is None else tuple(held)
 
     def _put(self, key, old, new) -> None:
         if old[0] in FAILS_TO:
@@ -62,11 +63,10 @@ class Ledger(StatefulProcessor):
 
     def _timed_out(self, key, old):
         new = (FAILS_TO[old[0]], self._late(old[0], old[1]), old[2], old[3])
-        self._put(key, old, new)
         return new, self._row(key, new[1], None, new[0], old[0], new[3], "timeout")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        old = self._read()
+        begun = old = self._read()
         for r in sorted(rows, key=lambda r: (r.at, r.seq)):
             if old[0] in FAILS_TO and self._late(old[0], old[1]) <= r.at:
                 old, row = self._timed_out(key, old)
@@ -78,13 +78,16 @@ class Ledger(StatefulProcessor):
             else:
                 new = (r.status, r.at, r.seq, old[3] + (r.status == "downloading"))
                 yield self._row(key, r.at, r.seq, r.status, old[0], new[3], None)
-                self._put(key, old, new)
                 old = new
+        if old != begun:  # state and timer change once a batch, however many events it has of the record
+            self._put(key, begun, old)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         old = self._read()
         if old[0] in FAILS_TO and self._late(old[0], old[1]) <= expiredTimerInfo.getExpiryTimeInMs() * 1000:
-            yield self._timed_out(key, old)[1]
+            new, row = self._timed_out(key, old)
+            self._put(key, old, new)
+            yield row
 
     def close(self) -> None:
         pass

@@ -9,6 +9,7 @@ import tarfile
 import pytest
 from pyspark.sql import functions as F
 
+from gleanery.operators import package
 from gleanery.sources import tar
 
 
@@ -243,3 +244,36 @@ def test_documents_larger_than_a_row(spark, tmp_path):
         assert whole(f"{tmp_path}/audit")[1] == json.dumps(want, ensure_ascii=False, separators=(",", ":"))
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_coco_sections_read_written_ids(spark):
+    """The ids are numbered once and written; no section of the document numbers them anew."""
+    side = ", ".join(f"0.5D AS {c}" for c in ("cx", "cy", "w", "h", "width", "height"))
+    boxes = spark.sql(f"SELECT 'train' AS split, id % 5 AS image, id AS line, {side} FROM range(20)")
+    plan = package.coco_lines(package.coco_ids(boxes, "split", "image", ["line"]), "split")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" in plan
+
+
+def test_ledger_writes_a_record_once_a_batch():
+    from types import SimpleNamespace
+
+    from gleanery.streaming import machine
+
+    calls, held = [], {}
+
+    class Record:
+        exists = lambda self: calls.append("exists") or "state" in held
+        get = lambda self: calls.append("get") or held.get("state")
+        update = lambda self, new: calls.append("update") or held.update(state=new)
+
+    timers = set()
+    own = machine.Ledger(1_000_000)
+    own.record, own.handle = Record(), SimpleNamespace(registerTimer=lambda t: calls.append("on") or timers.add(t), deleteTimer=lambda t: calls.append("off") or timers.discard(t))
+    event = lambda at, seq, status: SimpleNamespace(at=at, seq=seq, status=status)
+    told = list(own.handleInputRows((1,), [event(1000, 1, "new"), event(2000, 2, "downloading"), event(3000, 3, "downloaded"), event(4000, 4, "extracting")], None))
+    assert [r.accepted for r in told] == [True] * 4 and held["state"][0] == "extracting" and timers == {1004}
+    assert calls == ["get", "update", "on"] or sorted(calls) == ["get", "on", "update"]
+    calls.clear()
+    assert [r.reason for r in own.handleInputRows((1,), [event(500, 5, "extracted")], None)] == ["late"] and calls == ["get"]
+    expired = list(own.handleExpiredTimer((1,), None, SimpleNamespace(getExpiryTimeInMs=lambda: 1004)))
+    assert [r.reason for r in expired] == ["timeout"] and held["state"][0] == "extract_failed" and not timers
