@@ -159,7 +159,10 @@ def coco_lines(annotations: DataFrame, split: str, category: str = "drone") -> D
 
     Ids are dense from 1, so a line ends with a comma if its id is less than how many there are: no line has to know the one after it.
     """
-    box = centre_to_coco(*(F.col(c) for c in ("cx", "cy", "w", "h", "width", "height")))
+    sides = ("cx", "cy", "w", "h", "width", "height")
+    box = centre_to_coco(*(F.col(c) for c in sides))
+    # written once: four sections read it, and the ids took shuffles of all boxes
+    annotations = kept(annotations.select(split, "image", "image_id", "annotation_id", *sides), "annotations")
     totals = F.broadcast(annotations.groupBy(split).agg(F.max("image_id").alias("_images"), F.max("annotation_id").alias("_annotations")))  # a row for each split
     line = lambda x, n, most: F.concat(F.to_json(x), F.when(n < most, ",").otherwise("")).alias("line")
     images = annotations.select(split, "image_id", "image", "width", "height").distinct().join(totals, split)
