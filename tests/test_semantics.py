@@ -197,6 +197,29 @@ def test_voc(spark):
     assert sorted(((r.cx, r.cy, r.w, r.h, r.error) for r in got), key=repr) == sorted([(0.2, 0.4, 0.2, 0.4, None), (None, None, None, None, "bad_corner")], key=repr)
 
 
+USUAL_OBJECT = "<object>\r\n\t<name> drone </name><pose>x</pose><bndbox>\n<xmin>10</xmin><ymin> 20</ymin><xmax>30</xmax>\n<ymax>60</ymax></bndbox></object>\n"
+USUAL = "<annotation>\n<filename>\u00e9 [$1]\\.jpg</filename><source><database>d</database></source><size><width>9</width></size>" + USUAL_OBJECT + "<object><name>drone</name><bndbox><ymax>4</ymax></bndbox></object><object><name>bird</name><bndbox></bndbox></object></annotation>\n"
+ODD = ["<!-- c -->", "<!-- <object>", "<![CDATA[drone]]>", "&amp;", "&#49;", "&no;", "]]>", "]", ">", "<", "<x/>", "<x>", "x", "\x01", "\x01drone<1<2<3<4<", "\n", " a='1'", "<object/>", "</object>", "<name>bird</name>", "<xmin>7</xmin>", "<NAME>bird</NAME>", "<?p?>", "\u2003", "<bndbox><ymax>5</ymax></bndbox>", USUAL_OBJECT]
+
+
+def test_usual_voc_documents_need_no_parser(spark, monkeypatch):
+    monkeypatch.setattr(annotations.F, "from_xml", lambda text, kind: F.raise_error(F.lit("parsed")).cast(kind))
+    docs = [("a", USUAL), ("b", "<annotation></annotation>"), ("c", f"<annotation>{USUAL_OBJECT * 20000}</annotation>")]
+    got = [(r.id, r.cx, r.cy, r.w, r.h, r.error) for r in annotations.voc_boxes(spark.createDataFrame(docs, "id string, t string"), "t", "id", F.lit(100.0), F.lit(100.0)).collect()]
+    box = (0.2, 0.4, 0.2, 0.4, None)
+    assert sorted(got, key=repr) == sorted([("a", *box), ("a", None, None, None, None, "bad_corner"), *[("c", *box)] * 20000], key=repr)
+
+
+def test_voc_patterns_agree_with_the_parser(spark, monkeypatch):
+    places = sorted({i for i, c in enumerate(USUAL) if c in "<>" or USUAL[i - 1] == ">"} | {0, len(USUAL), USUAL.index("drone") + 2, USUAL.index("10") + 1})
+    docs = [USUAL, None, "", *(USUAL[:i] + odd + USUAL[i:] for odd in ODD for i in places), *(USUAL[:i] + USUAL[i + 1 :] for i in range(len(USUAL)))]
+    df = spark.createDataFrame(list(enumerate(docs)), "i int, t string").repartition(8)
+    boxes = lambda: sorted((tuple(r) for r in annotations.voc_boxes(df, "t", "i", F.lit(100.0), F.lit(100.0)).collect()), key=repr)
+    fast = boxes()
+    monkeypatch.setattr(annotations, "_PLAIN", "(?!)")
+    assert fast == boxes()
+
+
 def test_pixel_rows_and_aliases(spark):
     df = spark.createDataFrame([(1, "f,1,2,3,4,x"), (2, "f,0,0,0,0"), (3, "f,1,2"), (4, "f,a,2,3,4")], "i int, l string")
     assert [r.status for r in annotations.pixel_rows(df, "l", "i").orderBy("i").collect()] == ["box", "negative", "malformed", "malformed"]
