@@ -554,3 +554,53 @@ def test_label_lines_are_parsed_once(spark):
     some = lines.where(F.size(bad) > 0).where("status != 'malformed'")
     assert [r.line for r in some.collect()] == [2]
     assert some._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+
+
+def some_words(rng, centres, n, most):
+    words = [list(rng.choice(centres)) for _ in range(n)]
+    for w in words:
+        for _ in range(rng.randrange(most)):
+            k = rng.randrange(32 * len(w))
+            w[k // 32] ^= 1 << k % 32
+    return words
+
+
+@pytest.mark.parametrize("threshold", [0, 1, 2, 3])
+def test_words_that_differ_little_agree_in_a_half(threshold):
+    import itertools
+
+    import numpy as np
+
+    one = np.uint32(1) << np.arange(32, dtype=np.uint32)
+    missed = [{i for i, x in enumerate(hamming._halves(one, u)[c]) if x} for u, c in hamming._halvings(threshold)]
+    assert all(len(m) == 16 for m in missed)
+    assert all(any(not m & set(bits) for m in missed) for bits in itertools.combinations(range(32), threshold))
+
+
+@pytest.mark.parametrize("bits, most", [(512, 90), (96, 10), (64, 11), (32, 5)])
+def test_halves_of_words_meet_all_that_are_near(monkeypatch, bits, most):
+    import numpy as np
+
+    rng, n = random.Random(bits + most), 150
+    centres = [[rng.getrandbits(32) for _ in range(bits // 32)] for _ in range(4)]
+    a, b = (np.array(some_words(rng, centres, n, most * 2 // 3), np.uint32).T for _ in range(2))
+    before = np.sort([rng.randrange(n) for _ in range(n)])
+    apart = np.bitwise_count(a[:, :, None] ^ b[:, None, :]).sum(axis=0)
+    want = set(zip(*(k.tolist() for k in np.nonzero((apart <= most) & (np.arange(n)[:, None] < before)))))
+    for few in (1, 50, 1000):  # side by side, partly, one bucket after the other
+        monkeypatch.setattr(hamming, "_FEW", few)
+        met = {p for x, y in hamming._meeting(a, b, before, hamming._thresholds(bits, most), 40) for p in zip(x.tolist(), y.tolist())}
+        assert want <= met and len(want) > 100
+        assert all(x < before[y] for x, y in met)
+
+
+def test_nearest_by_halves_of_words(spark, monkeypatch):
+    """Cells whose rows meet by halves of words give what all pairs give; so many rows are not compared all with all."""
+    assert hamming.plan(512, 90, 3 * 10**6)[0] == "cover" and hamming.plan(512, 96, 3 * 10**6)[0] == "all"
+    monkeypatch.setattr(hamming, "plan", lambda *_: ("cover", 16, 5))
+    monkeypatch.setattr(hamming, "SORTED", -1e9)  # never dearer
+    rng = random.Random(90)
+    centres = [[rng.getrandbits(32) for _ in range(16)] for _ in range(300)]
+    rows = [(rng.choice("abcd"), i, w, rng.choice([1.0, 1.0, 1.01, 1.5])) for i, w in enumerate(some_words(rng, centres, 900, 60))]
+    got = hamming.nearest(spark.createDataFrame(rows, "s string, i long, w array<bigint>, r double").repartition(5), "w", 512, "s", "i", "r", 90)
+    assert sorted(tuple(r) for r in got.collect()) == brute_nearest(rows, 90)
